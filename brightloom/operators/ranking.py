@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import order_bucket
+from brightloom.session import measured
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -67,7 +68,7 @@ def exact_quantiles(
     Pass 1 counts values per monotone bucket (a small histogram) and finds the buckets that hold the wanted
     ranks; pass 2 orders only the values of those buckets. Without ``by`` the wanted buckets are a handful
     (2 per quantile and column), so they are broadcast and raw rows are filtered before any shuffle. With
-    ``by`` the number of groups is unknown: distinct values are counted first and joined without a hint.
+    ``by`` the number of groups is unknown, so the wanted buckets are written and joined by measured size.
     """
     long = (
         df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -76,11 +77,7 @@ def exact_quantiles(
         .withColumn("b", order_bucket(F.col("x")))
     )
     keys = [*by, "column"]
-    if by:
-        values = long.groupBy(*keys, "b", "x").agg(F.count(F.lit(1)).alias("c"))
-        hist = values.groupBy(*keys, "b").agg(F.sum("c").alias("c"))
-    else:
-        hist = long.groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("c"))
+    hist = long.groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("c"))
     part = Window.partitionBy(*keys)
     ahead = part.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.select(
@@ -99,14 +96,11 @@ def exact_quantiles(
         .groupBy(*keys, "b", "before", "n")
         .agg(F.collect_list("pos").alias("positions"))
     )
-    if by:
-        cand = join_null_safe(values, hits, [*keys, "b"])
-    else:
-        cand = (
-            join_null_safe(long, F.broadcast(hits), [*keys, "b"])
-            .groupBy(*keys, "b", "before", "n", "positions", "x")
-            .agg(F.count(F.lit(1)).alias("c"))
-        )
+    cand = (
+        join_null_safe(long, measured(hits) if by else F.broadcast(hits), [*keys, "b"])
+        .groupBy(*keys, "b", "before", "n", "positions", "x")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
     inside = Window.partitionBy(*keys, "b").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
     cand = cand.withColumn("cum", F.col("before") + F.coalesce(F.sum("c").over(inside), F.lit(0)))
     picked = (

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _fallback_dir: str | None = None
 
@@ -21,6 +21,7 @@ def get_session(app: str = "brightloom", cpus: str = "*", shuffle_partitions: in
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
@@ -43,8 +44,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(spark: SparkSession, df):
-    """Write ``df`` to the shared folder and read it back, so that lost executors cost no recomputation."""
+def measured(df: DataFrame) -> DataFrame:
+    """Write a derived table to the shared folder and read it back.
+
+    The written size is known to the optimizer, so a join with it is broadcast only below
+    ``spark.sql.autoBroadcastJoinThreshold`` and sorted (with skew splitting) above. Raw rows on the other
+    side are then not shuffled just because the size of an aggregate was unknown at planning time. Lost
+    executors cost no recomputation of the table either.
+    """
+    spark = df.sparkSession
     path = fresh_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
