@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import numeric_columns, string_columns
 from brightloom.operators import profile
-from brightloom.operators.ranking import exact_quantiles, join_null_safe
+from brightloom.operators.ranking import exact_quantiles, join_null_safe, with_stats
 from brightloom.session import measured
 
 
@@ -30,12 +30,13 @@ def histogram_bins(df: DataFrame, c: str, bins: int | None = 20) -> DataFrame:
         facts = facts.withColumn("k", F.greatest(sturges, F.coalesce(F.when(fd > 0, F.ceil(spread / fd)), sturges)).cast("int"))
     else:
         facts = facts.withColumn("k", F.lit(bins))
-    one = facts.select(F.struct("lo", "k", ((F.col("hi") - F.col("lo")) / F.col("k")).alias("w")).alias("s")).scalar()
+    stats = facts.select(F.struct("lo", "k", ((F.col("hi") - F.col("lo")) / F.col("k")).alias("w")).alias("s"))
+    one = F.col("__s")
     spine = facts.select(
         F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("bin"), "lo", ((F.col("hi") - F.col("lo")) / F.col("k")).alias("w")
     )
     at = F.when(one["w"] > 0, F.least(F.floor((x - one["lo"]) / one["w"]), one["k"] - 1)).otherwise(F.lit(0)).cast("int")
-    counts = df.filter(x.isNotNull()).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    counts = with_stats(df.filter(x.isNotNull()), stats).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
     out = spine.join(counts, "bin", "left")
     lo = F.col("lo") + F.col("bin") * F.col("w")
     return out.select("bin", lo.alias("lo"), (lo + F.col("w")).alias("hi"), F.coalesce("n", F.lit(0)).alias("n"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from brightloom.functions.numeric import numeric_columns, string_columns
 from brightloom.operators import profile
-from brightloom.operators.ranking import exact_quantiles
+from brightloom.operators.ranking import exact_quantiles, with_stats
 from brightloom.operators.relational import map_values
 from brightloom.session import measured
 
@@ -25,15 +25,15 @@ def impute_mean_mode(
     numeric = numeric_columns(df) if numeric is None else list(numeric)
     other = string_columns(df) if other is None else list(other)
     src = df if fit_on is None else fit_on
-    new = {}
+    new, out = {}, df
     if numeric:
-        means = src.agg(F.struct(*[F.avg(c).alias(c) for c in numeric])).scalar()
-        new |= {c: F.coalesce(F.col(c).cast("double"), means[c]) for c in numeric}
+        out = with_stats(out, src.agg(F.struct(*[F.avg(c).alias(c) for c in numeric])), "__means")
+        new |= {c: F.coalesce(F.col(c).cast("double"), F.col("__means")[c]) for c in numeric}
     if other:
         m = profile.modes(src, other)
-        best = m.agg(F.map_from_entries(F.collect_list(F.struct("column", "mode")))).scalar()  # one entry per column
-        new |= {c: F.coalesce(F.col(c), best[c].cast(df.schema[c].dataType)) for c in other}
-    return df.withColumns(new)
+        out = with_stats(out, m.agg(F.map_from_entries(F.collect_list(F.struct("column", "mode")))), "__modes")  # one entry per column
+        new |= {c: F.coalesce(F.col(c), F.col("__modes")[c].cast(df.schema[c].dataType)) for c in other}
+    return out.withColumns(new).drop("__means", "__modes")
 
 
 def _deletions(word: Column, depth: int) -> Column:
@@ -113,9 +113,10 @@ def column_anomaly_report(df: DataFrame, rare_share: float = 0.05, k: float = 1.
                     )
                 )
             )
-        ).scalar()  # one entry per column
+        )  # one entry per column
         long = df.select(*[F.col(c).cast("double").alias(c) for c in numbers]).unpivot([], numbers, "column", "v")
-        f = F.element_at(fences, F.col("column"))
+        long = with_stats(long, fences).withColumn("__f", F.element_at("__s", F.col("column")))
+        f = F.col("__f")
         side = F.when(F.col("v") < f["lo"], "low").when(F.col("v") > f["hi"], "high").otherwise("inside")
         sides = long.filter(F.col("v").isNotNull()).groupBy("column", side.alias("item")).agg(F.count("*").alias("n"))
         parts.append(sides.withColumn("check", F.lit("iqr")))

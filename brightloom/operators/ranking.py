@@ -17,15 +17,20 @@ from brightloom.session import measured
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join that treats null keys as equal and keeps the left key columns."""
-    other = right
-    for k in keys:
-        other = other.withColumnRenamed(k, f"__r_{k}")
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    cond = F.expr(" AND ".join(f"`{k}` <=> `__r_{k}`" for k in keys))
     return left.join(other, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def with_stats(df: DataFrame, stats: DataFrame, name: str = "__s") -> DataFrame:
+    """Add the single value of the one-row, one-column ``stats`` as a column.
+
+    It is a scalar subquery referenced once: no join, and expressions that need several of its fields read
+    them from the column instead of repeating the subquery.
+    """
+    return df.withColumn(name, stats.scalar())
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[Column],
@@ -70,48 +75,41 @@ def exact_quantiles(
     (2 per quantile and column), so they are broadcast and raw rows are filtered before any shuffle. With
     ``by`` the number of groups is unknown, so the wanted buckets are written and joined by measured size.
     """
+    keys = [*by, "column"]
+    quoted = ", ".join(f"`{k}`" for k in keys)
     long = (
         df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot(list(by), list(columns), "column", "x")
-        .filter(F.col("x").isNotNull() & ~F.isnan("x"))
-        .withColumn("b", order_bucket(F.col("x")))
-    )
-    keys = [*by, "column"]
-    hist = long.groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("c"))
-    part = Window.partitionBy(*keys)
-    ahead = part.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.select(
-        *keys, "b", "c",
-        F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("before"),
-        F.sum("c").over(part).alias("n"),
+        .filter("x IS NOT NULL AND NOT isnan(x)")
+        .withColumn("b", order_bucket("x"))
     )
-    ranks = []
-    for p in probs.values():
-        h = (F.col("n") - 1) * F.lit(float(p))
-        ranks += [F.floor(h).cast("long"), F.ceil(h).cast("long")]
-    wanted = F.array_distinct(F.array(*ranks))
-    hits = (
-        hist.select(*keys, "b", "before", "n", F.explode(wanted).alias("pos"), "c")
-        .filter((F.col("pos") >= F.col("before")) & (F.col("pos") < F.col("before") + F.col("c")))
-        .groupBy(*keys, "b", "before", "n")
-        .agg(F.collect_list("pos").alias("positions"))
+    hist = long.groupBy(*keys, "b").agg(F.expr("count(1) AS c")).selectExpr(
+        *[f"`{k}`" for k in keys], "b", "c",
+        f"coalesce(sum(c) OVER (PARTITION BY {quoted} ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
+        f"sum(c) OVER (PARTITION BY {quoted}) AS n",
     )
+    rank = {name: f"((n - 1) * {float(p)}D)" for name, p in probs.items()}
+    wanted = ", ".join(f"CAST(floor({h}) AS BIGINT), CAST(ceil({h}) AS BIGINT)" for h in rank.values())
+    hits = hist.withColumn(
+        "positions", F.expr(f"filter(array_distinct(array({wanted})), p -> p >= before AND p < before + c)")
+    ).filter("size(positions) > 0").drop("c")
     cand = (
         join_null_safe(long, measured(hits) if by else F.broadcast(hits), [*keys, "b"])
-        .groupBy(*keys, "b", "before", "n", "positions", "x")
-        .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy(*keys, "b", "before", "n", "positions", "x").agg(F.expr("count(1) AS c"))
     )
-    inside = Window.partitionBy(*keys, "b").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    cand = cand.withColumn("cum", F.col("before") + F.coalesce(F.sum("c").over(inside), F.lit(0)))
+    # only values of the few wanted buckets are ordered here
     picked = (
-        cand.select(*keys, "n", "x", "cum", "c", F.explode("positions").alias("pos"))
-        .filter((F.col("pos") >= F.col("cum")) & (F.col("pos") < F.col("cum") + F.col("c")))
-        .groupBy(*keys, "n")
-        .agg(F.map_from_entries(F.collect_list(F.struct("pos", "x"))).alias("at"))
+        cand.selectExpr(
+            *[f"`{k}`" for k in keys], "n", "x", "c", "positions",
+            f"before + coalesce(sum(c) OVER (PARTITION BY {quoted}, b ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum",
+        )
+        .selectExpr(*[f"`{k}`" for k in keys], "n", "x", "explode(filter(positions, p -> p >= cum AND p < cum + c)) AS pos")
+        .groupBy(*keys, "n").agg(F.expr("map_from_entries(collect_list(struct(pos, x))) AS at"))
     )
-    outs = []
-    for name, p in probs.items():
-        h = (F.col("n") - 1) * F.lit(float(p))
-        lo, hi = F.col("at")[F.floor(h).cast("long")], F.col("at")[F.ceil(h).cast("long")]
-        outs.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
+    outs = [
+        F.expr(
+            f"at[CAST(floor({h}) AS BIGINT)] + (at[CAST(ceil({h}) AS BIGINT)] - at[CAST(floor({h}) AS BIGINT)]) * ({h} - floor({h})) AS `{name}`"
+        )
+        for name, h in rank.items()
+    ]
     return picked.select(*keys, "n", *outs)

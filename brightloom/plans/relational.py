@@ -497,5 +497,5 @@ def count_duplicates(spark, sf):
 def row_number_by_group(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
     return ranking.split_row_number(
-        o, [F.desc("o_totalprice"), F.asc("o_orderkey")], -order_bucket(F.col("o_totalprice"), 512), ["o_custkey"]
+        o, [F.desc("o_totalprice"), F.asc("o_orderkey")], -order_bucket("o_totalprice", 512), ["o_custkey"]
     )

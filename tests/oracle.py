@@ -35,7 +35,6 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return 0.0 if v == 0 else v
     if isinstance(v, list):
         return tuple(_norm(x) for x in v)
     if isinstance(v, dict):
