@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators.profile import QUARTILES
 from brightloom.operators.ranking import exact_quantiles, with_stats
+from brightloom.session import measured
 
 
 def zscore_scale(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, suffix: str = "_z") -> DataFrame:
@@ -132,11 +133,20 @@ def fit_isolation_forest(
 def isolation_forest(
     df: DataFrame, columns: Sequence[str], key: str, contamination: float = 0.1, trees: int = 100, sample: int = 256, seed: int = 42
 ) -> DataFrame:
-    """Add ``if_score`` (near 1 = anomalous) and ``if_anomaly`` for the top ``contamination`` share of scores."""
+    """Add ``if_score`` (near 1 = anomalous) and ``if_anomaly`` for the top ``contamination`` share of scores.
+
+    The scored rows are written once, because the threshold and the result both need them.
+    """
     cols = list(columns)
-    model = [
-        tuple(g[c].to_numpy() for c in ("feature", "cut", "lo", "hi", "path")) for g in fit_isolation_forest(df, cols, key, trees, sample, seed)
-    ]
+    grown = fit_isolation_forest(df, cols, key, trees, sample, seed)
+    starts = np.cumsum([0] + [len(g) for g in grown[:-1]])
+    nodes = {c: np.concatenate([g[c].to_numpy() for g in grown]) for c in ("feature", "cut", "lo", "hi", "path")}
+    shift = np.repeat(starts, [len(g) for g in grown])
+    leaf = nodes["feature"] < 0
+    for side in ("lo", "hi"):  # leaves point at themselves, so walking on changes nothing
+        nodes[side] = np.where(leaf, np.arange(len(leaf)), nodes[side] + shift)
+    model = (np.maximum(nodes["feature"], 0), nodes["cut"], nodes["lo"], nodes["hi"], nodes["path"], starts)
+    depth = int(np.ceil(np.log2(max(sample, 2))))
     used = min(sample, df.select(*cols).na.drop().limit(sample).count())
     shared = df.sparkSession.sparkContext.broadcast((model, float(_average_path(np.array([max(used, 2)]))[0])))
 
@@ -145,21 +155,19 @@ def isolation_forest(
         forest, norm = shared.value
         x = block.to_numpy(float)
         ok = ~np.isnan(x).any(axis=1)
-        total = np.zeros(len(x))
-        for feature, cut, lo, hi, path in forest:
-            at = np.zeros(len(x), dtype=np.int64)
-            while True:
-                f = feature[at]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                v = x[np.arange(len(x)), np.maximum(f, 0)]
-                at = np.where(inner, np.where(v < cut[at], lo[at], hi[at]), at)
-            total += path[at]
-        out = np.power(2.0, -(total / len(forest)) / norm)
-        return pd.Series(np.where(ok, out, np.nan)).where(lambda s: s.notna(), None).astype("float64")
-
-    scored = df.withColumn("if_score", F.nanvl(score(F.struct(*[F.col(c).cast("double").alias(c) for c in cols])), F.lit(None)))
+        feature, cut, lo, hi, path, roots = forest
+        mean_path = np.empty(len(x))
+        for s in range(0, len(x), 2048):
+            block_x = x[s : s + 2048]
+            rows = np.arange(len(block_x))[:, None]
+            at = np.broadcast_to(roots, (len(block_x), len(roots)))
+            for _ in range(depth):
+                at = np.where(block_x[rows, feature[at]] < cut[at], lo[at], hi[at])
+            mean_path[s : s + 2048] = path[at].mean(axis=1)
+        out = np.power(2.0, -mean_path / norm)
+        return pd.Series(np.where(ok, out, np.nan))
+
+    scored = measured(df.withColumn("if_score", F.nanvl(score(F.struct(*[F.col(c).cast("double").alias(c) for c in cols])), F.lit(None))))
     cut = exact_quantiles(scored.select("if_score"), ["if_score"], {"cut": 1.0 - contamination}).select("cut").scalar()
     return scored.withColumn("if_anomaly", F.col("if_score") > cut)
 
@@ -187,7 +195,7 @@ def reconstruction_error(df: DataFrame, vector: str, k: int, quantile: float = 0
         x = np.stack(v.to_numpy()) - mean
         return pd.Series(np.abs(x - (x @ basis) @ basis.T).mean(axis=1))
 
-    scored = df.withColumn("recon_error", error(as_double))
+    scored = measured(df.withColumn("recon_error", error(as_double)))
     cut = exact_quantiles(scored.select("recon_error"), ["recon_error"], {"cut": quantile}).select("cut").scalar()
     return scored.withColumn("recon_anomaly", F.col("recon_error") > cut)
 

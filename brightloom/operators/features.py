@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,10 +86,13 @@ def label_encode(df: DataFrame, c: str, name: str | None = None, fit_on: DataFra
 
 def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins: int = 10) -> DataFrame:
     """``(feature, mi)`` in nats between quantile-binned columns and a class, from contingency counts."""
-    binned = quantile_bins(df.select(*columns, target), columns, bins)
-    names = [f"{c}_bin" for c in columns]
-    long = binned.select(F.col(target).cast("string").alias("y"), *[F.col(n).alias(c) for n, c in zip(names, columns)]).unpivot(
-        ["y"], list(columns), "feature", "x"
+    q = exact_quantiles(df, columns, {f"e{i}": i / bins for i in range(bins)})
+    edges = q.agg(F.map_from_entries(F.collect_list(F.struct("column", F.array_distinct(F.array(*[f"e{i}" for i in range(bins)]))))))
+    long = df.select(F.col(target).cast("string").alias("y"), *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        ["y"], list(columns), "feature", "v"
+    )
+    long = with_stats(long, edges).withColumn(  # one short edge list per column
+        "x", F.expr("CASE WHEN v IS NOT NULL THEN greatest(size(filter(__s[feature], e -> e < v)) - 1, 0) END")
     )
     cells = measured(
         long.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("feature", "x", "y").agg(F.count("*").alias("n"))
@@ -104,7 +107,7 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins:
 
 
 def _vectors(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Assembled features and indexed label, cached for the repeated fits that follow."""
+    """Assembled features and alphabetically indexed label; rows with a null are left out."""
     index = StringIndexer(inputCol="__t", outputCol="label", stringOrderType="alphabetAsc")
     d = df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(target).cast("string").alias("__t")).na.drop()
     return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), index]).fit(d).transform(d)
@@ -125,22 +128,34 @@ def rf_importance(df: DataFrame, columns: Sequence[str], target: str, trees: int
     return importance_table(df, columns, model.featureImportances)
 
 
-def recursive_elimination(df: DataFrame, columns: Sequence[str], target: str, keep: int, trees: int = 20, seed: int = 42) -> DataFrame:
-    """``(feature, ranking)``: 1 = kept; the weakest feature of each refit gets the next rank from the end."""
-    left, dropped = list(columns), []
-    data = df.select(*columns, target).persist()
+def recursive_elimination(
+    df: DataFrame, columns: Sequence[str], target: str, keep: int, trees: int = 20, seed: int = 42, step: float = 0.0
+) -> DataFrame:
+    """``(feature, ranking)``: 1 = kept; the weakest features of each refit get the next rank from the end.
+
+    Each refit drops one feature, or the share ``step`` of those left if that is more. The assembled rows are
+    cached once; a refit only slices the vector.
+    """
+    left, rounds = list(range(len(columns))), []
+    data = _vectors(df, columns, target).select(F.col("features").alias("all"), "label").persist()
     try:
         while len(left) > keep:
-            imp = _forest(trees, seed).fit(_vectors(data, left, target)).featureImportances.toArray()
-            weakest = min(range(len(left)), key=lambda i: (imp[i], left[i]))
-            dropped.append(left.pop(weakest))
+            sliced = VectorSlicer(inputCol="all", outputCol="features", indices=left).transform(data)
+            imp = _forest(trees, seed).fit(sliced).featureImportances.toArray()
+            order = sorted(range(len(left)), key=lambda i: (imp[i], columns[left[i]]))
+            weakest = {left[i] for i in order[: min(max(1, int(step * len(left))), len(left) - keep)]}
+            rounds.append([columns[i] for i in left if i in weakest])
+            left = [i for i in left if i not in weakest]
     finally:
         data.unpersist()
-    rows = [(c, 1) for c in left] + [(c, i + 2) for i, c in enumerate(reversed(dropped))]
+    rows = [(columns[i], 1) for i in left]
+    rows += [(c, r + 2) for r, names in enumerate(reversed(rounds)) for c in names]
     return df.sparkSession.createDataFrame(rows, "feature string, ranking int")
 
 
-def select_features(df: DataFrame, columns: Sequence[str], target: str | None, n: int, trees: int = 50) -> DataFrame:
+def select_features(
+    df: DataFrame, columns: Sequence[str], target: str | None, n: int, trees: int = 50, step: float = 0.0
+) -> DataFrame:
     """``(feature, votes, importance)``: union of the top ``n`` by mutual information, forest importance and
     elimination, capped at ``n`` by votes then importance; the first ``n`` columns without a target."""
     spark = df.sparkSession
@@ -148,7 +163,7 @@ def select_features(df: DataFrame, columns: Sequence[str], target: str | None, n
         return spark.createDataFrame([(c, 0, 0.0) for c in list(columns)[:n]], "feature string, votes int, importance double")
     mi = mutual_information(df, columns, target).orderBy(F.desc("mi"), "feature").limit(n).select("feature")
     rf = measured(rf_importance(df, columns, target, trees))
-    rfe = recursive_elimination(df, columns, target, n).filter("ranking = 1").select("feature")
+    rfe = recursive_elimination(df, columns, target, n, trees, step=step).filter("ranking = 1").select("feature")
     top = rf.orderBy(F.desc("importance"), "feature").limit(n).select("feature")
     votes = mi.unionAll(top).unionAll(rfe).groupBy("feature").agg(F.count("*").cast("int").alias("votes"))
     return votes.join(rf, "feature").orderBy(F.desc("votes"), F.desc("importance"), "feature").limit(n)
@@ -188,7 +203,7 @@ def feature_workflow(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
         out = freq_encode(out, c)
     features = [c for c in numeric_columns(out) if c != target]
     out = measured(out.drop(*string_columns(out.drop(target))))
-    chosen = [r["feature"] for r in select_features(out, features, target, n, trees=20).collect()]  # n names
+    chosen = [r["feature"] for r in select_features(out, features, target, n, trees=20, step=0.3).collect()]  # n names
     vectors = _vectors(out, chosen, target)
     stages = Pipeline(
         stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=True), PCA(k=k, inputCol="scaled", outputCol="components")]

@@ -39,11 +39,13 @@ def lexicon_sentiment(df: DataFrame, text: str, lexicon: Mapping[str, float] | N
 
     The whole text counts. Null or blank text is ``UNKNOWN`` with score 0. A pure projection: no shuffle.
     """
-    total = polarity_sum(tokens(text, ()), POLARITY if lexicon is None else lexicon)
+    total = polarity_sum(F.col("__toks"), POLARITY if lexicon is None else lexicon)
     known = F.length(F.trim(F.col(text))) > 0
     p = F.col("polarity")
     return (
-        df.withColumn("polarity", F.when(known, 1 / (1 + F.exp(-total))))
+        df.withColumn("__toks", tokens(text, ()))
+        .withColumn("polarity", F.when(known, 1 / (1 + F.exp(-total))))
+        .drop("__toks")
         .withColumn("label", F.when(p >= 0.5, "POSITIVE").when(p < 0.5, "NEGATIVE").otherwise("UNKNOWN"))
         .withColumn("score", F.coalesce(F.greatest(p, 1 - p), F.lit(0.0)))
     )
@@ -160,11 +162,13 @@ def theme_sentiment_crosstab(scored: DataFrame, theme: str) -> DataFrame:
 
 def feedback_categories(df: DataFrame, text: str, keywords: Mapping[str, Sequence[str]]) -> DataFrame:
     """Add ``categories``: every category one of whose keywords occurs; ``Uncategorized`` when none does."""
-    toks = tokens(text, ())
+    toks = F.col("__toks")
     found = F.filter(
         F.array(*[F.when(F.exists(toks, one_of(ws)), F.lit(c)) for c, ws in keywords.items()]), lambda c: c.isNotNull()
     )
-    return df.withColumn("categories", F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("Uncategorized"))))
+    out = df.withColumn("__toks", tokens(text, ())).withColumn("__found", found).drop("__toks")
+    chosen = F.when(F.size("__found") > 0, F.col("__found")).otherwise(F.array(F.lit("Uncategorized")))
+    return out.withColumn("categories", chosen).drop("__found")
 
 
 def category_distribution(df: DataFrame) -> DataFrame:
