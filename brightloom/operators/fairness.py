@@ -75,15 +75,15 @@ def fairness_metrics(
 
 
 def reweighing(df: DataFrame, label: str, group: str) -> DataFrame:
-    """Add ``weight`` = P(group)·P(label) / P(group, label)."""
-    cells = df.groupBy(group, label).agg(F.count("*").alias("__n"))
+    """Add ``weight`` = P(group)·P(label) / P(group, label); null where group or label is null."""
+    cells = df.filter(F.col(group).isNotNull() & F.col(label).isNotNull()).groupBy(group, label).agg(F.count("*").alias("__n"))
     cells = measured(cells)
     total = cells.agg(F.sum("__n")).scalar()
     by_g = cells.groupBy(group).agg(F.sum("__n").alias("__g"))
     by_y = cells.groupBy(label).agg(F.sum("__n").alias("__y"))
     table = cells.join(by_g, group).join(by_y, label)
     table = measured(table.select(group, label, (F.col("__g") * F.col("__y") / (total * F.col("__n"))).alias("weight")))
-    return df.join(table, [group, label])
+    return df.join(table, [group, label], "left")
 
 
 def fairness_improvement(df: DataFrame, label: str, group: str) -> DataFrame:

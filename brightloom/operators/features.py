@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import numeric_columns, string_columns
-from brightloom.operators.ranking import exact_quantiles, split_row_number, with_stats
+from brightloom.operators.ranking import exact_quantiles, split_row_number, text_bucket, with_stats
 from brightloom.operators.relational import categorical_interactions, numeric_interactions, numeric_transforms
 from brightloom.session import measured
 
@@ -76,10 +76,10 @@ def one_hot(df: DataFrame, c: str, max_levels: int = 10) -> DataFrame:
 
 
 def label_encode(df: DataFrame, c: str, name: str | None = None, fit_on: DataFrame | None = None) -> DataFrame:
-    """Add alphabetical codes 0..k-1 as ``<c>_code``. Distinct values are numbered in independent prefix ranges."""
+    """Add alphabetical codes 0..k-1 as ``<c>_code``. Distinct values are numbered in independent ranges."""
     src = df if fit_on is None else fit_on
     levels = src.select(F.col(c).cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
-    codes = split_row_number(levels, [F.asc("v")], F.substring("v", 1, 3), (), "__code")
+    codes = split_row_number(levels, [F.asc("v")], text_bucket(levels, "v"), (), "__code")
     codes = measured(codes.select("v", (F.col("__code") - 1).alias(name or f"{c}_code")))
     return df.join(codes, F.col(c).cast("string") == F.col("v"), "left").drop("v")
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,21 +42,38 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<name>`` = sum of the measure over all rows of the key group strictly before this row.
 
-    ``order`` must be unique within a key group and ``bucket`` must not decrease along it.
+    ``order`` must be unique within a key group and ``bucket`` must not decrease along it. Every (key, bucket)
+    range gets one extra row that carries the total of the ranges before it and sorts first, so one window
+    per range yields the full running total: one shuffle of the rows, no join, and null keys are a group.
     """
     names = list(measures)
-    d = df.withColumns({f"__m_{n}": measures[n] for n in names}).withColumn("__b", bucket)
-    offsets = d.groupBy(*keys, "__b").agg(*[F.sum(f"__m_{n}").alias(f"__t_{n}") for n in names])
+    d = df.withColumns({f"__m_{n}": measures[n] for n in names}).withColumns({"__b": bucket, "__row": F.lit(1)})
+    totals = d.groupBy(*keys, "__b").agg(*[F.sum(f"__m_{n}").alias(f"__m_{n}") for n in names])
     ahead = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = offsets.select(
-        *keys, "__b", *[F.coalesce(F.sum(f"__t_{n}").over(ahead), F.lit(0)).alias(f"__o_{n}") for n in names]
+    carried = totals.select(
+        *keys, "__b", F.lit(0).alias("__row"), *[F.coalesce(F.sum(f"__m_{n}").over(ahead), F.lit(0)).alias(f"__m_{n}") for n in names]
     )
-    within = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = join_null_safe(d, offsets, [*keys, "__b"])
-    out = joined.withColumns(
-        {n: F.col(f"__o_{n}") + F.coalesce(F.sum(f"__m_{n}").over(within), F.lit(0)) for n in names}
-    )
-    return out.drop("__b", *[f"__m_{n}" for n in names], *[f"__o_{n}" for n in names])
+    both = d.unionByName(carried, allowMissingColumns=True)
+    within = Window.partitionBy(*keys, "__b").orderBy(F.asc("__row"), *order).rowsBetween(Window.unboundedPreceding, -1)
+    out = both.withColumns({n: F.sum(f"__m_{n}").over(within) for n in names}).filter(F.col("__row") == 1)
+    return out.drop("__b", "__row", *[f"__m_{n}" for n in names])
+
+
+def text_bucket(df: DataFrame, c: str, splits: int = 1024) -> Column:
+    """Bucket of text column ``c`` that never decreases with it, balanced whatever the prefixes look like.
+
+    Split points are ``splits`` of the distinct values, drawn by hash (a top-n); fewer values need one bucket.
+    """
+    drawn = df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(F.xxhash64(c), c).limit(splits).collect()
+    if len(drawn) < splits:
+        return F.lit(0)
+    points = np.array(sorted(r[0] for r in drawn), dtype=object)
+
+    @F.pandas_udf("int")
+    def place(v: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(points, v.to_numpy(dtype=object), side="right"))
+
+    return place(F.col(c))
 
 
 def split_row_number(

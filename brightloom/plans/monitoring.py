@@ -55,7 +55,21 @@ def batch_window_metrics(spark, sf):
     return m.withColumns({"mean": rounded("mean"), "std": rounded("std")})
 
 
-@query("stream_quality_checks")
+def _num(c):
+    parts = (("mean", f"avg({c})"), ("std", f"stddev_samp({c})"), ("min", f"min({c})"), ("max", f"max({c})"))
+    return " UNION ALL ".join(f"SELECT '{c}', '{m}', NULL, {e} FROM e" for m, e in parts)
+
+
+@query(
+    "stream_quality_checks",
+    f"""WITH e AS (SELECT user_id, event_type, value FROM events),
+        a AS (SELECT '*' AS "column", 'row_count' AS metric, NULL AS item, CAST(count(*) AS DOUBLE) AS value FROM e
+          UNION ALL SELECT '*', 'duplicate_rows', NULL, (SELECT count(*) FROM e) - (SELECT count(*) FROM (SELECT DISTINCT * FROM e))
+          UNION ALL {" UNION ALL ".join(f"SELECT '{c}', 'null_count', NULL, count(*) - count({c}) FROM e" for c in ("user_id", "event_type", "value"))}
+          UNION ALL {_num("user_id")} UNION ALL {_num("value")} UNION ALL SELECT 'event_type', 'unique_count', NULL, count(DISTINCT event_type) FROM e
+          UNION ALL (SELECT 'event_type', 'top_value', event_type, count(*) FROM e GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 5))
+       SELECT 0 AS batch_id, "column", metric, CAST(item AS VARCHAR) AS item, round(value, 4) AS value FROM a""",
+)
 def stream_quality_checks(spark, sf):
     path = fresh_path(spark, "quality")
     mon.stream_quality_checks(events_stream(spark, sf).select("user_id", "event_type", "value"), path).awaitTermination()

@@ -33,15 +33,15 @@ def embed_text(spark, sf):
     return d.select("doc_id", F.transform("embedding", lambda v: F.round(v, 5)).alias("embedding"))
 
 
-@query(
-    "knn_search",
-    """WITH q AS (SELECT label, min(vec_id) AS qid FROM embeddings GROUP BY label),
-            v AS (SELECT q.qid, e.embedding AS qv FROM q JOIN embeddings e ON e.vec_id = q.qid),
-            d AS (SELECT qid, vec_id, list_sum(list_transform(range(1, len(qv) + 1), lambda i: (qv[i]::DOUBLE - embedding[i]::DOUBLE) * (qv[i]::DOUBLE - embedding[i]::DOUBLE)))
-                  AS distance FROM v, embeddings)
-       SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id AS neighbor, round(distance, 6) AS distance
-       FROM d QUALIFY rank <= 5""",
-)
+_NEAR = """q AS (SELECT label, min(vec_id) AS qid FROM embeddings GROUP BY label),
+ v AS (SELECT q.qid, e.embedding AS qv FROM q JOIN embeddings e ON e.vec_id = q.qid),
+ d AS (SELECT qid, vec_id, list_sum(list_transform(range(1, len(qv) + 1), lambda i: (qv[i]::DOUBLE - embedding[i]::DOUBLE) * (qv[i]::DOUBLE - embedding[i]::DOUBLE)))
+       AS distance FROM v, embeddings),
+ near AS (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id AS neighbor, round(distance, 6) AS distance
+          FROM d QUALIFY rank <= 5)"""
+
+
+@query("knn_search", f"WITH {_NEAR} SELECT * FROM near")
 def knn_search(spark, sf):
     """One query vector per label (its smallest id) against the whole index."""
     e = table(spark, sf, "embeddings")
@@ -90,7 +90,11 @@ def search_history(spark, sf):
     return act.unionByName(last)
 
 
-@query("export_results")
+@query(
+    "export_results",
+    f"""WITH {_NEAR} SELECT concat('vector ', neighbor) AS content, CAST(qid AS VARCHAR) AS source, rank AS chunk_id, distance, format
+        FROM near, (VALUES ('csv'), ('json')) f(format)""",
+)
 def export_results(spark, sf):
     """Nearest neighbours of one vector per label, exported as CSV and JSON and read back."""
     e = table(spark, sf, "embeddings")
