@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from brightloom.functions.numeric import numeric_columns, string_columns
 from brightloom.operators.ranking import exact_quantiles, split_row_number, text_bucket, with_stats
 from brightloom.operators.relational import categorical_interactions, numeric_interactions, numeric_transforms
-from brightloom.session import measured
+from brightloom.session import measured, spread
 
 
 def quantile_bins(df: DataFrame, columns: Sequence[str], bins: int = 10, suffix: str = "_bin") -> DataFrame:
@@ -110,6 +110,7 @@ def _vectors(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Assembled features and alphabetically indexed label; rows with a null are left out."""
     index = StringIndexer(inputCol="__t", outputCol="label", stringOrderType="alphabetAsc")
     d = df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(target).cast("string").alias("__t")).na.drop()
+    d = spread(d)
     return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), index]).fit(d).transform(d)
 
 
@@ -124,7 +125,11 @@ def importance_table(df: DataFrame, columns: Sequence[str], importances) -> Data
 
 
 def rf_importance(df: DataFrame, columns: Sequence[str], target: str, trees: int = 100, seed: int = 42) -> DataFrame:
-    model = _forest(trees, seed).fit(_vectors(df, columns, target))
+    data = _vectors(df, columns, target).select("features", "label").persist()
+    try:
+        model = _forest(trees, seed).fit(data)
+    finally:
+        data.unpersist()
     return importance_table(df, columns, model.featureImportances)
 
 
@@ -194,7 +199,7 @@ def pca_optimize(
         data.unpersist()
 
 
-def feature_workflow(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, n: int = 8, k: int = 3) -> DataFrame:
+def feature_workflow(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, n: int = 8, k: int = 3, trees: int = 20) -> DataFrame:
     """Numeric, categorical and interaction features, selection of ``n`` of them and ``k`` principal components."""
     out = numeric_transforms(df.select(*numeric, *categorical, target), numeric)
     out = numeric_interactions(out, numeric)
@@ -203,7 +208,7 @@ def feature_workflow(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
         out = freq_encode(out, c)
     features = [c for c in numeric_columns(out) if c != target]
     out = measured(out.drop(*string_columns(out.drop(target))))
-    chosen = [r["feature"] for r in select_features(out, features, target, n, trees=20, step=0.3).collect()]  # n names
+    chosen = [r["feature"] for r in select_features(out, features, target, n, trees, step=0.3).collect()]  # n names
     vectors = _vectors(out, chosen, target)
     stages = Pipeline(
         stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=True), PCA(k=k, inputCol="scaled", outputCol="components")]

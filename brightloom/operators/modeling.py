@@ -19,7 +19,7 @@ from brightloom.operators import quality
 from brightloom.operators.anomaly import zscore_scale
 from brightloom.operators.features import importance_table, label_encode
 from brightloom.operators.ranking import running_totals, with_stats
-from brightloom.session import measured
+from brightloom.session import measured, spread
 
 
 def train_test_split(df: DataFrame, key: str, train_share: float = 0.8) -> DataFrame:
@@ -64,7 +64,7 @@ def tune_boosted_trees(
     ``parallelism`` at a time.
     """
     data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias("label")).na.drop()
+        spread(df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias("label")).na.drop())
     ).select("features", "label").persist()
     try:
         gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed)

@@ -19,6 +19,12 @@ from brightloom.operators.ranking import with_stats
 from brightloom.session import measured
 
 
+def exploded(df: DataFrame, items: Column, name: str, *keep: str) -> DataFrame:
+    """One row per array element. The outer form computes the array once; a plain explode adds a size filter
+    below itself that computes the whole token expression again."""
+    return df.select(*keep, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
+
+
 def tokenize_filter(df: DataFrame, text: str, stop_words: Iterable[str] = STOP_WORDS, key: str | None = None, lemmas: DataFrame | None = None) -> DataFrame:
     """Add ``clean_text``: tokens without stop words, blank-joined in order; with ``lemmas(token, lemma)`` mapped.
 
@@ -27,7 +33,7 @@ def tokenize_filter(df: DataFrame, text: str, stop_words: Iterable[str] = STOP_W
     toks = tokens(text, stop_words)
     if lemmas is None:
         return df.withColumn("clean_text", F.array_join(toks, " "))
-    pos = df.select(key, F.posexplode(toks).alias("pos", "token"))
+    pos = df.select(key, F.posexplode_outer(toks).alias("pos", "token")).filter("token IS NOT NULL")
     joined = pos.join(lemmas, "token", "left").select(key, "pos", F.coalesce("lemma", "token").alias("t"))
     folded = joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("a"))
     clean = folded.select(key, F.array_join(F.transform("a", lambda s: s["t"]), " ").alias("clean_text"))
@@ -56,7 +62,11 @@ def sentiment_distribution(scored: DataFrame) -> DataFrame:
 
 
 def sentiment_segments(scored: DataFrame, key: str, high: float = 0.6, low: float = 0.4, n: int = 5) -> DataFrame:
-    """The first ``n`` texts by key with polarity above ``high`` and below ``low``."""
+    """The first ``n`` texts by key with polarity above ``high`` and below ``low``: ``(key, polarity, segment, rank)``.
+
+    The scores are written once: as a pushed-down filter the token expressions would run several times.
+    """
+    scored = measured(scored.select(key, "polarity"))
     segment = F.when(F.col("polarity") > high, "positive").when(F.col("polarity") < low, "negative")
     w = Window.partitionBy("segment").orderBy(key)
     return scored.withColumn("segment", segment).filter("segment IS NOT NULL").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
@@ -66,7 +76,7 @@ def top_phrases(df: DataFrame, text: str, k: int = 10, sizes: Sequence[int] = (1
     """The ``k`` most frequent 1-3-word phrases that neither start nor end with a stop word."""
     stop = list(stop_words)
     d = df.select(tokens(text, ()).alias("toks"))
-    grams = d.select(F.explode(F.concat(*[ngrams(F.col("toks"), n) for n in sizes])).alias("phrase"))
+    grams = exploded(d, F.concat(*[ngrams(F.col("toks"), n) for n in sizes]), "phrase")
     words = F.split("phrase", " ")
     grams = grams.filter(~F.element_at(words, 1).isin(*stop) & ~F.element_at(words, -1).isin(*stop))
     return grams.groupBy("phrase").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "phrase").limit(k)
@@ -78,9 +88,9 @@ def vocabulary(df: DataFrame, text: str, size: int = 1000, stop_words: Iterable[
     Two counting steps: totals per term, then document frequency of the chosen terms only.
     """
     toks = tokens(text, stop_words, 2)
-    totals = df.select(F.explode(toks).alias("term")).groupBy("term").agg(F.count("*").alias("total"))
+    totals = exploded(df, toks, "term").groupBy("term").agg(F.count("*").alias("total"))
     top = measured(totals.orderBy(F.desc("total"), "term").limit(size))
-    seen = df.select(F.explode(F.array_distinct(toks)).alias("term")).join(F.broadcast(top.select("term")), "term")  # `size` terms
+    seen = exploded(df, F.array_distinct(toks), "term").join(F.broadcast(top.select("term")), "term")  # `size` terms
     freq = seen.groupBy("term").agg(F.count("*").alias("df"))
     n_docs = df.agg(F.count("*"))
     out = with_stats(top.join(freq, "term"), n_docs, "__n")
@@ -90,7 +100,7 @@ def vocabulary(df: DataFrame, text: str, size: int = 1000, stop_words: Iterable[
 def tfidf_vectors(df: DataFrame, key: str, text: str, size: int = 1000, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """Long L2-normalised TF-IDF ``(key, term, weight)``."""
     vocab = measured(vocabulary(df, text, size, stop_words)).select("term", "idf")
-    terms = df.select(key, F.explode(tokens(text, stop_words, 2)).alias("term")).join(F.broadcast(vocab), "term")  # `size` terms
+    terms = exploded(df, tokens(text, stop_words, 2), "term", key).join(F.broadcast(vocab), "term")  # `size` terms
     tf = terms.groupBy(key, "term", "idf").agg(F.count("*").alias("tf"))
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy(key)))
@@ -172,7 +182,7 @@ def feedback_categories(df: DataFrame, text: str, keywords: Mapping[str, Sequenc
 
 
 def category_distribution(df: DataFrame) -> DataFrame:
-    return df.select(F.explode("categories").alias("category")).groupBy("category").agg(F.count("*").alias("n"))
+    return exploded(df, F.col("categories"), "category").groupBy("category").agg(F.count("*").alias("n"))
 
 
 def extractive_summary(df: DataFrame, key: str, text: str, n: int = 3, size: int = 1000) -> DataFrame:
@@ -181,12 +191,12 @@ def extractive_summary(df: DataFrame, key: str, text: str, n: int = 3, size: int
     A term weighs its share among the occurrences of the ``size`` most frequent terms, others weigh zero.
     """
     vocab = measured(
-        df.select(F.explode(tokens(text, STOP_WORDS, 2)).alias("term")).groupBy("term").agg(F.count("*").alias("total"))
+        exploded(df, tokens(text, STOP_WORDS, 2), "term").groupBy("term").agg(F.count("*").alias("total"))
         .orderBy(F.desc("total"), "term").limit(size)
     )
     weights = with_stats(vocab, vocab.agg(F.sum("total")), "__t").select("term", (F.col("total") / F.col("__t")).alias("w"))
-    parts = df.select(key, F.posexplode(sentences(text)).alias("position", "sentence"))
-    terms = parts.select(key, "position", "sentence", F.explode(tokens("sentence", STOP_WORDS, 2)).alias("term"))
+    parts = df.select(key, F.posexplode_outer(sentences(text)).alias("position", "sentence")).filter("sentence IS NOT NULL")
+    terms = exploded(parts, tokens("sentence", STOP_WORDS, 2), "term", key, "position", "sentence")
     scored = (
         terms.join(F.broadcast(weights), "term", "left")  # `size` terms
         .groupBy(key, "position").agg(F.avg(F.coalesce("w", F.lit(0.0))).alias("score"), F.first("sentence").alias("sentence"))

@@ -26,7 +26,7 @@ def flagged_orders(spark, sf):
 @query(
     "zscore_scale",
     """WITH z AS (SELECT avg(l_quantity) AS m, stddev_pop(l_quantity) AS s, avg(l_extendedprice) AS pm, stddev_pop(l_extendedprice) AS ps FROM lineitem)
-       SELECT l_orderkey, l_linenumber, l_partkey, round((l_quantity - m) / s, 6) AS l_quantity_z, round((l_extendedprice - pm) / ps, 6) AS l_extendedprice_z
+       SELECT l_orderkey, l_linenumber, l_partkey, round((l_quantity - m) / s, 6) + 0::DOUBLE AS l_quantity_z, round((l_extendedprice - pm) / ps, 6) + 0::DOUBLE AS l_extendedprice_z
        FROM lineitem, z""",
 )
 def zscore_scale(spark, sf):

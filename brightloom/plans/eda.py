@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import rounded
 from brightloom.operators import eda, profile
-from brightloom.plans.common import table
+from brightloom.plans.common import spiked, table
 from brightloom.registry import query
 
 L4 = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -54,17 +54,15 @@ def grouped_histogram(spark, sf):
            GROUP BY 1),
         o AS (SELECT q.o_orderstatus, count(*) AS k FROM orders JOIN q ON q.o_orderstatus = orders.o_orderstatus
               WHERE (CASE WHEN o_orderkey % 997 = 0 THEN o_totalprice * 10 ELSE o_totalprice END) NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY 1)
-       SELECT q.o_orderstatus, n, round(lowest, 4) AS lowest, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
-              round(highest, 4) AS highest, round(q1 - 1.5 * (q3 - q1), 4) AS lower_fence, round(q3 + 1.5 * (q3 - q1), 4) AS upper_fence,
+       SELECT q.o_orderstatus, n, round(lowest, 6) AS lowest, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+              round(highest, 6) AS highest, round(q1 - 1.5 * (q3 - q1), 6) AS lower_fence, round(q3 + 1.5 * (q3 - q1), 6) AS upper_fence,
               coalesce(k, 0) AS n_outliers FROM q LEFT JOIN o ON o.o_orderstatus = q.o_orderstatus""",
 )
 def box_plot_stats(spark, sf):
-    from brightloom.plans.common import spiked
-
     o = table(spark, sf, "orders").select("o_orderstatus", spiked().alias("o_totalprice"))
     out = eda.box_plot_stats(o, "o_orderstatus", "o_totalprice")
     cols = ("lowest", "q1", "median", "q3", "highest", "lower_fence", "upper_fence")
-    return out.select("o_orderstatus", "n", *[rounded(c).alias(c) for c in cols], "n_outliers")
+    return out.select("o_orderstatus", "n", *[rounded(c, 6).alias(c) for c in cols], "n_outliers")
 
 
 @query(

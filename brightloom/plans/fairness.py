@@ -61,8 +61,8 @@ def reweighing(spark, sf):
     "fairness_improvement",
     f"""WITH {_D}, {_RATES}, {_W}, a AS (SELECT sum(weight * quality) FILTER (en = 0) / sum(weight) FILTER (en = 0) AS wu,
             sum(weight * quality) FILTER (en = 1) / sum(weight) FILTER (en = 1) AS wp FROM w)
-        SELECT 'disparate_impact' AS metric, round(ru / rp, 6) AS before, round(wu / wp, 6) AS after, round(wu / wp - ru / rp, 6) AS change FROM r, a
-        UNION ALL SELECT 'statistical_parity_difference', round(ru - rp, 6), round(wu - wp, 6), round(wu - wp - (ru - rp), 6) FROM r, a""",
+        SELECT 'disparate_impact' AS metric, round(ru / rp, 6) AS before, round(wu / wp, 6) AS after, round(wu / wp - ru / rp, 6) + 0::DOUBLE AS change FROM r, a
+        UNION ALL SELECT 'statistical_parity_difference', round(ru - rp, 6), round(wu - wp, 6) + 0::DOUBLE, round(wu - wp - (ru - rp), 6) + 0::DOUBLE FROM r, a""",
 )
 def fairness_improvement(spark, sf):
     out = fairness.fairness_improvement(labelled(spark, sf), "quality", "en")

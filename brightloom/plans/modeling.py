@@ -44,7 +44,7 @@ def train_test_split(spark, sf):
         c AS (SELECT pri, row_number() OVER (ORDER BY pri) - 1 AS code FROM (SELECT DISTINCT pri FROM i WHERE is_train)),
         j AS (SELECT i.*, coalesce(code, -1) AS code FROM i LEFT JOIN c ON c.pri = i.pri),
         s AS (SELECT avg(price) AS m, stddev_pop(price) AS sd, avg(code) AS cm, stddev_pop(code) AS cs FROM j WHERE is_train)
-       SELECT o_orderkey, is_train, round((price - m) / sd, 6) AS price_z, round((code - cm) / cs, 6) AS pri_code_z FROM j, s""",
+       SELECT o_orderkey, is_train, round((price - m) / sd, 6) + 0::DOUBLE AS price_z, round((code - cm) / cs, 6) + 0::DOUBLE AS pri_code_z FROM j, s""",
 )
 def model_preprocess(spark, sf):
     o = table(spark, sf, "orders").select(

@@ -34,7 +34,7 @@ def hourly(df):
 @query(
     "stream_window_metrics",
     """SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS window_start, time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS window_end,
-         event_type, count(*) AS n, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std FROM events GROUP BY ALL)
+         event_type, count(*) AS n, round(avg(value), 8) AS mean, round(stddev_samp(value), 6) AS std FROM events GROUP BY ALL)
        WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTES FROM events)""",
 )
 def stream_window_metrics(spark, sf):
@@ -42,17 +42,17 @@ def stream_window_metrics(spark, sf):
     path = fresh_path(spark, "metrics")
     m = mon.window_metrics(events_stream(spark, sf), "ts", "value", ["event_type"], "5 minutes", "10 minutes")
     mon.append_to_table(m, path).awaitTermination()
-    return spark.read.parquet(path).withColumns({"mean": rounded("mean"), "std": rounded("std")})
+    return spark.read.parquet(path).withColumns({"mean": rounded("mean", 8), "std": rounded("std", 6)})
 
 
 @query(
     "batch_window_metrics",
     """SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS window_start, time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS window_end,
-       event_type, count(*) AS n, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std FROM events GROUP BY ALL""",
+       event_type, count(*) AS n, round(avg(value), 8) AS mean, round(stddev_samp(value), 6) AS std FROM events GROUP BY ALL""",
 )
 def batch_window_metrics(spark, sf):
     m = mon.window_metrics(table(spark, sf, "events"), "ts", "value", ["event_type"], "5 minutes")
-    return m.withColumns({"mean": rounded("mean"), "std": rounded("std")})
+    return m.withColumns({"mean": rounded("mean", 8), "std": rounded("std", 6)})
 
 
 def _num(c):
@@ -96,17 +96,17 @@ def threshold_alerts(spark, sf):
 
 @query(
     "history_deviation",
-    f"""WITH {_T} SELECT event_type, window_start, round(mean, 4) AS mean, round((mean - avg(mean) OVER h) / nullif(stddev_samp(mean) OVER h, 0), 4) AS z FROM t
+    f"""WITH {_T} SELECT event_type, window_start, round(mean, 8) AS mean, round((mean - avg(mean) OVER h) / nullif(stddev_samp(mean) OVER h, 0), 4) + 0::DOUBLE AS z FROM t
         WINDOW h AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)""",
 )
 def history_deviation(spark, sf):
     out = mon.history_deviation(hourly(table(spark, sf, "events")), "window_start", "mean", ["event_type"], 24)
-    return out.select("event_type", "window_start", rounded("mean").alias("mean"), rounded("z").alias("z"))
+    return out.select("event_type", "window_start", rounded("mean", 8).alias("mean"), rounded("z").alias("z"))
 
 
 @query(
     "history_deviation_stream",
-    f"""WITH {_T} SELECT event_type, window_start, round(mean, 4) AS mean, round((mean - avg(mean) OVER h) / nullif(stddev_samp(mean) OVER h, 0), 4) AS z FROM t
+    f"""WITH {_T} SELECT event_type, window_start, round(mean, 8) AS mean, round((mean - avg(mean) OVER h) / nullif(stddev_samp(mean) OVER h, 0), 4) + 0::DOUBLE AS z FROM t
         WINDOW h AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
 )
 def history_deviation_stream(spark, sf):
@@ -116,7 +116,7 @@ def history_deviation_stream(spark, sf):
     m.repartitionByRange(1, "window_start").write.parquet(source)
     z = mon.history_deviation_stream(mon.read_stream(spark, source, m.schema), "window_start", "mean", "event_type")
     mon.append_to_table(z, path).awaitTermination()
-    return spark.read.parquet(path).select("event_type", "window_start", rounded("mean").alias("mean"), rounded("z").alias("z"))
+    return spark.read.parquet(path).select("event_type", "window_start", rounded("mean", 8).alias("mean"), rounded("z").alias("z"))
 
 
 @query(
@@ -147,7 +147,7 @@ def monitor_timeline(spark, sf):
     return out.withColumn("value", rounded("value", 6))
 
 
-@query("latest_snapshot", f"WITH {_T} SELECT event_type, max(window_start) AS window_start, max_by(n, window_start) AS n, round(max_by(mean, window_start), 4) AS mean FROM t GROUP BY event_type")
+@query("latest_snapshot", f"WITH {_T} SELECT event_type, max(window_start) AS window_start, max_by(n, window_start) AS n, round(max_by(mean, window_start), 8) AS mean FROM t GROUP BY event_type")
 def latest_snapshot(spark, sf):
     out = mon.latest_snapshot(hourly(table(spark, sf, "events")).select("event_type", "window_start", "n", "mean"), "window_start", ["event_type"])
-    return out.withColumn("mean", rounded("mean"))
+    return out.withColumn("mean", rounded("mean", 8))

@@ -56,3 +56,9 @@ def measured(df: DataFrame) -> DataFrame:
     path = fresh_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores before repeated model fits: repartition only when there are fewer partitions than cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
