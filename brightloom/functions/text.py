@@ -57,10 +57,14 @@ def polarity_sum(toks: Column, lexicon: Mapping[str, float]) -> Column:
     return total
 
 
-def ngrams(toks: Column, n: int) -> Column:
-    """Blank-joined n-grams of a token array."""
+def ngrams(toks: Column, n: int, stop_words: Iterable[str] = ()) -> Column:
+    """Blank-joined n-grams of a token array that neither start nor end with a stop word."""
+    stop = list(stop_words)
     starts = F.when(F.size(toks) >= n, F.sequence(F.lit(1), F.size(toks) - (n - 1)))
-    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.array_join(F.slice(toks, i, n), " "))
+    starts = F.coalesce(starts, F.array().cast("array<int>"))
+    if stop:
+        starts = F.filter(starts, lambda i: ~F.get(toks, i - 1).isin(*stop) & ~F.get(toks, i + (n - 2)).isin(*stop))
+    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(toks, i + (j - 1)) for j in range(n)]))
 
 
 def sentences(c: Column | str) -> Column:

@@ -207,7 +207,7 @@ def feature_workflow(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
     for c in [*categorical, *[f"{a}_x_{b}" for i, a in enumerate(categorical) for b in categorical[i + 1 :]]]:
         out = freq_encode(out, c)
     features = [c for c in numeric_columns(out) if c != target]
-    out = measured(out.drop(*string_columns(out.drop(target))))
+    out = measured(spread(out.drop(*string_columns(out.drop(target)))))
     chosen = [r["feature"] for r in select_features(out, features, target, n, trees, step=0.3).collect()]  # n names
     vectors = _vectors(out, chosen, target)
     stages = Pipeline(

@@ -76,9 +76,7 @@ def top_phrases(df: DataFrame, text: str, k: int = 10, sizes: Sequence[int] = (1
     """The ``k`` most frequent 1-3-word phrases that neither start nor end with a stop word."""
     stop = list(stop_words)
     d = df.select(tokens(text, ()).alias("toks"))
-    grams = exploded(d, F.concat(*[ngrams(F.col("toks"), n) for n in sizes]), "phrase")
-    words = F.split("phrase", " ")
-    grams = grams.filter(~F.element_at(words, 1).isin(*stop) & ~F.element_at(words, -1).isin(*stop))
+    grams = exploded(d, F.concat(*[ngrams(F.col("toks"), n, stop) for n in sizes]), "phrase")
     return grams.groupBy("phrase").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "phrase").limit(k)
 
 

@@ -59,6 +59,11 @@ def measured(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores before repeated model fits: repartition only when there are fewer partitions than cores."""
+    """Use all cores for heavy work on few input files: repartition a scan with fewer partitions than cores.
+
+    A large table has more partitions than cores and is left as it is, and so is a plan that shuffles anyway.
+    """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
