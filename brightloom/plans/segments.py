@@ -78,15 +78,15 @@ def regions(spark, sf):
     "segment_profiles",
     f"""WITH {_BASE}, r AS (SELECT b.*, n_regionkey AS segment FROM b JOIN nation ON n_nationkey = c_nationkey),
         m AS (SELECT segment, c_mktsegment, row_number() OVER (PARTITION BY segment ORDER BY count(*) DESC, c_mktsegment) AS k FROM r WHERE c_mktsegment IS NOT NULL GROUP BY segment, c_mktsegment)
-        SELECT r.segment, count(*) AS size, round(count(*) * 100 / any_value(k.n), 4) AS pct, round(avg(c_acctbal), 4) AS mean_c_acctbal,
-               round(avg(n_orders), 6) AS mean_n_orders, round(avg(spend), 4) AS mean_spend, any_value(m.c_mktsegment) AS mode_c_mktsegment
+        SELECT r.segment, count(*) AS size, round(count(*) * 100 / any_value(k.n), 4) AS pct, round(avg(c_acctbal), 6) AS mean_c_acctbal,
+               round(avg(n_orders), 6) AS mean_n_orders, round(avg(spend), 6) AS mean_spend, any_value(m.c_mktsegment) AS mode_c_mktsegment
         FROM r JOIN m ON m.segment = r.segment AND m.k = 1, (SELECT count(*) AS n FROM r) k GROUP BY r.segment""",
 )
 def segment_profiles(spark, sf):
     out = sg.segment_profiles(regions(spark, sf), "segment", NUM, CAT)
     return out.select(
-        "segment", "size", rounded("pct").alias("pct"), rounded("mean_c_acctbal").alias("mean_c_acctbal"), rounded("mean_n_orders", 6).alias("mean_n_orders"),
-        rounded("mean_spend").alias("mean_spend"), "mode_c_mktsegment",
+        "segment", "size", rounded("pct").alias("pct"), rounded("mean_c_acctbal", 6).alias("mean_c_acctbal"), rounded("mean_n_orders", 6).alias("mean_n_orders"),
+        rounded("mean_spend", 6).alias("mean_spend"), "mode_c_mktsegment",
     )
 
 
