@@ -6,9 +6,9 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_points
+from brightloom.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -35,3 +35,4 @@ def test_entry(spark):
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries()) >= set(QUERIES)
