@@ -27,6 +27,11 @@ def ascii_lower(c: Column | str) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: inside lambdas, an expression written twice is evaluated each time."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words(c: Column | str) -> Column:
     """Words of a text in order; null or empty text has none."""
     parts = F.split(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), SPACE)

@@ -75,16 +75,18 @@ def _fit(rows: list[np.ndarray], grade: np.ndarray, size: int, ridge: float) ->
         g[:size] += 2 * ridge * w
         return float(-np.log(p).mean() + ridge * (w @ w)), g
 
-    x = lbfgs(loss, x0, steps=100)
+    x = lbfgs(loss, x0, steps=200, tol=1e-7)
     return x[:size], cuts(x)
 
 
-def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int = 20_000, features: int = 4096, min_texts: int = 4, min_gain: float = 4.0, buckets: int = 1 << 18, ridge: float = 1e-5, text: str = "text", key: str = "doc_id") -> SeverityModel | None:
+def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int = 20_000, features: int = 4096, min_texts: int = 4, min_gain: float = 3.0, buckets: int = 1 << 18, ridge: float = 1e-5, text: str = "text", key: str = "doc_id") -> SeverityModel | None:
     """Fit on a sample of about ``sample`` graded texts (hash of the key; all where fewer).
 
     Of the hashed features that occur in at least ``min_texts`` texts, those are used whose count in texts above the
     lowest grade is ``min_gain`` standard deviations or more from the expected one, the ``features`` strongest at
-    most. These bounds limit what the driver fits. None where fewer than two grades or no such feature are there.
+    most. These bounds limit what the driver fits. Where the labels know only two grades, texts of the upper one
+    with more associated features than their median form a third grade. None where fewer than two grades or no
+    such feature are there.
     """
     keyed = graded.select(F.col(key).alias("k"), F.col(grade).cast("int").alias("g")).filter("k IS NOT NULL AND g IS NOT NULL").groupBy("k").agg(F.max("g").alias("g"))
     total = keyed.count()
@@ -104,8 +106,9 @@ def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int
     cell = found.select("g", F.explode("x").alias("x")).groupBy("x").agg(F.expr(f"count_if(g > {lowest})").alias("a"), F.expr("count(1)").alias("df"))
     expected = F.col("df") * ((n - n_low) / n)
     gain = (F.col("a") - expected) / F.sqrt(expected + 1)
-    best = cell.withColumn("gain", F.abs(gain)).filter((F.col("df") >= min_texts) & (F.col("gain") >= min_gain)).orderBy(F.desc("gain"), "x").limit(features).select("x")
-    chosen = np.sort(best.toArrow().column("x").to_numpy())
+    best = cell.withColumn("gain", gain).filter((F.col("df") >= min_texts) & (F.abs("gain") >= min_gain)).orderBy(F.abs("gain").desc(), "x").limit(features)
+    best = best.select("x", "gain").toPandas().sort_values("x")
+    chosen = best["x"].to_numpy()
     if not len(chosen):
         return None
     keep = found.sparkSession.sparkContext.broadcast(chosen)
@@ -117,7 +120,14 @@ def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int
     got = found.mapInPandas(restrict, "k long, g int, x array<long>").toPandas().sort_values(["k", "g"], kind="stable")
     grades = np.array(sorted(sizes))
     y = np.searchsorted(grades, got["g"].to_numpy())
-    w, theta = _fit([np.asarray(v, np.int64) for v in got["x"]], y, len(chosen), ridge)
+    x = [np.asarray(v, np.int64) for v in got["x"]]
+    if len(grades) == 2:
+        associated = best["gain"].to_numpy() > 0
+        count = np.array([associated[v].sum() for v in x])
+        severe = (y == 1) & (count > np.median(count[y == 1]))
+        if severe.any():
+            y, grades = y + severe, np.r_[grades, grades[1] + 1]
+    w, theta = _fit(x, y, len(chosen), ridge)
     weights = np.zeros(buckets)
     weights[chosen] = w
     return SeverityModel(weights, theta, grades)
@@ -147,9 +157,8 @@ def severity_of(df: DataFrame, model: SeverityModel | None, text: str = "text")
 
 
 def severity_grades(labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Grades of labelled documents: 0 not toxic, 1 toxic, 2 toxic and of low quality (null quality: not low)."""
-    low = F.coalesce((F.col("quality") == 0).cast("int"), F.lit(0))
-    return labels.filter("toxic IN (0, 1)").select(key, (F.col("toxic") * (1 + low)).cast("int").alias("grade"))
+    """Grades of labelled documents: 0 not toxic, 1 toxic (``train`` splits the toxic ones by how much is associated)."""
+    return labels.filter("toxic IN (0, 1)").select(key, F.col("toxic").alias("grade"))
 
 
 def score_severity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **params) -> DataFrame:
