@@ -153,7 +153,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_lines:
         for f in frames:
             rows = [(k, int(y), line_features(t or "")[0]) for k, t, y in zip(f["k"], f["text"], f["y"])]
             rows = [r for r in rows if 0 < len(r[2]) <= max_lines]
-            yield pd.DataFrame({"k": [r[0] for r in rows], "y": [r[1] for r in rows], "lines": [r[2].ravel().tolist() for r in rows]})
+            if rows:
+                yield pd.DataFrame({"k": [r[0] for r in rows], "y": [r[1] for r in rows], "lines": [r[2].ravel().tolist() for r in rows]})
 
     got = sample.mapInPandas(extract, "k long, y int, lines array<short>").toPandas().sort_values("k", kind="stable")
     if got["y"].nunique() < 2:

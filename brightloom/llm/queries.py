@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from brightloom.llm import chat_format, decontaminate, html_extract, language_id, license_scan, line_quality, source_mix, toxicity, url_templates
+from brightloom.llm import chat_format, decontaminate, html_extract, language_id, license_scan, line_quality, near_dedup, source_mix, toxicity, url_templates
 from brightloom.plans.common import table
 
 QUERIES: dict = {}
@@ -151,3 +151,23 @@ URL_RULES = tuple(
 @query("op1_url_templates")
 def op1_url_templates(spark: SparkSession, sf: str) -> DataFrame:
     return url_templates.judge_urls(table(spark, sf, "pages"), URL_RULES)
+
+
+@query(
+    "op3_near_dedup",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+    ), s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w
+    ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    l AS (
+      SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(na.n) + any_value(nb.n) - count(*))
+    ), r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+    c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+    """,
+)
+def op3_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.duplicate_groups(table(spark, sf, "documents"), width=3, percent=85)

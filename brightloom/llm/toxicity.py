@@ -94,7 +94,7 @@ def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).filter("text IS NOT NULL").join(F.broadcast(drawn), "k")
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
+        for f in filter(len, frames):
             yield pd.DataFrame({"k": f["k"], "g": f["g"], "x": [text_features(t, buckets) for t in f["text"]]})
 
     found = measured(rows.select("k", "text", "g").mapInPandas(extract, "k long, g int, x array<long>"))
@@ -114,7 +114,7 @@ def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int
     keep = found.sparkSession.sparkContext.broadcast(chosen)
 
     def restrict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
+        for f in filter(len, frames):
             yield f.assign(x=[np.searchsorted(keep.value, v[np.isin(v, keep.value)]) for v in map(np.asarray, f["x"])])
 
     got = found.mapInPandas(restrict, "k long, g int, x array<long>").toPandas().sort_values(["k", "g"], kind="stable")
