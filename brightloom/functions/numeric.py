@@ -16,19 +16,6 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den)
 
 
-def order_bucket(x: str, resolution: int = 4096) -> Column:
-    """Whole number that never decreases with column ``x``: sign and binary logarithm, ``resolution`` steps per octave.
-
-    The logarithm is monotone, so equal buckets hold a contiguous value range. Used to split a sort
-    over arbitrarily many rows into independent ranges, whatever the key distribution. Nulls come first (last
-    when the bucket is negated for a descending order), as in Spark's default null ordering.
-    """
-    v = f"CAST(`{x}` AS DOUBLE)"
-    return F.expr(
-        f"CAST(CASE WHEN {v} IS NULL THEN -4611686018427387904 WHEN {v} = 0 THEN 0 ELSE signum({v}) * (floor((log2(abs({v})) + 1075) * {resolution}) + 1) END AS BIGINT)"
-    )
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 

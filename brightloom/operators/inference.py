@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.functions.numeric import order_bucket, safe_ratio
+from brightloom.functions.numeric import safe_ratio
 from brightloom.functions.pvalues import chi2_upper, f_upper, normal_two_sided, t_two_sided
-from brightloom.operators.ranking import running_totals, split_row_number, with_stats
+from brightloom.operators.ranking import running_totals, split_row_number, value_ranges, with_stats
 from brightloom.session import measured
 
 
@@ -130,7 +130,7 @@ def normality_test(df: DataFrame, value: str) -> DataFrame:
 def average_ranks(df: DataFrame, c: str) -> DataFrame:
     """``(c, rank)`` per distinct value, ties share the mean rank. Values are ordered in independent ranges."""
     counts = df.groupBy(c).agg(F.count("*").alias("__n"))
-    ahead = running_totals(counts, [F.asc(c)], order_bucket(c), {"__before": F.col("__n")})
+    ahead = running_totals(value_ranges(counts, c), [F.asc(c)], F.col("__range"), {"__before": F.col("__n")})
     return ahead.select(c, (F.col("__before") + (F.col("__n") + 1) / 2).alias("rank"))
 
 
@@ -247,5 +247,5 @@ def cluster_sample(df: DataFrame, cluster: str, n: int) -> DataFrame:
 
 def systematic_sample(df: DataFrame, key: str, step: int) -> DataFrame:
     """Every ``step``-th row in key order, by a row number that is computed in independent key ranges."""
-    numbered = split_row_number(df, [F.asc(key)], order_bucket(key), (), "__r")
-    return numbered.filter((F.col("__r") - 1) % step == 0).drop("__r")
+    numbered = split_row_number(value_ranges(df, key), [F.asc(key)], F.col("__range"), (), "__r")
+    return numbered.filter((F.col("__r") - 1) % step == 0).drop("__r", "__range")

@@ -14,12 +14,11 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.functions.numeric import order_bucket
 from brightloom.operators import quality
 from brightloom.operators.anomaly import zscore_scale
 from brightloom.operators.features import importance_table, label_encode
-from brightloom.operators.ranking import running_totals, with_stats
-from brightloom.session import measured, spread
+from brightloom.operators.ranking import running_totals, value_ranges, with_stats
+from brightloom.session import measured
 
 
 def train_test_split(df: DataFrame, key: str, train_share: float = 0.8) -> DataFrame:
@@ -64,7 +63,7 @@ def tune_boosted_trees(
     ``parallelism`` at a time.
     """
     data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(
-        spread(df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias("label")).na.drop())
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias("label")).na.drop()
     ).select("features", "label").persist()
     try:
         gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed)
@@ -122,9 +121,8 @@ def _roc_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     per = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(y).cast("long").alias("pos"), F.sum(1 - y).cast("long").alias("neg")
     )
-    above = running_totals(
-        per, [F.desc("threshold")], -order_bucket("threshold"), {"pos_above": F.col("pos"), "neg_above": F.col("neg")}
-    )
+    ranged = value_ranges(per, "threshold", descending=True)
+    above = running_totals(ranged, [F.desc("threshold")], F.col("__range"), {"pos_above": F.col("pos"), "neg_above": F.col("neg")})
     return with_stats(above, per.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))), "all")
 
 

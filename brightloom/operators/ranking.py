@@ -13,7 +13,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.functions.numeric import order_bucket
 from brightloom.session import measured
 
 
@@ -59,11 +58,51 @@ def running_totals(
     return out.drop("__b", "__row", *[f"__m_{n}" for n in names])
 
 
-def text_bucket(df: DataFrame, c: str, splits: int = 1024) -> Column:
+ROWS_PER_RANGE = 200_000
+MOST_RANGES = 10_000
+
+
+def _range_count(rows: int) -> int:
+    return max(16, min(MOST_RANGES, rows // ROWS_PER_RANGE))
+
+
+def value_ranges(df: DataFrame, c: str, descending: bool = False, tie: str | None = None, name: str = "__range", ranges: int | None = None) -> DataFrame:
+    """Add ``name``, a range of column ``c`` (numbers, dates, times) that never decreases along its order.
+
+    Split points are quantiles of the data, so ranges hold about equally many rows whatever the values look like, and
+    their number grows with the rows. A value that is a split point has a range of its own; there the order
+    continues by ``tie`` (ascending), so rows of one frequent value are split as well. Nulls come first (last if descending).
+    """
+    n = ranges or _range_count(df.count())
+
+    def points(x: str):
+        return F.percentile_approx(x, [i / n for i in range(1, n)], 10 * n)
+
+    stats = df.agg(F.struct(points(c).alias("first"), (points(tie) if tie else F.lit(None)).alias("second")))
+    out = with_stats(df, stats, "__points")
+    steps = F.array(*[F.lit(1 << b) for b in range((n - 1).bit_length() - 1, -1, -1)])
+
+    def place(x: Column, at: Column) -> Column:
+        """Twice the number of points below ``x`` (binary search), plus one if ``x`` is a point."""
+        below = F.aggregate(steps, F.lit(0), lambda pos, s: pos + F.when((pos + s < n) & (F.get(at, pos + s - 1) < x), s).otherwise(0))
+        return below * 2 + F.coalesce((F.get(at, below) == x).cast("int"), F.lit(0))
+
+    out = out.withColumn("__first", F.coalesce(place(F.col(c), F.col("__points.first")), F.lit(-1)))
+    first = -F.col("__first") if descending else F.col("__first")
+    if tie is None:
+        return out.withColumn(name, first).drop("__points", "__first")
+    alone = (F.col("__first") % 2 != 0) & F.col(tie).isNotNull()
+    second = F.when(alone, place(F.col(tie), F.col("__points.second"))).otherwise(F.when(F.col("__first") % 2 != 0, F.lit(-1)).otherwise(F.lit(0)))
+    return out.withColumn(name, F.struct(first.alias("a"), second.alias("b"))).drop("__points", "__first")
+
+
+def text_bucket(df: DataFrame, c: str, splits: int | None = None) -> Column:
     """Bucket of text column ``c`` that never decreases with it, balanced whatever the prefixes look like.
 
-    Split points are ``splits`` of the distinct values, drawn by hash (a top-n); fewer values need one bucket.
+    Split points are ``splits`` of the distinct values, drawn by hash (a top-n); by default their number grows with
+    the rows. Fewer values need one bucket.
     """
+    splits = splits or _range_count(df.count())
     drawn = df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(F.xxhash64(c), c).limit(splits).collect()
     if len(drawn) < splits:
         return F.lit(0)
@@ -77,58 +116,71 @@ def text_bucket(df: DataFrame, c: str, splits: int = 1024) -> Column:
 
 
 def split_row_number(
-    df: DataFrame, order: Sequence[Column], bucket: Column, keys: Sequence[str] = (), name: str = "rn"
+    df: DataFrame, order: Sequence[Column], bucket: Column, keys: Sequence[str] = (), name: str = "rn", split_above: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Exact ``row_number`` (from 1) within ``keys``; hot groups and the keyless case are split by ``bucket``."""
-    out = running_totals(df, order, bucket, {name: F.lit(1).cast("long")}, keys)
+    """Exact ``row_number`` (from 1) within ``keys``; the keyless case and groups of more than ``split_above`` rows are split by ``bucket``."""
+    if keys:
+        large = measured(df.groupBy(*keys).agg(F.expr("count(1)").alias("__n")).filter(F.col("__n") > split_above).drop("__n").withColumn("__large", F.lit(True)))
+        df = join_null_safe(df, large, keys, "left")
+        out = running_totals(df, order, F.when(F.col("__large"), bucket), {name: F.lit(1).cast("long")}, keys).drop("__large")
+    else:
+        out = running_totals(df, order, bucket, {name: F.lit(1).cast("long")})
     return out.withColumn(name, F.col(name) + 1)
 
 
+_ACCURACY = 10_000
+_MARGIN = 4 / _ACCURACY  # twice what two merged summaries of 1 / _ACCURACY can be off
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: ``(*by, column, n, <one column per name in probs>)``.
 
-    Pass 1 counts values per monotone bucket (a small histogram) and finds the buckets that hold the wanted
-    ranks; pass 2 orders only the values of those buckets. Without ``by`` the wanted buckets are a handful
-    (2 per quantile and column), so they are broadcast and raw rows are filtered before any shuffle. With
-    ``by`` the number of groups is unknown, so the wanted buckets are written and joined by measured size.
+    Pass 1 brackets every wanted rank by approximate quantiles; pass 2 counts what lies below a bracket and orders
+    only the distinct values inside (about ``2 * _MARGIN`` of the rows), with the nearest value on either side. The
+    brackets follow the data, so no value distribution makes one of them large. NaN counts as missing.
     """
+    names, p = list(probs), [float(v) for v in probs.values()]
+    at = [x for v in p for x in (max(0.0, v - _MARGIN), min(1.0, v + _MARGIN))]
+    rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    rows = rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})
+    bracket = [F.percentile_approx(c, at, _ACCURACY).alias(f"__q_{c}") for c in columns]
+    if by:
+        placed = join_null_safe(rows, measured(rows.groupBy(*by).agg(*bracket)), by)
+    else:
+        placed = with_stats(rows, rows.agg(F.struct(*bracket)), "__all").withColumns({f"__q_{c}": F.col(f"__all.__q_{c}") for c in columns})
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x"), F.col(f"__q_{c}").alias("q")) for c in columns])
+    long = placed.select(*by, F.inline(each)).filter("x IS NOT NULL")
     keys = [*by, "column"]
-    quoted = ", ".join(f"`{k}`" for k in keys)
-    long = (
-        df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot(list(by), list(columns), "column", "x")
-        .filter("x IS NOT NULL AND NOT isnan(x)")
-        .withColumn("b", order_bucket("x"))
-    )
-    hist = long.groupBy(*keys, "b").agg(F.expr("count(1) AS c")).selectExpr(
-        *[f"`{k}`" for k in keys], "b", "c",
-        f"coalesce(sum(c) OVER (PARTITION BY {quoted} ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
-        f"sum(c) OVER (PARTITION BY {quoted}) AS n",
-    )
-    rank = {name: f"((n - 1) * {float(p)}D)" for name, p in probs.items()}
-    wanted = ", ".join(f"CAST(floor({h}) AS BIGINT), CAST(ceil({h}) AS BIGINT)" for h in rank.values())
-    hits = hist.withColumn(
-        "positions", F.expr(f"filter(array_distinct(array({wanted})), p -> p >= before AND p < before + c)")
-    ).filter("size(positions) > 0").drop("c")
-    cand = (
-        join_null_safe(long, measured(hits) if by else F.broadcast(hits), [*keys, "b"])
-        .groupBy(*keys, "b", "before", "n", "positions", "x").agg(F.expr("count(1) AS c"))
-    )
-    # only values of the few wanted buckets are ordered here
-    picked = (
-        cand.selectExpr(
-            *[f"`{k}`" for k in keys], "n", "x", "c", "positions",
-            f"before + coalesce(sum(c) OVER (PARTITION BY {quoted}, b ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum",
-        )
-        .selectExpr(*[f"`{k}`" for k in keys], "n", "x", "explode(filter(positions, p -> p >= cum AND p < cum + c)) AS pos")
-        .groupBy(*keys, "n").agg(F.expr("map_from_entries(collect_list(struct(pos, x))) AS at"))
+    lo, hi = (lambda i: F.get("q", F.lit(2 * i))), (lambda i: F.get("q", F.lit(2 * i + 1)))
+    x = F.col("x")
+    facts = long.groupBy(*keys).agg(
+        F.expr("count(1)").alias("n"),
+        *[F.count_if(x < lo(i)).alias(f"below{i}") for i in range(len(p))],
+        *[F.max(F.when(x < lo(i), x)).alias(f"prev{i}") for i in range(len(p))],
+        *[F.min(F.when(x > hi(i), x)).alias(f"next{i}") for i in range(len(p))],
     )
-    outs = [
-        F.expr(
-            f"at[CAST(floor({h}) AS BIGINT)] + (at[CAST(ceil({h}) AS BIGINT)] - at[CAST(floor({h}) AS BIGINT)]) * ({h} - floor({h})) AS `{name}`"
-        )
-        for name, h in rank.items()
-    ]
-    return picked.select(*keys, "n", *outs)
+    near = F.filter(F.array(*[F.lit(i) for i in range(len(p))]), lambda i: (x >= F.get("q", i * 2)) & (x <= F.get("q", i * 2 + 1)))
+    inside = long.select(*keys, "x", F.explode(near).alias("i")).groupBy(*keys, "i", "x").agg(F.expr("count(1)").alias("c"))
+    ahead = Window.partitionBy(*keys, "i").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("before", F.coalesce(F.sum("c").over(ahead), F.lit(0)))
+    met = join_null_safe(inside, facts, keys)
+    target = F.get(F.array(*[F.lit(v) for v in p]), F.col("i")) * (F.col("n") - 1)
+    below = F.get(F.array(*[F.col(f"below{i}") for i in range(len(p))]), F.col("i"))
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("c")), F.col("x")))
+
+    met = met.withColumns({"h": target, "below": below})
+    down, up = F.floor("h") - F.col("below"), F.ceil("h") - F.col("below")
+    picked = met.groupBy(*keys, "i").agg(value_at(down).alias("down"), value_at(up).alias("up"))
+    wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, F.struct("down", "up"))).alias(f"v{i}") for i in range(len(p))])
+    joined = join_null_safe(facts, wide, keys)
+
+    def result(i: int) -> Column:
+        h = F.lit(p[i]) * (F.col("n") - 1)
+        down, up = F.coalesce(F.col(f"v{i}.down"), F.col(f"prev{i}")), F.coalesce(F.col(f"v{i}.up"), F.col(f"next{i}"))
+        return (down + (up - down) * (h - F.floor(h))).alias(names[i])
+
+    return joined.select(*keys, "n", *[result(i) for i in range(len(p))])

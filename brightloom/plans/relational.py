@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brightloom.functions.numeric import order_bucket, rounded, string_columns
+from brightloom.functions.numeric import rounded, string_columns
 from brightloom.operators import profile, ranking, relational
 from brightloom.plans.common import doubled, null_every, table
 from brightloom.registry import query
@@ -496,6 +496,5 @@ def count_duplicates(spark, sf):
 )
 def row_number_by_group(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    return ranking.split_row_number(
-        o, [F.desc("o_totalprice"), F.asc("o_orderkey")], -order_bucket("o_totalprice", 512), ["o_custkey"]
-    )
+    o = ranking.value_ranges(o, "o_totalprice", descending=True, tie="o_orderkey")
+    return ranking.split_row_number(o, [F.desc("o_totalprice"), F.asc("o_orderkey")], F.col("__range"), ["o_custkey"]).drop("__range")

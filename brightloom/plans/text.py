@@ -9,7 +9,6 @@ from brightloom.functions.text import STOP_WORDS
 from brightloom.operators import text as tx
 from brightloom.plans.common import table
 from brightloom.registry import query
-from brightloom.session import spread
 
 LEXICON = {"tion": 1.0, "ha": 1.0, "ing": 1.0, "ai": 1.0, "eau": 0.5, "th": -1.0, "nd": -1.0, "ed": -1.0, "ch": -1.0, "or": -0.5}
 KEYWORDS = {"service": ["tion", "ing"], "price": ["eau", "ai"], "quality": ["orantion", "ononst"], "delivery": ["thatin", "hehely"]}
@@ -31,7 +30,7 @@ _VOCAB = f"""e AS (SELECT doc_id, unnest({_LONG}) AS term FROM documents),
 
 
 def docs(spark, sf):
-    return spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    return table(spark, sf, "documents").select("doc_id", "lang", "text")
 
 
 def scored(spark, sf):

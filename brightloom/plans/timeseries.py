@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import rounded
 from brightloom.operators import timeseries as ts
+from brightloom.operators.ranking import value_ranges
 from brightloom.plans.common import table
 from brightloom.registry import query
 
@@ -70,10 +71,8 @@ def pct_change(spark, sf):
        FROM p a JOIN p b ON a.event_type = b.event_type AND b.pos >= a.pos - 10 AND b.pos < a.pos + 10 WHERE a.value > 150""",
 )
 def context_window(spark, sf):
-    e = table(spark, sf, "events").select("event_type", "event_id", "ts", "value")
-    return ts.context_window(
-        e, F.col("value") > 150, ["ts", "event_id"], F.unix_date(F.to_date("ts")) * 24 + F.hour("ts"), "event_id", ["event_type"]
-    )
+    e = value_ranges(table(spark, sf, "events").select("event_type", "event_id", "ts", "value"), "ts", tie="event_id")
+    return ts.context_window(e, F.col("value") > 150, ["ts", "event_id"], F.col("__range"), "event_id", ["event_type"]).drop("__range")
 
 
 @query(

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback_dir: str | None = None
+_stages: list[str] = []
 
 
 def get_session(app: str = "brightloom", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -28,14 +29,15 @@ def get_session(app: str = "brightloom", cpus: str = "*", shuffle_partitions: in
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured (tests)."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where none is set and the master is local."""
     global _fallback_dir
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _fallback_dir is None:
         _fallback_dir = tempfile.mkdtemp(prefix="brightloom-")
-        spark.conf.set("spark.checkpoint.dir", _fallback_dir)
     return _fallback_dir
 
 
@@ -54,16 +56,15 @@ def measured(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, "stage")
+    _stages.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy work on few input files: repartition a scan with fewer partitions than cores.
-
-    A large table has more partitions than cores and is left as it is, and so is a plan that shuffles anyway.
-    """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def release_stages(spark: SparkSession) -> int:
+    """Remove the folders that ``measured`` has written in this process; call it when results that read them are used up."""
+    removed = 0
+    while _stages:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stages.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed

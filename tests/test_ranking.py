@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from brightloom.functions.numeric import order_bucket
 from brightloom.operators import ranking
 from brightloom.operators.features import label_encode, quantile_bins
 
@@ -46,18 +45,30 @@ def test_exact_quantiles_empty_single_and_nan(spark):
     assert (one["n"], one["m"]) == (1, 7.0)
 
 
-def test_order_bucket_is_monotone(spark):
+@pytest.mark.parametrize("kind", ["micros", "offset", "mixed", "frequent"])
+def test_ranges_follow_the_data(spark, kind):
     rng = np.random.default_rng(0)
-    x = np.concatenate([rng.normal(0, 10.0**e, 300) for e in range(-12, 15, 3)] + [[0.0, -0.0, 1.0, np.nextafter(1, 2), np.nextafter(2, 1)]])
-    out = spark.createDataFrame(pd.DataFrame({"x": x})).select("x", order_bucket("x").alias("b")).toPandas().sort_values("x")
-    assert out["b"].is_monotonic_increasing
+    n = 8000
+    x = {
+        "micros": rng.integers(1_704_067_200_000_000, 1_706_745_600_000_000, n),
+        "offset": 1e9 + rng.random(n),
+        "mixed": np.concatenate([rng.normal(0, 10.0**e, n // 8) for e in range(-12, 12, 3)]),
+        "frequent": np.where(rng.random(n) < 0.5, 7, rng.integers(0, 10**6, n)),
+    }[kind]
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "id": rng.permutation(n)}))
+    for descending in (False, True):
+        out = ranking.value_ranges(df, "x", descending, "id", ranges=64).select("x", "id", "__range.*").toPandas()
+        out = out.sort_values(["x", "id"], ascending=[not descending, True])
+        assert out.sort_values(["a", "b"], kind="stable").index.equals(out.index)
+        assert out.groupby(["a", "b"]).size().max() < 0.05 * n
 
 
 @pytest.mark.parametrize("keys", [(), ("g",)])
 def test_split_row_number(spark, keys):
     pdf = frame(500, 5)
     df = spark.createDataFrame(pdf)
-    got = ranking.split_row_number(df, [F.desc("y"), F.asc("id")], -order_bucket("y"), keys).toPandas().set_index("id")["rn"]
+    df = ranking.value_ranges(df, "y", descending=True, tie="id")
+    got = ranking.split_row_number(df, [F.desc("y"), F.asc("id")], F.col("__range"), keys, split_above=100).toPandas().set_index("id")["rn"]
     want = pdf.sort_values(["y", "id"], ascending=[False, True])
     want = (want.groupby("g").cumcount() if keys else pd.Series(range(len(want)), index=want.index)) + 1
     assert (got.sort_index().to_numpy() == want.sort_index().to_numpy()).all()
@@ -65,7 +76,8 @@ def test_split_row_number(spark, keys):
 
 def test_running_totals_with_null_order_values(spark):
     df = spark.createDataFrame([(1, None, 5), (2, 3.0, 7), (3, -1.0, 2), (4, 3.5, 1)], "id int, x double, m int")
-    out = ranking.running_totals(df, [F.asc("x"), F.asc("id")], order_bucket("x"), {"before": F.col("m")})
+    df = ranking.value_ranges(df, "x", tie="id")
+    out = ranking.running_totals(df, [F.asc("x"), F.asc("id")], F.col("__range"), {"before": F.col("m")})
     assert {r["id"]: r["before"] for r in out.collect()} == {1: 0, 3: 5, 2: 7, 4: 14}
 
 
