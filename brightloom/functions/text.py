@@ -46,15 +46,35 @@ def one_of(words: Iterable[str]) -> Callable[[Column], Column]:
     return lambda t: t.isin(*fixed)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: an expression written twice inside a lambda is evaluated each time."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def polarity_sum(toks: Column, lexicon: Mapping[str, float]) -> Column:
-    """Sum of the word weights of a token array; words of equal weight share one hash set."""
+    """Sum of the word weights of a token array in one pass; words of equal weight share one hash set."""
     by_weight: dict[float, list[str]] = {}
     for word, weight in lexicon.items():
         by_weight.setdefault(float(weight), []).append(word)
-    total = F.lit(0.0)
-    for weight, words in by_weight.items():
-        total = total + F.size(F.filter(toks, one_of(words))) * F.lit(weight)
-    return total
+
+    def weight_of(t: Column) -> Column:
+        w = F.lit(0.0)
+        for weight, words in by_weight.items():
+            w = F.when(t.isin(*words), F.lit(weight)).otherwise(w)
+        return w
+
+    return F.aggregate(toks, F.lit(0.0), lambda total, t: total + weight_of(t))
+
+
+def term_counts(toks: Column) -> Column:
+    """Array of ``(term, tf)``, one entry per distinct token: run lengths of the sorted tokens, without a shuffle."""
+
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        starts = F.filter(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), n) - i).alias("tf"))))
+
+    return let(F.array_sort(F.coalesce(toks, F.array().cast("array<string>"))), runs)
 
 
 def ngrams(toks: Column, n: int, stop_words: Iterable[str] = ()) -> Column:

@@ -14,7 +14,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.functions.text import POLARITY, STOP_WORDS, ngrams, one_of, polarity_sum, sentences, tokens
+from brightloom.functions.text import POLARITY, STOP_WORDS, ngrams, one_of, polarity_sum, sentences, term_counts, tokens
 from brightloom.operators.ranking import with_stats
 from brightloom.session import measured
 
@@ -28,13 +28,16 @@ def exploded(df: DataFrame, items: Column, name: str, *keep: str) -> DataFrame:
 def tokenize_filter(df: DataFrame, text: str, stop_words: Iterable[str] = STOP_WORDS, key: str | None = None, lemmas: DataFrame | None = None) -> DataFrame:
     """Add ``clean_text``: tokens without stop words, blank-joined in order; with ``lemmas(token, lemma)`` mapped.
 
-    The lemma join is by measured size; tokens of one text come back together by ``key``.
+    The lemma table is written first, so the join is by measured size; tokens of one text come back together by ``key``,
+    which ``lemmas`` needs.
     """
+    if lemmas is not None and key is None:
+        raise ValueError("lemmas need a key column")
     toks = tokens(text, stop_words)
     if lemmas is None:
         return df.withColumn("clean_text", F.array_join(toks, " "))
     pos = df.select(key, F.posexplode_outer(toks).alias("pos", "token")).filter("token IS NOT NULL")
-    joined = pos.join(lemmas, "token", "left").select(key, "pos", F.coalesce("lemma", "token").alias("t"))
+    joined = pos.join(measured(lemmas), "token", "left").select(key, "pos", F.coalesce("lemma", "token").alias("t"))
     folded = joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("a"))
     clean = folded.select(key, F.array_join(F.transform("a", lambda s: s["t"]), " ").alias("clean_text"))
     return df.join(clean, key, "left").withColumn("clean_text", F.coalesce("clean_text", F.lit("")))
@@ -83,26 +86,24 @@ def top_phrases(df: DataFrame, text: str, k: int = 10, sizes: Sequence[int] = (1
 def vocabulary(df: DataFrame, text: str, size: int = 1000, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """``(term, total, df, idf)`` of the ``size`` most frequent terms; idf = ln((1+n)/(1+df)) + 1.
 
-    Two counting steps: totals per term, then document frequency of the chosen terms only.
+    Terms are counted inside each row, so one pass and one shuffle of (term, count) sums give totals and frequencies.
     """
-    toks = tokens(text, stop_words, 2)
-    totals = exploded(df, toks, "term").groupBy("term").agg(F.count("*").alias("total"))
-    top = measured(totals.orderBy(F.desc("total"), "term").limit(size))
-    seen = exploded(df, F.array_distinct(toks), "term").join(F.broadcast(top.select("term")), "term")  # `size` terms
-    freq = seen.groupBy("term").agg(F.count("*").alias("df"))
-    n_docs = df.agg(F.count("*"))
-    out = with_stats(top.join(freq, "term"), n_docs, "__n")
+    counts = df.select(F.inline(term_counts(tokens(text, stop_words, 2))))
+    top = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(F.desc("total"), "term").limit(size)
+    out = with_stats(top, df.agg(F.count("*")), "__n")
     return out.select("term", "total", "df", (F.log((1 + F.col("__n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def tfidf_vectors(df: DataFrame, key: str, text: str, size: int = 1000, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
-    """Long L2-normalised TF-IDF ``(key, term, weight)``."""
+    """Long L2-normalised TF-IDF ``(key, term, weight)``.
+
+    Rows of one ``key`` are one text. Counting is inside the row; only the weights of the vocabulary are shuffled, once, for the norm.
+    """
     vocab = measured(vocabulary(df, text, size, stop_words)).select("term", "idf")
-    terms = exploded(df, tokens(text, stop_words, 2), "term", key).join(F.broadcast(vocab), "term")  # `size` terms
-    tf = terms.groupBy(key, "term", "idf").agg(F.count("*").alias("tf"))
+    terms = df.select(key, F.inline(term_counts(tokens(text, stop_words, 2)))).join(F.broadcast(vocab), "term")  # `size` terms
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy(key)))
-    return tf.select(key, "term", (raw / norm).alias("weight"))
+    return terms.select(key, "term", (raw / norm).alias("weight"))
 
 
 def group_top_terms(weights: DataFrame, groups: DataFrame, key: str, group: str, k: int = 10) -> DataFrame:
@@ -136,13 +137,15 @@ def text_clusters(df: DataFrame, text: str, k: int = 5, seed: int = 42, size: in
     return model.transform(vectors).drop("features")
 
 
-def theme_extraction(df: DataFrame, key: str, text: str, themes: int = 5, words: int = 8, examples: int = 3, seed: int = 42) -> DataFrame:
-    """LDA themes: ``(theme, keywords, n_texts, share, example_keys)`` over all texts."""
+def theme_extraction(
+    df: DataFrame, key: str, text: str, themes: int = 5, words: int = 8, examples: int = 3, seed: int = 42, size: int = 1000, steps: int = 10
+) -> DataFrame:
+    """LDA themes: ``(theme, keywords, n_texts, share, example_keys)``; every step trains on all texts, over ``size`` terms."""
     d = df.select(key, tokens(text, STOP_WORDS, 2).alias("toks"))
-    counter = CountVectorizer(inputCol="toks", outputCol="features", vocabSize=1000).fit(d)
+    counter = CountVectorizer(inputCol="toks", outputCol="features", vocabSize=size).fit(d)
     counted = counter.transform(d).persist()
     try:
-        model = LDA(k=themes, seed=seed, maxIter=10, featuresCol="features").fit(counted)
+        model = LDA(k=themes, seed=seed, maxIter=steps, subsamplingRate=1.0, featuresCol="features").fit(counted)
         vocab = F.array(*[F.lit(w) for w in counter.vocabulary])
         topics = model.describeTopics(words).select(
             F.col("topic").alias("theme"), F.transform("termIndices", lambda i: F.get(vocab, i)).alias("keywords")
@@ -183,34 +186,35 @@ def category_distribution(df: DataFrame) -> DataFrame:
     return exploded(df, F.col("categories"), "category").groupBy("category").agg(F.count("*").alias("n"))
 
 
-def extractive_summary(df: DataFrame, key: str, text: str, n: int = 3, size: int = 1000) -> DataFrame:
+def extractive_summary(df: DataFrame, key: str, text: str, n: int = 3) -> DataFrame:
     """The ``n`` sentences per text with the highest mean term weight: ``(key, rank, position, sentence, score)``.
 
-    A term weighs its share among the occurrences of the ``size`` most frequent terms, others weigh zero.
+    A term weighs its share among all term occurrences. Term rows carry no sentence; the sentences of the few winners
+    are taken from the text in the end. ``key`` is unique.
     """
-    vocab = measured(
-        exploded(df, tokens(text, STOP_WORDS, 2), "term").groupBy("term").agg(F.count("*").alias("total"))
-        .orderBy(F.desc("total"), "term").limit(size)
-    )
-    weights = with_stats(vocab, vocab.agg(F.sum("total")), "__t").select("term", (F.col("total") / F.col("__t")).alias("w"))
-    parts = df.select(key, F.posexplode_outer(sentences(text)).alias("position", "sentence")).filter("sentence IS NOT NULL")
-    terms = exploded(parts, tokens("sentence", STOP_WORDS, 2), "term", key, "position", "sentence")
-    scored = (
-        terms.join(F.broadcast(weights), "term", "left")  # `size` terms
-        .groupBy(key, "position").agg(F.avg(F.coalesce("w", F.lit(0.0))).alias("score"), F.first("sentence").alias("sentence"))
-    )
+    counts = df.select(F.inline(term_counts(tokens(text, STOP_WORDS, 2)))).groupBy("term").agg(F.sum("tf").alias("total"))
+    counts = measured(counts)
+    weights = with_stats(counts, counts.agg(F.sum("total")), "__t").select("term", (F.col("total") / F.col("__t")).alias("w"))
+    parts = df.select(key, F.posexplode(sentences(text)).alias("position", "sentence"))
+    terms = parts.select(key, "position", F.inline(term_counts(tokens("sentence", STOP_WORDS, 2))))
+    score = F.sum(F.coalesce("w", F.lit(0.0)) * F.col("tf")) / F.sum("tf")  # a cut inside a token may make a new term
+    scored = terms.join(measured(weights), "term", "left").groupBy(key, "position").agg(score.alias("score"))
     w = Window.partitionBy(key).orderBy(F.desc(F.round("score", 9)), "position")
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    best = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    chosen = best.groupBy(key).agg(F.collect_list(F.struct("rank", "position", "score")).alias("__best"))  # n at most
+    found = df.select(key, text).join(chosen, key).select(key, sentences(text).alias("__all"), F.inline("__best"))
+    return found.select(key, "rank", "position", F.get("__all", F.col("position")).alias("sentence"), "score")
 
 
-def conversation_transcripts(df: DataFrame, conv: str, turn: str, role: str, text: str, part_turns: int = 500) -> DataFrame:
-    """Turns folded in order into JSON records of at most ``part_turns`` turns: ``(conv, part, n_turns, transcript)``.
+def conversation_transcripts(df: DataFrame, conv: str, turn: str, role: str, text: str, part_turns: int | None = None) -> DataFrame:
+    """Turns folded in order into one JSON record per conversation: ``(conv, n_turns, transcript)``.
 
-    Longer conversations continue in part 1, 2, ... so no record or task grows with the conversation.
+    With ``part_turns``, a record holds that many turn numbers at most and ``part`` counts the records, so that no record
+    grows with its conversation.
     """
-    part = F.floor(F.col(turn) / part_turns).cast("int").alias("part")
+    keys = [F.col(conv)] if part_turns is None else [F.col(conv), F.floor(F.col(turn) / part_turns).cast("int").alias("part")]
     turns = F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))))
-    return df.groupBy(conv, part).agg(F.count("*").alias("n_turns"), F.to_json(turns).alias("transcript"))
+    return df.groupBy(*keys).agg(F.count("*").alias("n_turns"), F.to_json(turns).alias("transcript"))
 
 
 def train_text_classifier(df: DataFrame, text: str, label: str, features: int = 1 << 14):

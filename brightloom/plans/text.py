@@ -151,7 +151,7 @@ _SENTENCES = r"list_filter(list_transform(string_split_regex(text, '[.!?]+\s*|\n
 
 @query(
     "extractive_summary",
-    rf"""WITH e AS (SELECT unnest({_LONG}) AS term FROM documents), v AS (SELECT term, count(*) AS total FROM e GROUP BY term ORDER BY total DESC, term LIMIT 1000),
+    rf"""WITH e AS (SELECT unnest({_LONG}) AS term FROM documents), v AS (SELECT term, count(*) AS total FROM e GROUP BY term),
         w AS (SELECT term, total / sum(total) OVER () AS w FROM v), l AS (SELECT doc_id, {_SENTENCES} AS ss FROM documents),
         s AS (SELECT doc_id, unnest(range(len(ss))) AS position, unnest(ss) AS text FROM l),
         x AS (SELECT doc_id, position, text, unnest({_LONG}) AS term FROM s),
@@ -166,7 +166,7 @@ def extractive_summary(spark, sf):
 
 @query(
     "conversation_transcripts",
-    """SELECT conv_id, CAST(floor(turn / 500) AS INTEGER) AS part, count(*) AS n_turns,
+    """SELECT conv_id, count(*) AS n_turns,
        CAST(to_json(list(struct_pack(turn := turn, role := role, text := text) ORDER BY turn)) AS VARCHAR) AS transcript FROM conversations GROUP BY ALL""",
 )
 def conversation_transcripts(spark, sf):

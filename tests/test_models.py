@@ -122,5 +122,7 @@ def test_lemmas_keep_order_and_repeats(spark):
 
 def test_long_conversation_is_split_not_cut(spark):
     rows = [(1, i, "user", f"t{i}") for i in range(1203)]
-    out = text.conversation_transcripts(spark.createDataFrame(rows, "c int, turn int, role string, text string"), "c", "turn", "role", "text").collect()
+    out = text.conversation_transcripts(spark.createDataFrame(rows, "c int, turn int, role string, text string"), "c", "turn", "role", "text", 500).collect()
     assert sorted((r["part"], r["n_turns"]) for r in out) == [(0, 500), (1, 500), (2, 203)]
+    whole = text.conversation_transcripts(spark.createDataFrame(rows, "c int, turn int, role string, text string"), "c", "turn", "role", "text").collect()
+    assert [r["n_turns"] for r in whole] == [1203]
