@@ -8,11 +8,13 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.functions.numeric import numeric_columns, string_columns
+from brightloom.functions.numeric import numeric_columns
+from brightloom.operators.quality import impute_mean_mode
 from brightloom.operators.ranking import exact_quantiles, split_row_number, text_bucket, with_stats
 from brightloom.operators.relational import categorical_interactions, numeric_interactions, numeric_transforms
 from brightloom.session import measured
@@ -106,14 +108,22 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins:
     return d.groupBy("feature").agg(F.sum(gain).alias("mi"))
 
 
-def _vectors(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Assembled features and alphabetically indexed label; rows with a null are left out."""
+def _vectors(df: DataFrame, columns: Sequence[str], target: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Assembled features, alphabetically indexed label and the ``keep`` columns. Missing values count as their
+    column's mean; only rows without a target are left out, as there is nothing to learn from them."""
+    d = df.filter(F.col(target).isNotNull()).select(*keep, *[F.col(c).cast("double").alias(f"__f_{c}") for c in columns], F.col(target).cast("string").alias("__t"))
+    d = with_stats(d, d.agg(F.struct(*[F.avg(f"__f_{c}").alias(c) for c in columns])), "__mean")
+    filled = d.select(*keep, "__t", *[F.coalesce(f"__f_{c}", F.col("__mean")[c], F.lit(0.0)).alias(f"__f_{c}") for c in columns])
     index = StringIndexer(inputCol="__t", outputCol="label", stringOrderType="alphabetAsc")
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(target).cast("string").alias("__t")).na.drop()
-    return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), index]).fit(d).transform(d)
+    return Pipeline(stages=[VectorAssembler(inputCols=[f"__f_{c}" for c in columns], outputCol="features"), index]).fit(filled).transform(filled)
 
 
-def _forest(trees: int, seed: int = 42, max_depth: int = 5) -> RandomForestClassifier:
+def fold_of(df: DataFrame, folds: int, *columns: str) -> DataFrame:
+    """Add ``fold`` from the hash of the columns: the same rows meet in a fold however the data are partitioned."""
+    return df.withColumn("fold", F.pmod(F.xxhash64(*columns), F.lit(folds)).cast("int"))
+
+
+def _forest(trees: int, seed: int = 42, max_depth: int = 10) -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, seed=seed, maxDepth=max_depth)
 
 
@@ -133,7 +143,7 @@ def rf_importance(df: DataFrame, columns: Sequence[str], target: str, trees: int
 
 
 def recursive_elimination(
-    df: DataFrame, columns: Sequence[str], target: str, keep: int, trees: int = 20, seed: int = 42, step: float = 0.0
+    df: DataFrame, columns: Sequence[str], target: str, keep: int, trees: int = 100, seed: int = 42, step: float = 0.0
 ) -> DataFrame:
     """``(feature, ranking)``: 1 = kept; the weakest features of each refit get the next rank from the end.
 
@@ -158,7 +168,7 @@ def recursive_elimination(
 
 
 def select_features(
-    df: DataFrame, columns: Sequence[str], target: str | None, n: int, trees: int = 50, step: float = 0.0
+    df: DataFrame, columns: Sequence[str], target: str | None, n: int, trees: int = 100, step: float = 0.0
 ) -> DataFrame:
     """``(feature, votes, importance)``: union of the top ``n`` by mutual information, forest importance and
     elimination, capped at ``n`` by votes then importance; the first ``n`` columns without a target."""
@@ -174,13 +184,14 @@ def select_features(
 
 
 def pca_optimize(
-    df: DataFrame, columns: Sequence[str], target: str, ks: Sequence[int] | None = None, folds: int = 5, trees: int = 20, seed: int = 42
+    df: DataFrame, columns: Sequence[str], target: str, ks: Sequence[int] | None = None, folds: int = 5, trees: int = 100, seed: int = 42, keep: Sequence[str] = ()
 ) -> tuple[int, DataFrame, DataFrame]:
     """Scale, then choose the number of components by cross-validated forest accuracy.
 
-    Returns ``(k, scores per k, rows with components)``.
+    Returns ``(k, scores per k, rows with components)``; the rows carry ``keep`` and ``label``.
     """
-    data = _vectors(df, columns, target).select("features", "label").persist()
+    data = _vectors(df, columns, target, keep).select(*keep, "features", "label")
+    data = fold_of(data.withColumn("__values", vector_to_array("features")), folds, "__values", "label").drop("__values").persist()
     try:
         ks = list(ks or range(2, min(50, len(columns)) + 1))
         pca = PCA(inputCol="scaled", outputCol="components")
@@ -188,28 +199,37 @@ def pca_optimize(
         stages = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True), pca, rf])
         cv = CrossValidator(
             estimator=stages, estimatorParamMaps=ParamGridBuilder().addGrid(pca.k, ks).build(),
-            evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), numFolds=folds, seed=seed, parallelism=4,
+            evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), numFolds=folds, foldCol="fold", seed=seed, parallelism=4,
         )
         fitted = cv.fit(data)
         scores = df.sparkSession.createDataFrame([(k, float(s)) for k, s in zip(ks, fitted.avgMetrics)], "k int, accuracy double")
         best = ks[max(range(len(ks)), key=lambda i: fitted.avgMetrics[i])]
-        return best, scores, fitted.bestModel.transform(data).select("label", "components")
+        return best, scores, fitted.bestModel.transform(data).select(*keep, "label", "components")
     finally:
         data.unpersist()
 
 
-def feature_workflow(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, n: int = 8, k: int = 3, trees: int = 20) -> DataFrame:
-    """Numeric, categorical and interaction features, selection of ``n`` of them and ``k`` principal components."""
-    out = numeric_transforms(df.select(*numeric, *categorical, target), numeric)
-    out = numeric_interactions(out, numeric)
-    out = categorical_interactions(out, categorical)
-    for c in [*categorical, *[f"{a}_x_{b}" for i, a in enumerate(categorical) for b in categorical[i + 1 :]]]:
-        out = freq_encode(out, c)
-    features = [c for c in numeric_columns(out) if c != target]
-    out = measured(out.drop(*string_columns(out.drop(target))))
+def feature_workflow(
+    df: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str], target: str, n: int = 8, ks: Sequence[int] | None = None,
+    folds: int = 5, trees: int = 100,
+) -> tuple[DataFrame, DataFrame]:
+    """Engineer, select and reduce features; returns ``(rows, scores per number of components)``.
+
+    Numeric columns get transforms, interactions and quantile bins; categories and their pairs get counts, frequencies,
+    smoothed means of the (numeric) target and, with few values, 0/1 columns. ``n`` features are selected and reduced
+    to the searched number of components. Every row with a target is kept with its ``key``, the selected features,
+    the target and the components; undefined features (a logarithm of a negative number) count as the column's mean.
+    """
+    out = impute_mean_mode(df.select(key, *numeric, *categorical, target).filter(F.col(target).isNotNull()), numeric, categorical)
+    out = quantile_bins(numeric_interactions(numeric_transforms(out, numeric), numeric), numeric)
+    out = measured(categorical_interactions(out, categorical))
+    pairs = [f"{a}_x_{b}" for i, a in enumerate(categorical) for b in categorical[i + 1 :]]
+    for c in [*categorical, *pairs]:
+        out = target_encode(freq_encode(count_encode(out, c), c), c, target)
+    for c in categorical:
+        out = one_hot(out, c)
+    features = [c for c in numeric_columns(out) if c not in (key, target)]
+    out = measured(out.select(key, target, *[F.col(f"`{c}`") for c in features]))
     chosen = [r["feature"] for r in select_features(out, features, target, n, trees, step=0.3).collect()]  # n names
-    vectors = _vectors(out, chosen, target)
-    stages = Pipeline(
-        stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=True), PCA(k=k, inputCol="scaled", outputCol="components")]
-    )
-    return stages.fit(vectors).transform(vectors).select(*chosen, F.col("__t").alias(target), "components")
+    _, scores, rows = pca_optimize(out, chosen, target, ks, folds, trees, keep=[key, target, *chosen])
+    return rows.drop("label"), scores

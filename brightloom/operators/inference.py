@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import safe_ratio
 from brightloom.functions.pvalues import chi2_upper, f_upper, normal_two_sided, t_two_sided
-from brightloom.operators.ranking import running_totals, split_row_number, value_ranges, with_stats
+from brightloom.operators.ranking import dense_ranks, range_count, running_totals, split_row_number, value_ranges, with_stats
 from brightloom.session import measured
 
 
@@ -152,32 +152,31 @@ def pearson_spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     return out.withColumns({"pearson_p": p(F.col("pearson")), "spearman_p": p(F.col("spearman"))})
 
 
-def kendall_tau(df: DataFrame, x: str, y: str, max_levels: int = 10_000) -> DataFrame:
-    """Kendall's τ-b of two ordinal columns: ``(n, concordant, discordant, tau, p)``.
+def kendall_tau(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Kendall's τ-b of two ordered columns: ``(n, concordant, discordant, tau, p)``.
 
-    Counts per (x, y) cell are summed over all smaller x, then over smaller and larger y, by windows on the
-    dense grid of levels; pairs of rows or cells are never formed. Bin continuous columns first.
+    Pairs are counted by bits of the rank of y: two different ranks first differ in one bit, so a pair is ordered by that
+    bit among the cells that share the bits above it. Per bit and shared prefix, counts per x are summed over all smaller x
+    by split running totals. The work is the number of (x, y) cells times the bits of the number of levels; pairs
+    are never formed.
     """
-    cells = measured(
-        df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(
-            F.count("*").cast("double").alias("n")
-        )
-    )
-    levels = cells.agg(F.collect_set("y")).scalar()
-    checked = F.when(F.size(levels) <= max_levels, levels).otherwise(
-        F.raise_error(F.lit(f"more than {max_levels} levels; bin the column first"))
+    cells = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").cast("double").alias("n"))
+    cells = measured(cells)
+    xs, ys = measured(dense_ranks(cells, "x", "rx")), measured(dense_ranks(cells, "y", "ry"))
+    size = {"x": xs.count(), "y": ys.count()}
+    bits = max(1, (size["y"] - 1).bit_length())
+    ranked = cells.join(xs, "x").join(ys, "y").select("rx", "ry", "n", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))).alias("bit"))
+    one = F.expr("shiftright(ry, bit) & 1") == 1
+    sums = ranked.groupBy("bit", F.expr("shiftright(ry, bit + 1)").alias("prefix"), "rx").agg(
+        F.coalesce(F.sum(F.when(~one, F.col("n"))), F.lit(0.0)).alias("n0"), F.coalesce(F.sum(F.when(one, F.col("n"))), F.lit(0.0)).alias("n1")
     )
-    grid = cells.select("x").distinct().select("x", F.explode(checked).alias("y")).join(cells, ["x", "y"], "left")
-    grid = grid.withColumn("n", F.coalesce("n", F.lit(0.0)))
-    left = Window.partitionBy("y").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    grid = grid.withColumn("before", F.coalesce(F.sum("n").over(left), F.lit(0.0)))
-    below = Window.partitionBy("x").orderBy("y").rowsBetween(Window.unboundedPreceding, -1)
-    above = Window.partitionBy("x").orderBy("y").rowsBetween(1, Window.unboundedFollowing)
-    grid = grid.withColumns({"lo": F.sum("before").over(below), "hi": F.sum("before").over(above)})
-    out = grid.agg(
-        F.sum("n").alias("n"), F.coalesce(F.sum(F.col("n") * F.col("lo")), F.lit(0.0)).alias("concordant"),
-        F.coalesce(F.sum(F.col("n") * F.col("hi")), F.lit(0.0)).alias("discordant"),
+    spot = F.floor(F.col("rx") * range_count(cells.count()) / max(size["x"], 1))
+    ahead = running_totals(sums, [F.asc("rx")], spot, {"b0": F.col("n0"), "b1": F.col("n1")}, ["bit", "prefix"])
+    zero = F.lit(0.0)
+    pairs = ahead.agg(
+        F.struct(F.coalesce(F.sum(F.col("n1") * F.col("b0")), zero).alias("concordant"), F.coalesce(F.sum(F.col("n0") * F.col("b1")), zero).alias("discordant"))
     )
+    out = with_stats(cells.agg(F.sum("n").alias("n")), pairs, "pairs").select("n", "pairs.concordant", "pairs.discordant")
 
     def ties(c: str) -> DataFrame:
         t = F.col("t")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators import quality
 from brightloom.operators.anomaly import zscore_scale
-from brightloom.operators.features import importance_table, label_encode
+from brightloom.operators.features import fold_of, importance_table, label_encode
 from brightloom.operators.ranking import running_totals, value_ranges, with_stats
 from brightloom.session import measured
 
@@ -59,18 +59,19 @@ def tune_boosted_trees(
 ):
     """Random search over boosted trees by cross-validated ROC AUC, refitted on all rows.
 
-    Returns ``(model, trials)`` with one row per setting. ``budget`` settings × ``folds`` fits run
-    ``parallelism`` at a time.
+    Returns ``(model, trials)`` with one row per setting. ``budget`` settings × ``folds`` fits run ``parallelism`` at a time.
+    Missing features count as their column's mean; rows without a label are left out. Folds are dealt by the hash
+    of the row, so they don't depend on partitions.
     """
-    data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias("label")).na.drop()
-    ).select("features", "label").persist()
+    data = df.filter(F.col(label).isNotNull()).select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias("label"))
+    data = fold_of(quality.impute_mean_mode(data, list(columns), []), folds, *columns, "label")
+    data = VectorAssembler(inputCols=list(columns), outputCol="features").transform(data).select("features", "label", "fold").persist()
     try:
         gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed)
         space = list(settings or _search_space(budget, seed, max_trees))
         maps = [{gbt.getParam(k): v for k, v in s.items()} for s in space]
         cv = CrossValidator(
-            estimator=gbt, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"), numFolds=folds, seed=seed,
+            estimator=gbt, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"), numFolds=folds, foldCol="fold", seed=seed,
             parallelism=parallelism,
         )
         fitted = cv.fit(data)
@@ -149,7 +150,7 @@ def linear_regression(df: DataFrame, y: str, x: str) -> DataFrame:
 
 
 def multiple_regression(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """``(term, coefficient)`` of the least-squares fit, the intercept included."""
+    """``(term, coefficient)`` of the least-squares fit over complete rows, the intercept included."""
     d = VectorAssembler(inputCols=list(xs), outputCol="features").transform(df.select(*xs, y).na.drop())
     m = LinearRegression(featuresCol="features", labelCol=y, regParam=0.0).fit(d)
     rows = [("intercept", float(m.intercept)), *[(c, float(v)) for c, v in zip(xs, m.coefficients)]]

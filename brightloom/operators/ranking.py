@@ -62,7 +62,7 @@ ROWS_PER_RANGE = 200_000
 MOST_RANGES = 10_000
 
 
-def _range_count(rows: int) -> int:
+def range_count(rows: int) -> int:
     return max(16, min(MOST_RANGES, rows // ROWS_PER_RANGE))
 
 
@@ -73,7 +73,7 @@ def value_ranges(df: DataFrame, c: str, descending: bool = False, tie: str | Non
     their number grows with the rows. A value that is a split point has a range of its own; there the order
     continues by ``tie`` (ascending), so rows of one frequent value are split as well. Nulls come first (last if descending).
     """
-    n = ranges or _range_count(df.count())
+    n = ranges or range_count(df.count())
 
     def points(x: str):
         return F.percentile_approx(x, [i / n for i in range(1, n)], 10 * n)
@@ -102,7 +102,7 @@ def text_bucket(df: DataFrame, c: str, splits: int | None = None) -> Column:
     Split points are ``splits`` of the distinct values, drawn by hash (a top-n); by default their number grows with
     the rows. Fewer values need one bucket.
     """
-    splits = splits or _range_count(df.count())
+    splits = splits or range_count(df.count())
     drawn = df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(F.xxhash64(c), c).limit(splits).collect()
     if len(drawn) < splits:
         return F.lit(0)
@@ -128,6 +128,16 @@ def split_row_number(
     return out.withColumn(name, F.col(name) + 1)
 
 
+def dense_ranks(df: DataFrame, c: str, name: str) -> DataFrame:
+    """``(c, name)``: the distinct non-null values of ``c``, numbered from 0 in order, in independent ranges."""
+    levels = df.select(c).filter(F.col(c).isNotNull()).distinct()
+    if df.schema[c].dataType.typeName() == "string":
+        numbered = split_row_number(levels, [F.asc(c)], text_bucket(levels, c), (), name)
+    else:
+        numbered = split_row_number(value_ranges(levels, c), [F.asc(c)], F.col("__range"), (), name).drop("__range")
+    return numbered.withColumn(name, F.col(name) - 1)
+
+
 _ACCURACY = 10_000
 _MARGIN = 4 / _ACCURACY  # twice what two merged summaries of 1 / _ACCURACY can be off
 

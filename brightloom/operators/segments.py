@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -26,25 +27,35 @@ def segment_preprocess(df: DataFrame, numeric: Sequence[str], categorical: Seque
 
 
 def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
 def vectors_from_array(df: DataFrame, c: str) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(c).cast("array<double>")))
 
 
-def _best_kmeans(data: DataFrame, k: int, restarts: int, seed: int) -> KMeansModel:
-    fits = [KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="segment").fit(data) for i in range(restarts)]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def _fits(data: DataFrame, ks: Sequence[int], restarts: int, seed: int, parallelism: int) -> dict[int, KMeansModel]:
+    """The model with the lowest cost of ``restarts`` per k; fits are Spark jobs, ``parallelism`` at a time."""
 
+    def fit(task: tuple[int, int]) -> tuple[int, KMeansModel]:
+        k, i = task
+        return k, KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="segment").fit(data)
 
-def optimal_clusters(df: DataFrame, ks: Sequence[int] = range(2, 11), restarts: int = 1, seed: int = 42) -> DataFrame:
+    best: dict[int, KMeansModel] = {}
+    with ThreadPool(parallelism) as pool:
+        for k, model in pool.map(fit, [(int(k), i) for k in ks for i in range(restarts)]):
+            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+                best[k] = model
+    return best
+
+
+def optimal_clusters(df: DataFrame, ks: Sequence[int] = range(2, 11), restarts: int = 10, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """``(k, silhouette, best)``: squared-Euclidean silhouette of the k-means fit per k over all rows; the first
     maximum is best."""
     data = df.select("features").persist()
     try:
         judge = ClusteringEvaluator(predictionCol="segment", featuresCol="features")
-        scores = [(int(k), float(judge.evaluate(_best_kmeans(data, k, restarts, seed).transform(data)))) for k in ks]
+        scores = [(k, float(judge.evaluate(m.transform(data)))) for k, m in _fits(data, ks, restarts, seed, parallelism).items()]
     finally:
         data.unpersist()
     top = max(s for _, s in scores)
@@ -52,11 +63,11 @@ def optimal_clusters(df: DataFrame, ks: Sequence[int] = range(2, 11), restarts:
     return df.sparkSession.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette double, best boolean")
 
 
-def kmeans_segments(df: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> DataFrame:
+def kmeans_segments(df: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """Add ``segment`` of the restart with the lowest cost."""
     data = df.select("features").persist()
     try:
-        model = _best_kmeans(data, k, restarts, seed)
+        model = _fits(data, [k], restarts, seed, parallelism)[k]
     finally:
         data.unpersist()
     return model.transform(df)

@@ -57,14 +57,14 @@ def model_preprocess(spark, sf):
 
 @query("tune_boosted_trees")
 def tune_boosted_trees(spark, sf):
-    _, trials = md.tune_boosted_trees(lines(spark, sf), NUM, "returned", folds=2, settings=SETTINGS)
+    _, trials = md.tune_boosted_trees(lines(spark, sf), NUM, "returned", settings=SETTINGS)
     return trials.withColumn("auc", rounded("auc"))
 
 
 @query("feature_importance_table")
 def feature_importance_table(spark, sf):
     d = lines(spark, sf)
-    model, _ = md.tune_boosted_trees(d, NUM, "returned", folds=2, settings=SETTINGS[:1])
+    model, _ = md.tune_boosted_trees(d, NUM, "returned", settings=SETTINGS[:1])
     return md.feature_importance_table(d, NUM, model).withColumn("importance", rounded("importance"))
 
 
@@ -118,7 +118,24 @@ def linear_regression(spark, sf):
     return out.select(rounded("slope").alias("slope"), rounded("intercept").alias("intercept"), rounded("r2", 6).alias("r2"), "n")
 
 
-@query("multiple_regression")
+_XS = ("l_quantity", "l_discount", "l_tax")
+_DEV = ", ".join([f"{c} - avg({c}) OVER () AS d{i}" for i, c in enumerate((*_XS, "l_extendedprice"))])
+_MOM = ", ".join(f"sum(d{i} * d{j}) AS s{i}{j}" for i in range(4) for j in range(i, 4))
+
+
+def _det(col: int | None) -> str:
+    """Determinant of the 3x3 matrix of moments, with column ``col`` replaced by the moments with the target."""
+    m = [[f"s{min(i, j)}{max(i, j)}" if j != col else f"s{i}3" for j in range(3)] for i in range(3)]
+    terms = [f"{m[0][a]} * ({m[1][b]} * {m[2][c]} - {m[1][c]} * {m[2][b]})" for a, b, c in ((0, 1, 2), (1, 2, 0), (2, 0, 1))]
+    return "(" + " + ".join(terms) + ")"
+
+
+@query(
+    "multiple_regression",
+    f"""WITH d AS (SELECT {_DEV} FROM lineitem), m AS (SELECT {_MOM} FROM d), b AS (SELECT {", ".join(f"{_det(i)} / {_det(None)} AS b{i}" for i in range(3))} FROM m),
+        i AS (SELECT avg(l_extendedprice) - {" - ".join(f"any_value(b{i}) * avg({c})" for i, c in enumerate(_XS))} AS b FROM lineitem, b)
+        SELECT 'intercept' AS term, round(b, 4) AS coefficient FROM i {" ".join(f"UNION ALL SELECT '{c}', round(b{i}, 4) FROM b" for i, c in enumerate(_XS))}""",
+)
 def multiple_regression(spark, sf):
     out = md.multiple_regression(table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
     return out.withColumn("coefficient", rounded("coefficient"))
@@ -126,5 +143,5 @@ def multiple_regression(spark, sf):
 
 @query("modelling_workflow")
 def modelling_workflow(spark, sf):
-    out = md.modelling_workflow(lines(spark, sf), "line_id", NUM, ["l_linestatus"], "returned", settings=SETTINGS[:1], folds=2)
+    out = md.modelling_workflow(lines(spark, sf), "line_id", NUM, ["l_linestatus"], "returned", settings=SETTINGS[:1])
     return out.withColumn("value", rounded("value"))

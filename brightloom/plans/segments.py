@@ -57,9 +57,9 @@ def optimal_clusters(spark, sf):
 
 @query("kmeans_segments")
 def kmeans_segments(spark, sf):
-    a = sg.kmeans_segments(vectors(spark, sf), 4, restarts=3).select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), "segment")
+    a = sg.kmeans_segments(vectors(spark, sf), 4).select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), "segment")
     e = sg.vectors_from_array(table(spark, sf, "embeddings"), "embedding")
-    b = sg.kmeans_segments(e, 10, restarts=2).select(F.lit("embeddings").alias("source"), F.col("vec_id").alias("id"), "segment")
+    b = sg.kmeans_segments(e, 10).select(F.lit("embeddings").alias("source"), F.col("vec_id").alias("id"), "segment")
     return a.unionByName(b)
 
 
@@ -99,13 +99,20 @@ def segment_feature_importance(spark, sf):
     return sg.segment_feature_importance(regions(spark, sf), "segment", NUM).withColumn("importance", rounded("importance", 6))
 
 
-@query("save_segments")
+@query(
+    "save_segments",
+    """SELECT count(*) AS n_rows, count(*) AS profile_rows, count(*) AS n_components, CAST(4 AS BIGINT) AS n_segments, CAST(100.0 AS DOUBLE) AS pct FROM customer""",
+)
 def save_segments(spark, sf):
-    rows = measured(sg.pca_2d(sg.kmeans_segments(vectors(spark, sf), 4, restarts=2)).drop("features"))
+    rows = measured(sg.pca_2d(sg.kmeans_segments(vectors(spark, sf), 4)).drop("features"))
     keep = rows.select("c_custkey", *NUM, *CAT, F.col("segment").alias("Segment"))
     comps = rows.select("c_custkey", "pc1", "pc2")
     paths = sg.save_segments(keep, comps, sg.segment_profiles(rows, "segment", NUM, CAT), fresh_path(spark, "segments"))
-    out = readers.scan_csv(spark, paths["rows"], keep.schema).groupBy("Segment").agg(F.count("*").alias("n_rows"))
-    prof = readers.scan_json(spark, paths["profiles"]).select(F.col("segment").alias("Segment"), F.col("size").alias("profile_size"))
-    pcs = readers.scan_csv(spark, paths["components"], comps.schema).join(keep, "c_custkey").groupBy("Segment").agg(F.count("pc1").alias("n_components"))
-    return out.join(prof, "Segment").join(pcs, "Segment")
+    # what was written, read back: every row once, every segment with its profile
+    prof = readers.scan_json(spark, paths["profiles"]).select(F.col("segment").alias("Segment"), F.col("size").alias("profile_size"), F.col("pct").cast("double").alias("pct"))
+    pcs = readers.scan_csv(spark, paths["components"], comps.schema)
+    out = readers.scan_csv(spark, paths["rows"], keep.schema).join(pcs, "c_custkey").groupBy("Segment").agg(F.count("*").alias("n_rows"), F.count("pc1").alias("n_pc"))
+    return out.join(prof, "Segment").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("profile_size").cast("long").alias("profile_rows"), F.sum("n_pc").alias("n_components"),
+        F.count("*").alias("n_segments"), rounded(F.sum("pct"), 6).alias("pct"),
+    )
