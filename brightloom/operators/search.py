@@ -7,8 +7,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,52 +74,73 @@ def knn_search(
 ) -> DataFrame:
     """Exact ``n`` nearest index rows per query by squared L2: ``(query key, rank, key, distance)``.
 
-    Queries travel to the tasks in blocks of at most ``block`` vectors (their count is checked, not assumed);
-    the index is never shuffled: each task keeps the ``n`` best of its rows per query, and only those
-    candidates are merged. Ties go to the smaller key.
+    Queries travel to the tasks in blocks of about ``block`` vectors; the index is never shuffled: each task keeps the
+    ``n`` best of its rows per query, and only those candidates are merged. Ties go to the smaller key; rows without a
+    vector are left out. For very many queries use ``knn_search_lsh``.
     """
     spark = index.sparkSession
-    q = queries.select(F.col(query_key).alias("qk"), F.col(vector).cast("array<double>").alias("v")).orderBy("qk")
-    count = queries.count()
-    blocks = max(1, -(-count // block))
+    q = queries.select(F.col(query_key).alias("qk"), F.col(vector).cast("array<double>").alias("v")).filter("v IS NOT NULL")
+    blocks = max(1, -(-q.count() // block))
     key_type = index.schema[key].dataType.simpleString()
     q_type = queries.schema[query_key].dataType.simpleString()
-    out = None
+    rows = index.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v")).filter("v IS NOT NULL")
+    parts = []
     for b in range(blocks):
-        part = q if blocks == 1 else q.filter(F.pmod(F.xxhash64("qk"), F.lit(blocks)) == b)
-        rows = part.collect()  # about `block` vectors
-        if not rows:
+        part = (q if blocks == 1 else q.filter(F.pmod(F.xxhash64("qk"), F.lit(blocks)) == b)).toArrow()  # about `block` vectors
+        if not part.num_rows:
             continue
-        shared = spark.sparkContext.broadcast(([r["qk"] for r in rows], np.array([r["v"] for r in rows])))
+        shared = spark.sparkContext.broadcast((part.column("qk").to_numpy(), np.stack(part.column("v").to_numpy(zero_copy_only=False))))
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             names, m = shared.value
-            best_d = np.full((len(names), 0), np.inf)
-            best_k = None
-            for pdf in batches:
-                x = np.stack(pdf["v"].to_numpy()).astype(float)
-                for s in range(0, len(x), 1024):
-                    xs, ks = x[s : s + 1024], pdf["k"].to_numpy()[s : s + 1024]
-                    d = np.stack([((xs - row) ** 2).sum(axis=1) for row in m])
-                    all_d = np.hstack([best_d, d])
-                    ks = np.broadcast_to(ks, d.shape)
-                    all_k = ks if best_k is None else np.hstack([best_k, ks])
-                    order = np.stack([np.lexsort((all_k[i], all_d[i]))[:n] for i in range(len(names))])
-                    best_d = np.take_along_axis(all_d, order, axis=1)
-                    best_k = np.take_along_axis(all_k, order, axis=1)
-            if best_d.shape[1]:
+            squares = (m * m).sum(axis=1)[:, None]
+            best_d, best_k = np.full((len(names), 0), np.inf), None
+            for pdf in filter(len, batches):
+                x, ks = np.stack(pdf["v"].to_numpy()), pdf["k"].to_numpy()
+                # ranking by the matrix form, then exact distances of the few that are near enough
+                rough = np.maximum(squares - 2 * (m @ x.T) + (x * x).sum(axis=1)[None, :], 0)
+                keep = min(n + 8, len(x))
+                at = np.argpartition(rough, keep - 1, axis=1)[:, :keep]
+                d = ((x[at] - m[:, None, :]) ** 2).sum(axis=2)
+                all_d = np.hstack([best_d, d])
+                all_k = ks[at] if best_k is None else np.hstack([best_k, ks[at]])
+                order = np.lexsort((all_k, all_d), axis=1)[:, :n]
+                best_d, best_k = np.take_along_axis(all_d, order, axis=1), np.take_along_axis(all_k, order, axis=1)
+            if best_k is not None:
                 w = best_d.shape[1]
-                yield pd.DataFrame({"qk": np.repeat(np.array(names, dtype=object), w), "k": best_k.ravel(), "distance": best_d.ravel()})
+                yield pd.DataFrame({"qk": np.repeat(names, w), "k": best_k.ravel(), "distance": best_d.ravel()})
 
-        found = index.select(F.col(key).alias("k"), F.col(vector).alias("v")).mapInPandas(search, f"qk {q_type}, k {key_type}, distance double")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = spark.createDataFrame([], f"qk {q_type}, k {key_type}, distance double")
+        parts.append(rows.mapInPandas(search, f"qk {q_type}, k {key_type}, distance double"))
+    out = parts[0] if parts else spark.createDataFrame([], f"qk {q_type}, k {key_type}, distance double")
+    for p in parts[1:]:
+        out = out.unionByName(p)
     w = Window.partitionBy("qk").orderBy("distance", "k")
     ranked = out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
     return ranked.select(F.col("qk").alias(query_key), "rank", F.col("k").alias("neighbor"), "distance")
 
 
+def knn_search_lsh(
+    queries: DataFrame, index: DataFrame, query_key: str, key: str, vector: str = "embedding", n: int = 5, width: float = 1.0, tables: int = 8,
+    seed: int = 42, max_distance: float = float("inf"),
+) -> DataFrame:
+    """Approximate ``n`` nearest index rows for any number of queries: same columns as ``knn_search``.
+
+    Queries and index rows meet in the buckets of ``tables`` random projections of bucket ``width`` (an equi-join, no side
+    is collected or broadcast by force); distances of the pairs that meet are exact.
+    """
+    to_vector = lambda df, k, name: df.filter(F.col(vector).isNotNull()).select(
+        F.col(k).alias(name), array_to_vector(F.col(vector).cast("array<double>")).alias("v")
+    )
+    q, rows = to_vector(queries, query_key, "qk"), to_vector(index, key, "k")
+    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=width, numHashTables=tables, seed=seed).fit(rows)
+    met = model.approxSimilarityJoin(q, rows, max_distance, distCol="root").select(
+        F.col("datasetA.qk").alias("qk"), F.col("datasetB.k").alias("k"), (F.col("root") * F.col("root")).alias("distance")
+    )
+    w = Window.partitionBy("qk").orderBy("distance", "k")
+    ranked = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return ranked.select(F.col("qk").alias(query_key), "rank", F.col("k").alias("neighbor"), "distance")
+
+
 def reindex_overwrite(chunks: DataFrame, path: str, partitions: Sequence[str] = ()) -> DataFrame:
     """Replace the whole index below ``path``; chunk ids are ``<source>_<chunk_id>``."""
     keyed = chunks.withColumn("id", F.concat(F.col("source").cast("string"), F.lit("_"), F.col("chunk_id").cast("string")))

@@ -22,9 +22,19 @@ def chunk_documents(spark, sf):
     return search.chunk_stride(table(spark, sf, "documents"), "doc_id", "text")
 
 
-@query("chunk_documents_boundary")
+@query(
+    "chunk_documents_boundary",
+    """SELECT doc_id AS source, length(text) AS n_chars, md5(text) AS text_md5, true AS bounded, true AS complete FROM documents""",
+)
 def chunk_documents_boundary(spark, sf):
-    return search.chunk_boundary(table(spark, sf, "documents"), "doc_id", "text")
+    """The chunks of every document put together again without their overlaps, with their bounds."""
+    chunks = search.chunk_boundary(table(spark, sf, "documents"), "doc_id", "text")
+    own = F.when(F.col("chunk_id") == 0, F.col("chunk")).otherwise(F.substring("chunk", search.OVERLAP + 1, search.CHUNK))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_id", own.alias("own")))), lambda c: c["own"]), "")
+    back = chunks.groupBy("source").agg(
+        whole.alias("t"), (F.max(F.length("chunk")) <= search.CHUNK).alias("bounded"), (F.count("*") == F.max("total_chunks")).alias("complete")
+    )
+    return back.select("source", F.length("t").cast("long").alias("n_chars"), F.md5("t").alias("text_md5"), "bounded", "complete")
 
 
 @query("embed_text")
@@ -50,6 +60,20 @@ def knn_search(spark, sf):
     return out.withColumn("distance", rounded("distance", 6))
 
 
+@query(
+    "knn_search_lsh",
+    """SELECT count(*) AS n_queries, true AS recall_reached, true AS ranks_complete FROM embeddings WHERE vec_id % 100 = 0""",
+)
+def knn_search_lsh(spark, sf):
+    """Every row whose id is divisible by 100 against the whole index; recall against the exact search."""
+    e = table(spark, sf, "embeddings")
+    q = e.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "qid")
+    exact = search.knn_search(q, e, "qid", "vec_id", n=5)
+    found = search.knn_search_lsh(q, e, "qid", "vec_id", n=5, width=2.0, tables=12)
+    both = exact.join(found.select("qid", "neighbor", F.lit(1).alias("hit")), ["qid", "neighbor"], "left").groupBy("qid").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"), F.count("*").alias("n"))
+    return both.agg(F.count("*").alias("n_queries"), (F.avg("recall") >= 0.9).alias("recall_reached"), F.every(F.col("n") == 5).alias("ranks_complete"))
+
+
 @query(
     "reindex_overwrite",
     """SELECT lang, CAST(sum(greatest(ceil((length(text) - 200) / 800), 1)) AS BIGINT) AS n_chunks, count(*) AS n_sources FROM documents GROUP BY lang""",

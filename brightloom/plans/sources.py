@@ -51,10 +51,41 @@ def register_table(spark, sf):
     return spark.table("bl_part").groupBy("p_brand").agg(F.count("*").alias("n_parts"))
 
 
-@query("table_catalog")
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+    "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
+def _catalog_sql() -> str:
+    rows = []
+    for name, columns in _COLUMNS.items():
+        for i, (c, t) in enumerate(x.split(" ") for x in columns.split(", ")):
+            values = "nullif(list(0::VARCHAR), list(0::VARCHAR))" if t.startswith("array") else f"list(CAST(k.{c} AS VARCHAR))"
+            rows.append(
+                f"""SELECT '{name}' AS "table", '{c}' AS "column", {i} AS position, '{t}' AS type, {values} AS sample_values FROM (SELECT * FROM {name} ORDER BY ALL LIMIT 3) k"""
+            )
+    return " UNION ALL ".join(rows)
+
+
+@query("table_catalog", _catalog_sql())
 def table_catalog(spark, sf):
-    names = ("region nation customer supplier part orders lineitem events documents labels conversations").split()
-    return readers.table_catalog({n: table(spark, sf, n) for n in names})
+    """All tables; vectors are listed without their sample, as engines print floats differently."""
+    out = readers.table_catalog({n: table(spark, sf, n) for n in _COLUMNS})
+    return out.withColumn("sample_values", F.when(~F.startswith("type", F.lit("array")), F.col("sample_values")))
 
 
 @query(

@@ -56,18 +56,19 @@ def run_sql(spark: SparkSession, sql: str, args: dict[str, Any] | None = None) -
 
 
 def table_catalog(tables: dict[str, DataFrame], samples: int = 3) -> DataFrame:
-    """One row per table column: table, column, position, type and up to ``samples`` values."""
+    """One row per table column: table, column, position, type and the values of the ``samples`` smallest rows.
+
+    Rows are ordered by all columns from the left, so every run shows the same sample (a top-n, no full sort).
+    """
     parts = []
     for name, df in tables.items():
         cols = df.columns
-        head = df.limit(samples).select(
-            *[F.collect_list(F.col(c).cast("string")).alias(c) for c in cols]
-        )
+        head = df.orderBy(*cols).limit(samples).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("rows"))
         meta = F.array(
             *[
                 F.struct(
                     F.lit(name).alias("table"), F.lit(c).alias("column"), F.lit(i).alias("position"),
-                    F.lit(t).alias("type"), F.col(c).alias("sample_values"),
+                    F.lit(t).alias("type"), F.col("rows").getField(c).cast("array<string>").alias("sample_values"),
                 )
                 for i, (c, t) in enumerate(df.dtypes)
             ]
