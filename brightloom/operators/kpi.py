@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.operators.timeseries import daily, pct_change, resample_month, rolling_mean_std
+from brightloom.session import measured
 
 
 def daily_sales(df: DataFrame, ts: str, value: str) -> DataFrame:
@@ -42,6 +45,22 @@ def retention_rate(df: DataFrame, ts: str, user: str) -> DataFrame:
     return calendar.join(rate, "month_end", "left").select("month_end", F.coalesce("rate", F.lit(0.0)).alias("retention_rate"))
 
 
+def order_kpis(df: DataFrame, ts: str, value: str, user: str) -> DataFrame:
+    """The five KPIs of a sales table, long: daily sales, their 7-day mean, monthly growth, daily active users, retention.
+
+    All are derived from one aggregate per day and user; the plan reuses its shuffle.
+    """
+    base = df.groupBy(F.to_date(F.col(ts)).alias("date"), F.col(user).alias("user")).agg(F.sum(value).alias("sales"), F.count("*").alias("n"))
+    per_day = base.groupBy("date").agg(F.sum("sales").alias("sales"), F.count("user").cast("double").alias("active"))
+    smooth = rolling_mean_std(per_day, "date", "sales", size=7).select("date", "rolling_mean")
+    growth = pct_change(resample_month(per_day, "date", "sales"), "month_end", "total", "growth").select("month_end", "growth")
+    per_month = base.filter(F.col("user").isNotNull()).groupBy(F.last_day("date").alias("date"), "user").agg(F.sum("n").alias("n"))
+    kept = per_month.groupBy("date").agg((F.avg((F.col("n") >= 2).cast("double")) * 100).alias("rate"))
+    return long_kpis(
+        {"daily_sales": per_day.select("date", "sales"), "sales_ma_7d": smooth, "mom_growth": growth, "daily_active": per_day.select("date", "active"), "retention_rate": kept}
+    )
+
+
 def long_kpis(series: dict[str, DataFrame]) -> DataFrame:
     """Stack ``(date, value)`` frames (first column the date) into the long KPI table, nulls left out."""
     out = None
@@ -53,18 +72,18 @@ def long_kpis(series: dict[str, DataFrame]) -> DataFrame:
 
 
 def kpi_trend_stats(kpis: DataFrame, last: int = 7) -> DataFrame:
-    """Per KPI: current, previous, change %, mean, sample std, last values (oldest first)."""
-    recent = kpi_recent(kpis, max(last, 2))
-    heads = recent.groupBy("kpi").agg(
+    """Per KPI: current, previous, change %, mean, sample std, last values (oldest first), in one grouped pass."""
+    w = Window.partitionBy("kpi").orderBy(F.desc("date"))
+    recent = F.when(F.col("rank") <= last, F.struct("date", "value"))
+    out = kpis.withColumn("rank", F.row_number().over(w)).groupBy("kpi").agg(
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.count("*").alias("n"),
         F.max(F.when(F.col("rank") == 1, F.col("value"))).alias("current"),
         F.max(F.when(F.col("rank") == 2, F.col("value"))).alias("previous"),
-        F.transform(
-            F.array_sort(F.collect_list(F.when(F.col("rank") <= last, F.struct("date", "value")))), lambda s: s["value"]
-        ).alias("last_values"),
+        F.transform(F.array_sort(F.collect_list(recent)), lambda s: s["value"]).alias("last_values"),
     )
-    whole = kpis.groupBy("kpi").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.count("*").alias("n"))
-    change = F.when(F.col("previous") != 0, (F.col("current") / F.col("previous") - 1) * 100)
-    return whole.join(heads, "kpi").withColumn("change_pct", change)
+    return out.withColumn("change_pct", F.when(F.col("previous") != 0, (F.col("current") / F.col("previous") - 1) * 100))
 
 
 def kpi_recent(kpis: DataFrame, n: int = 30) -> DataFrame:
@@ -89,43 +108,54 @@ def kpi_correlations(kpis: DataFrame, names: list[str]) -> DataFrame:
     return row.select(F.inline(F.array(*[f"p{i}" for i in range(len(pairs))])))
 
 
+# Seasonal lengths in days and the number of sine and cosine pairs for each.
+SEASONS = ((7.0, 3), (365.25, 5))
+
+
+def _design(day: Column, span: Column) -> Column:
+    """Constant, trend and seasonal terms of a day; a season counts where the series covers it twice."""
+    terms = [F.lit(1.0), day / span]
+    for length, order in SEASONS:
+        for k in range(1, order + 1):
+            turn = day * (2 * math.pi * k / length)
+            terms += [F.when(span >= 2 * length, f(turn)).otherwise(F.lit(0.0)) for f in (F.sin, F.cos)]
+    return F.array(*terms)
+
+
 def kpi_forecast(kpis: DataFrame, periods: int = 30, z: float = 1.96) -> DataFrame:
-    """Trend plus weekly and yearly seasonality by least squares, ``periods`` days ahead, with bounds.
+    """Least-squares trend with weekly and yearly seasons of every KPI: ``(kpi, date, actual, forecast, lower, upper)``.
 
-    One KPI series holds one row per day, so a group is bounded by the calendar, not by the data size.
+    Fitted history rows and ``periods`` days ahead (``actual`` null). Spark sums the normal equations of all KPIs at
+    once; only the solution of one small system per KPI runs in a function.
     """
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        pdf = pdf.sort_values("date")
-        days = pd.to_datetime(pdf["date"])
-        start, span = days.iloc[0], max((days.iloc[-1] - days.iloc[0]).days, 1)
-
-        def design(t):
-            cols = [np.ones(len(t)), t / span]
-            for length, order in ((7.0, 3), (365.25, 5)):
-                if span >= 2 * length:
-                    for k in range(1, order + 1):
-                        cols += [np.sin(2 * np.pi * k * t / length), np.cos(2 * np.pi * k * t / length)]
-            return np.column_stack(cols)
-
-        t = (days - start).dt.days.to_numpy(float)
-        y = pdf["value"].to_numpy(float)
-        x = design(t)
-        coef, *_ = np.linalg.lstsq(x, y, rcond=None)
-        resid = y - x @ coef
-        sd = float(np.sqrt((resid**2).sum() / max(len(y) - np.linalg.matrix_rank(x), 1)))
-        ahead = t[-1] + np.arange(1, periods + 1)
-        yhat = design(ahead) @ coef
-        return pd.DataFrame(
-            {
-                "kpi": pdf["kpi"].iloc[0], "date": [(start + pd.Timedelta(days=int(d))).date() for d in ahead],
-                "forecast": yhat, "lower": yhat - z * sd, "upper": yhat + z * sd,
-            }
-        )
-
-    return kpis.groupBy("kpi").applyInPandas(fit, "kpi string, date date, forecast double, lower double, upper double")
+    kpis = measured(kpis)  # one row per period, read by several steps
+    ends = kpis.groupBy("kpi").agg(F.min("date").alias("start"), F.max("date").alias("stop"))
+    ends = ends.withColumn("span", F.greatest(F.date_diff("stop", "start"), F.lit(1)).cast("double"))
+    rows = kpis.join(ends, "kpi").withColumn("x", _design(F.date_diff("date", "start").cast("double"), F.col("span")))
+    size = 2 + 2 * sum(order for _, order in SEASONS)
+    products = F.concat(F.flatten(F.transform("x", lambda a: F.transform("x", lambda b: a * b))), F.transform("x", lambda a: a * F.col("value")))
+    sums = rows.select("kpi", F.posexplode(products).alias("at", "v")).groupBy("kpi", "at").agg(F.sum("v").alias("v"))
+    systems = sums.groupBy("kpi").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda s: s["v"]).alias("m"))
+
+    @F.pandas_udf("array<double>")
+    def solve(m: pd.Series) -> pd.Series:
+        return m.map(lambda a: np.linalg.lstsq(np.asarray(a)[: size * size].reshape(size, size), np.asarray(a)[size * size :], rcond=1e-12)[0])
+
+    solved = measured(systems.select("kpi", solve("m").alias("coef")).join(ends, "kpi"))
+    dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+    used = F.lit(2.0)
+    for length, order in SEASONS:
+        used = used + F.when(F.col("span") >= 2 * length, F.lit(2.0 * order)).otherwise(F.lit(0.0))
+    fitted = rows.select("kpi", "date", F.col("value").alias("actual"), "x").join(solved.select("kpi", "coef", "span"), "kpi")
+    fitted = fitted.select("kpi", "date", "actual", dot.alias("forecast"), used.alias("terms"))
+    error = fitted.groupBy("kpi").agg(
+        F.sqrt(F.sum(F.pow(F.col("actual") - F.col("forecast"), F.lit(2.0))) / F.greatest(F.count("*") - F.max("terms"), F.lit(1.0))).alias("sd")
+    )
+    ahead = solved.select("kpi", "coef", "start", "span", F.explode(F.sequence(F.date_add("stop", 1), F.date_add("stop", periods))).alias("date"))
+    ahead = ahead.withColumn("x", _design(F.date_diff("date", "start").cast("double"), F.col("span")))
+    both = fitted.drop("terms").unionByName(ahead.select("kpi", "date", F.lit(None).cast("double").alias("actual"), dot.alias("forecast")))
+    out = both.join(error, "kpi")
+    return out.select("kpi", "date", "actual", "forecast", (F.col("forecast") - z * F.col("sd")).alias("lower"), (F.col("forecast") + z * F.col("sd")).alias("upper"))
 
 
 def kpi_rules(stats: DataFrame, drop_pct: float = 10.0, sigmas: float = 2.0) -> DataFrame:

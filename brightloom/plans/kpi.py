@@ -20,8 +20,10 @@ _KPIS = """d AS (SELECT CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) AS
  m AS (SELECT c.date, coalesce(s.total, 0) AS total FROM c LEFT JOIN (SELECT last_day(date) AS date, sum(sales) AS total FROM d GROUP BY 1) s
         ON s.date = c.date),
  g AS (SELECT date, (total / nullif(lag(total) OVER (ORDER BY date), 0) - 1) * 100 AS value FROM m),
+ au AS (SELECT CAST(o_orderdate AS DATE) AS date, CAST(count(DISTINCT o_custkey) AS DOUBLE) AS value FROM orders GROUP BY 1),
+ rt AS (SELECT date, avg(CASE WHEN n >= 2 THEN 1.0::DOUBLE ELSE 0 END) * 100 AS value FROM (SELECT last_day(o_orderdate) AS date, o_custkey, count(*) AS n FROM orders GROUP BY ALL) GROUP BY 1),
  kpis AS (SELECT * FROM (SELECT 'daily_sales' AS kpi, date, sales AS value FROM d UNION ALL SELECT 'sales_ma_7d', date, value FROM ma
-        UNION ALL SELECT 'mom_growth', date, value FROM g) WHERE value IS NOT NULL)"""
+        UNION ALL SELECT 'mom_growth', date, value FROM g UNION ALL SELECT 'daily_active', date, value FROM au UNION ALL SELECT 'retention_rate', date, value FROM rt) WHERE value IS NOT NULL)"""
 
 _STATS = f"""WITH {_KPIS},
  r AS (SELECT *, row_number() OVER (PARTITION BY kpi ORDER BY date DESC) AS rank FROM kpis),
@@ -32,13 +34,7 @@ _STATS = f"""WITH {_KPIS},
 
 
 def order_kpis(spark, sf):
-    o = table(spark, sf, "orders")
-    return kpi.long_kpis(
-        {
-            "daily_sales": kpi.daily_sales(o, *O), "sales_ma_7d": kpi.sales_ma_7d(o, *O),
-            "mom_growth": kpi.mom_growth(o, *O).select("month_end", "growth"),
-        }
-    )
+    return kpi.order_kpis(table(spark, sf, "orders"), *O, "o_custkey")
 
 
 @query("daily_sales", "SELECT CAST(o_orderdate AS DATE) AS date, round(sum(o_totalprice), 2) AS sales FROM orders GROUP BY 1")
@@ -107,9 +103,21 @@ def kpi_correlations(spark, sf):
     return out.withColumn("r", rounded("r", 6))
 
 
-@query("kpi_forecast")
+@query(
+    "kpi_forecast",
+    f"""WITH {_KPIS}, hist AS (SELECT kpi, count(*) AS n_history, max(date) AS last, sum(value) AS total FROM kpis GROUP BY kpi)
+        SELECT kpi, n_history, CAST(30 AS BIGINT) AS n_ahead, CAST(last + INTERVAL 30 DAY AS DATE) AS until, round(total / n_history, 4) AS mean_actual,
+               round(total / n_history, 4) AS mean_fitted, true AS bounded FROM hist""",
+)
 def kpi_forecast(spark, sf):
-    return kpi.kpi_forecast(order_kpis(spark, sf).filter("kpi = 'daily_sales'"), 30)
+    """Checked summary per KPI: a least-squares fit with a constant meets the mean of its history."""
+    out = kpi.kpi_forecast(order_kpis(spark, sf), 30)
+    past = F.col("actual").isNotNull()
+    return out.groupBy("kpi").agg(
+        F.count_if(past).alias("n_history"), F.count_if(~past).alias("n_ahead"), F.max("date").alias("until"),
+        rounded(F.avg("actual")).alias("mean_actual"), rounded(F.avg(F.when(past, F.col("forecast")))).alias("mean_fitted"),
+        F.every((F.col("lower") <= F.col("forecast")) & (F.col("forecast") <= F.col("upper"))).alias("bounded"),
+    )
 
 
 @query(

@@ -46,9 +46,12 @@ def test_zscore_of_constant_column(spark):
 def test_forecast_follows_weekly_sine(spark):
     start = dt.date(2024, 1, 1)
     f = lambda i: 100 + 0.5 * i + 10 * math.sin(2 * math.pi * i / 7)
-    rows = [("k", start + dt.timedelta(days=i), f(i)) for i in range(140)]
+    rows = [(k, start + dt.timedelta(days=i), f(i) if k == "k" else 5.0) for i in range(140) for k in ("k", "flat")]
     out = kpi.kpi_forecast(spark.createDataFrame(rows, "kpi string, date date, value double"), 14).toPandas().sort_values("date")
-    assert out["forecast"].to_numpy() == pytest.approx([f(i) for i in range(140, 154)], abs=1e-6)
+    assert out[out["kpi"] == "flat"]["forecast"].to_numpy() == pytest.approx([5.0] * 154)
+    out = out[out["kpi"] == "k"]
+    assert out["forecast"].to_numpy() == pytest.approx([f(i) for i in range(154)], abs=1e-6)
+    assert out["actual"].notna().sum() == 140
     assert (out["lower"] <= out["forecast"] + 1e-9).all()
 
 

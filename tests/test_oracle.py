@@ -30,7 +30,7 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     rows = entry_points.entry(spark).collect()
-    assert {r["kpi"] for r in rows} == {"daily_sales", "sales_ma_7d", "mom_growth"}
+    assert {r["kpi"] for r in rows} == {"daily_sales", "sales_ma_7d", "mom_growth", "daily_active", "retention_rate"}
 
 
 def test_oracles_belong_to_queries():
