@@ -121,9 +121,9 @@ def categorical_numeric_relations(spark, sf):
     return out.select("category", "level", "column", "n", rounded("mean").alias("mean"), rounded("median").alias("median"))
 
 
-_NUM = ("c_nationkey", "c_acctbal")
-_STR = ("c_mktsegment",)
-_ALL = ("c_nationkey", "c_acctbal", "c_mktsegment")
+_NUM = ("c_custkey", "c_nationkey", "c_acctbal")
+_STR = ("c_name", "c_mktsegment")
+_ALL = (*_NUM, *_STR)
 
 
 @query(
@@ -140,28 +140,29 @@ _ALL = ("c_nationkey", "c_acctbal", "c_mktsegment")
         ]
         + [f"SELECT 'missing', '{c}', NULL, CAST(count(*) - count({c}) AS DOUBLE) FROM customer" for c in _ALL]
         + [f"SELECT 'distinct', '{c}', NULL, CAST(count(DISTINCT {c}) AS DOUBLE) FROM customer" for c in _ALL]
-        + ["(SELECT 'top', 'c_mktsegment', c_mktsegment, CAST(count(*) AS DOUBLE) FROM customer GROUP BY c_mktsegment ORDER BY count(*) DESC, c_mktsegment LIMIT 5)"]
+        + [f"(SELECT 'top', '{c}', {c}, CAST(count(*) AS DOUBLE) FROM customer GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 5)" for c in _STR]
         + ["SELECT 'correlation', a, b, round(r, 4) FROM (" + _corr_rows(_NUM, "customer") + ")"]
     ),
 )
 def data_profile(spark, sf):
-    return eda.data_profile(table(spark, sf, "customer").select(*_ALL)).withColumn("value", rounded("value"))
+    return eda.data_profile(table(spark, sf, "customer")).withColumn("value", rounded("value"))
 
 
 @query(
     "report_context",
     " UNION ALL ".join(
-        ["SELECT 'size' AS section, 'n_rows' AS item, CAST(count(*) AS VARCHAR) AS value FROM orders", "SELECT 'size', 'n_columns', '3'",
+        ["SELECT 'size' AS section, 'n_rows' AS item, CAST(count(*) AS VARCHAR) AS value FROM orders", "SELECT 'size', 'n_columns', '6'",
          "SELECT 'time', 'first', CAST(min(o_orderdate) AS VARCHAR) FROM orders", "SELECT 'time', 'last', CAST(max(o_orderdate) AS VARCHAR) FROM orders"]
         + [
             f"SELECT '{s}', '{i}', CAST(round({e}, 4) AS VARCHAR) FROM orders"
             for s, i, e in (
+                ("range", "o_orderkey_min", "min(o_orderkey)::DOUBLE"), ("range", "o_orderkey_max", "max(o_orderkey)::DOUBLE"), ("mean", "o_orderkey", "avg(o_orderkey)"),
                 ("range", "o_custkey_min", "min(o_custkey)::DOUBLE"), ("range", "o_custkey_max", "max(o_custkey)::DOUBLE"), ("mean", "o_custkey", "avg(o_custkey)"),
                 ("range", "o_totalprice_min", "min(o_totalprice)"), ("range", "o_totalprice_max", "max(o_totalprice)"), ("mean", "o_totalprice", "avg(o_totalprice)"),
             )
         ]
-        + [f"SELECT 'missing', '{c}', CAST(count(*) - count({c}) AS VARCHAR) FROM orders" for c in ("o_custkey", "o_totalprice", "o_orderdate")]
+        + [f"SELECT 'missing', '{c}', CAST(count(*) - count({c}) AS VARCHAR) FROM orders" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")]
     ),
 )
 def report_context(spark, sf):
-    return eda.report_context(table(spark, sf, "orders").select("o_custkey", "o_totalprice", "o_orderdate"), "o_orderdate")
+    return eda.report_context(table(spark, sf, "orders"), "o_orderdate")

@@ -60,19 +60,23 @@ def _num(c):
     return " UNION ALL ".join(f"SELECT '{c}', '{m}', NULL, {e} FROM e" for m, e in parts)
 
 
+def _text(c):
+    return f"""SELECT '{c}', 'unique_count', NULL, count(DISTINCT {c}) FROM e
+      UNION ALL (SELECT '{c}', 'top_value', {c}, count(*) FROM e GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 5)"""
+
+
 @query(
     "stream_quality_checks",
-    f"""WITH e AS (SELECT user_id, event_type, value FROM events),
+    f"""WITH e AS (SELECT * FROM events),
         a AS (SELECT '*' AS "column", 'row_count' AS metric, NULL AS item, CAST(count(*) AS DOUBLE) AS value FROM e
           UNION ALL SELECT '*', 'duplicate_rows', NULL, (SELECT count(*) FROM e) - (SELECT count(*) FROM (SELECT DISTINCT * FROM e))
-          UNION ALL {" UNION ALL ".join(f"SELECT '{c}', 'null_count', NULL, count(*) - count({c}) FROM e" for c in ("user_id", "event_type", "value"))}
-          UNION ALL {_num("user_id")} UNION ALL {_num("value")} UNION ALL SELECT 'event_type', 'unique_count', NULL, count(DISTINCT event_type) FROM e
-          UNION ALL (SELECT 'event_type', 'top_value', event_type, count(*) FROM e GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 5))
+          UNION ALL {" UNION ALL ".join(f"SELECT '{c}', 'null_count', NULL, count(*) - count({c}) FROM e" for c in ("event_id", "ts", "user_id", "event_type", "value", "props"))}
+          UNION ALL {_num("event_id")} UNION ALL {_num("user_id")} UNION ALL {_num("value")} UNION ALL {" UNION ALL ".join(_text(c) for c in ("event_type", "props"))})
        SELECT 0 AS batch_id, "column", metric, CAST(item AS VARCHAR) AS item, round(value, 4) AS value FROM a""",
 )
 def stream_quality_checks(spark, sf):
     path = fresh_path(spark, "quality")
-    mon.stream_quality_checks(events_stream(spark, sf).select("user_id", "event_type", "value"), path).awaitTermination()
+    mon.stream_quality_checks(events_stream(spark, sf), path).awaitTermination()
     return spark.read.parquet(path).withColumn("value", rounded("value"))
 
 
@@ -107,16 +111,18 @@ def history_deviation(spark, sf):
 @query(
     "history_deviation_stream",
     f"""WITH {_T} SELECT event_type, window_start, round(mean, 8) AS mean, round((mean - avg(mean) OVER h) / nullif(stddev_samp(mean) OVER h, 0), 4) + 0::DOUBLE AS z FROM t
-        WINDOW h AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+        WINDOW h AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        QUALIFY window_start < (SELECT max(window_start) - INTERVAL 2 HOUR FROM t)""",
 )
 def history_deviation_stream(spark, sf):
-    """Hourly metrics written as a table in time order, then read as a stream by the stateful query."""
+    """Hourly metrics written as files in no order, then read as a stream; rows that the watermark has passed."""
     source, path = fresh_path(spark, "metrics"), fresh_path(spark, "deviation")
     m = hourly(table(spark, sf, "events")).select("event_type", "window_start", "mean")
-    m.repartitionByRange(1, "window_start").write.parquet(source)
+    m.write.parquet(source)
     z = mon.history_deviation_stream(mon.read_stream(spark, source, m.schema), "window_start", "mean", "event_type")
     mon.append_to_table(z, path).awaitTermination()
-    return spark.read.parquet(path).select("event_type", "window_start", rounded("mean", 8).alias("mean"), rounded("z").alias("z"))
+    out = spark.read.parquet(path)
+    return out.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), rounded("mean", 8).alias("mean"), rounded("z").alias("z"))
 
 
 @query(

@@ -66,20 +66,22 @@ def typo_correction(spark, sf):
            concat(substr(c_mktsegment, 1, 2), '7', substr(c_mktsegment, 4)) ELSE c_mktsegment END]) AS v FROM customer),
         p AS (SELECT "column", 'pattern' AS "check", regexp_replace(regexp_replace(v, '[A-Za-z]+', 'A', 'g'), '[0-9]+', '9', 'g') AS item,
               count(*) AS n FROM s GROUP BY ALL),
-        b AS (SELECT CASE WHEN c_custkey % 97 = 0 THEN c_acctbal * 10 ELSE c_acctbal END AS v FROM customer),
-        q AS (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM b),
-        i AS (SELECT 'c_acctbal' AS "column", 'iqr' AS "check", CASE WHEN v < q1 - 1.5 * (q3 - q1) THEN 'low' WHEN v > q3 + 1.5 * (q3 - q1)
-              THEN 'high' ELSE 'inside' END AS item, count(*) AS n FROM b, q GROUP BY ALL),
+        b AS (SELECT unnest(['c_custkey', 'c_nationkey', 'c_acctbal']) AS "column",
+              unnest([c_custkey::DOUBLE, c_nationkey::DOUBLE, CASE WHEN c_custkey % 97 = 0 THEN c_acctbal * 10 ELSE c_acctbal END]) AS v FROM customer),
+        q AS (SELECT "column" AS qc, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM b GROUP BY 1),
+        i AS (SELECT "column", 'iqr' AS "check", CASE WHEN v < q1 - 1.5 * (q3 - q1) THEN 'low' WHEN v > q3 + 1.5 * (q3 - q1)
+              THEN 'high' ELSE 'inside' END AS item, count(*) AS n FROM b JOIN q ON qc = "column" GROUP BY ALL),
         u AS (SELECT * FROM p UNION ALL SELECT * FROM i)
        SELECT *, round(n / sum(n) OVER (PARTITION BY "column"), 6) AS share,
               CASE WHEN "check" = 'pattern' THEN n / sum(n) OVER (PARTITION BY "column") < 0.05 ELSE item <> 'inside' END AS suspicious FROM u""",
 )
 def column_anomaly_report(spark, sf):
     s, k = F.col("c_mktsegment"), F.col("c_custkey")
-    c = table(spark, sf, "customer").select(
-        "c_name",
-        F.when(k % 37 == 0, F.concat(F.substring(s, 1, 2), F.lit("7"), s.substr(F.lit(4), F.length(s)))).otherwise(s).alias("c_mktsegment"),
-        F.when(k % 97 == 0, F.col("c_acctbal") * 10).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+    c = table(spark, sf, "customer").withColumns(
+        {
+            "c_mktsegment": F.when(k % 37 == 0, F.concat(F.substring(s, 1, 2), F.lit("7"), s.substr(F.lit(4), F.length(s)))).otherwise(s),
+            "c_acctbal": F.when(k % 97 == 0, F.col("c_acctbal") * 10).otherwise(F.col("c_acctbal")),
+        }
     )
     return quality.column_anomaly_report(c).withColumn("share", rounded("share", 6))
 
@@ -124,19 +126,22 @@ def _num(c):
     )
 
 
+def _text(c):
+    return f"""SELECT '{c}', 'unique_count', NULL, count(DISTINCT {c}) FROM e
+      UNION ALL (SELECT '{c}', 'top_value', {c}, count(*) FROM e GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 5)"""
+
+
 @query(
     "data_quality_metrics",
-    f"""WITH e AS (SELECT user_id, event_type, CASE WHEN event_id % 10 <> 0 THEN value END AS value FROM events),
+    f"""WITH e AS (SELECT * REPLACE (CASE WHEN event_id % 10 <> 0 THEN value END AS value) FROM events),
         a AS (SELECT '*' AS "column", 'row_count' AS metric, NULL AS item, CAST(count(*) AS DOUBLE) AS value FROM e
           UNION ALL SELECT '*', 'duplicate_rows', NULL, (SELECT count(*) FROM e) - (SELECT count(*) FROM (SELECT DISTINCT * FROM e))
-          UNION ALL {" UNION ALL ".join(f"SELECT '{c}', 'null_count', NULL, count(*) - count({c}) FROM e" for c in ("user_id", "event_type", "value"))}
-          UNION ALL {_num("user_id")} UNION ALL {_num("value")}
-          UNION ALL SELECT 'event_type', 'unique_count', NULL, count(DISTINCT event_type) FROM e
-          UNION ALL (SELECT 'event_type', 'top_value', event_type, count(*) FROM e GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 5))
+          UNION ALL {" UNION ALL ".join(f"SELECT '{c}', 'null_count', NULL, count(*) - count({c}) FROM e" for c in ("event_id", "ts", "user_id", "event_type", "value", "props"))}
+          UNION ALL {_num("event_id")} UNION ALL {_num("user_id")} UNION ALL {_num("value")} UNION ALL {" UNION ALL ".join(_text(c) for c in ("event_type", "props"))})
        SELECT "column", metric, CAST(item AS VARCHAR) AS item, round(value, 4) AS value FROM a""",
 )
 def data_quality_metrics(spark, sf):
-    e = table(spark, sf, "events").select("user_id", "event_type", null_every("event_id", "value").alias("value"))
+    e = table(spark, sf, "events").withColumn("value", null_every("event_id", "value"))
     return quality.data_quality_metrics(e).withColumn("value", rounded("value"))
 
 

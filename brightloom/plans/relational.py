@@ -472,21 +472,19 @@ def melt_unpivot(spark, sf):
     return table(spark, sf, "lineitem").unpivot(["l_orderkey", "l_linenumber", "l_partkey"], m, "measure", "value")
 
 
-@query("drop_duplicates", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+@query("drop_duplicates", "SELECT * FROM customer")
 def drop_duplicates(spark, sf):
-    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    return doubled(c, "c_custkey").dropDuplicates()
+    return doubled(table(spark, sf, "customer"), "c_custkey").dropDuplicates()
 
 
 @query(
     "count_duplicates",
-    """WITH d AS (SELECT c_name, c_nationkey FROM customer UNION ALL SELECT c_name, c_nationkey FROM customer WHERE c_custkey % 20 = 0)
+    """WITH d AS (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 20 = 0)
        SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS n_unique,
               count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS n_duplicates FROM d""",
 )
 def count_duplicates(spark, sf):
-    c = doubled(table(spark, sf, "customer"), "c_custkey").select("c_name", "c_nationkey")
-    return profile.count_duplicates(c)
+    return profile.count_duplicates(doubled(table(spark, sf, "customer"), "c_custkey"))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,27 +69,55 @@ def history_deviation(metrics: DataFrame, order: str, value: str, by: list[str],
     return metrics.withColumn("z", F.when(std > 0, (F.col(value) - mean) / std))
 
 
-def history_deviation_stream(metrics: DataFrame, order: str, value: str, by: str) -> DataFrame:
-    """Streaming twin over all earlier windows: per group the state holds three running moments, nothing else."""
+def _running_z(x: np.ndarray, n: int, mean: float, m2: float) -> tuple[np.ndarray, int, float, float]:
+    """Distance of every value from the mean of all before it in their sample stds, and the moments after the last."""
+    y = x - mean
+    before = n + np.arange(len(x))
+    s1, s2 = np.r_[0.0, np.cumsum(y)], np.r_[0.0, np.cumsum(y * y)]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        shift = np.where(before > 0, s1[:-1] / before, 0.0)
+        spread = m2 + s2[:-1] - s1[:-1] * shift
+        std = np.sqrt(np.maximum(spread, 0) / (before - 1))
+        z = np.where((before > 1) & (std > 0), (y - shift) / std, np.nan)
+    total = n + len(x)
+    return z, total, mean + s1[-1] / max(total, 1), m2 + s2[-1] - s1[-1] ** 2 / max(total, 1)
+
+
+def history_deviation_stream(metrics: DataFrame, order: str, value: str, by: str, delay: str = "2 hours", idle: str = "30 days") -> DataFrame:
+    """Streaming twin over all earlier windows, in event-time order whatever order the rows arrive in.
+
+    A row is emitted once the watermark (``delay`` behind the newest row) has passed it; until then the state holds it.
+    Besides, the state of a group is three running moments, and it is dropped after ``idle`` without rows.
+    """
+    kept_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, mean, m2 = state.get if state.exists else (0, 0.0, 0.0)
-        rows = pd.concat(list(batches)).sort_values(order)
-        zs = []
-        for x in rows[value].astype(float):
-            std = (m2 / (n - 1)) ** 0.5 if n > 1 else 0.0
-            zs.append((x - mean) / std if std > 0 else None)
-            n += 1
-            d = x - mean
-            mean += d / n
-            m2 += d * (x - mean)
-        state.update((n, mean, m2))
-        yield pd.DataFrame({by: [key[0]] * len(rows), order: rows[order].to_numpy(), value: rows[value].to_numpy(), "z": pd.Series(zs, dtype="float64").to_numpy()})
-
-    d = metrics.select(by, order, value)
-    t = {f.name: f.dataType.simpleString() for f in d.schema.fields}
-    out = f"{by} {t[by]}, {order} {t[order]}, {value} double, z double"
-    return d.groupBy(by).applyInPandasWithState(step, out, "n long, mean double, m2 double", "append", GroupStateTimeout.NoTimeout)
+        n, mean, m2, times, values = state.get if state.exists else (0, 0.0, 0.0, [], [])
+        mark = state.getCurrentWatermarkMs()
+        parts = [(np.asarray(times, np.int64), np.asarray(values, float))]
+        if not state.hasTimedOut:
+            parts += [(b["__ms"].to_numpy(np.int64), b[value].to_numpy(float)) for b in batches]
+        t, x = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        o = np.argsort(t, kind="stable")
+        t, x = t[o], x[o]
+        ready = int(np.searchsorted(t, mark))
+        z, n, mean, m2 = _running_z(x[:ready], n, mean, m2)
+        if ready == len(t) and state.hasTimedOut and not ready:
+            state.remove()
+            return
+        state.update((n, mean, m2, t[ready:].tolist(), x[ready:].tolist()))
+        state.setTimeoutTimestamp(max(mark + 1, int(t[ready]) if ready < len(t) else max(mark, 0) + kept_ms))
+        if ready:
+            yield pd.DataFrame({by: [key[0]] * ready, order: pd.to_datetime(t[:ready], unit="ms"), value: x[:ready], "z": z})
+
+    d = metrics.select(by, F.col(order).cast("timestamp").alias(order), F.col(value).cast("double").alias(value)).withWatermark(order, delay)
+    d = d.withColumn("__ms", F.unix_millis(order))
+    kind = d.schema[by].dataType.simpleString()
+    state_type = "n long, mean double, m2 double, times array<long>, vals array<double>"
+    out = d.groupBy(by).applyInPandasWithState(
+        step, f"{by} {kind}, {order} timestamp, {value} double, z double", state_type, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return out.withColumn("z", F.when(~F.isnan("z"), F.col("z")))
 
 
 def metrics_retention(df: DataFrame, ts: str, hours: int = 24) -> DataFrame:
@@ -136,7 +165,11 @@ def per_batch_table(
     """Write ``transform(batch)`` below ``path/batch_id=<n>``; a replayed batch replaces its own folder."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.persist()  # a transformation may read it several times
+        try:
+            transform(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", _checkpoint(stream.sparkSession, checkpoint))
     return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()

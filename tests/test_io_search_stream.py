@@ -124,16 +124,21 @@ def test_late_rows_are_dropped_and_restart_continues(spark, tmp_path):
     assert first < second == batch
 
 
-def test_deviation_stream_keeps_state_over_batches(spark, tmp_path):
+def test_deviation_stream_over_shuffled_files(spark, tmp_path):
     m = mon.window_metrics(events(spark), "ts", "v", ["kind"]).select("kind", "window_start", "mean")
-    src = str(tmp_path / "in")
-    m.repartitionByRange(1, "window_start").sortWithinPartitions("window_start").write.option("maxRecordsPerFile", 20).parquet(src)
-    s = mon.history_deviation_stream(mon.read_stream(spark, src, m.schema, files_per_batch=1), "window_start", "mean", "kind")
-    mon.append_to_table(s, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    end = m.agg(F.max("window_start")).first()[0] - dt.timedelta(minutes=10)
     key = ["kind", "window_start"]
-    got = spark.read.parquet(str(tmp_path / "out")).toPandas().sort_values(key)["z"].to_numpy(float)
-    want = mon.history_deviation(m, "window_start", "mean", ["kind"], None).toPandas().sort_values(key)["z"].to_numpy(float)
-    np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-9)
+    want = mon.history_deviation(m, "window_start", "mean", ["kind"], None).filter(F.col("window_start") < F.lit(end).cast("timestamp_ntz"))
+    want = want.toPandas().sort_values(key)["z"].to_numpy(float)
+    # in time order over many batches, then in no order in one batch
+    for name, frame, per_batch in (("a", m.repartitionByRange(1, "window_start").sortWithinPartitions("window_start"), 1), ("b", m.repartition(3), None)):
+        src = str(tmp_path / f"in_{name}")
+        frame.write.option("maxRecordsPerFile", 20).parquet(src)
+        s = mon.history_deviation_stream(mon.read_stream(spark, src, m.schema, files_per_batch=per_batch), "window_start", "mean", "kind", "10 minutes")
+        mon.append_to_table(s, str(tmp_path / f"out_{name}"), str(tmp_path / f"cp_{name}")).awaitTermination()
+        got = spark.read.parquet(str(tmp_path / f"out_{name}")).toPandas().sort_values(key)["z"].to_numpy(float)
+        assert len(got) > 20
+        np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-9)
 
 
 def test_alerts_default_limits(spark):
