@@ -68,8 +68,9 @@ def propose_corrections(df: DataFrame, c: str, max_dist: int = 1, min_ratio: flo
     from each, so candidates meet in an equi-join on such strings and no block of values is compared in full.
     """
     counts = measured(df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("v")).agg(F.count("*").alias("n")))
-    keyed = counts.select("v", "n", F.explode(_deletions(F.col("v"), max_dist)).alias("k"))
-    wrong, right = keyed.alias("a"), keyed.alias("b")
+    variants = F.explode(_deletions(F.col("v"), max_dist)).alias("k")
+    wrong = counts.select("v", "n", variants).alias("a")
+    right = counts.filter(F.col("n") >= min_ratio).select("v", "n", variants).alias("b")  # no rarer value can be a correction
     near = wrong.join(right, (F.col("a.k") == F.col("b.k")) & (F.col("b.n") >= F.col("a.n") * min_ratio)).select(
         F.col("a.v").alias("old"), F.col("a.n").alias("n"), F.col("b.v").alias("new"), F.col("b.n").alias("new_n"),
         F.levenshtein(F.col("a.v"), F.col("b.v")).alias("distance"),

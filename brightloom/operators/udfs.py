@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,13 +17,13 @@ def scalar_function_apply(df: DataFrame, c: str, fn: Callable[[pd.Series], pd.Se
 
 def group_function_apply(
     df: DataFrame, keys: Sequence[str], partial: Callable[[pd.DataFrame], dict], merge: Callable[[pd.DataFrame], dict],
-    final: Callable[[dict], dict], state_schema: str, schema: str,
+    final: Callable[[dict], dict], state_schema: str, schema: str, held_groups: int = 100_000,
 ) -> DataFrame:
     """One row per group from a mergeable user function.
 
     ``partial`` reduces the rows of a group in one batch to a state, ``merge`` several states to one, ``final``
-    the state to the result. Each task keeps one state per group it sees, so a group that holds most of the
-    rows still reaches the merging task as one small row per task, never as its rows.
+    the state to the result. Each task merges the states of up to ``held_groups`` groups before it passes them on, so a
+    group that holds most of the rows reaches the merging task as a few small rows per task, never as its rows.
     """
     keys = list(keys)
     key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -34,6 +35,9 @@ def group_function_apply(
             new = pd.DataFrame(rows)
             both = new if held is None else pd.concat([held, new])
             held = pd.DataFrame([dict(zip(keys, k), **merge(g)) for k, g in both.groupby(keys, dropna=False)])
+            if len(held) > held_groups:
+                yield held
+                held = None
         if held is not None and len(held):
             yield held
 
@@ -51,7 +55,8 @@ def table_function_apply(df: DataFrame, fn: Callable[..., Iterable[tuple]], colu
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [r for values in pdf[cols].itertuples(index=False, name=None) for r in fn(*values)]
-            yield pd.DataFrame(rows, columns=names)
+            rows = (r for values in pdf[cols].itertuples(index=False, name=None) for r in fn(*values))
+            while part := list(islice(rows, 10_000)):  # a row may yield any number
+                yield pd.DataFrame(part, columns=names)
 
     return df.select(*cols).mapInPandas(expand, schema)
