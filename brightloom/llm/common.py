@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brightloom.functions.text import let  # noqa: F401
+
 # A word is a run of characters other than the blank and \t \n \v \f \r: what bytes.split() yields for UTF-8.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -27,11 +29,6 @@ def ascii_lower(c: Column | str) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once: inside lambdas, an expression written twice is evaluated each time."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words(c: Column | str) -> Column:
     """Words of a text in order; null or empty text has none."""
     parts = F.split(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), SPACE)
@@ -48,6 +45,49 @@ def hash_share(seed: int, *keys: Column | str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+KEY_BITS = 23  # the filter below has 2 ** KEY_BITS bits (1 MB), whatever the number of keys
+
+
+def may_be_in(key: Column, keys: DataFrame) -> Column:
+    """Is the hash of ``key`` among those of the one-column table ``keys``? False for most other keys, never for one of ``keys``.
+
+    A scalar subquery yields the bits as an array of fixed size, so a table can be cut down to about the wanted rows
+    before an exact join shuffles it. The more keys there are, the less is cut; results never depend on it.
+    """
+
+    def spot(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(1 << KEY_BITS))
+
+    words = 1 << (KEY_BITS - 6)
+    set_bits = keys.select(spot(F.col(f"`{keys.columns[0]}`")).alias("h")).select(F.shiftright("h", 6).alias("w"), (F.col("h") % 64).cast("int").alias("b"))
+    set_bits = set_bits.groupBy("w").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b"))).alias("bits"))
+    every = keys.sparkSession.range(words).join(set_bits, F.col("id") == F.col("w"), "left").select("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    table = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda x: x["bits"])).scalar()
+    h = spot(key)
+    word = F.get(table, F.shiftright(h, 6).cast("int"))
+    return F.call_function("shiftright", word, (h % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def _renamed(df: DataFrame, key: str, keys: DataFrame) -> tuple[Column, DataFrame, Column]:
+    """The key column, ``keys`` under a name that ``df`` does not have, and the condition that both are equal or null."""
+    name = free_name(df, "__wanted")
+    k = F.col(f"`{key}`")
+    return k, keys.toDF(name), k.eqNullSafe(F.col(name))
+
+
+def rows_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` (null included) is in the one-column table ``keys``; others are mostly not shuffled."""
+    k, wanted, same = _renamed(df, key, keys)
+    return df.filter(may_be_in(k, keys)).join(wanted, same, "left_semi")
+
+
+def rows_not_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` (null included) is not in ``keys``: most are told without a shuffle, the rest joined."""
+    k, wanted, same = _renamed(df, key, keys)
+    unsure = df.filter(may_be_in(k, keys)).join(wanted, same, "left_anti")
+    return df.filter(~may_be_in(k, keys)).unionByName(unsure)
+
+
 def slices(texts: Iterable[str | None], limit: int) -> Iterable[tuple[int, list[str]]]:
     """Cut a batch into runs ``(first row, texts)`` of about ``limit`` characters, so that working arrays stay small."""
     run: list[str] = []

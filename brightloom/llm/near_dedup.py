@@ -28,10 +28,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.common import hash_share
+from brightloom.llm.common import hash_share, rows_in, rows_not_in
 from brightloom.session import measured
 
-_PIECE = 1 << 16
+_PIECE = 1 << 12
 
 
 def match_threshold(coordinates: int, similarity: float, miss: float) -> int:
@@ -102,7 +102,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["cls", "shingles"])
 
     reps = wanted.select(F.col("rep").alias("__rep")).distinct()
-    texts = docs.join(reps, F.col(f"`{key}`").eqNullSafe(F.col("__rep")), "left_semi").select(F.col(text).cast("binary"))
+    texts = rows_in(docs.select(F.col(f"`{key}`").alias("__key"), F.col(text).alias("__text")), "__key", measured(reps)).select(F.col("__text").cast("binary"))
     made = texts.mapInArrow(shingle, "cls long, shingles array<long>")
     # rows that repeat an id may bring other or equal sets
     return made.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
@@ -256,9 +256,11 @@ def duplicate_groups(
     c = match_threshold(coordinates, percent / 100, miss)
     prefix = coordinates - c + 1
     signed = measured(_sign(docs, key, text, width, coordinates))
-    classes = measured(
+    classes = (
         signed.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.expr("count(1)").alias("rows"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     )
+    # for comparing, 15 bits of a coordinate do
+    classes = measured(classes.withColumn("short", F.transform("sig", lambda v: (v % 32768).cast("short"))))
 
     # postings, their frequencies, and each class's rarest ones
     posted = classes.select("cls", F.posexplode("sig").alias("i", "v")).select("cls", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("v")).alias("token"))
@@ -273,7 +275,7 @@ def duplicate_groups(
     # members against the pivots of their lists
     met = postings.join(lists, "token").select("cls", F.col("pivot.cls").alias("other")).filter("cls <> other")
     pairs = met.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).groupBy("a", "b").agg(F.expr("count(1)").alias("collisions"))
-    a, b = (classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}")) for s in "ab")
+    a, b = (classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("short").alias(f"sig_{s}")) for s in "ab")
     agreeing = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda p, q: p == q), lambda x: x))
     alike = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     candidates = measured(pairs.join(a, "a").join(b, "b").filter(alike).filter(agreeing >= c).select("a", "b", "collisions"))
@@ -296,7 +298,7 @@ def duplicate_groups(
     outside = (F.col("comp") != F.col("main")).cast("int")
     counts = open_lists.groupBy("token").agg(F.sum(outside).alias("x_members"))
     # the pivot itself met everybody
-    row = open_lists.join(counts, "token").join(classes.select("cls", "sig"), "cls").withColumns({"nx": F.ceil(F.col("x_members") / block), "ny": F.ceil(F.col("members") / block)})
+    row = open_lists.join(counts, "token").join(classes.select("cls", F.col("short").alias("sig")), "cls").withColumns({"nx": F.ceil(F.col("x_members") / block), "ny": F.ceil(F.col("members") / block)})
     spot = hash_share(37, "cls")
     row = row.withColumns({"bx": F.floor(spot * F.col("nx")), "by": F.floor(spot * F.col("ny"))})
     cols = ["token", "cls", "comp", "mask", "sig"]
@@ -328,11 +330,10 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", **params) -> Data
     groups = duplicate_groups(docs, key=key, **params)
     ids = groups.groupBy(F.col("doc_id").alias("__id")).agg(F.bool_or("kept").alias("kept"), F.expr("count(1)").alias("n"))
     changed = measured(ids.filter("NOT kept OR n > 1"))
-    same = F.col(f"`{key}`").eqNullSafe(F.col("__id"))
-    rest = docs.join(changed, same, "left_anti")
-    again = changed.filter("kept")
+    rest = rows_not_in(docs, key, changed.select("__id"))
+    again = changed.filter("kept").select("__id")
     if not again.head(1):
         return rest
-    repeated = docs.join(again, same, "left_semi")
+    repeated = rows_in(docs, key, again)
     once = repeated.filter(F.col(f"`{key}`").isNotNull()).dropDuplicates([key])
     return rest.unionByName(once).unionByName(repeated.filter(F.col(f"`{key}`").isNull()))

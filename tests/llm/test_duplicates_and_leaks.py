@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from brightloom.llm import decontaminate, license_scan, near_dedup
+from brightloom.llm import common, decontaminate, license_scan, near_dedup
 
 EXTRA = "doc_id long, text string, cls long, h long, token long, unit string"
 ODD = [(1, None), (2, ""), (3, " \n "), (4, "One two"), (5, "one TWO"), (6, "one"), (None, "one two"), (None, None), (8, "w " * 150000), (8, "w " * 150000)]
@@ -151,3 +151,16 @@ def test_licences(spark):
         a, b = w(rows[3][1]), w(license_scan.NOTICES[r["licence"]])
         assert r["dice"] == pytest.approx(2 * len(a & b) / (len(a) + len(b)))
     assert wide.count() > 0 and wide.select(F.max("dice")).first()[0] < 0.8
+
+
+def test_rows_in_and_not_in_tables_of_keys(spark):
+    rows = [(i if i % 7 else None, f"t{i}") for i in range(500)] + [(3, "again")]
+    df = frame(spark, rows)
+    keys = spark.createDataFrame([(k,) for k in [3, 4, 4, 499, 10**12, None]], "cls long")
+    inside, outside = common.rows_in(df, "doc_id", keys), common.rows_not_in(df, "doc_id", keys)
+    assert inside.columns == outside.columns == df.columns
+    wanted = {3, 4, 499, None}
+    assert sorted(r["text"] for r in inside.collect()) == sorted(t for i, t in rows if i in wanted)
+    assert sorted(r["text"] for r in outside.collect()) == sorted(t for i, t in rows if i not in wanted)
+    none = keys.limit(0)
+    assert common.rows_in(df, "doc_id", none).count() == 0 and common.rows_not_in(df, "doc_id", none).count() == len(rows)
