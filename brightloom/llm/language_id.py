@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.common import hash_share, slices
+from brightloom.llm.common import free_name, hash_share, slices
 
 UNDETERMINED = "und"
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 
 
@@ -189,6 +189,6 @@ def drop_unidentified(docs: DataFrame, min_score: float = 0.5, **params) -> Data
     model = train(docs.filter(~held_out()), **params)
     if not model.languages:  # nothing to learn from: nothing is rejected
         return docs
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(*cols, language_of(docs, model).alias("__language"))
-    return marked.filter((F.col("__language.lang_pred") != UNDETERMINED) & (F.col("__language.score") >= min_score)).drop("__language")
+    cols, name = [F.col(f"`{c}`") for c in docs.columns], free_name(docs, "__language")
+    marked = docs.select(*cols, language_of(docs, model).alias(name))
+    return marked.filter((F.col(name)["lang_pred"] != UNDETERMINED) & (F.col(name)["score"] >= min_score)).drop(name)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.common import hash_share, lbfgs
+from brightloom.llm.common import free_name, hash_share, lbfgs
 from brightloom.session import measured
 
 _EDGE = b".,;:!?\"'()[]{}<>|*#$%&-_"
@@ -51,7 +51,7 @@ def _fit(rows: list[np.ndarray], grade: np.ndarray, size: int, ridge: float) ->
     x0 = np.r_[np.zeros(size), start[0], np.log(np.maximum(np.diff(start), 1e-2))]
 
     def cuts(x: np.ndarray) -> np.ndarray:
-        return x[size] + np.r_[0.0, np.cumsum(np.exp(x[size + 1 :]))]
+        return x[size] + np.r_[0.0, np.cumsum(np.exp(np.minimum(x[size + 1 :], 50)))]
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         theta = cuts(x)
@@ -67,7 +67,7 @@ def _fit(rows: list[np.ndarray], grade: np.ndarray, size: int, ridge: float) ->
         np.add.at(g_theta, grade + 1, -dhi / p)
         np.add.at(g_theta, grade, dlo / p)
         g_theta = g_theta[1:-1]
-        gaps = np.exp(x[size + 1 :])
+        gaps = np.exp(np.minimum(x[size + 1 :], 50))
         later = np.cumsum(g_theta[::-1])[::-1]
         g = np.r_[np.bincount(col, g_margin[row], size), later[0], later[1:] * gaps]
         w = x[:size]
@@ -79,13 +79,13 @@ def _fit(rows: list[np.ndarray], grade: np.ndarray, size: int, ridge: float) ->
     return x[:size], cuts(x)
 
 
-def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int = 20_000, features: int = 4096, min_texts: int = 4, min_gain: float = 3.0, buckets: int = 1 << 18, ridge: float = 1e-5, text: str = "text", key: str = "doc_id") -> SeverityModel | None:
+def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int = 20_000, features: int = 4096, min_texts: int = 4, min_gain: float = 3.0, buckets: int = 1 << 18, ridge: float = 1e-6, text: str = "text", key: str = "doc_id") -> SeverityModel | None:
     """Fit on a sample of about ``sample`` graded texts (hash of the key; all where fewer).
 
     Of the hashed features that occur in at least ``min_texts`` texts, those are used whose count in texts above the
-    lowest grade is ``min_gain`` standard deviations or more from the expected one, the ``features`` strongest at
-    most. These bounds limit what the driver fits. Where the labels know only two grades, texts of the upper one
-    with more associated features than their median form a third grade. None where fewer than two grades or no
+    lowest grade is ``min_gain`` standard deviations or more above the expected one, the ``features`` strongest at
+    most; harmless words are no evidence against harm, so long or common texts don't hide it. These bounds limit what the driver fits. Where the labels know only two grades, texts of the upper one
+    with more features that hardly ever occur below it than their median form a third grade. None where fewer than two grades or no
     such feature are there.
     """
     keyed = graded.select(F.col(key).alias("k"), F.col(grade).cast("int").alias("g")).filter("k IS NOT NULL AND g IS NOT NULL").groupBy("k").agg(F.max("g").alias("g"))
@@ -106,9 +106,9 @@ def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int
     cell = found.select("g", F.explode("x").alias("x")).groupBy("x").agg(F.expr(f"count_if(g > {lowest})").alias("a"), F.expr("count(1)").alias("df"))
     expected = F.col("df") * ((n - n_low) / n)
     gain = (F.col("a") - expected) / F.sqrt(expected + 1)
-    best = cell.withColumn("gain", gain).filter((F.col("df") >= min_texts) & (F.abs("gain") >= min_gain)).orderBy(F.abs("gain").desc(), "x").limit(features)
-    best = best.select("x", "gain").toPandas().sort_values("x")
-    chosen = best["x"].to_numpy()
+    best = cell.withColumn("gain", gain).filter((F.col("df") >= min_texts) & (F.col("gain") >= min_gain)).orderBy(F.desc("gain"), "x").limit(features)
+    best = best.select("x", (F.col("a") >= 0.9 * F.col("df")).alias("pure")).toPandas().sort_values("x")
+    chosen, pure = best["x"].to_numpy(), best["pure"].to_numpy()
     if not len(chosen):
         return None
     keep = found.sparkSession.sparkContext.broadcast(chosen)
@@ -122,12 +122,19 @@ def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int
     y = np.searchsorted(grades, got["g"].to_numpy())
     x = [np.asarray(v, np.int64) for v in got["x"]]
     if len(grades) == 2:
-        associated = best["gain"].to_numpy() > 0
-        count = np.array([associated[v].sum() for v in x])
+        count = np.array([pure[v].sum() for v in x])
         severe = (y == 1) & (count > np.median(count[y == 1]))
         if severe.any():
             y, grades = y + severe, np.r_[grades, grades[1] + 1]
-    w, theta = _fit(x, y, len(chosen), ridge)
+    # features of harm only add to it: those with a negative weight are left out and the rest is fitted again
+    use = np.ones(len(chosen), bool)
+    while True:
+        number = np.cumsum(use) - 1
+        w, theta = _fit([number[v[use[v]]] for v in x], y, int(use.sum()), ridge)
+        if (w >= 0).all():
+            break
+        use[np.flatnonzero(use)[w < 0]] = False
+    w = np.bincount(np.flatnonzero(use), w, len(chosen))
     weights = np.zeros(buckets)
     weights[chosen] = w
     return SeverityModel(weights, theta, grades)
@@ -171,8 +178,8 @@ def score_severity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, *
     return out.withColumn("rejected", F.col("p_harm") >= threshold)
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **params) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text: str = "text", **params) -> DataFrame:
     """Rows of ``docs`` that are not rejected; columns unchanged."""
-    model = train(docs, severity_grades(labels), **params)
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*cols, severity_of(docs, model).alias("__toxicity")).filter(F.col("__toxicity.p_harm") < threshold).drop("__toxicity")
+    model = train(docs, severity_grades(labels), text=text, **params)
+    cols, name = [F.col(f"`{c}`") for c in docs.columns], free_name(docs, "__toxicity")
+    return docs.select(*cols, severity_of(docs, model, text).alias(name)).filter(F.col(name)["p_harm"] < threshold).drop(name)

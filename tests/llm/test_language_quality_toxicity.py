@@ -11,7 +11,7 @@ from brightloom.llm import language_id, line_quality, toxicity
 from brightloom.plans.common import table
 
 SF = "/root/testdata/sf0.01"
-SCHEMA = "doc_id long, text string, lang string, source string, p double, lang_pred string"
+SCHEMA = "doc_id long, text string, lang string, source string, __toxicity double, __language string"
 ODD = [(1, None), (2, ""), (3, "  \n\t "), (4, "12345 !!!"), (5, "x"), (None, "the and of"), (7, "a b c " * 60000), (7, "a b c " * 60000)]
 
 
@@ -28,7 +28,7 @@ def test_language_accuracy_on_held_out_texts(spark):
 
 
 def test_language_of_odd_rows(spark):
-    train = table(spark, SF, "documents").select("doc_id", "text", "lang", "source", F.lit(0.0).alias("p"), F.lit("").alias("lang_pred"))
+    train = table(spark, SF, "documents").select("doc_id", "text", "lang", "source", F.lit(0.0).alias("__toxicity"), F.lit("").alias("__language"))
     got = language_id.identify_languages(train.unionByName(odd(spark).withColumn("doc_id", -F.col("doc_id") - 1)))
     rows = {r["doc_id"]: r for r in got.filter("doc_id < 0 OR doc_id IS NULL").collect()}
     assert {rows[-i - 1]["lang_pred"] for i in (1, 2, 3, 4)} == {"und"} and rows[-2]["score"] == 0
@@ -37,11 +37,13 @@ def test_language_of_odd_rows(spark):
     assert empty.count() == 0
     assert {r["lang_pred"] for r in language_id.identify_languages(odd(spark)).collect()} == {"und"}
     assert language_id.drop_unidentified(odd(spark)).count() == len(ODD)
+    kept = language_id.drop_unidentified(train.unionByName(odd(spark)))
+    assert kept.columns == train.columns and train.count() <= kept.count() + 5 < train.count() + len(ODD) + 5
 
 
 def test_long_texts_are_counted_whole():
     model = (("a", "b"), np.log(np.array([[0.6, 0.4]] * 64 + [[1.0, 1.0]])), np.zeros(2))
-    text = "word " * (3 * (1 << 18))
+    text = "word " * ((1 << 18))
     want = sum((ids < 64).sum() for codes, room, _ in [(language_id._codes(text), np.arange(len(text), 0, -1), None)] for ids in language_id._gram_ids(codes, room, 64, 3))
     got = sum((ids < 64).sum() for codes, room, _ in language_id._pieces([text], 3) for ids in language_id._gram_ids(codes, room, 64, 3))
     assert got == want
@@ -129,9 +131,11 @@ def test_toxicity_grades_follow_planted_severity(spark):
 
 def test_toxicity_of_odd_rows(spark):
     labels = table(spark, SF, "labels")
-    docs = table(spark, SF, "documents").select("doc_id", "text", "lang", "source", F.lit(0.0).alias("p"), F.lit("").alias("lang_pred"))
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang", "source", F.lit(0.0).alias("__toxicity"), F.lit("").alias("__language"))
     got = toxicity.score_severity(docs.unionByName(odd(spark).withColumn("doc_id", -F.col("doc_id"))), labels).filter("doc_id < 0 OR doc_id IS NULL").collect()
     assert len(got) == len(ODD) and not any(r["rejected"] for r in got)
     assert [r["severity"] for r in got if r["doc_id"] in (-1, -2, -3)] == [0, 0, 0]
     assert toxicity.score_severity(odd(spark).limit(0), labels.limit(0)).count() == 0
-    assert toxicity.drop_toxic(odd(spark), labels.limit(0)).columns == odd(spark).columns
+    kept = toxicity.drop_toxic(docs.unionByName(odd(spark)), labels)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count() + len(ODD)
+    assert toxicity.drop_toxic(odd(spark), labels.limit(0)).count() == len(ODD)
