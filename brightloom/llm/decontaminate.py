@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.common import SPACE, let
+from brightloom.llm.common import SPACE, let, may_be_in, rows_not_in
+from brightloom.operators.ranking import join_null_safe
 from brightloom.session import measured
 
 
@@ -59,21 +60,29 @@ def item_shingles(items: DataFrame, width: int, threshold: float, item: str = "i
 def find_contained(docs: DataFrame, items: DataFrame, width: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, item_id, n_item, n_found, containment)`` of all pairs with containment at or above ``threshold``.
 
-    Texts are read whole. Null and empty texts contain nothing; items without words are in nothing. Rows that
-    repeat a document id count as one document. The shingles of the items are written first, so they are broadcast
-    only where their measured size allows it; documents are not shuffled, only their hits.
+    Search: the shingles of all documents meet the sketches, which gives candidate pairs. Verification: documents with a
+    candidate (told by a filter of fixed size, so texts are not shuffled) are compared with the whole items. Texts
+    are read whole. Null and empty texts contain nothing; items without words are in nothing. Rows that repeat a
+    document id count as one document. Tables of items and candidates are written first, so they are broadcast
+    only where their measured size allows it.
     """
     wanted = measured(item_shingles(items, width, threshold))
-    each = docs.select(F.col(key).alias("doc_id"), F.explode(shingle_hashes(normalised_words(F.col(text)), width)).alias("h"))
-    hits = each.join(wanted, "h")
-    # sketch collisions make a candidate; its hits are then counted over the whole item (a set of n_item hashes at most)
-    found = hits.groupBy("doc_id", "item_id", "n_item").agg(F.count_if("in_sketch").alias("collisions"), F.size(F.collect_set("h")).alias("n_found"))
-    candidates = found.filter("collisions > 0")
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+
+    def shingled(of: DataFrame) -> DataFrame:
+        return of.select("doc_id", F.explode(shingle_hashes(normalised_words(F.col("text")), width)).alias("h"))
+
+    met = shingled(rows).join(wanted.filter("in_sketch").select("item_id", "h"), "h")
+    candidates = measured(met.groupBy("doc_id", "item_id").agg(F.expr("count(1)").alias("collisions")))
+    near = rows.filter(may_be_in(F.col("doc_id"), candidates.select("doc_id")))
+    hits = join_null_safe(shingled(near).join(wanted.select("item_id", "h", "n_item"), "h"), candidates, ["doc_id", "item_id"])
+    # a set of n_item hashes at most
+    found = hits.groupBy("doc_id", "item_id", "n_item").agg(F.size(F.collect_set("h")).alias("n_found"))
     share = F.col("n_found") / F.col("n_item")
-    return candidates.filter(share >= threshold).select("doc_id", "item_id", "n_item", "n_found", share.alias("containment"))
+    return found.filter(share >= threshold).select("doc_id", "item_id", "n_item", "n_found", share.alias("containment"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", **params) -> DataFrame:
     """Rows of ``docs`` that contain no item; columns unchanged. Rows with a null key are judged together, as one document."""
     bad = measured(find_contained(docs, items, key=key, **params).select(F.col("doc_id").alias("__bad")).distinct())
-    return docs.join(bad, F.col(f"`{key}`").eqNullSafe(F.col("__bad")), "left_anti")
+    return rows_not_in(docs, key, bad)
