@@ -45,6 +45,18 @@ def hash_share(seed: int, *keys: Column | str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, for sending whole texts to Python: the session's Arrow batches get ``rows`` rows where they have the default of
+    10,000, since some texts are very long and a batch is held several times over."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH) == "10000":
+        conf.set(_BATCH, str(rows))
+    return df
+
+
 KEY_BITS = 23  # the filter below has 2 ** KEY_BITS bits (1 MB), whatever the number of keys
 
 

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brightloom.llm.common import small_batches
+
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     """a about after all an and any are as at be been but by can could did do for from had has have he her his how i if in into is it its
@@ -253,5 +255,5 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
         for s in batches:
             yield s.map(lambda h: main_text(h if isinstance(h, str) else None))
 
-    out = pages.select("page_id", "url", extract.asNondeterministic()(F.col(html)).alias("text"))
+    out = small_batches(pages).select("page_id", "url", extract.asNondeterministic()(F.col(html)).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.common import free_name, hash_share, slices
+from brightloom.llm.common import free_name, hash_share, slices, small_batches
 
 UNDETERMINED = "und"
 _CHUNK = 1 << 18
@@ -123,7 +123,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
             at = np.flatnonzero(total[:buckets])
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["lang", "bucket", "n"])
 
-    cells = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    cells = small_batches(sample).mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = tuple(sorted(totals))
     counts = np.ones((buckets, len(languages)))  # add-one smoothing
     column = {name: i for i, name in enumerate(languages)}
@@ -159,7 +159,7 @@ def language_of(df: DataFrame, model: LanguageModel, text: str = "text") -> Colu
 
     ``und`` and 0 where the text is null or has no letter. Ties go to the first language by name.
     """
-    held = df.sparkSession.sparkContext.broadcast((model.languages, model.log_prob, model.log_prior))
+    held = small_batches(df).sparkSession.sparkContext.broadcast((model.languages, model.log_prob, model.log_prior))
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.common import SPACE_BYTES, hash_share, lbfgs
+from brightloom.llm.common import SPACE_BYTES, hash_share, lbfgs, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_lines:
             if rows:
                 yield pd.DataFrame({"k": [r[0] for r in rows], "y": [r[1] for r in rows], "lines": [r[2].ravel().tolist() for r in rows]})
 
-    got = sample.mapInPandas(extract, "k long, y int, lines array<short>").toPandas().sort_values("k", kind="stable")
+    got = small_batches(sample).mapInPandas(extract, "k long, y int, lines array<short>").toPandas().sort_values("k", kind="stable")
     if got["y"].nunique() < 2:
         return None
     return _fit([np.asarray(x, np.int16).reshape(-1, len(_STEPS) + 3) for x in got["lines"]], got["y"].tolist(), ridge)
@@ -205,7 +205,7 @@ def content_share(text: str, model: LineModel | None) -> float:
 def quality_of(df: DataFrame, model: LineModel | None, text: str = "text") -> Column:
     """Struct column of the counts and the content share of a text column (null text: no words)."""
     parts = None if model is None else (model.emit, model.move)
-    held = df.sparkSession.sparkContext.broadcast(parts)
+    held = small_batches(df).sparkSession.sparkContext.broadcast(parts)
 
     @F.pandas_udf("struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,content_share:double>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

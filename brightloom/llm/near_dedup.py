@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.common import hash_share, rows_in, rows_not_in
+from brightloom.llm.common import hash_share, rows_in, rows_not_in, small_batches
 from brightloom.session import measured
 
 _PIECE = 1 << 12
@@ -87,7 +87,7 @@ def _sign(docs: DataFrame, key: str, text: str, width: int, coordinates: int) ->
                 [b.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))], names=["doc_id", "n_shingles", "cls", "sig"]
             )
 
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = small_batches(docs).select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(sign, f"doc_id {kind}, n_shingles long, cls long, sig array<int>")
 

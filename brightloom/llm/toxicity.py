@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.common import free_name, hash_share, lbfgs
+from brightloom.llm.common import free_name, hash_share, lbfgs, small_batches
 from brightloom.session import measured
 
 _EDGE = b".,;:!?\"'()[]{}<>|*#$%&-_"
@@ -97,7 +97,7 @@ def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int
         for f in filter(len, frames):
             yield pd.DataFrame({"k": f["k"], "g": f["g"], "x": [text_features(t, buckets) for t in f["text"]]})
 
-    found = measured(rows.select("k", "text", "g").mapInPandas(extract, "k long, g int, x array<long>"))
+    found = measured(small_batches(rows).select("k", "text", "g").mapInPandas(extract, "k long, g int, x array<long>"))
     sizes = {r["g"]: r["n"] for r in found.groupBy("g").agg(F.expr("count(1) AS n")).collect()}
     if len(sizes) < 2:
         return None
@@ -146,7 +146,7 @@ def severity_of(df: DataFrame, model: SeverityModel | None, text: str = "text")
     Null and empty texts, and every text where there is no model, have 0 and 0.
     """
     parts = None if model is None else (model.weights, model.thresholds, model.grades.astype(float))
-    held = df.sparkSession.sparkContext.broadcast(parts)
+    held = small_batches(df).sparkSession.sparkContext.broadcast(parts)
 
     @F.pandas_udf("struct<severity:double,p_harm:double>")
     def grade(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
