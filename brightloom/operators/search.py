@@ -69,6 +69,33 @@ def embed_text(df: DataFrame, text: str, features: int = 256) -> DataFrame:
     return out.withColumn("embedding", vector_to_array("__v", "float32")).drop("__toks", "__tf", "__idf", "__v")
 
 
+def _near_pairs(m: np.ndarray, x: np.ndarray, n: int, best: tuple | None, cells: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of pairs (row of ``m``, row of ``x``) that hold, for every row of ``m``, all rows of ``x`` that can be among its ``n`` nearest.
+
+    Distances in matrix form are off by at most ``off``; a pair is left out only if even its least possible distance is more than
+    ``n`` others have at most, here or in ``best`` (rows of ``m`` and distances so far), so equally near rows all stay.
+    """
+    squares_m, squares_x = (m * m).sum(axis=1), (x * x).sum(axis=1)
+    slack = 4 * (x.shape[1] + 4) * np.finfo(float).eps
+    reach = np.full(len(m), np.inf)
+    if best is not None:
+        at, d = best[0], best[1]
+        full = np.flatnonzero(np.bincount(at, minlength=len(m)) >= n)
+        reach[full] = d[np.searchsorted(at, full, "right") - 1]
+    step, most = max(1, cells // len(x)), max(1, cells // x.shape[1])
+    for a in range(0, len(m), step):
+        mine = slice(a, a + step)
+        sums = squares_m[mine, None] + squares_x[None, :]
+        rough = np.maximum(sums - 2 * (m[mine] @ x.T), 0)
+        off = 2 * slack * sums
+        bound = reach[mine]
+        if len(x) >= n:
+            bound = np.fmin(bound, np.partition(rough + off, n - 1, axis=1)[:, n - 1])
+        at, of = np.nonzero(~(rough - off > bound[:, None]))  # what cannot be compared stays
+        for i in range(0, len(at), most):
+            yield at[i : i + most] + a, of[i : i + most]
+
+
 def knn_search(
     queries: DataFrame, index: DataFrame, query_key: str, key: str, vector: str = "embedding", n: int = 5, block: int = 2000
 ) -> DataFrame:
@@ -93,22 +120,17 @@ def knn_search(
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             names, m = shared.value
-            squares = (m * m).sum(axis=1)[:, None]
-            best_d, best_k = np.full((len(names), 0), np.inf), None
+            best = None
             for pdf in filter(len, batches):
                 x, ks = np.stack(pdf["v"].to_numpy()), pdf["k"].to_numpy()
-                # ranking by the matrix form, then exact distances of the few that are near enough
-                rough = np.maximum(squares - 2 * (m @ x.T) + (x * x).sum(axis=1)[None, :], 0)
-                keep = min(n + 8, len(x))
-                at = np.argpartition(rough, keep - 1, axis=1)[:, :keep]
-                d = ((x[at] - m[:, None, :]) ** 2).sum(axis=2)
-                all_d = np.hstack([best_d, d])
-                all_k = ks[at] if best_k is None else np.hstack([best_k, ks[at]])
-                order = np.lexsort((all_k, all_d), axis=1)[:, :n]
-                best_d, best_k = np.take_along_axis(all_d, order, axis=1), np.take_along_axis(all_k, order, axis=1)
-            if best_k is not None:
-                w = best_d.shape[1]
-                yield pd.DataFrame({"qk": np.repeat(names, w), "k": best_k.ravel(), "distance": best_d.ravel()})
+                for at, of in _near_pairs(m, x, n, best):
+                    d = ((x[of] - m[at]) ** 2).sum(axis=1)
+                    pairs = (at, d, ks[of]) if best is None else tuple(map(np.concatenate, zip(best, (at, d, ks[of]))))
+                    order = np.lexsort((pairs[2], pairs[1], pairs[0]))
+                    order = order[np.arange(len(order)) - np.searchsorted(pairs[0][order], pairs[0][order]) < n]
+                    best = tuple(c[order] for c in pairs)
+            if best is not None:
+                yield pd.DataFrame({"qk": names[best[0]], "k": best[2], "distance": best[1]})
 
         parts.append(rows.mapInPandas(search, f"qk {q_type}, k {key_type}, distance double"))
     out = parts[0] if parts else spark.createDataFrame([], f"qk {q_type}, k {key_type}, distance double")

@@ -76,6 +76,21 @@ def test_knn_matches_brute_force_over_blocks(spark):
             assert got[got["q"] == q].sort_values("rank")["neighbor"].tolist() == want
 
 
+def test_knn_keeps_the_smallest_keys_of_many_copies(spark):
+    rng = np.random.default_rng(2)
+    x = np.vstack([np.tile(rng.normal(size=8), (1000, 1)), rng.normal(size=(200, 8)) + 9])
+    x[1000:1040] = x[0] + 1e-9 * rng.normal(size=(40, 8))  # nearer to each other than the matrix form can tell
+    keys = rng.permutation(len(x))
+    index = spark.createDataFrame([(int(k), [float(v) for v in r]) for k, r in zip(keys, x)], "id int, embedding array<double>").repartition(5)
+    asked = [0, 1000, 1020, 1100]
+    queries = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in asked], "q int, embedding array<double>")
+    got = search.knn_search(queries, index, "q", "id", n=5).toPandas()
+    for q in asked:
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        want = sorted(range(len(x)), key=lambda j: (d[j], keys[j]))[:5]
+        assert got[got["q"] == q].sort_values("rank")["neighbor"].tolist() == [keys[j] for j in want]
+
+
 def test_reindex_replaces(spark, tmp_path):
     df = spark.createDataFrame([("a", "x" * 1500), ("b", "y")], "id string, t string")
     search.reindex_overwrite(search.chunk_stride(df, "id", "t"), str(tmp_path / "i"))
