@@ -1,8 +1,8 @@
 """URL filters by path templates.
 
-For every host a tree of path segments is grown level by level from counts: values that are frequent at their node stay
-literal, all others become the wildcard ``*``, and literal branches whose continuations and labels do not
-differ statistically are merged. A url's template is its path through the tree. Templates are then rejected by
+For every host a tree of path segments is grown level by level from counts: values that are frequent at their node or
+differ significantly from the rest of it stay literal, all others become the wildcard ``*``, and literal branches whose
+continuations and labels do not differ statistically are merged. A url's template is its path through the tree. Templates are then rejected by
 the purity of their labelled urls, smoothed towards the same template on all hosts, and that towards the rate of all urls.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.llm.common import ascii_lower
@@ -47,11 +47,15 @@ def matching_rule(rules: Sequence[Rule], host: Column, path: Column) -> Column:
     return fits
 
 
+KINDS = ["k_end", "k_number", "k_word", "k_mixed"]
+LISTED = 20  # members that the name of a merged branch lists; others are counted
+
+
 def _merge_branches(max_distance: float, max_z: float):
-    kinds = ["k_end", "k_number", "k_word", "k_mixed"]
+    """Merge the profiles of a node: a frequent segment has one of its own, others share the one of their bin."""
 
     def similar(a, b) -> bool:
-        if sum(abs(a[k] / a["n"] - b[k] / b["n"]) for k in kinds) / 2 > max_distance:
+        if sum(abs(a[k] / a["n"] - b[k] / b["n"]) for k in KINDS) / 2 > max_distance:
             return False
         if not a["lab"] or not b["lab"]:
             return a["lab"] == b["lab"]  # branches without labels don't take over those of others
@@ -64,28 +68,82 @@ def _merge_branches(max_distance: float, max_z: float):
         for row in node.sort_values(["n", "seg"], ascending=[False, True]).to_dict("records"):
             for g in groups:
                 if similar(g, row):
-                    g["members"].append(row["seg"])
-                    for k in [*kinds, "n", "lab", "bad"]:
+                    g["of"].append(row)
+                    for k in [*KINDS, "n", "lab", "bad"]:
                         g[k] += row[k]
                     break
             else:
-                groups.append(row | {"members": [row["seg"]]})
+                groups.append(row | {"of": [row]})
         out = []
         for g in groups:
-            names = sorted(s.replace("*", "%2A").replace("(", "%28").replace("|", "%7C") for s in g["members"])
-            token = names[0] if len(names) == 1 else "(" + "|".join(names) + ")"
-            out += [(row_host, row_prefix, s, token) for s in g["members"] for row_host, row_prefix in [(g["host"], g["prefix"])]]
-        return pd.DataFrame(out, columns=["host", "prefix", "seg", "token"])
+            names = sorted(r["seg"].replace("*", "%2A").replace("(", "%28").replace("|", "%7C") for r in g["of"])
+            more = sum(r["members"] for r in g["of"]) - len(names[:LISTED])
+            listed = [*names[:LISTED], *[f"+{more}"][: more > 0]]
+            token = listed[0] if len(listed) == 1 else "(" + "|".join(listed) + ")"
+            out += [(g["host"], g["prefix"], r["bin"], token) for r in g["of"]]
+        return pd.DataFrame(out, columns=["host", "prefix", "bin", "token"])
 
     return merge
 
 
+def _difference(parts: Sequence[str]) -> Column:
+    """How much the counts ``parts`` (they add up to ``n``) differ from those of the rest of the node (columns with ``all_``).
+
+    Likelihood-ratio statistic, less what any further degree of freedom adds: by chance it exceeds u with about ``exp(-u / 2)``.
+    """
+
+    def term(seen: Column, of: Column, both: Column) -> Column:
+        expected = of.cast("double") * both / F.col("all_n")
+        return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
+
+    total = F.lit(-2.0 * (len(parts) - 3))
+    for k in parts:
+        own, both = F.col(k), F.col(f"all_{k}")
+        total = total + term(own, F.col("n"), both) + term(both - own, F.col("all_n") - F.col("n"), both)
+    return total
+
+
+def _literal_branches(children: DataFrame, min_support: int, min_share: float, max_distance: float, max_z: float) -> DataFrame:
+    """``(host, prefix, seg, token)`` of the segments that stay literal: any number in a node.
+
+    Below ``min_share`` a segment has to differ from the rest of its node, in labels (bad, good or none) or in continuations;
+    about 5 % (``max_z`` 1.96) of those that pass may do so by chance (Benjamini and Hochberg, on counts per step of 1/2).
+    They are pooled by bins of their profile (continuations in steps of 1/16, labels none or a share of bad ones in steps of
+    1/20), summed without bringing a node together; one task then merges the profiles of a node, whose number the bins
+    and ``min_share`` bound.
+    """
+    children = children.withColumns({"good": F.col("lab") - F.col("bad"), "bare": F.col("n") - F.col("lab")})
+    counts = ["n", "bad", "good", "bare", *KINDS]
+    nodes = children.groupBy("host", "prefix").agg(*[F.sum(c).alias(f"all_{c}") for c in counts], F.count_if(F.col("n") >= min_support).alias("candidates"))
+    rest = F.greatest(F.col("all_n") - F.col("n"), F.lit(1))
+    distance = sum((F.abs(F.col(k) / F.col("n") - (F.col(f"all_{k}") - F.col(k)) / rest) for k in KINDS), F.lit(0.0)) / 2
+    told = F.greatest(_difference(["bad", "good", "bare"]), F.when(distance > max_distance, _difference(KINDS)))
+    shape = [F.floor(16 * F.col(k) / F.col("n")).cast("string") for k in KINDS]
+    shares = F.when(F.col("lab") > 0, F.floor(20 * F.col("bad") / F.col("lab")).cast("string")).otherwise("-")
+    frequent = F.col("n") >= min_share * F.col("all_n")
+    candidates = measured(
+        children.filter(F.col("n") >= min_support)
+        .join(nodes, ["host", "prefix"])
+        .withColumns({"frequent": frequent, "told": F.floor(2 * F.least(told, F.lit(200.0))) / 2})
+        .withColumn("bin", F.when(frequent, F.concat(F.lit("s"), F.col("seg"))).otherwise(F.concat_ws(",", F.lit("p"), *shape, shares)))
+        .select("host", "prefix", "seg", "bin", "n", "lab", "bad", *KINDS, "frequent", "told", "candidates")
+    )
+    steps = candidates.groupBy("host", "prefix", "told").agg(F.expr("count(1)").alias("here"), F.first("candidates").alias("candidates"))
+    passing = F.sum("here").over(Window.partitionBy("host", "prefix").orderBy(F.desc("told")))
+    enough = F.col("told") >= max_z**2 + 2 + 2 * F.log(F.col("candidates") / F.col("passing"))
+    bounds = steps.withColumn("passing", passing).filter(enough).groupBy("host", "prefix").agg(F.min("told").alias("bound"))
+    kept = candidates.join(bounds, ["host", "prefix"], "left").filter(F.col("frequent") | (F.col("told") >= F.col("bound")))
+    profiles = kept.groupBy("host", "prefix", "bin").agg(F.min("seg").alias("seg"), F.expr("count(1)").alias("members"), *[F.sum(c).alias(c) for c in ("n", "lab", "bad", *KINDS)])
+    merged = measured(profiles.groupBy("host", "prefix").applyInPandas(_merge_branches(max_distance, max_z), "host string, prefix string, bin string, token string"))
+    return kept.join(merged, ["host", "prefix", "bin"]).select("host", "prefix", "seg", "token")
+
+
 def path_templates(urls: DataFrame, min_support: int = 5, min_share: float = 0.05, max_distance: float = 0.15, max_z: float = 1.96, max_depth: int = 12) -> DataFrame:
     """Add ``template`` to rows that have ``host``, ``path`` and ``label`` (1 bad, 0 good, null unlabelled).
 
-    A segment value stays literal where it has ``min_support`` rows and ``min_share`` of the rows of its node, so a node has
-    1 / ``min_share`` literal branches at most; these few counts are what is merged in one task. Segments beyond
-    ``max_depth`` are summed up as ``**``. Every level is one aggregation with map-side sums, split over hosts of any
+    A segment value stays literal where it has ``min_support`` rows and either ``min_share`` of the rows of its node or
+    labels or continuations that differ significantly from those of the rest of its node, so a node may have any number of
+    literal branches; see ``_literal_branches``. Segments beyond ``max_depth`` are summed up as ``**``. Every level is one aggregation with map-side sums, split over hosts of any
     share, and one join with the level's literal branches, broadcast by measured size.
     """
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
@@ -101,13 +159,11 @@ def path_templates(urls: DataFrame, min_support: int = 5, min_share: float = 0.0
                 F.expr("count(1)").alias("n"),
                 F.count("label").alias("lab"),
                 F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad"),
-                *[F.count_if(kind == k).alias(k) for k in ("k_end", "k_number", "k_word", "k_mixed")],
+                *[F.count_if(kind == k).alias(k) for k in KINDS],
             )
         )
         children = measured(children)
-        nodes = children.groupBy("host", "prefix").agg(F.sum("n").alias("total"))
-        frequent = children.filter(F.col("n") >= min_support).join(nodes, ["host", "prefix"]).filter(F.col("n") >= min_share * F.col("total")).drop("total")
-        literal = measured(frequent.groupBy("host", "prefix").applyInPandas(_merge_branches(max_distance, max_z), "host string, prefix string, seg string, token string"))
+        literal = measured(_literal_branches(children, min_support, min_share, max_distance, max_z))
         known = literal.withColumnsRenamed({"host": "__host", "prefix": "__of", "seg": "__seg", "token": "__token"})
         same = (F.col("host") == F.col("__host")) & (F.col("__prefix") == F.col("__of")) & (seg == F.col("__seg"))
         token = F.concat(F.lit("/"), F.coalesce("__token", F.lit("*")))

@@ -57,6 +57,34 @@ def test_templates_generalise_and_merge(spark):
     assert purity["/spam/*/*"] > 0.9 and purity["/(blog|news)/*/*"] < 0.05 and 0.2 < purity["/*/about"] < 0.5
 
 
+def test_small_equal_sections_keep_their_own_labels(spark):
+    names = [f"{a}{b}" for a in "abcde" for b in "vwxyz"]  # 25 sections of 4 %
+    rules = [url_templates.Rule("block", "x.net", "/av/"), url_templates.Rule("block", "x.net", "/bw/"), url_templates.Rule("block", "x.net", "/ez/old/"), url_templates.Rule("allow", "com", "/")]
+    urls = [f"http://x.net/{s}/{i}" for s in names for i in range(400)]
+    urls += [f"http://y.com/{i}" for i in range(2000)]  # of these and the blocked ones comes the rate of all urls
+    urls += [f"http://x.net/ez/old/{i}" for i in range(60)] + [f"http://x.net/ez/new/{i}" for i in range(60)]
+    got = url_templates.judge_urls(pages(spark, urls), rules).collect()
+    verdicts = {}
+    got = [r for r in got if r["host"] == "x.net"]
+    for r in got:
+        verdicts.setdefault(r["path"].split("/")[1], set()).add((r["verdict"], r["rule"] is not None))
+    assert verdicts == {s: {("block", True)} if s in ("av", "bw") else {("allow", False)} if s != "ez" else verdicts["ez"] for s in names}
+    section = lambda r: r["template"].split("/")[1]
+    assert not {section(r) for r in got if r["rule"]} & {section(r) for r in got if r["path"].split("/")[1] not in ("av", "bw", "ez")}
+    assert {r["verdict"] for r in got if "/new/" in r["path"]} == {"allow"}
+
+
+def test_any_number_of_sections_and_no_chance_literals(spark):
+    few = [(f"/{s}{i:03d}/{1000 * i + j}", int(s == "bad") if j % 2 else None) for i in range(150) for s in ("bad", "good") for j in range(20)]
+    few += [(f"/{i}/{1000 * i + j}", None) for i in range(300) for j in range(6)]
+    rows = spark.createDataFrame([("h", p, x) for p, x in few], "host string, path string, label int")
+    templates = {}
+    for r in url_templates.path_templates(rows).collect():
+        templates.setdefault(r["path"].split("/")[1].rstrip("0123456789") or "id", set()).add(r["template"])
+    assert len(templates["bad"]) == 1 and len(templates["good"]) == 1 and not templates["bad"] & templates["good"]
+    assert templates["id"] == {"/*/*"}
+
+
 def test_deep_paths_are_summed_up(spark):
     rows = spark.createDataFrame([("h", "/a" * 30, None), ("h", "", None), ("h", "///", None)], "host string, path string, label int")
     got = {r["path"]: r["template"] for r in url_templates.path_templates(rows, min_support=1, max_depth=3).collect()}
