@@ -164,3 +164,21 @@ def test_rows_in_and_not_in_tables_of_keys(spark):
     assert sorted(r["text"] for r in outside.collect()) == sorted(t for i, t in rows if i not in wanted)
     none = keys.limit(0)
     assert common.rows_in(df, "doc_id", none).count() == 0 and common.rows_not_in(df, "doc_id", none).count() == len(rows)
+
+
+def test_licences_inside_texts(spark):
+    code = "\n".join(f"def f{i}(x{i}): return x{i} + {i}" for i in range(60))
+    wrap = lambda t, mark: "\n".join(mark + " " + " ".join(t.split()[i : i + 9]) for i in range(0, len(t.split()), 9))
+    n = license_scan.NOTICES
+    rows = [
+        (1, "# Copyright 2020 X\n" + wrap(n["Apache-2.0-2"], "#") + "\n" + code),
+        (2, code + "\n" + wrap(n["MIT-text"], " *") + "\n" + code),
+        (3, "Copyright (c) 2020 X. All rights reserved. And more words follow here."),
+        (4, f"a b c {wrap(n['GPL-3.0-2'], '//')} d e f\n{code}\n{' '.join(code.split())} {n['GPL-3.0-2']} {' '.join(code.split())}"),
+        (5, code + "\nReleased under the MIT License.\n" + code),
+        (6, code + "\nall of the rights are reserved under the terms of this work\n" + code),
+    ]
+    got = sorted((r["doc_id"], r["unit"], r["licence"]) for r in license_scan.scan_licences(frame(spark, rows)).collect() if r["unit"] == "run")
+    assert got == [(1, "run", "Apache-2.0-2"), (2, "run", "MIT-text"), (3, "run", "reserved"), (4, "run", "GPL-3.0-2"), (4, "run", "GPL-3.0-2")]
+    at = {r["doc_id"]: (r["position"], r["dice"]) for r in license_scan.scan_licences(frame(spark, rows)).filter("unit = 'run' AND doc_id IN (2, 3)").collect()}
+    assert at[3] == (4, 1.0) and at[2] == (len(re.findall("[a-z0-9]+", code.lower())), 1.0)
