@@ -70,8 +70,15 @@ def knn_search_lsh(spark, sf):
     q = e.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "qid")
     exact = search.knn_search(q, e, "qid", "vec_id", n=5)
     found = search.knn_search_lsh(q, e, "qid", "vec_id", n=5, width=2.0, tables=12)
-    both = exact.join(found.select("qid", "neighbor", F.lit(1).alias("hit")), ["qid", "neighbor"], "left").groupBy("qid").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"), F.count("*").alias("n"))
-    return both.agg(F.count("*").alias("n_queries"), (F.avg("recall") >= 0.9).alias("recall_reached"), F.every(F.col("n") == 5).alias("ranks_complete"))
+    return lsh_summary(q, exact, found)
+
+
+def lsh_summary(q, exact, found, n=5):
+    """Queries, whether the mean recall against ``exact`` reaches 0.9, and whether ``found`` has all ``n`` ranks of every query."""
+    pairs = exact.select("qid", "neighbor", F.lit(1).alias("wanted")).join(found.select("qid", "neighbor", "rank"), ["qid", "neighbor"], "full")
+    recall = F.count(F.when(F.col("rank").isNotNull(), F.col("wanted"))) / F.count("wanted")
+    both = q.select("qid").join(pairs.groupBy("qid").agg(recall.alias("recall"), F.count("rank").alias("n")), "qid", "left")
+    return both.agg(F.count("*").alias("n_queries"), (F.avg(F.coalesce("recall", F.lit(0.0))) >= 0.9).alias("recall_reached"), F.every(F.coalesce("n", F.lit(0)) == n).alias("ranks_complete"))
 
 
 @query(

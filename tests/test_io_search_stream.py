@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from brightloom.operators import search, udfs
+from brightloom.plans.search import lsh_summary
 from brightloom.sources import readers
 from brightloom.streaming import monitor as mon
 
@@ -91,6 +92,14 @@ def test_knn_keeps_the_smallest_keys_of_many_copies(spark):
         assert got[got["q"] == q].sort_values("rank")["neighbor"].tolist() == [keys[j] for j in want]
 
 
+def test_lsh_summary_counts_the_ranks_found(spark):
+    q = spark.createDataFrame([(i,) for i in range(20)], "qid int")
+    exact = q.crossJoin(spark.range(1, 6).select(F.col("id").cast("int").alias("rank"), F.col("id").alias("neighbor")))
+    assert tuple(lsh_summary(q, exact, exact).first()) == (20, True, True)
+    assert tuple(lsh_summary(q, exact, exact.filter("qid > 0")).first()) == (20, True, False)
+    assert tuple(lsh_summary(q, exact, exact.filter("qid > 0 OR rank < 5")).first()) == (20, True, False)
+
+
 def test_reindex_replaces(spark, tmp_path):
     df = spark.createDataFrame([("a", "x" * 1500), ("b", "y")], "id string, t string")
     search.reindex_overwrite(search.chunk_stride(df, "id", "t"), str(tmp_path / "i"))
