@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
-from brightloom.llm import chat_format, decontaminate, html_extract, language_id, license_scan, line_quality, near_dedup, source_mix, toxicity, url_templates
+from brightloom.llm import (
+    chat_format, decontaminate, html_extract, language_id, license_scan, line_quality, near_dedup, plane_clusters, source_mix, token_files, toxicity, url_templates,
+)
 from brightloom.plans.common import table
+from brightloom.session import fresh_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -171,3 +173,37 @@ def op1_url_templates(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op3_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.duplicate_groups(table(spark, sf, "documents"), width=3, percent=85)
+
+
+@query("op11_token_files")
+def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus written as files of packed ids, and digests read back from them."""
+    import public_tokenizers
+
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.token_digests(spark, path)
+
+
+def _kmeans_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds as a chain of tables: ``a<i>`` assigns, ``c<i>`` holds the centroids it assigns to."""
+    far = "list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    steps = [
+        """v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+          WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)""",
+        f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS INTEGER) AS k, x FROM (SELECT * FROM v ORDER BY sha256('3:' || vec_id) LIMIT {k}))""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT vec_id, x, unnest(min(struct_pack(d := d, k := k)) , recursive := true) FROM
+          (SELECT v.vec_id, v.x, c.k, CAST({far} AS BIGINT) AS d FROM v, c{i} c) GROUP BY vec_id, x)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+              SELECT k, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS x FROM (SELECT k, i, sum(x[i]) AS s, count(*) AS n FROM a{i}, range(1, 65) r(i) GROUP BY k, i) GROUP BY k) m ON m.k = c.k)""")
+    return f"""WITH {", ".join(steps)}
+      SELECT a.vec_id, a.k AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+        sha256(array_to_string(c.x, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON c.k = a.k"""
+
+
+@query("op12_plane_kmeans", _kmeans_sql())
+def op12_plane_kmeans(spark: SparkSession, sf: str) -> DataFrame:
+    return plane_clusters.cluster_vectors(table(spark, sf, "embeddings"), "vec_id")
