@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightloom.llm import (
-    chat_format, decontaminate, html_extract, language_id, license_scan, line_quality, near_dedup, plane_clusters, source_mix, token_files, toxicity, url_templates,
+    chat_format, decontaminate, html_extract, language_id, license_scan, line_quality, near_dedup, plane_clusters, source_mix, spelling, token_files, toxicity,
+    url_templates,
 )
 from brightloom.plans.common import table
 from brightloom.session import fresh_path
@@ -207,3 +208,8 @@ def _kmeans_sql(k: int = 8, rounds: int = 10) -> str:
 @query("op12_plane_kmeans", _kmeans_sql())
 def op12_plane_kmeans(spark: SparkSession, sf: str) -> DataFrame:
     return plane_clusters.cluster_vectors(table(spark, sf, "embeddings"), "vec_id")
+
+
+@query("op13_spelling")
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, sf, "documents"))
