@@ -8,11 +8,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from brightloom.operators.profile import QUARTILES
-from brightloom.operators.ranking import exact_quantiles, with_stats
+from brightloom.operators.ranking import exact_quantiles, framed, with_stats
 from brightloom.session import measured
 
 
@@ -174,9 +174,11 @@ def isolation_forest(
 
 def lag_vectors(df: DataFrame, order: str, value: str, lags: int = 7) -> DataFrame:
     """Add ``window_values``: the value and its predecessors, for rows with a full history (one row per period)."""
-    w = Window.orderBy(order)
-    arr = F.array(*[F.lag(value, i).over(w).cast("double") for i in range(lags - 1, -1, -1)])
-    return df.withColumn("window_values", arr).filter(F.forall("window_values", lambda v: v.isNotNull()))
+
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        return {"window_values": F.array(*[F.lag(value, i).over(w).cast("double") for i in range(lags - 1, -1, -1)])}
+
+    return framed(df, order, columns, before=lags - 1).filter(F.forall("window_values", lambda v: v.isNotNull()))
 
 
 def reconstruction_error(df: DataFrame, vector: str, k: int, quantile: float = 0.95) -> DataFrame:

@@ -6,11 +6,11 @@ running sums give every range its offset, and only rows of one range are sorted
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from brightloom.session import measured
@@ -128,6 +128,43 @@ def split_row_number(
     return out.withColumn(name, F.col(name) + 1)
 
 
+def order_ranges(df: DataFrame, c: str, name: str = "__range") -> DataFrame:
+    """Add ``name``, a range of ``c`` of any ordered type that never decreases along it."""
+    if df.schema[c].dataType.typeName() == "string":
+        return df.withColumn(name, F.coalesce(text_bucket(df, c), F.lit(-1)))
+    return value_ranges(df, c, name=name)
+
+
+def framed(
+    df: DataFrame, order: str, columns: Callable[[WindowSpec], Mapping[str, Column]], before: int = 0, after: int = 0, by: Sequence[str] = (),
+    position: str | None = None, block: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Add ``columns(w)``, window columns that look at most ``before`` rows back and ``after`` rows ahead along ``order``.
+
+    A series of any length is dealt to tasks in blocks of ``block`` consecutive rows (at least as many as the frame reaches), and
+    each block gets a copy of the rows next to it that frames of its own rows reach; copies are dropped afterwards. Blocks follow
+    exact row numbers, so one neighbour on either side is always enough. Tables of no more than a block need no
+    cutting. ``order`` must be unique within a group of ``by``, null groups included; ``position`` adds the row's number from 0.
+    The table is written once, because its size and its rows are both needed.
+    """
+    df = measured(df)
+    block = max(block, before, after, 1)
+    if df.count() <= block:
+        w = Window.partitionBy(*by).orderBy(order)
+        out = df.withColumns(dict(columns(w)))
+        return out.withColumn(position, F.row_number().over(w) - 1) if position else out
+    numbered = split_row_number(order_ranges(df, order), [F.asc(order)], F.col("__range"), by, "__at", split_above=block).drop("__range")
+    at = F.col("__at") - 1
+    own, inside = F.floor(at / block), at % block
+    goes = F.array(own, F.when(inside >= block - before, own + 1), F.when((inside < after) & (own > 0), own - 1))
+    dealt = numbered.withColumns({"__own": own, "__block": F.explode(F.array_compact(goes))})
+    w = Window.partitionBy(*by, "__block").orderBy("__at")
+    out = dealt.withColumns(dict(columns(w))).filter(F.col("__block") == F.col("__own"))
+    if position:
+        out = out.withColumn(position, at)
+    return out.drop("__at", "__own", "__block")
+
+
 def dense_ranks(df: DataFrame, c: str, name: str) -> DataFrame:
     """``(c, name)``: the distinct non-null values of ``c``, numbered from 0 in order, in independent ranges."""
     levels = df.select(c).filter(F.col(c).isNotNull()).distinct()

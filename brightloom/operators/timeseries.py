@@ -1,13 +1,14 @@
-"""Time-series operators. Each first reduces rows to one per period, so ordered windows stay small."""
+"""Time-series operators. Ordered frames are cut into blocks, so a series may have any length."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from brightloom.operators.ranking import split_row_number
+from brightloom.operators.ranking import framed, order_ranges, running_totals, split_row_number
+from brightloom.session import measured
 
 
 def daily(df: DataFrame, ts: str, aggs: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
@@ -16,20 +17,25 @@ def daily(df: DataFrame, ts: str, aggs: Sequence[Column], by: Sequence[str] = ()
 
 
 def running_total(df: DataFrame, order: str, value: str, by: Sequence[str] = ()) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("running_total", F.sum(value).over(w))
+    """Sum of ``value`` up to and with each row; ranges of the order carry the totals before them, so no series is one task."""
+    ranged = order_ranges(measured(df), order)
+    added = F.coalesce(F.col(value), F.lit(0))
+    seen = F.when(F.col(value).isNotNull(), 1).otherwise(0)
+    out = running_totals(ranged, [F.asc(order)], F.col("__range"), {"__before": added, "__seen": seen}, by)
+    total = F.coalesce("__before", F.lit(0)) + added
+    any_value = F.coalesce("__seen", F.lit(0)) + seen > 0
+    return out.withColumn("running_total", F.when(any_value, total)).drop("__range", "__before", "__seen")
 
 
 def rolling_mean_std(df: DataFrame, order: str, value: str, by: Sequence[str] = (), size: int = 7) -> DataFrame:
     """Trailing mean and sample std over ``size`` rows, null until that many exist."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-(size - 1), 0)
-    full = F.count(value).over(w) == size
-    return df.withColumns(
-        {
-            "rolling_mean": F.when(full, F.avg(value).over(w)),
-            "rolling_std": F.when(full, F.stddev_samp(value).over(w)),
-        }
-    )
+
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        w = w.rowsBetween(-(size - 1), 0)
+        full = F.count(value).over(w) == size
+        return {"rolling_mean": F.when(full, F.avg(value).over(w)), "rolling_std": F.when(full, F.stddev_samp(value).over(w))}
+
+    return framed(df, order, columns, before=size - 1, by=by)
 
 
 def resample_month(df: DataFrame, ts: str, value: str) -> DataFrame:
@@ -49,8 +55,12 @@ def resample_month(df: DataFrame, ts: str, value: str) -> DataFrame:
 
 def pct_change(df: DataFrame, order: str, value: str, name: str = "pct_change", by: Sequence[str] = ()) -> DataFrame:
     """Percent change to the previous row; null for the first row and after a zero."""
-    prev = F.lag(value).over(Window.partitionBy(*by).orderBy(order))
-    return df.withColumn(name, F.when(prev != 0, (F.col(value) / prev - 1) * 100))
+
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        prev = F.lag(value).over(w)
+        return {name: F.when(prev != 0, (F.col(value) / prev - 1) * 100)}
+
+    return framed(df, order, columns, before=1, by=by)
 
 
 def context_window(
@@ -76,17 +86,17 @@ def seasonal_decompose(df: DataFrame, order: str, value: str, period: int = 30)
     ends; seasonal is the mean detrended value per phase, shifted to mean zero over the phases.
     """
     half = period // 2
-    w = Window.orderBy(order)
-    rows = df.withColumn("__i", F.row_number().over(w) - 1)
-    frame = w.rowsBetween(-half, half)
     width = 2 * half + 1
-    total = F.sum(value).over(frame)
-    if period % 2 == 0:
-        ends = (F.lag(value, half).over(w) + F.lead(value, half).over(w)) / 2
-        total = total - ends
-    rows = rows.withColumn("trend", F.when(F.count(value).over(frame) == width, total / period))
-    phase = F.col("__i") % period
-    rows = rows.withColumn("__phase", phase).withColumn("__detrended", F.col(value) - F.col("trend"))
+
+    def trend(w: WindowSpec) -> dict[str, Column]:
+        frame = w.rowsBetween(-half, half)
+        total = F.sum(value).over(frame)
+        if period % 2 == 0:
+            total = total - (F.lag(value, half).over(w) + F.lead(value, half).over(w)) / 2
+        return {"trend": F.when(F.count(value).over(frame) == width, total / period)}
+
+    rows = framed(df, order, trend, before=half, after=half, position="__i")
+    rows = rows.withColumn("__phase", F.col("__i") % period).withColumn("__detrended", F.col(value) - F.col("trend"))
     means = rows.groupBy("__phase").agg(F.avg("__detrended").alias("__m"))
     level = means.agg(F.avg("__m")).scalar()
     seasonal = means.select("__phase", (F.col("__m") - level).alias("seasonal"))
