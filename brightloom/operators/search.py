@@ -9,10 +9,12 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brightloom.functions.text import STOP_WORDS, tokens
+from brightloom.operators.ranking import join_null_safe
+from brightloom.session import measured
 from brightloom.sources.sinks import sink_parquet
 
 CHUNK, OVERLAP = 1000, 200  # fixed values: characters per chunk and shared with the next
@@ -69,19 +71,14 @@ def embed_text(df: DataFrame, text: str, features: int = 256) -> DataFrame:
     return out.withColumn("embedding", vector_to_array("__v", "float32")).drop("__toks", "__tf", "__idf", "__v")
 
 
-def _near_pairs(m: np.ndarray, x: np.ndarray, n: int, best: tuple | None, cells: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near_pairs(m: np.ndarray, x: np.ndarray, n: int, reach: np.ndarray, cells: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Runs of pairs (row of ``m``, row of ``x``) that hold, for every row of ``m``, all rows of ``x`` that can be among its ``n`` nearest.
 
     Distances in matrix form are off by at most ``off``; a pair is left out only if even its least possible distance is more than
-    ``n`` others have at most, here or in ``best`` (rows of ``m`` and distances so far), so equally near rows all stay.
+    ``n`` others have at most, here or by ``reach`` (a bound per row of ``m``), so equally near rows all stay.
     """
     squares_m, squares_x = (m * m).sum(axis=1), (x * x).sum(axis=1)
     slack = 4 * (x.shape[1] + 4) * np.finfo(float).eps
-    reach = np.full(len(m), np.inf)
-    if best is not None:
-        at, d = best[0], best[1]
-        full = np.flatnonzero(np.bincount(at, minlength=len(m)) >= n)
-        reach[full] = d[np.searchsorted(at, full, "right") - 1]
     step, most = max(1, cells // len(x)), max(1, cells // x.shape[1])
     for a in range(0, len(m), step):
         mine = slice(a, a + step)
@@ -96,49 +93,155 @@ def _near_pairs(m: np.ndarray, x: np.ndarray, n: int, best: tuple | None, cells:
             yield at[i : i + most] + a, of[i : i + most]
 
 
+def nearest_in_block(m: np.ndarray, reach: np.ndarray, x: np.ndarray, keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row of m, key, squared distance)``: the ``n`` nearest rows of ``x`` for every row of ``m``, ties by key; none beyond ``reach``."""
+    best = (np.zeros(0, np.int64), keys[:0], np.zeros(0))
+    for at, of in _near_pairs(m, x, n, reach):
+        d = ((x[of] - m[at]) ** 2).sum(axis=1)
+        at, k, d = (np.concatenate(c) for c in zip(best, (at, keys[of], d)))
+        order = np.lexsort((k, d, at))
+        order = order[np.arange(len(order)) - np.searchsorted(at[order], at[order]) < n]
+        best = at[order], k[order], d[order]
+    return best
+
+
+def _stacked(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(float)
+
+
+def _to_centres(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Distances of the rows of ``x`` to all centres."""
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (centres * centres).sum(1)[None, :] - 2 * x @ centres.T, 0))
+
+
+def fit_centres(rows: DataFrame, vector: str, cells: int, sample: int = 20_000, rounds: int = 5) -> np.ndarray:
+    """At most ``cells`` centres by k-means on about ``sample`` of the distinct vectors, drawn by their hash, in one task."""
+    drawn = rows.select(F.col(vector).cast("array<double>").alias("v")).distinct().withColumn("h", F.xxhash64("v")).orderBy("h", "v").limit(sample)
+
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = [f for f in frames if len(f)]
+        if not got:
+            return
+        x = _stacked(pd.concat(got)["v"])
+        centres = x[:cells].copy()  # in hash order, so they are drawn at random
+        for _ in range(rounds):
+            own = _to_centres(x, centres).argmin(axis=1)
+            size = np.bincount(own, minlength=len(centres))
+            sums = np.zeros_like(centres)
+            np.add.at(sums, own, x)
+            centres = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
+        yield pd.DataFrame({"c": list(centres)})
+
+    found = drawn.select("v").coalesce(1).mapInPandas(fit, "c array<double>").collect()  # at most `cells` rows
+    return np.array([r["c"] for r in found])
+
+
 def knn_search(
-    queries: DataFrame, index: DataFrame, query_key: str, key: str, vector: str = "embedding", n: int = 5, block: int = 2000
+    queries: DataFrame, index: DataFrame, query_key: str, key: str, vector: str = "embedding", n: int = 5, cells: int | None = None, block: int = 20_000, widen: int = 8
 ) -> DataFrame:
     """Exact ``n`` nearest index rows per query by squared L2: ``(query key, rank, key, distance)``.
 
-    Queries travel to the tasks in blocks of about ``block`` vectors; the index is never shuffled: each task keeps the
-    ``n`` best of its rows per query, and only those candidates are merged. Ties go to the smaller key; rows without a
-    vector are left out. For very many queries use ``knn_search_lsh``.
+    Index rows are kept by cell, the nearest of about sqrt(rows) coarse k-means centres, with their distance to it. A query
+    first visits the nearest cells that together hold ``n`` rows, then up to ``widen`` more and then all others that the triangle inequality does
+    not rule out: a cell whose rows are ``low`` to ``high`` away from its centre has none nearer than the query's distance to the centre
+    less ``high``, or ``low`` less that distance. Rows of a visited cell are ruled out in the same way by their own distance to
+    the centre. Each round is a join of queries and rows by cell; cells and the queries that visit them are cut into blocks of about
+    ``block`` rows, so a hot cell is many tasks, and a query whose cells are all visited or ruled out takes no part in later rounds. Centres and
+    cell statistics are all that the driver holds. Ties go to the smaller key; rows without a vector are left out; query
+    keys must be unique.
     """
-    spark = index.sparkSession
-    q = queries.select(F.col(query_key).alias("qk"), F.col(vector).cast("array<double>").alias("v")).filter("v IS NOT NULL")
-    blocks = max(1, -(-q.count() // block))
-    key_type = index.schema[key].dataType.simpleString()
-    q_type = queries.schema[query_key].dataType.simpleString()
-    rows = index.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v")).filter("v IS NOT NULL")
-    parts = []
-    for b in range(blocks):
-        part = (q if blocks == 1 else q.filter(F.pmod(F.xxhash64("qk"), F.lit(blocks)) == b)).toArrow()  # about `block` vectors
-        if not part.num_rows:
-            continue
-        shared = spark.sparkContext.broadcast((part.column("qk").to_numpy(), np.stack(part.column("v").to_numpy(zero_copy_only=False))))
-
-        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            names, m = shared.value
-            best = None
-            for pdf in filter(len, batches):
-                x, ks = np.stack(pdf["v"].to_numpy()), pdf["k"].to_numpy()
-                for at, of in _near_pairs(m, x, n, best):
-                    d = ((x[of] - m[at]) ** 2).sum(axis=1)
-                    pairs = (at, d, ks[of]) if best is None else tuple(map(np.concatenate, zip(best, (at, d, ks[of]))))
-                    order = np.lexsort((pairs[2], pairs[1], pairs[0]))
-                    order = order[np.arange(len(order)) - np.searchsorted(pairs[0][order], pairs[0][order]) < n]
-                    best = tuple(c[order] for c in pairs)
-            if best is not None:
-                yield pd.DataFrame({"qk": names[best[0]], "k": best[2], "distance": best[1]})
-
-        parts.append(rows.mapInPandas(search, f"qk {q_type}, k {key_type}, distance double"))
-    out = parts[0] if parts else spark.createDataFrame([], f"qk {q_type}, k {key_type}, distance double")
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    rows = index.select(F.col(key).alias("k"), F.col(vector).alias("v")).filter("v IS NOT NULL")
+    q = measured(queries.select(F.col(query_key).alias("qk"), F.col(vector).cast("array<double>").alias("v")).filter("v IS NOT NULL"))
+    k_type, q_type, v_type = (t.dataType.simpleString() for t in (rows.schema["k"], q.schema["qk"], rows.schema["v"]))
+    result = f"qk {q_type}, k {k_type}, distance double"
+    centres = fit_centres(rows, "v", cells or int(min(max(rows.count() ** 0.5, 8), 1024)))
+    if not len(centres):
+        return q.sparkSession.createDataFrame([], result).select(F.col("qk").alias(query_key), F.lit(1).alias("rank"), F.col("k").alias("neighbor"), "distance")
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in filter(len, frames):
+            d = _to_centres(_stacked(f["v"]), centres)
+            own = d.argmin(axis=1)
+            yield f.assign(cell=own.astype(np.int32), r=d[np.arange(len(d)), own])
+
+    placed = measured(rows.mapInPandas(place, f"k {k_type}, v {v_type}, cell int, r double"))
+    facts = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("r").alias("low"), F.max("r").alias("high")).collect()}
+    size, low, high = (np.array([facts[c][name] if c in facts else 0.0 for c in range(len(centres))]) for name in ("n", "low", "high"))
+    scale = 1 + float(np.sqrt((centres * centres).sum(axis=1)).max()) + float(high.max())
+
+    def slack(m: np.ndarray) -> np.ndarray:
+        """More than rounding can change a distance of each row of ``m``."""
+        return 1e-6 * (scale + np.sqrt((m * m).sum(axis=1)))
+
+    def visits(first: int, last: int | None):
+        """Rows ``(cell, qk, v, tau)`` of the cells that a query has at places ``first`` to ``last`` of its order and cannot rule out."""
+
+        def plan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in filter(len, frames):
+                m = _stacked(f["v"])
+                d = _to_centres(m, centres)
+                tau = f["tau"].to_numpy(float)
+                order = np.argsort(np.where(size > 0, d, np.inf), axis=1, kind="stable")
+                held = np.cumsum(size[order], axis=1)
+                start = (held < n).sum(axis=1) + 1  # cells of the first round
+                nearest = np.maximum(np.maximum(d - high, low - d), 0)
+                needed = (size > 0) & (np.maximum(nearest - slack(m)[:, None], 0) ** 2 <= tau[:, None])
+                at = np.empty_like(order)
+                np.put_along_axis(at, order, np.arange(d.shape[1])[None, :], axis=1)
+                begin = 0 if first == 0 else start + (0 if first == 1 else widen)
+                end = start if last == 0 else start + widen if last == 1 else np.full(len(f), d.shape[1])
+                which, cell = np.nonzero(needed & (at >= np.reshape(begin, (-1, 1))) & (at < end[:, None]))
+                for i in range(0, len(which), 4096):
+                    w = which[i : i + 4096]
+                    yield f.iloc[w][["qk", "v", "tau"]].assign(cell=cell[i : i + 4096].astype(np.int32))
+
+        return plan
+
+    def search(theirs: pd.DataFrame, mine: pd.DataFrame) -> pd.DataFrame:
+        if not len(theirs) or not len(mine):
+            return pd.DataFrame({"qk": theirs["qk"][:0], "k": mine["k"][:0], "distance": []})
+        m, tau = _stacked(theirs["v"]), theirs["tau"].to_numpy(float)
+        x, keys, r = _stacked(mine["v"]), mine["k"].to_numpy(), mine["r"].to_numpy(float)
+        to_centre = _to_centres(m, centres[[int(theirs["cell"].iloc[0])]])[:, 0]
+        far = np.sqrt(tau) + slack(m)
+        near = (r >= (to_centre - far).min()) & (r <= (to_centre + far).max())
+        if not near.any():
+            near[0] = True
+        at, k, d = nearest_in_block(m, tau, x[near], keys[near], n)
+        return pd.DataFrame({"qk": theirs["qk"].to_numpy()[at], "k": k, "distance": d})
+
+    def visit(asked: DataFrame, first: int, last: int | None) -> DataFrame | None:
+        """Candidates of one round, or None if no query is open."""
+        planned = measured(asked.mapInPandas(visits(first, last), f"qk {q_type}, v array<double>, tau double, cell int"))
+        wanted = {r["cell"]: r["count"] for r in planned.groupBy("cell").count().collect()}  # at most one row per cell
+        if not wanted:
+            return None
+
+        def blocks(counts: dict) -> Column:
+            return F.get(F.array(*[F.lit(max(1, -(-int(counts.get(c, 0)) // block))) for c in range(len(centres))]), F.col("cell"))
+
+        row_blocks, query_blocks = blocks({c: f["n"] for c, f in facts.items()}), blocks(wanted)
+        of_rows = lambda key: F.pmod(F.xxhash64(key), row_blocks).cast("int")
+        left = planned.select("cell", F.pmod(F.xxhash64("qk"), query_blocks).cast("int").alias("qb"), F.explode(F.sequence(F.lit(0), row_blocks - 1)).alias("rb"), "qk", "v", "tau")
+        right = placed.filter(F.col("cell").isin(list(wanted))).select("cell", F.explode(F.sequence(F.lit(0), query_blocks - 1)).alias("qb"), of_rows("k").alias("rb"), "k", "v", "r")
+        by = ["cell", "qb", "rb"]
+        tasks = min(10_000, max(q.sparkSession.sparkContext.defaultParallelism, 2 * sum(-(-int(f["n"]) // block) for c, f in facts.items() if c in wanted)))
+        left, right = left.repartition(tasks, *by), right.repartition(tasks, *by)
+        return measured(left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, result))
+
     w = Window.partitionBy("qk").orderBy("distance", "k")
-    ranked = out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-    return ranked.select(F.col("qk").alias(query_key), "rank", F.col("k").alias("neighbor"), "distance")
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+    found = visit(q.withColumn("tau", F.lit(float("inf"))), 0, 0)
+    for first, last in ((1, 1), (2, None)) if found is not None else ():
+        reached = best(found).groupBy("qk").agg(F.max(F.when(F.col("rank") == n, F.col("distance"))).alias("tau"))
+        asked = join_null_safe(q, measured(reached), ["qk"], "left").withColumn("tau", F.coalesce("tau", F.lit(float("inf"))))
+        more = visit(asked, first, last)
+        found = found if more is None else found.unionByName(more)
+    found = found if found is not None else q.sparkSession.createDataFrame([], result)
+    return best(found).select(F.col("qk").alias(query_key), "rank", F.col("k").alias("neighbor"), "distance")
 
 
 def knn_search_lsh(

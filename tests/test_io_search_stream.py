@@ -92,6 +92,37 @@ def test_knn_keeps_the_smallest_keys_of_many_copies(spark):
         assert got[got["q"] == q].sort_values("rank")["neighbor"].tolist() == [keys[j] for j in want]
 
 
+def test_knn_over_cells_with_a_hot_one(spark):
+    """A third of the rows are copies, clusters lie apart, some vectors are null: equal to brute force, few rows compared."""
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(12, 6)) * 50
+    x = np.vstack([middles[rng.integers(0, 12, 800)] + rng.normal(size=(800, 6)), np.tile(middles[0], (400, 1))])
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(5000, None)]
+    index = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(6)
+    stored = np.array([r["embedding"] for r in index.filter("id < 5000").orderBy("id").collect()], float)
+    queries = index.filter("id % 20 = 0").withColumnRenamed("id", "q")
+    for cells, block in ((None, 20_000), (5, 50), (1, 100)):
+        got = search.knn_search(queries, index, "q", "id", n=7, cells=cells, block=block, widen=2).collect()
+        found = {}
+        for r in sorted(got, key=lambda r: (r["q"], r["rank"])):
+            found.setdefault(r["q"], []).append((r["neighbor"], r["distance"]))
+        for q in range(0, 1200, 20):
+            d = ((stored - stored[q]) ** 2).sum(axis=1)
+            want = sorted(range(1200), key=lambda j: (d[j], j))[:7]
+            assert [k for k, _ in found[q]] == want
+            assert [v for _, v in found[q]] == [d[j] for j in want]
+        assert set(found) == set(range(0, 1200, 20))
+
+
+def test_knn_empty_sides(spark):
+    some = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.5, 1.0])], "id int, embedding array<double>")
+    none = some.filter("id > 9")
+    assert search.knn_search(none.withColumnRenamed("id", "q"), some, "q", "id").count() == 0
+    assert search.knn_search(some.withColumnRenamed("id", "q"), none, "q", "id").count() == 0
+    few = search.knn_search(some.withColumnRenamed("id", "q"), some, "q", "id", n=5).collect()
+    assert sorted((r["q"], r["rank"], r["neighbor"]) for r in few) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 1)]
+
+
 def test_lsh_summary_counts_the_ranks_found(spark):
     q = spark.createDataFrame([(i,) for i in range(20)], "qid int")
     exact = q.crossJoin(spark.range(1, 6).select(F.col("id").cast("int").alias("rank"), F.col("id").alias("neighbor")))
