@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import zlib
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -122,40 +124,212 @@ def _design(day: Column, span: Column) -> Column:
     return F.array(*terms)
 
 
-def kpi_forecast(kpis: DataFrame, periods: int = 30, z: float = 1.96) -> DataFrame:
-    """Least-squares trend with weekly and yearly seasons of every KPI: ``(kpi, date, actual, forecast, lower, upper)``.
+# Candidate change points, the share of the history that they cover, and the scale of a slope change that is expected.
+CANDIDATES, COVERED, EXPECTED = 25, 0.8, 0.05
+_FINE = 8  # positions tried on either side of a change found among the candidates
+_BASE = 2 + 2 * sum(order for _, order in SEASONS)
 
-    Fitted history rows and ``periods`` days ahead (``actual`` null). Spark sums the normal equations of all KPIs at
-    once; only the solution of one small system per KPI runs in a function.
+
+def _with_hinges(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
+    """The terms ``x`` and one more per knot: how far the trend's time lies behind it."""
+    return np.hstack([x, np.maximum(x[:, 1:2] - knots[None, :], 0)])
+
+
+def _gram(rows: DataFrame) -> DataFrame:
+    """``(kpi, m)``: products of all pairs of terms, hinges at ``knots`` and value, summed over the rows ``(kpi, x, value, knots)``."""
+
+    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[str, np.ndarray] = {}
+
+        def done() -> pd.DataFrame:
+            return pd.DataFrame({"kpi": list(sums), "m": [m.ravel() for m in sums.values()]})
+
+        for f in frames:
+            for name, g in f.groupby("kpi"):
+                z = np.column_stack([_with_hinges(np.stack(g["x"].to_numpy()), np.asarray(g["knots"].iloc[0], float)), g["value"].to_numpy(float)])
+                sums[name] = sums.get(name, 0) + z.T @ z
+            if len(sums) > 1000:
+                yield done()
+                sums.clear()
+        if sums:
+            yield done()
+
+    parts = rows.select("kpi", "x", "value", "knots").mapInPandas(partial, "kpi string, m array<double>")
+    total = parts.select("kpi", F.posexplode("m").alias("at", "v")).groupBy("kpi", "at").agg(F.sum("v").alias("v"))
+    return total.groupBy("kpi").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda s: s["v"]).alias("m"))
+
+
+def _least_squares(m: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, float]:
+    """Coefficients of the terms ``use`` and the squared error, from the products ``m`` (value last)."""
+    coef = np.linalg.lstsq(m[np.ix_(use, use)], m[use, -1], rcond=1e-12)[0]
+    return coef, max(float(m[-1, -1] - coef @ m[use, -1]), 0.0)
+
+
+def sparse_changes(m: np.ndarray, n: int, sweeps: int = 500) -> np.ndarray:
+    """Slope changes at the candidates: least squares with an absolute penalty on them, by coordinate descent.
+
+    The penalty is the noise variance over the expected size of a change, for values scaled to 1. ``m`` has the base terms first.
+    """
+    p = len(m) - 1
+    scale = np.sqrt(m[-1, -1] / max(n, 1)) or 1.0
+    a, c = m[:p, :p], m[:p, -1] / scale
+    full, error = _least_squares(m, np.arange(p))
+    penalty = np.where(np.arange(p) < _BASE, 0.0, error / scale**2 / max(n - p, 1) / EXPECTED)
+    b = np.zeros(p)
+    left = c.copy()
+    size = np.diag(a)
+    for _ in range(sweeps):
+        moved = 0.0
+        for j in np.flatnonzero(size > 1e-9):
+            rho = left[j] + size[j] * b[j]
+            new = np.sign(rho) * max(abs(rho) - penalty[j], 0.0) / size[j]
+            if new != b[j]:
+                left -= a[:, j] * (new - b[j])
+                moved = max(moved, abs(new - b[j]))
+                b[j] = new
+        if moved < 1e-7:
+            break
+    return b[_BASE:] * scale
+
+
+def change_places(m: np.ndarray, knots: np.ndarray, n: int) -> list[float]:
+    """Middle of every run of neighbouring candidates whose slopes change in one direction."""
+    use = np.unique(np.linspace(0, len(knots) - 1, min(len(knots), n // 8)).astype(int)) if n >= 16 else np.zeros(0, int)
+    if not len(use):
+        return []
+    keep = np.r_[np.arange(_BASE), _BASE + use, len(m) - 1]
+    found = sparse_changes(m[np.ix_(keep, keep)], n)
+    runs: list[list[int]] = []
+    for i in np.flatnonzero(np.abs(found) > 1e-6 * max(np.abs(found).max(), 1e-300)):
+        if runs and runs[-1][-1] == i - 1 and found[i - 1] * found[i] > 0:
+            runs[-1].append(i)
+        else:
+            runs.append([i])
+    return [float(np.average(knots[use[r]], weights=np.abs(found[r]))) for r in runs]
+
+
+def place_changes(m: np.ndarray, groups: list[list[int]], n: int, select: bool) -> tuple[list[int], np.ndarray, float]:
+    """One knot per group of positions: ``(chosen positions, coefficients of base terms and knots, squared error)``.
+
+    Positions are improved in turn until no move lowers the error. With ``select`` a change stays only if it lowers ``n log(error)``
+    by more than three times ``log(n)``: once for its slope and twice for its place, which is searched for.
+    """
+    base = np.arange(_BASE)
+
+    def fit(chosen: list[int]) -> tuple[np.ndarray, float]:
+        return _least_squares(m, np.r_[base, _BASE + np.array(chosen, int)])
+
+    chosen = [g[len(g) // 2] for g in groups]
+    groups = list(groups)
+    floor = 1e-12 * m[-1, -1] + 1e-300
+    while True:
+        best = fit(chosen)[1]
+        for _ in range(10):
+            before = best
+            for i, g in enumerate(groups):
+                errors = [fit([*chosen[:i], p, *chosen[i + 1 :]])[1] for p in g]
+                if min(errors) < best:
+                    best, chosen[i] = min(errors), g[int(np.argmin(errors))]
+            if before - best <= 1e-9 * before:
+                break
+        without = [fit(chosen[:i] + chosen[i + 1 :])[1] for i in range(len(chosen))]
+        if not chosen or not select or n * np.log((min(without) + floor) / (best + floor)) > 3 * np.log(n):
+            return chosen, *fit(chosen)
+        drop = int(np.argmin(without))
+        del chosen[drop], groups[drop]
+
+
+def future_trend(changes: np.ndarray, span: float, periods: int, seed: int, share: float, paths: int = 2000) -> np.ndarray:
+    """``(2, periods)``: lower and upper quantile of what slope changes to come add to the trend.
+
+    Changes come as often as in the history, with Laplace sizes of the mean size there; none were seen, none are to come.
+    """
+    if not len(changes):
+        return np.zeros((2, periods))
+    rng = np.random.default_rng(seed)
+    sizes = rng.laplace(0.0, np.abs(changes).mean(), (paths, periods)) * (rng.random((paths, periods)) < len(changes) / max(span, 1.0))
+    added = np.cumsum(np.cumsum(sizes, axis=1), axis=1) / span
+    return np.quantile(added, [share, 1 - share], axis=0)
+
+
+def kpi_forecast(kpis: DataFrame, periods: int = 30, z: float = 1.96, seed: int = 42) -> DataFrame:
+    """Trend with change points and weekly and yearly seasons of every KPI: ``(kpi, date, actual, forecast, lower, upper, changes)``.
+
+    Fitted history rows and ``periods`` days ahead (``actual`` null). Slopes may change at 25 candidates over the first 80 % of the
+    history (fewer for less than 200 rows); an absolute penalty selects them, then each is placed more finely and stays only if it
+    pays, and all terms are fitted by least squares. Spark sums the products of terms of all KPIs, per task and then per KPI,
+    once for the candidates and once for each finer step, down to half a day; what is solved per KPI has a bounded size. Bounds of the history are
+    ``z`` standard errors wide; ahead, the spread of simulated future slope changes adds to them. ``changes`` holds the dates.
     """
     kpis = measured(kpis)  # one row per period, read by several steps
-    ends = kpis.groupBy("kpi").agg(F.min("date").alias("start"), F.max("date").alias("stop"))
-    ends = ends.withColumn("span", F.greatest(F.date_diff("stop", "start"), F.lit(1)).cast("double"))
+    ends = kpis.groupBy("kpi").agg(F.min("date").alias("start"), F.max("date").alias("stop"), F.count("value").alias("n"))
+    ends = measured(ends.withColumn("span", F.greatest(F.date_diff("stop", "start"), F.lit(1)).cast("double")))
     rows = kpis.join(ends, "kpi").withColumn("x", _design(F.date_diff("date", "start").cast("double"), F.col("span")))
-    size = 2 + 2 * sum(order for _, order in SEASONS)
-    products = F.concat(F.flatten(F.transform("x", lambda a: F.transform("x", lambda b: a * b))), F.transform("x", lambda a: a * F.col("value")))
-    sums = rows.select("kpi", F.posexplode(products).alias("at", "v")).groupBy("kpi", "at").agg(F.sum("v").alias("v"))
-    systems = sums.groupBy("kpi").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda s: s["v"]).alias("m"))
+    coarse = np.linspace(0, COVERED, CANDIDATES + 1)[1:]
+    # each round tries positions an eighth as far apart, down to half a day in the longest series
+    longest = ends.agg(F.max("span")).first()[0] or 1.0
+    steps = [float(coarse[0]) / _FINE]
+    while steps[-1] * longest > 0.5:
+        steps.append(steps[-1] / _FINE)
+
+    def grid(places: np.ndarray, step: float) -> np.ndarray:
+        return np.maximum(np.asarray(places, float)[:, None] + step * np.arange(-_FINE, _FINE + 1), 0.0).ravel()
+
+    def placed(m: np.ndarray, places: np.ndarray, step: float, n: int, select: bool) -> tuple:
+        """Knots, coefficients, squared error and the number of terms used."""
+        knots = grid(places, step)
+        size = _BASE + len(knots) + 1
+        square = np.asarray(m).reshape(size, size)
+        groups = [list(range(i, i + 2 * _FINE + 1)) for i in range(0, len(knots), 2 * _FINE + 1)]
+        chosen, coef, error = place_changes(square, groups, n, select)
+        return knots[chosen], coef, error, int((np.diag(square)[:_BASE] > 0).sum()) + 2 * len(chosen)
 
     @F.pandas_udf("array<double>")
-    def solve(m: pd.Series) -> pd.Series:
-        return m.map(lambda a: np.linalg.lstsq(np.asarray(a)[: size * size].reshape(size, size), np.asarray(a)[size * size :], rcond=1e-12)[0])
-
-    solved = measured(systems.select("kpi", solve("m").alias("coef")).join(ends, "kpi"))
-    dot = F.aggregate(F.zip_with("x", "coef", lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
-    used = F.lit(2.0)
-    for length, order in SEASONS:
-        used = used + F.when(F.col("span") >= 2 * length, F.lit(2.0 * order)).otherwise(F.lit(0.0))
-    fitted = rows.select("kpi", "date", F.col("value").alias("actual"), "x").join(solved.select("kpi", "coef", "span"), "kpi")
-    fitted = fitted.select("kpi", "date", "actual", dot.alias("forecast"), used.alias("terms"))
-    error = fitted.groupBy("kpi").agg(
-        F.sqrt(F.sum(F.pow(F.col("actual") - F.col("forecast"), F.lit(2.0))) / F.greatest(F.count("*") - F.max("terms"), F.lit(1.0))).alias("sd")
+    def search(m: pd.Series, n: pd.Series) -> pd.Series:
+        size = _BASE + CANDIDATES + 1
+        return pd.Series([change_places(np.asarray(a).reshape(size, size), coarse, int(k)) for a, k in zip(m, n)])
+
+    def products(places: DataFrame, step: float) -> DataFrame:
+        knots = F.flatten(F.transform("places", lambda c: F.array(*[F.greatest(c + i * step, F.lit(0.0)) for i in range(-_FINE, _FINE + 1)])))
+        return _gram(rows.join(places, "kpi").withColumn("knots", knots)).join(places, "kpi").join(ends, "kpi")
+
+    first = _gram(rows.withColumn("knots", F.array(*[F.lit(float(k)) for k in coarse])))
+    places = measured(first.join(ends.select("kpi", "n"), "kpi").select("kpi", search("m", "n").alias("places")))
+
+    def closer(step: float) -> Callable:
+        @F.pandas_udf("array<double>")
+        def move(m: pd.Series, at: pd.Series, n: pd.Series) -> pd.Series:
+            return pd.Series([placed(a, p, step, int(k), False)[0] for a, p, k in zip(m, at, n)])
+
+        return move
+
+    for step in steps[:-1]:
+        places = measured(products(places, step).select("kpi", closer(step)("m", "places", "n").alias("places")))
+
+    @F.pandas_udf("struct<coef:array<double>,knots:array<double>,sd:double,low:array<double>,high:array<double>>")
+    def solve(name: pd.Series, m: pd.Series, at: pd.Series, n: pd.Series, span: pd.Series) -> pd.DataFrame:
+        out = []
+        for kpi, a, p, count, days in zip(name, m, at, n, span):
+            knots, coef, error, used = placed(a, p, steps[-1], int(count), True)
+            low, high = future_trend(coef[_BASE:], days, periods, zlib.crc32(f"{seed}:{kpi}".encode()), math.erfc(z / math.sqrt(2)) / 2)
+            out.append((coef, knots, math.sqrt(error / max(count - used, 1)), low, high))
+        return pd.DataFrame(out, columns=["coef", "knots", "sd", "low", "high"])
+
+    joined = products(places, steps[-1])
+    solved = measured(joined.select("kpi", "start", "stop", "span", solve("kpi", "m", "places", "n", "span").alias("fit")).select("kpi", "start", "stop", "span", "fit.*"))
+    solved = solved.withColumn("changes", F.transform("knots", lambda k: F.date_add("start", F.round(k * F.col("span")).cast("int"))))
+    hinges = F.transform("knots", lambda k: F.greatest(F.element_at("x", 2) - k, F.lit(0.0)))
+    value = F.aggregate(F.zip_with(F.concat("x", hinges), "coef", lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+    model = solved.select("kpi", "coef", "knots", "sd", "changes")
+    fitted = rows.select("kpi", "date", F.col("value").alias("actual"), "x").join(model, "kpi")
+    fitted = fitted.select("kpi", "date", "actual", value.alias("forecast"), F.lit(0.0).alias("low"), F.lit(0.0).alias("high"), "sd", "changes")
+    days = F.posexplode(F.sequence(F.date_add("stop", 1), F.date_add("stop", periods)))
+    ahead = solved.select("*", days.alias("i", "date")).withColumn("x", _design(F.date_diff("date", "start").cast("double"), F.col("span")))
+    ahead = ahead.select("kpi", "date", F.lit(None).cast("double").alias("actual"), value.alias("forecast"), F.get("low", "i").alias("low"), F.get("high", "i").alias("high"), "sd", "changes")
+    out = fitted.unionByName(ahead)
+    return out.select(
+        "kpi", "date", "actual", "forecast", (F.col("forecast") + F.col("low") - z * F.col("sd")).alias("lower"), (F.col("forecast") + F.col("high") + z * F.col("sd")).alias("upper"), "changes"
     )
-    ahead = solved.select("kpi", "coef", "start", "span", F.explode(F.sequence(F.date_add("stop", 1), F.date_add("stop", periods))).alias("date"))
-    ahead = ahead.withColumn("x", _design(F.date_diff("date", "start").cast("double"), F.col("span")))
-    both = fitted.drop("terms").unionByName(ahead.select("kpi", "date", F.lit(None).cast("double").alias("actual"), dot.alias("forecast")))
-    out = both.join(error, "kpi")
-    return out.select("kpi", "date", "actual", "forecast", (F.col("forecast") - z * F.col("sd")).alias("lower"), (F.col("forecast") + z * F.col("sd")).alias("upper"))
 
 
 def kpi_rules(stats: DataFrame, drop_pct: float = 10.0, sigmas: float = 2.0) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import rounded
 from brightloom.operators import kpi
 from brightloom.plans.common import table
 from brightloom.registry import query
+from brightloom.session import measured
 
 O = ("o_orderdate", "o_totalprice")
 
@@ -103,19 +106,35 @@ def kpi_correlations(spark, sf):
     return out.withColumn("r", rounded("r", 6))
 
 
+# Terms of the fit whose products with the series are checked: constant, trend, one weekly and one yearly pair (0 in a shorter series).
+_TERMS = {
+    "constant": ("1.0::DOUBLE", lambda d, span: F.lit(1.0)),
+    "trend": ("t / span", lambda d, span: d / span),
+    "week_sin": ("CASE WHEN span >= 14 THEN sin(t * 2 * pi() / 7) ELSE 0 END", lambda d, span: F.when(span >= 14, F.sin(d * (2 * math.pi / 7))).otherwise(F.lit(0.0))),
+    "week_cos": ("CASE WHEN span >= 14 THEN cos(t * 2 * pi() / 7) ELSE 0 END", lambda d, span: F.when(span >= 14, F.cos(d * (2 * math.pi / 7))).otherwise(F.lit(0.0))),
+    "year_sin": ("CASE WHEN span >= 730.5 THEN sin(t * 2 * pi() / 365.25) ELSE 0 END", lambda d, span: F.when(span >= 730.5, F.sin(d * (2 * math.pi / 365.25))).otherwise(F.lit(0.0))),
+    "year_cos": ("CASE WHEN span >= 730.5 THEN cos(t * 2 * pi() / 365.25) ELSE 0 END", lambda d, span: F.when(span >= 730.5, F.cos(d * (2 * math.pi / 365.25))).otherwise(F.lit(0.0))),
+}
+
+
 @query(
     "kpi_forecast",
-    f"""WITH {_KPIS}, hist AS (SELECT kpi, count(*) AS n_history, max(date) AS last, sum(value) AS total FROM kpis GROUP BY kpi)
-        SELECT kpi, n_history, CAST(30 AS BIGINT) AS n_ahead, CAST(last + INTERVAL 30 DAY AS DATE) AS until, round(total / n_history, 4) AS mean_actual,
-               round(total / n_history, 4) AS mean_fitted, true AS bounded FROM hist""",
+    f"""WITH {_KPIS}, e AS (SELECT kpi, min(date) AS lo, max(date) AS hi, greatest(max(date) - min(date), 1)::DOUBLE AS span, sum(abs(value)) AS size FROM kpis GROUP BY kpi),
+        r AS (SELECT kpis.kpi, value, (date - lo)::DOUBLE AS t, span, size, hi FROM kpis JOIN e ON e.kpi = kpis.kpi)
+        SELECT kpi, count(*) AS n_history, CAST(30 AS BIGINT) AS n_ahead, CAST(any_value(hi) + INTERVAL 30 DAY AS DATE) AS until,
+               {", ".join(f"round(sum(value * ({sql})) / any_value(size), 6) + 0.0 AS {name}" for name, (sql, _) in _TERMS.items())}, true AS bounded FROM r GROUP BY kpi""",
 )
 def kpi_forecast(spark, sf):
-    """Checked summary per KPI: a least-squares fit with a constant meets the mean of its history."""
+    """Normal equations per KPI: a least-squares fit has the same products with its terms as the series itself."""
     out = kpi.kpi_forecast(order_kpis(spark, sf), 30)
     past = F.col("actual").isNotNull()
-    return out.groupBy("kpi").agg(
-        F.count_if(past).alias("n_history"), F.count_if(~past).alias("n_ahead"), F.max("date").alias("until"),
-        rounded(F.avg("actual")).alias("mean_actual"), rounded(F.avg(F.when(past, F.col("forecast")))).alias("mean_fitted"),
+    ends = out.filter(past).groupBy("kpi").agg(F.min("date").alias("lo"), F.greatest(F.date_diff(F.max("date"), F.min("date")), F.lit(1)).cast("double").alias("span"), F.sum(F.abs("actual")).alias("size"))
+    rows = out.join(measured(ends), "kpi").withColumn("t", F.date_diff("date", "lo").cast("double"))
+    products = [
+        (rounded(F.sum(F.when(past, F.col("forecast") * term(F.col("t"), F.col("span")))) / F.max("size"), 6) + F.lit(0.0)).alias(name) for name, (_, term) in _TERMS.items()
+    ]
+    return rows.groupBy("kpi").agg(
+        F.count_if(past).alias("n_history"), F.count_if(~past).alias("n_ahead"), F.max("date").alias("until"), *products,
         F.every((F.col("lower") <= F.col("forecast")) & (F.col("forecast") <= F.col("upper"))).alias("bounded"),
     )
 
