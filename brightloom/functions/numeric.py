@@ -36,3 +36,10 @@ def corrected_kurtosis(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     n = F.count(c).cast("double")
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6))
+
+
+def digamma(c: Column) -> Column:
+    """Digamma of a whole number from 1: the series at ``c + 6`` less the steps up to it."""
+    x = c.cast("double") + 6
+    steps = sum((1 / (c.cast("double") + j) for j in range(1, 6)), 1 / c.cast("double"))
+    return F.log(x) - 1 / (2 * x) - 1 / (12 * x * x) + 1 / (120 * x * x * x * x) - 1 / (252 * x * x * x * x * x * x) - steps

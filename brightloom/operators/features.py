@@ -10,12 +10,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from brightloom.functions.numeric import numeric_columns
+from brightloom.functions.numeric import digamma, numeric_columns
 from brightloom.operators.quality import impute_mean_mode
-from brightloom.operators.ranking import exact_quantiles, split_row_number, text_bucket, with_stats
+from brightloom.operators.ranking import exact_quantiles, framed, running_totals, split_row_number, text_bucket, value_ranges, with_stats
 from brightloom.operators.relational import categorical_interactions, numeric_interactions, numeric_transforms
 from brightloom.session import measured
 
@@ -86,26 +86,53 @@ def label_encode(df: DataFrame, c: str, name: str | None = None, fit_on: DataFra
     return df.join(codes, F.col(c).cast("string") == F.col("v"), "left").drop("v")
 
 
-def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins: int = 10) -> DataFrame:
-    """``(feature, mi)`` in nats between quantile-binned columns and a class, from contingency counts."""
-    q = exact_quantiles(df, columns, {f"e{i}": i / bins for i in range(bins)})
-    edges = q.agg(F.map_from_entries(F.collect_list(F.struct("column", F.array_distinct(F.array(*[f"e{i}" for i in range(bins)]))))))
-    long = df.select(F.col(target).cast("string").alias("y"), *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        ["y"], list(columns), "feature", "v"
-    )
-    long = with_stats(long, edges).withColumn(  # one short edge list per column
-        "x", F.expr("CASE WHEN v IS NOT NULL THEN greatest(size(filter(__s[feature], e -> e < v)) - 1, 0) END")
+def mutual_information(df: DataFrame, columns: Sequence[str], target: str, k: int = 3) -> DataFrame:
+    """``(feature, mi)`` in nats between columns and a class, from distances to the ``k``-th nearest row of the same class.
+
+    For every row that distance and the number of rows of all classes nearer than it are compared. Where ``k`` rows of the
+    class have the row's own value, the rows with that value are counted in the class and in all. Equal values are counted before
+    anything is ordered; neighbours come from frames of at most ``k`` values on either side, counts of nearer rows
+    from running totals in which the ends of all distances are placed among the values. Neither holds a series in one task.
+    Classes of one row, and missing values, are left out.
+    """
+    long = df.select(F.col(target).cast("string").alias("y"), *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(["y"], list(columns), "feature", "v")
+    long = long.filter(F.col("y").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
+    cells = measured(long.groupBy("feature", "y", F.expr("v + 0.0").alias("v")).agg(F.count("*").alias("c")))
+    classes = measured(cells.groupBy("feature", "y").agg(F.sum("c").alias("ny")).filter("ny > 1"))
+    cells = cells.join(classes, ["feature", "y"])
+
+    def near(w: WindowSpec) -> dict[str, Column]:
+        return {"near": F.collect_list(F.struct("v", "c")).over(w.rowsBetween(-k, k))}
+
+    d = framed(cells, "v", near, before=k, after=k, by=["feature", "y"])
+    wanted = F.least(F.lit(k).cast("long"), F.col("ny") - 1)
+    by_distance = F.array_sort(
+        F.transform("near", lambda n: F.struct(F.abs(n["v"] - F.col("v")).alias("d"), n["v"].alias("u"), (n["c"] - F.when(n["v"] == F.col("v"), 1).otherwise(0)).alias("c")))
     )
-    cells = measured(
-        long.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("feature", "x", "y").agg(F.count("*").alias("n"))
+    start = F.struct(F.col("wanted").alias("left"), F.lit(0.0).alias("d"), F.col("v").alias("u"))
+
+    def step(s: Column, n: Column) -> Column:
+        more = s["left"] > 0
+        return F.struct((s["left"] - n["c"]).alias("left"), F.when(more, n["d"]).otherwise(s["d"]).alias("d"), F.when(more, n["u"]).otherwise(s["u"]).alias("u"))
+
+    d = d.withColumn("wanted", wanted).withColumn("r", F.aggregate(by_distance, start, step))
+    same = F.col("r.d") == 0
+    low = F.when(F.col("r.u") < F.col("v"), F.col("r.u")).otherwise(F.col("v") - F.col("r.d"))
+    high = F.when(F.col("r.u") > F.col("v"), F.col("r.u")).otherwise(F.col("v") + F.col("r.d"))
+    d = measured(d.select("feature", "y", "v", "c", "ny", F.when(same, F.col("c")).otherwise(F.col("wanted")).alias("kk"), same.alias("same"), low.alias("low"), high.alias("high")))
+    # a row before the values equal to it has kind 0, after them 2; distances leave out their ends, equal values are counted
+    values = d.groupBy("feature", F.col("v").alias("at")).agg(F.sum("c").alias("n")).select("feature", "at", F.lit(1).alias("kind"), "n")
+    ends = F.array(
+        F.struct(F.col("low").alias("at"), F.when(F.col("same"), 0).otherwise(2).alias("kind"), F.lit(-1).alias("side")),
+        F.struct(F.col("high").alias("at"), F.when(F.col("same"), 2).otherwise(0).alias("kind"), F.lit(1).alias("side")),
     )
-    fx = cells.groupBy("feature", "x").agg(F.sum("n").alias("nx"))
-    fy = cells.groupBy("feature", "y").agg(F.sum("n").alias("ny"))
-    ft = cells.groupBy("feature").agg(F.sum("n").alias("nt"))
-    d = cells.join(fx, ["feature", "x"]).join(fy, ["feature", "y"]).join(ft, "feature")
-    share = F.col("n") / F.col("nt")
-    gain = share * F.log(F.col("n") * F.col("nt") / (F.col("nx").cast("double") * F.col("ny")))
-    return d.groupBy("feature").agg(F.sum(gain).alias("mi"))
+    asked = d.select("feature", "y", "v", F.inline(ends))
+    placed = value_ranges(measured(values.unionByName(asked, allowMissingColumns=True)), "at")
+    totals = running_totals(placed, [F.asc("at"), F.asc("kind"), F.asc("y"), F.asc("v")], F.col("__range"), {"before": F.coalesce("n", F.lit(0))}, ["feature"])
+    nearer = totals.filter("kind <> 1").groupBy("feature", "y", "v").agg(F.sum(F.coalesce("before", F.lit(0)) * F.col("side")).alias("m"))
+    rows = d.join(nearer, ["feature", "y", "v"])
+    gain = F.col("c") * (digamma(F.col("kk")) - digamma(F.col("ny")) - digamma(F.col("m")))
+    return rows.groupBy("feature").agg(F.greatest(digamma(F.sum("c")) + F.sum(gain) / F.sum("c"), F.lit(0.0)).alias("mi"))
 
 
 def _vectors(df: DataFrame, columns: Sequence[str], target: str, keep: Sequence[str] = ()) -> DataFrame:
