@@ -2,6 +2,7 @@
 
 import html as entities
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -113,6 +114,41 @@ def test_declared_boilerplate_is_left_out():
     assert html_extract.main_text(PAGE) == f"Title & more {LONG} Bold line Short. one two 1 2"
 
 
+def test_rules_find_the_article_without_article_elements(spark):
+    """The same pages with plain containers: text, not markup, tells the article."""
+    for r in table(spark, SF, "pages").collect():
+        plain = r["html"].replace("<article", "<div").replace("</article", "</div")
+        assert html_extract.main_text(plain) == html_extract.main_text(r["html"])
+    plain = PAGE.replace("<article>", "<div class='story'>").replace("</article>", "</div>")
+    assert html_extract.main_text(plain) == html_extract.main_text(PAGE)
+
+
+def test_hints_never_empty_a_page():
+    for name in ("share-holders", "search", "respond", "promo", "alert", "notice", "banner", "comments", "sidebar"):
+        assert html_extract.main_text(f"<body><div class='{name}'><h1>T</h1><p>{LONG}</p><p>Short</p></div></body>") == f"T {LONG} Short"
+    assert html_extract.main_text(f"<body><form><table><tr><td><p>{LONG}</p></td></tr></table></form></body>") == LONG
+    # a hint counts where there is other text, a compound name with another meaning is none
+    page = f"<body><div><p>{LONG}</p><div class='notice-board'><p>Pinned here</p></div><p>{LONG}</p><div class='ad-box'><p>{LONG}</p></div></div><footer>c</footer>"
+    assert html_extract.main_text(page) == f"{LONG} Pinned here {LONG}"
+
+
+def test_links_around_blocks_are_links():
+    teasers = "".join(f"<a href=x><div><h3>Teaser {i} of the many that are in this place and more</h3><p>{LONG}</p></div></a>" for i in range(3))
+    assert html_extract.main_text(f"<body><div id=m><p>{LONG} {LONG}</p></div><div class=list>{teasers}</div>") == f"{LONG} {LONG}"
+
+
+def test_short_blocks_at_the_end_of_a_page():
+    page = f"<body><div class=content><h1>Head</h1><p>{LONG}</p><p>ok</p><div class=x>inner short</div></div><div class=foot>&copy; 2024 Co</div></body>"
+    assert html_extract.main_text(page) == f"Head {LONG} ok inner short"
+
+
+def test_long_pages_take_time_in_proportion():
+    for piece in ("<a ", '<a "', "<!", "<textarea>", "<div>", "<span class=ad>", "<article>", "</p>", "<b><i></b>", '<x1 y="<', "<nav><article>", "<a href=x>"):
+        start = time.process_time()
+        html_extract.main_text(piece * (1_000_000 // len(piece)))
+        assert time.process_time() - start < 5, piece
+
+
 def test_pages_without_article_elements():
     links = "".join(f'<li><a href="{i}">Section number {i} of this site</a></li>' for i in range(9))
     page = f"<body><ul>{links}</ul><div><h2>A title</h2><p>{LONG} {LONG}</p><p>Yes.</p><p>{LONG} {LONG}</p></div><div><p>login | register</p><ul>{links}</ul></div>"
