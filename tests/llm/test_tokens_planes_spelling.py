@@ -52,12 +52,12 @@ def test_records_read_by_block():
         list(token_files.records(b"x" + data))
 
 
-HARD = ["", " ", "  a", "a  b ", "it's, 'tis. don't\n\nx", "<|endoftext|> x <|endoftext|>.", "é è́ x ß, ÿ!", "x × y÷ z", "　a b", "a\tb c \n d", "foo ( bar ) 12 34.5 ½ ²; w? x:", "日本 語 a, b"]
+HARD = ["", " ", "  a", "a  b ", "it's, 'tis. don't\n\nx", "<|endoftext|> x <|endoftext|>.", "é è́ x ß, ÿ!", "x × y÷ z", "　a b", "a\tb c \n d", "foo ( bar ) 12 34.5 ½ ²; w? x:", "日本 語 a, b", "a\nb\n\nc\n\n\nd\n", "\na", "\n", "x.\nY, z\n", "a \nb", "a\n b", "w*** é%%% (a|b| c<|endoftext|>d| _x_ y_", "it's.\nIt's"]
 
 
 def test_encoder_equals_the_library_on_whole_texts():
     rng = np.random.default_rng(1)
-    parts = [*"ab '.,;s1é×\n\t日ß(!?:|", "<|endoftext|>", " the", "\xa0"]
+    parts = [*"ab '.,;s1é×\n\n*|_\n\t日ß(!?:|", "<|endoftext|>", " the", "\xa0"]
     texts = HARD + ["".join(rng.choice(parts, rng.integers(1, 40))) for _ in range(3000)] + ["lorem ipsum, dolor. " * 20_000]
     for path, special in ((BPE, False), (BPE, True), (WORDS, False)):
         with open(path) as f:
