@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -130,8 +130,8 @@ def data_profile(df: DataFrame, k: int = 5) -> DataFrame:
     return out
 
 
-def report_context(df: DataFrame, ts: str | None = None) -> DataFrame:
-    """Facts a report starts from, ``(section, item, value)``: sizes, time range, per-column range and mean."""
+def report_context(df: DataFrame, ts: str | None = None, methods: Mapping[str, Column] | None = None) -> DataFrame:
+    """Facts a report starts from, ``(section, item, value)``: sizes, time range, per-column range and mean, flagged rows per method."""
     facts = [("size", "n_rows", F.count("*").cast("string")), ("size", "n_columns", F.lit(str(len(df.columns))))]
     if ts:
         facts += [("time", "first", F.min(ts).cast("string")), ("time", "last", F.max(ts).cast("string"))]
@@ -142,6 +142,7 @@ def report_context(df: DataFrame, ts: str | None = None) -> DataFrame:
             ("mean", c, F.round(F.avg(x), 4).cast("string")),
         ]
     facts += [("missing", c, F.count_if(F.col(c).isNull()).cast("string")) for c in df.columns]
+    facts += [("method", name, F.count_if(flag).cast("string")) for name, flag in (methods or {}).items()]
     row = df.agg(*[v.alias(f"v{i}") for i, (_, _, v) in enumerate(facts)])
     cells = [
         F.struct(F.lit(s).alias("section"), F.lit(i).alias("item"), F.col(f"v{j}").alias("value")) for j, (s, i, _) in enumerate(facts)

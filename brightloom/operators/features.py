@@ -45,6 +45,20 @@ def _attach(df: DataFrame, c: str, table: DataFrame) -> DataFrame:
     return df.join(t, F.col(c) == F.col("__k"), "left").drop("__k")
 
 
+def rolling_features(df: DataFrame, columns: Sequence[str], order: str, tie: str, size: int = 7, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``<c>_rolling_mean`` and ``<c>_rolling_std`` over the last ``size`` rows by ``order``, then ``tie``; null until there are as many values."""
+
+    def columns_of(w: WindowSpec) -> dict[str, Column]:
+        w = w.rowsBetween(-(size - 1), 0)
+        out = {}
+        for c in columns:
+            full = F.count(c).over(w) == size
+            out |= {f"{c}_rolling_mean": F.when(full, F.avg(c).over(w)), f"{c}_rolling_std": F.when(full, F.stddev_samp(c).over(w))}
+        return out
+
+    return framed(df, order, columns_of, before=size - 1, by=by, tie=tie)
+
+
 def count_encode(df: DataFrame, c: str) -> DataFrame:
     """Add ``<c>_count``; null stays null."""
     return _attach(df, c, df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias(f"{c}_count")))
@@ -238,16 +252,20 @@ def pca_optimize(
 
 def feature_workflow(
     df: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str], target: str, n: int = 8, ks: Sequence[int] | None = None,
-    folds: int = 5, trees: int = 100,
+    folds: int = 5, trees: int = 100, date: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Engineer, select and reduce features; returns ``(rows, scores per number of components)``.
 
-    Numeric columns get transforms, interactions and quantile bins; categories and their pairs get counts, frequencies,
+    Numeric columns get transforms, interactions and quantile bins, and with a ``date`` their mean and deviation over the last 7
+    rows by date and key; categories and their pairs get counts, frequencies,
     smoothed means of the (numeric) target and, with few values, 0/1 columns. ``n`` features are selected and reduced
     to the searched number of components. Every row with a target is kept with its ``key``, the selected features,
     the target and the components; undefined features (a logarithm of a negative number) count as the column's mean.
     """
-    out = impute_mean_mode(df.select(key, *numeric, *categorical, target).filter(F.col(target).isNotNull()), numeric, categorical)
+    dates = [date] if date else []
+    out = impute_mean_mode(df.select(key, *dates, *numeric, *categorical, target).filter(F.col(target).isNotNull()), numeric, categorical)
+    if date:
+        out = rolling_features(out, numeric, date, key).drop(date)
     out = quantile_bins(numeric_interactions(numeric_transforms(out, numeric), numeric), numeric)
     out = measured(categorical_interactions(out, categorical))
     pairs = [f"{a}_x_{b}" for i, a in enumerate(categorical) for b in categorical[i + 1 :]]

@@ -50,14 +50,16 @@ def retention_rate(df: DataFrame, ts: str, user: str) -> DataFrame:
 def order_kpis(df: DataFrame, ts: str, value: str, user: str) -> DataFrame:
     """The five KPIs of a sales table, long: daily sales, their 7-day mean, monthly growth, daily active users, retention.
 
-    All are derived from one aggregate per day and user; the plan reuses its shuffle.
+    All are derived from one aggregate per day and user; the daily rows are written once.
     """
     base = df.groupBy(F.to_date(F.col(ts)).alias("date"), F.col(user).alias("user")).agg(F.sum(value).alias("sales"), F.count("*").alias("n"))
-    per_day = base.groupBy("date").agg(F.sum("sales").alias("sales"), F.count("user").cast("double").alias("active"))
+    per_day = measured(base.groupBy("date").agg(F.sum("sales").alias("sales"), F.count("user").cast("double").alias("active")))
     smooth = rolling_mean_std(per_day, "date", "sales", size=7).select("date", "rolling_mean")
     growth = pct_change(resample_month(per_day, "date", "sales"), "month_end", "total", "growth").select("month_end", "growth")
     per_month = base.filter(F.col("user").isNotNull()).groupBy(F.last_day("date").alias("date"), "user").agg(F.sum("n").alias("n"))
     kept = per_month.groupBy("date").agg((F.avg((F.col("n") >= 2).cast("double")) * 100).alias("rate"))
+    # as for growth, months without rows are there: nobody came back in them
+    kept = growth.select(F.col("month_end").alias("date")).join(kept, "date", "left").select("date", F.coalesce("rate", F.lit(0.0)).alias("rate"))
     return long_kpis(
         {"daily_sales": per_day.select("date", "sales"), "sales_ma_7d": smooth, "mom_growth": growth, "daily_active": per_day.select("date", "active"), "retention_rate": kept}
     )
@@ -74,17 +76,18 @@ def long_kpis(series: dict[str, DataFrame]) -> DataFrame:
 
 
 def kpi_trend_stats(kpis: DataFrame, last: int = 7) -> DataFrame:
-    """Per KPI: current, previous, change %, mean, sample std, last values (oldest first), in one grouped pass."""
-    w = Window.partitionBy("kpi").orderBy(F.desc("date"))
-    recent = F.when(F.col("rank") <= last, F.struct("date", "value"))
-    out = kpis.withColumn("rank", F.row_number().over(w)).groupBy("kpi").agg(
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.count("*").alias("n"),
+    """Per KPI: current, previous, change %, mean, sample std, last values (oldest first).
+
+    The newest points are a top-n that is cut in the tasks first; no series is ordered as a whole.
+    """
+    kpis = measured(kpis)
+    stats = kpis.groupBy("kpi").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.count("*").alias("n"))
+    newest = kpi_recent(kpis, max(last, 2)).groupBy("kpi").agg(
         F.max(F.when(F.col("rank") == 1, F.col("value"))).alias("current"),
         F.max(F.when(F.col("rank") == 2, F.col("value"))).alias("previous"),
-        F.transform(F.array_sort(F.collect_list(recent)), lambda s: s["value"]).alias("last_values"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= last, F.struct("date", "value")))), lambda s: s["value"]).alias("last_values"),
     )
+    out = stats.join(newest, "kpi")
     return out.withColumn("change_pct", F.when(F.col("previous") != 0, (F.col("current") / F.col("previous") - 1) * 100))
 
 

@@ -151,6 +151,19 @@ def clean_dataset(
     return impute_mean_mode(out, numeric, strings)
 
 
+def clean_and_report(
+    df: DataFrame, strings: Sequence[str] | None = None, numeric: Sequence[str] | None = None, max_dist: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """The cleaned table, and what is still suspicious in the cleaned columns (see ``column_anomaly_report``).
+
+    The cleaned table is written once, as the report reads it too.
+    """
+    clean = measured(clean_dataset(df, strings, numeric, max_dist))
+    strings = string_columns(df) if strings is None else list(strings)
+    numeric = numeric_columns(df) if numeric is None else list(numeric)
+    return clean, column_anomaly_report(clean.select(*strings, *numeric))
+
+
 def data_quality_metrics(df: DataFrame, k: int = 5) -> DataFrame:
     """Long table ``(column, metric, item, value)``: row and duplicate counts, nulls, numeric mean/std/min/max,
     string distinct counts and most frequent values."""
@@ -193,11 +206,8 @@ TIME_WORDS = ("date", "time", "year", "month")  # fixed values: name parts that
 
 
 def dataset_overview(df: DataFrame) -> DataFrame:
-    """``(column, dtype, kind, is_temporal, n_missing, n_unique)`` in one pass over the data."""
-    stats = profile.per_column(
-        df, df.columns,
-        {"n_missing": lambda c: F.count_if(F.col(c).isNull()), "n_unique": lambda c: F.count_distinct(F.col(c))},
-    )
+    """``(column, dtype, kind, is_temporal, n_missing, n_unique)``: one pass for missing and one for distinct values."""
+    stats = profile.missing_counts(df).join(profile.count_distinct(df, df.columns), "column")
 
     def kind(t: T.DataType) -> str:
         if isinstance(t, T.NumericType):

@@ -6,6 +6,7 @@ running sums give every range its offset, and only rows of one range are sorted
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
@@ -13,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from brightloom.session import measured
+from brightloom.session import measured, small_in_parallel
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -128,32 +129,34 @@ def split_row_number(
     return out.withColumn(name, F.col(name) + 1)
 
 
-def order_ranges(df: DataFrame, c: str, name: str = "__range") -> DataFrame:
-    """Add ``name``, a range of ``c`` of any ordered type that never decreases along it."""
+def order_ranges(df: DataFrame, c: str, tie: str | None = None, name: str = "__range") -> DataFrame:
+    """Add ``name``, a range of ``c`` of any ordered type that never decreases along it; a tie-breaker that is no text splits equal values."""
     if df.schema[c].dataType.typeName() == "string":
         return df.withColumn(name, F.coalesce(text_bucket(df, c), F.lit(-1)))
-    return value_ranges(df, c, name=name)
+    return value_ranges(df, c, tie=tie if tie and df.schema[tie].dataType.typeName() != "string" else None, name=name)
 
 
 def framed(
     df: DataFrame, order: str, columns: Callable[[WindowSpec], Mapping[str, Column]], before: int = 0, after: int = 0, by: Sequence[str] = (),
-    position: str | None = None, block: int = ROWS_PER_RANGE,
+    position: str | None = None, block: int = ROWS_PER_RANGE, tie: str | None = None,
 ) -> DataFrame:
     """Add ``columns(w)``, window columns that look at most ``before`` rows back and ``after`` rows ahead along ``order``.
 
     A series of any length is dealt to tasks in blocks of ``block`` consecutive rows (at least as many as the frame reaches), and
     each block gets a copy of the rows next to it that frames of its own rows reach; copies are dropped afterwards. Blocks follow
     exact row numbers, so one neighbour on either side is always enough. Tables of no more than a block need no
-    cutting. ``order`` must be unique within a group of ``by``, null groups included; ``position`` adds the row's number from 0.
+    cutting. ``order``, or ``order`` and ``tie``, must be unique within a group of ``by``, null groups included; ``position`` adds the
+    row's number from 0.
     The table is written once, because its size and its rows are both needed.
     """
     df = measured(df)
     block = max(block, before, after, 1)
+    along = [order, tie] if tie else [order]
     if df.count() <= block:
-        w = Window.partitionBy(*by).orderBy(order)
+        w = Window.partitionBy(*by).orderBy(*along)
         out = df.withColumns(dict(columns(w)))
         return out.withColumn(position, F.row_number().over(w) - 1) if position else out
-    numbered = split_row_number(order_ranges(df, order), [F.asc(order)], F.col("__range"), by, "__at", split_above=block).drop("__range")
+    numbered = split_row_number(order_ranges(df, order, tie), [F.asc(c) for c in along], F.col("__range"), by, "__at", split_above=block).drop("__range")
     at = F.col("__at") - 1
     own, inside = F.floor(at / block), at % block
     goes = F.array(own, F.when(inside >= block - before, own + 1), F.when((inside < after) & (own > 0), own - 1))
@@ -180,23 +183,95 @@ _MARGIN = 4 / _ACCURACY  # twice what two merged summaries of 1 / _ACCURACY can
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], by: Sequence[str] = (), margin: float = _MARGIN
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: ``(*by, column, n, <one column per name in probs>)``.
 
-    Pass 1 brackets every wanted rank by approximate quantiles; pass 2 counts what lies below a bracket and orders
-    only the distinct values inside (about ``2 * _MARGIN`` of the rows), with the nearest value on either side. The
-    brackets follow the data, so no value distribution makes one of them large. NaN counts as missing.
+    Pass 1 brackets every wanted rank by approximate quantiles; pass 2 counts what lies below a bracket and finds the nearest value on
+    either side; pass 3 orders only the distinct values inside (about ``2 * margin`` of the rows). The brackets follow the
+    data, so no value distribution makes one of them large. A rank that turns out to lie outside of its bracket and its neighbours
+    gets a wider one, until all ranks are inside. NaN counts as missing; columns (of a group) without values have no row.
     """
     names, p = list(probs), [float(v) for v in probs.values()]
-    at = [x for v in p for x in (max(0.0, v - _MARGIN), min(1.0, v + _MARGIN))]
     rows = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    rows = rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})
+    rows = small_in_parallel(rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns}))
+    if not by:
+        return _global_quantiles(rows, list(columns), names, p, margin)
+    while True:
+        found = measured(_grouped_quantiles(rows, columns, names, p, by, margin))
+        if margin >= 1 or not found.filter("__outside").head(1):
+            return found.drop("__outside")
+        margin = max(8 * margin, 1e-3)
+
+
+def _brackets(p: Sequence[float], margin: float) -> list[float]:
+    return [x for v in p for x in (max(0.0, v - margin), min(1.0, v + margin))]
+
+
+def _global_quantiles(rows: DataFrame, columns: list[str], names: list[str], p: list[float], margin: float) -> DataFrame:
+    """Counts are plain aggregates over the rows as they are; only values inside a bracket become rows of their own."""
+    spark = rows.sparkSession
+    schema = ", ".join(["column string", "n long", *[f"`{n}` double" for n in names]])
+    sizes = rows.agg(*[F.count(c).alias(f"n{j}") for j, c in enumerate(columns)], *[F.percentile_approx(c, _brackets(p, margin), _ACCURACY).alias(f"q{j}") for j, c in enumerate(columns)]).first()
+    count = {c: sizes[f"n{j}"] for j, c in enumerate(columns)}
+    value: dict[tuple[str, int], float] = {}  # by column and rank
+    wanted = {(c, i): (sizes[f"q{j}"][2 * i], sizes[f"q{j}"][2 * i + 1]) for j, c in enumerate(columns) for i in range(len(p)) if count[c]}
+    while wanted:
+        keys = list(wanted)
+        lows, highs = ([F.lit(wanted[k][side]) for k in keys] for side in (0, 1))
+        x = [F.col(c) for c, _ in keys]
+        facts = rows.agg(
+            *[F.count_if(v < lo).alias(f"below{j}") for j, (v, lo) in enumerate(zip(x, lows))],
+            *[F.max(F.when(v < lo, v)).alias(f"prev{j}") for j, (v, lo) in enumerate(zip(x, lows))],
+            *[F.min(F.when(v > hi, v)).alias(f"next{j}") for j, (v, hi) in enumerate(zip(x, highs))],
+        ).first()
+        near = F.array(*[F.when((v >= lo) & (v <= hi), F.struct(F.lit(j).alias("j"), v.alias("x"))) for j, (v, lo, hi) in enumerate(zip(x, lows, highs))])
+        inside = rows.select(F.explode(F.array_compact(near)).alias("e")).select("e.*").groupBy("j", "x").agg(F.expr("count(1)").alias("c"))
+        ahead = Window.partitionBy("j").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+        ranks = {j: [(math.floor(p[i] * (count[c] - 1)) - facts[f"below{j}"], math.ceil(p[i] * (count[c] - 1)) - facts[f"below{j}"])] for j, (c, i) in enumerate(keys)}
+        table = F.create_map(*[y for j, ((down, up),) in ranks.items() for y in (F.lit(j), F.array(F.lit(down), F.lit(up)))])
+        placed = inside.withColumn("before", F.coalesce(F.sum("c").over(ahead), F.lit(0))).withColumn("r", table[F.col("j")])
+        hit = F.exists("r", lambda r: (F.col("before") <= r) & (r < F.col("before") + F.col("c")))
+        total = placed.groupBy("j").agg(F.sum("c").alias("held"), F.collect_list(F.when(hit, F.struct("before", "c", "x"))).alias("hits")).collect()  # two values per rank
+        got = {r["j"]: r for r in total}
+        wider = {}
+        for j, (c, i) in enumerate(keys):
+            held = got[j]["held"] if j in got else 0
+            for rank, own in zip(ranks[j][0], (math.floor, math.ceil)):
+                at = (c, own(p[i] * (count[c] - 1)))
+                if 0 <= rank < held:
+                    value[at] = next(h["x"] for h in got[j]["hits"] if h["before"] <= rank < h["before"] + h["c"])
+                elif rank in (-1, held):
+                    value[at] = facts[f"prev{j}"] if rank == -1 else facts[f"next{j}"]
+                else:
+                    # the values on the rank's side, and its place among them
+                    low, high = wanted[c, i]
+                    low_side = rank < 0
+                    m = facts[f"below{j}"] if low_side else count[c] - facts[f"below{j}"] - held
+                    r = rank + facts[f"below{j}"] if low_side else rank - held
+                    wider[c, i] = (F.when(F.col(c) < low, F.col(c)) if low_side else F.when(F.col(c) > high, F.col(c)), r / max(m - 1, 1))
+        wanted = {}
+        if wider:
+            margin = max(8 * margin, 1e-3)
+            again = rows.agg(*[F.percentile_approx(side, _brackets([share], margin), _ACCURACY).alias(f"q{j}") for j, (side, share) in enumerate(wider.values())]).first()
+            wanted = {k: tuple(again[f"q{j}"]) for j, k in enumerate(wider)}
+    out = []
+    for c in columns:
+        if count[c]:
+            row = []
+            for v in p:
+                h = v * (count[c] - 1)
+                down, up = value[c, math.floor(h)], value[c, math.ceil(h)]
+                row.append(down + (up - down) * (h - math.floor(h)) if up != down else down)
+            out.append((c, count[c], *row))
+    return spark.createDataFrame(out, schema)
+
+
+def _grouped_quantiles(rows: DataFrame, columns: Sequence[str], names: Sequence[str], p: Sequence[float], by: Sequence[str], margin: float) -> DataFrame:
+    """As above per group, and ``__outside``: is a rank neither in its bracket nor next to it?"""
+    at = _brackets(p, margin)
     bracket = [F.percentile_approx(c, at, _ACCURACY).alias(f"__q_{c}") for c in columns]
-    if by:
-        placed = join_null_safe(rows, measured(rows.groupBy(*by).agg(*bracket)), by)
-    else:
-        placed = with_stats(rows, rows.agg(F.struct(*bracket)), "__all").withColumns({f"__q_{c}": F.col(f"__all.__q_{c}") for c in columns})
+    placed = join_null_safe(rows, measured(rows.groupBy(*by).agg(*bracket)), by)
     each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x"), F.col(f"__q_{c}").alias("q")) for c in columns])
     long = placed.select(*by, F.inline(each)).filter("x IS NOT NULL")
     keys = [*by, "column"]
@@ -221,13 +296,22 @@ def exact_quantiles(
 
     met = met.withColumns({"h": target, "below": below})
     down, up = F.floor("h") - F.col("below"), F.ceil("h") - F.col("below")
-    picked = met.groupBy(*keys, "i").agg(value_at(down).alias("down"), value_at(up).alias("up"))
-    wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, F.struct("down", "up"))).alias(f"v{i}") for i in range(len(p))])
-    joined = join_null_safe(facts, wide, keys)
+    picked = met.groupBy(*keys, "i").agg(value_at(down).alias("down"), value_at(up).alias("up"), F.sum("c").alias("held"))
+    wide = picked.groupBy(*keys).agg(*[F.max(F.when(F.col("i") == i, F.struct("down", "up", "held"))).alias(f"v{i}") for i in range(len(p))])
+    joined = join_null_safe(facts, wide, keys, "left")
 
-    def result(i: int) -> Column:
-        h = F.lit(p[i]) * (F.col("n") - 1)
-        down, up = F.coalesce(F.col(f"v{i}.down"), F.col(f"prev{i}")), F.coalesce(F.col(f"v{i}.up"), F.col(f"next{i}"))
-        return (down + (up - down) * (h - F.floor(h))).alias(names[i])
+    def rank(i: int) -> Column:
+        return F.lit(p[i]) * (F.col("n") - 1)
 
-    return joined.select(*keys, "n", *[result(i) for i in range(len(p))])
+    def result(i: int) -> Column:
+        low, high = (rank_of(rank(i)) - F.col(f"below{i}") for rank_of in (F.floor, F.ceil))
+        held = F.coalesce(F.col(f"v{i}.held"), F.lit(0))
+        down = F.when(low < 0, F.col(f"prev{i}")).when(low >= held, F.col(f"next{i}")).otherwise(F.col(f"v{i}.down"))
+        up = F.when(high < 0, F.col(f"prev{i}")).when(high >= held, F.col(f"next{i}")).otherwise(F.col(f"v{i}.up"))
+        return (down + (up - down) * (rank(i) - F.floor(rank(i)))).alias(names[i])
+
+    outside = F.lit(False)
+    for i in range(len(p)):
+        held = F.coalesce(F.col(f"v{i}.held"), F.lit(0))
+        outside = outside | (F.floor(rank(i)) - F.col(f"below{i}") < -1) | (F.ceil(rank(i)) - F.col(f"below{i}") > held)
+    return joined.select(*keys, "n", *[result(i) for i in range(len(p))], outside.alias("__outside"))

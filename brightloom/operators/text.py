@@ -14,9 +14,9 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.functions.text import POLARITY, STOP_WORDS, ngrams, one_of, polarity_sum, sentences, term_counts, tokens
+from brightloom.functions.text import POLARITY, STOP_WORDS, let, ngrams, one_of, polarity_sum, sentences, term_counts, tokens
 from brightloom.operators.ranking import with_stats
-from brightloom.session import measured
+from brightloom.session import measured, spread
 
 
 def exploded(df: DataFrame, items: Column, name: str, *keep: str) -> DataFrame:
@@ -46,13 +46,13 @@ def tokenize_filter(df: DataFrame, text: str, stop_words: Iterable[str] = STOP_W
 def lexicon_sentiment(df: DataFrame, text: str, lexicon: Mapping[str, float] | None = None) -> DataFrame:
     """Add ``polarity`` = 1/(1+e^-sum of word weights), ``label`` and ``score`` = confidence of the label.
 
-    The whole text counts. Null or blank text is ``UNKNOWN`` with score 0. A pure projection: no shuffle.
+    The whole text counts. Null or blank text is ``UNKNOWN`` with score 0. A pure projection: large inputs are not shuffled.
     """
     total = polarity_sum(F.col("__toks"), POLARITY if lexicon is None else lexicon)
     known = F.length(F.trim(F.col(text))) > 0
     p = F.col("polarity")
     return (
-        df.withColumn("__toks", tokens(text, ()))
+        spread(df).withColumn("__toks", tokens(text, ()))
         .withColumn("polarity", F.when(known, 1 / (1 + F.exp(-total))))
         .drop("__toks")
         .withColumn("label", F.when(p >= 0.5, "POSITIVE").when(p < 0.5, "NEGATIVE").otherwise("UNKNOWN"))
@@ -75,12 +75,45 @@ def sentiment_segments(scored: DataFrame, key: str, high: float = 0.6, low: floa
     return scored.withColumn("segment", segment).filter("segment IS NOT NULL").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def top_phrases(df: DataFrame, text: str, k: int = 10, sizes: Sequence[int] = (1, 2, 3), stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
-    """The ``k`` most frequent 1-3-word phrases that neither start nor end with a stop word."""
+def top_phrases(df: DataFrame, text: str, k: int = 10, sizes: Sequence[int] = (1, 2, 3), stop_words: Iterable[str] = STOP_WORDS, most: int = 10_000) -> DataFrame:
+    """The ``k`` most frequent 1-3-word phrases that neither start nor end with a stop word.
+
+    A phrase is no more frequent than any of its words, so the ``k``-th best count of what is counted already rules out all
+    longer phrases with a rarer word. Words are counted first; of longer phrases only those of the words left are
+    formed, inside the row, and the bar rises with every size. Where more than ``most`` words are left (all words
+    are about equally rare), all phrases of the size are counted. No phrase that can be among the best is left out.
+    """
     stop = list(stop_words)
-    d = df.select(tokens(text, ()).alias("toks"))
-    grams = exploded(d, F.concat(*[ngrams(F.col("toks"), n, stop) for n in sizes]), "phrase")
-    return grams.groupBy("phrase").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "phrase").limit(k)
+    rows = spread(df.select(F.col(text).alias("t"))).select(tokens("t", ()).alias("toks"))
+    words = measured(exploded(rows, F.col("toks"), "phrase").groupBy("phrase").agg(F.count("*").alias("n")))
+    found = words.filter(~F.col("phrase").isin(*stop)) if stop else words
+    best = measured(found.orderBy(F.desc("n"), "phrase").limit(k)) if 1 in sizes else words.limit(0)
+    for size in sorted(set(sizes) - {1}):
+        bar = best.agg(F.when(F.count("*") >= k, F.min("n")).otherwise(0)).first()[0]
+        kept = [r["phrase"] for r in words.filter(F.col("n") >= bar).limit(most + 1).collect()]  # `most` words and one
+        toks = F.col("toks")
+        if len(kept) <= most:
+            # a word that is too rare cuts the text: runs of the others are what phrases can lie in
+            marks = F.transform(toks, lambda t: F.when(t.isin(*kept), t)) if kept else F.array().cast("array<string>")
+            grams = let(marks, lambda m: _phrases(m, size, stop))
+        else:
+            grams = ngrams(toks, size, stop)
+        counted = exploded(rows, grams, "phrase").groupBy("phrase").agg(F.count("*").alias("n")).filter(F.col("n") >= bar)
+        best = measured(best.unionByName(counted).orderBy(F.desc("n"), "phrase").limit(k))
+    return best
+
+
+def _phrases(marks: Column, n: int, stop: Sequence[str]) -> Column:
+    """Blank-joined n-grams without nulls that neither start nor end with a stop word."""
+    starts = F.when(F.size(marks) >= n, F.sequence(F.lit(0), F.size(marks) - n)).otherwise(F.array().cast("array<int>"))
+
+    def whole(i: Column) -> Column:
+        ok = F.get(marks, i).isNotNull()
+        for j in range(1, n):
+            ok = ok & F.get(marks, i + j).isNotNull()
+        return ok & ~F.get(marks, i).isin(*stop) & ~F.get(marks, i + (n - 1)).isin(*stop) if stop else ok
+
+    return F.transform(F.filter(starts, whole), lambda i: F.concat_ws(" ", *[F.get(marks, i + j) for j in range(n)]))
 
 
 def vocabulary(df: DataFrame, text: str, size: int = 1000, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
@@ -88,22 +121,30 @@ def vocabulary(df: DataFrame, text: str, size: int = 1000, stop_words: Iterable[
 
     Terms are counted inside each row, so one pass and one shuffle of (term, count) sums give totals and frequencies.
     """
-    counts = df.select(F.inline(term_counts(tokens(text, stop_words, 2))))
+    counts = spread(df.select(F.col(text).alias("t"))).select(F.inline(term_counts(tokens("t", stop_words, 2))))
+    return _most_frequent(counts, df.agg(F.count("*")), size)
+
+
+def _most_frequent(counts: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """The vocabulary of ``(term, tf)`` rows, one per text and term; ``texts`` holds the number of texts."""
     top = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(F.desc("total"), "term").limit(size)
-    out = with_stats(top, df.agg(F.count("*")), "__n")
-    return out.select("term", "total", "df", (F.log((1 + F.col("__n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    return with_stats(top, texts, "__n").select("term", "total", "df", (F.log((1 + F.col("__n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def tfidf_vectors(df: DataFrame, key: str, text: str, size: int = 1000, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """Long L2-normalised TF-IDF ``(key, term, weight)``.
 
-    Rows of one ``key`` are one text. Counting is inside the row; only the weights of the vocabulary are shuffled, once, for the norm.
+    Rows of one ``key`` are one text. Texts are tokenised and counted once, inside the row, and the counts written; other terms
+    than the vocabulary's are dropped there, so only its weights are shuffled, once, for the norm.
     """
-    vocab = measured(vocabulary(df, text, size, stop_words)).select("term", "idf")
-    terms = df.select(key, F.inline(term_counts(tokens(text, stop_words, 2)))).join(F.broadcast(vocab), "term")  # `size` terms
+    rows = spread(df.select(F.col(key).alias("k"), F.col(text).alias("t")))
+    counted = measured(rows.select("k", term_counts(tokens("t", stop_words, 2)).alias("terms")))
+    vocab = measured(_most_frequent(counted.select(F.inline("terms")), counted.agg(F.count("*")), size)).select("term", "idf")
+    known = [r["term"] for r in vocab.select("term").collect()]  # `size` terms
+    terms = counted.select("k", F.inline(F.filter("terms", lambda x: x["term"].isin(*known)))).join(F.broadcast(vocab), "term")
     raw = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy(key)))
-    return terms.select(key, "term", (raw / norm).alias("weight"))
+    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("k")))
+    return terms.select(F.col("k").alias(key), "term", (raw / norm).alias("weight"))
 
 
 def group_top_terms(weights: DataFrame, groups: DataFrame, key: str, group: str, k: int = 10) -> DataFrame:
@@ -189,21 +230,21 @@ def category_distribution(df: DataFrame) -> DataFrame:
 def extractive_summary(df: DataFrame, key: str, text: str, n: int = 3) -> DataFrame:
     """The ``n`` sentences per text with the highest mean term weight: ``(key, rank, position, sentence, score)``.
 
-    A term weighs its share among all term occurrences. Term rows carry no sentence; the sentences of the few winners
-    are taken from the text in the end. ``key`` is unique.
+    A term weighs its share among all term occurrences. Sentences are tokenised once, and their term counts written; a text's
+    distinct terms, not its sentences' terms, meet the weights, and come back as one list per text. ``key`` is unique.
     """
-    counts = df.select(F.inline(term_counts(tokens(text, STOP_WORDS, 2)))).groupBy("term").agg(F.sum("tf").alias("total"))
+    counts = spread(df.select(F.col(text).alias("t"))).select(F.inline(term_counts(tokens("t", STOP_WORDS, 2)))).groupBy("term").agg(F.sum("tf").alias("total"))
     counts = measured(counts)
-    weights = with_stats(counts, counts.agg(F.sum("total")), "__t").select("term", (F.col("total") / F.col("__t")).alias("w"))
-    parts = df.select(key, F.posexplode(sentences(text)).alias("position", "sentence"))
-    terms = parts.select(key, "position", F.inline(term_counts(tokens("sentence", STOP_WORDS, 2))))
-    score = F.sum(F.coalesce("w", F.lit(0.0)) * F.col("tf")) / F.sum("tf")  # a cut inside a token may make a new term
-    scored = terms.join(measured(weights), "term", "left").groupBy(key, "position").agg(score.alias("score"))
-    w = Window.partitionBy(key).orderBy(F.desc(F.round("score", 9)), "position")
+    weights = measured(with_stats(counts, counts.agg(F.sum("total")), "__t").select("term", (F.col("total") / F.col("__t")).alias("w")))
+    rows = spread(df.select(F.col(key).alias("k"), F.col(text).alias("t")))
+    parts = measured(rows.select("k", F.posexplode(F.transform(sentences("t"), lambda s: tokens(s, STOP_WORDS, 2))).alias("position", "toks")).filter(F.size("toks") > 0))
+    terms = parts.select("k", "position", F.explode("toks").alias("term"))
+    scored = terms.join(weights, "term", "left").groupBy("k", "position").agg((F.sum(F.coalesce("w", F.lit(0.0))) / F.count("*")).alias("score"))
+    w = Window.partitionBy("k").orderBy(F.desc(F.round("score", 9)), "position")
     best = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-    chosen = best.groupBy(key).agg(F.collect_list(F.struct("rank", "position", "score")).alias("__best"))  # n at most
-    found = df.select(key, text).join(chosen, key).select(key, sentences(text).alias("__all"), F.inline("__best"))
-    return found.select(key, "rank", "position", F.get("__all", F.col("position")).alias("sentence"), "score")
+    chosen = measured(best.groupBy("k").agg(F.collect_list(F.struct("rank", "position", "score")).alias("__best")))  # n at most
+    found = rows.join(chosen, "k").select("k", sentences("t").alias("__all"), F.inline("__best"))
+    return found.select(F.col("k").alias(key), "rank", "position", F.get("__all", F.col("position")).alias("sentence"), "score")
 
 
 def conversation_transcripts(df: DataFrame, conv: str, turn: str, role: str, text: str, part_turns: int | None = None) -> DataFrame:

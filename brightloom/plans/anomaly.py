@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import rounded
-from brightloom.operators import anomaly
+from brightloom.operators import anomaly, autoencoder, eda
 from brightloom.operators import timeseries as ts
 from brightloom.plans.common import spiked, table
 from brightloom.registry import query
@@ -84,3 +84,30 @@ def anomaly_ensemble(spark, sf):
 def anomaly_summary(spark, sf):
     out = anomaly.anomaly_summary(flagged_orders(spark, sf), ["z_anomaly", "iqr_anomaly"], "o_orderdate", "x")
     return out.withColumns({"lowest": rounded("lowest"), "highest": rounded("highest")})
+
+
+@query(
+    "anomaly_report_context",
+    f"""WITH {_S} SELECT 'size' AS section, 'n_rows' AS item, CAST(count(*) AS VARCHAR) AS value FROM f
+        UNION ALL SELECT 'time', 'first', CAST(min(o_orderdate) AS VARCHAR) FROM f UNION ALL SELECT 'time', 'last', CAST(max(o_orderdate) AS VARCHAR) FROM f
+        UNION ALL SELECT 'method', 'zscore', CAST(count(*) FILTER (z_anomaly) AS VARCHAR) FROM f UNION ALL SELECT 'method', 'iqr', CAST(count(*) FILTER (iqr_anomaly) AS VARCHAR) FROM f
+        UNION ALL SELECT 'method', 'any', CAST(count(*) FILTER (z_anomaly OR iqr_anomaly) AS VARCHAR) FROM f""",
+)
+def anomaly_report_context(spark, sf):
+    """Sizes, time range and flagged rows per method of a table with anomalies."""
+    z, q = F.col("z_anomaly"), F.col("iqr_anomaly")
+    out = eda.report_context(flagged_orders(spark, sf), "o_orderdate", {"zscore": z, "iqr": q, "any": z | q})
+    return out.filter("section IN ('time', 'method') OR item = 'n_rows'")
+
+
+@query(
+    "autoencoder_error",
+    """WITH n AS (SELECT count(DISTINCT CAST(o_orderdate AS DATE)) - 6 AS n FROM orders)
+       SELECT n AS n_rows, n - 1 - CAST(floor(0.95::DOUBLE * (n - 1)) AS BIGINT) AS n_anomalies, true AS all_scored, true AS flagged_are_worst FROM n""",
+)
+def autoencoder_error(spark, sf):
+    """Checked summary of the network's reconstruction of weeks of daily sales: the worst twentieth is flagged."""
+    d = ts.daily(table(spark, sf, "orders"), "o_orderdate", [F.sum("o_totalprice").alias("sales")])
+    out = autoencoder.autoencoder_error(anomaly.lag_vectors(d, "date", "sales", 7), "window_values")
+    worst = F.min(F.when(F.col("recon_anomaly"), F.col("recon_error"))) > F.max(F.when(~F.col("recon_anomaly"), F.col("recon_error")))
+    return out.agg(F.count("*").alias("n_rows"), F.count_if("recon_anomaly").alias("n_anomalies"), F.every(F.col("recon_error") >= 0).alias("all_scored"), worst.alias("flagged_are_worst"))

@@ -24,7 +24,7 @@ _KPIS = """d AS (SELECT CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) AS
         ON s.date = c.date),
  g AS (SELECT date, (total / nullif(lag(total) OVER (ORDER BY date), 0) - 1) * 100 AS value FROM m),
  au AS (SELECT CAST(o_orderdate AS DATE) AS date, CAST(count(DISTINCT o_custkey) AS DOUBLE) AS value FROM orders GROUP BY 1),
- rt AS (SELECT date, avg(CASE WHEN n >= 2 THEN 1.0::DOUBLE ELSE 0 END) * 100 AS value FROM (SELECT last_day(o_orderdate) AS date, o_custkey, count(*) AS n FROM orders GROUP BY ALL) GROUP BY 1),
+ rt AS (SELECT c.date, coalesce(r.value, 0) AS value FROM c LEFT JOIN (SELECT date, avg(CASE WHEN n >= 2 THEN 1.0::DOUBLE ELSE 0 END) * 100 AS value FROM (SELECT last_day(o_orderdate) AS date, o_custkey, count(*) AS n FROM orders GROUP BY ALL) GROUP BY 1) r ON r.date = c.date),
  kpis AS (SELECT * FROM (SELECT 'daily_sales' AS kpi, date, sales AS value FROM d UNION ALL SELECT 'sales_ma_7d', date, value FROM ma
         UNION ALL SELECT 'mom_growth', date, value FROM g UNION ALL SELECT 'daily_active', date, value FROM au UNION ALL SELECT 'retention_rate', date, value FROM rt) WHERE value IS NOT NULL)"""
 

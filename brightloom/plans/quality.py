@@ -119,6 +119,22 @@ def clean_dataset(spark, sf):
     return out.withColumn("c_acctbal", rounded("c_acctbal"))
 
 
+@query(
+    "clean_dataset_report",
+    f"""WITH {_BAD}, {_FIX}, d AS (SELECT coalesce(c_acctbal, (SELECT avg(c_acctbal) FROM fixed)) AS v,
+          coalesce(c_mktsegment, (SELECT c_mktsegment FROM fixed WHERE c_mktsegment IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS s FROM fixed),
+        f AS (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM d),
+        u AS (SELECT 'c_mktsegment' AS "column", 'pattern' AS "check", regexp_replace(regexp_replace(s, '[A-Za-z]+', 'A', 'g'), '[0-9]+', '9', 'g') AS item, count(*) AS n FROM d GROUP BY 3
+              UNION ALL SELECT 'c_acctbal', 'iqr', CASE WHEN v < q1 - 1.5 * (q3 - q1) THEN 'low' WHEN v > q3 + 1.5 * (q3 - q1) THEN 'high' ELSE 'inside' END, count(*) FROM d, f GROUP BY 3)
+        SELECT *, round(n / sum(n) OVER (PARTITION BY "column"), 6) AS share,
+               CASE WHEN "check" = 'pattern' THEN n / sum(n) OVER (PARTITION BY "column") < 0.05 ELSE item <> 'inside' END AS suspicious FROM u""",
+)
+def clean_dataset_report(spark, sf):
+    """What is suspicious in the cleaned table: shapes of texts and values beyond the fences."""
+    _, report = quality.clean_and_report(bad_customer(spark, sf), ["c_mktsegment"], ["c_acctbal"])
+    return report.withColumn("share", rounded("share", 6))
+
+
 def _num(c):
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", '{m}' AS metric, NULL AS item, {e} AS value FROM e"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions.numeric import rounded
 from brightloom.functions.text import STOP_WORDS
+from brightloom.operators import latent, lexicon
 from brightloom.operators import text as tx
 from brightloom.plans.common import table
 from brightloom.registry import query
@@ -171,3 +172,39 @@ def extractive_summary(spark, sf):
 )
 def conversation_transcripts(spark, sf):
     return tx.conversation_transcripts(table(spark, sf, "conversations"), "conv_id", "turn", "role", "text")
+
+
+_GRAPH = rf"""l AS (SELECT unnest({_SENTENCES}) AS text FROM documents), t AS (SELECT {_LONG} AS w FROM l),
+ n AS (SELECT word FROM (SELECT unnest(w) AS word FROM t) GROUP BY word HAVING count(*) >= 20),
+ p AS (SELECT w[i] AS x, w[i + j] AS y FROM (SELECT w, unnest(range(1, len(w))) AS i FROM t), range(1, 6) r(j) WHERE i + j <= len(w)),
+ e AS (SELECT least(x, y) AS a, greatest(x, y) AS b, count(*) AS n FROM p WHERE x <> y GROUP BY ALL HAVING count(*) >= 5),
+ k AS (SELECT word, sum(n) AS k FROM (SELECT a AS word, n FROM e UNION ALL SELECT b, n FROM e) GROUP BY word),
+ g AS (SELECT a, b, ln(e.n * 2 * (SELECT sum(n) FROM e)::DOUBLE / (ka.k::DOUBLE * kb.k)) AS weight FROM e JOIN k ka ON ka.word = a JOIN k kb ON kb.word = b
+       WHERE a IN (SELECT word FROM n) AND b IN (SELECT word FROM n))"""
+
+
+@query("word_graph", f"WITH {_GRAPH} SELECT a, b, round(weight, 6) AS weight FROM g WHERE weight > 0 UNION ALL SELECT b, a, round(weight, 6) FROM g WHERE weight > 0")
+def word_graph(spark, sf):
+    """Words that stand near each other more often than by chance; the lexicon grows along these edges."""
+    return lexicon.word_graph(docs(spark, sf), "text", least=20, least_pairs=5).withColumn("weight", rounded("weight", 6))
+
+
+@query(
+    "embed_latent",
+    f"""WITH t AS (SELECT {_LONG} AS w FROM documents) SELECT count(*) AS n_texts, count(*) FILTER (len(w) > 0) AS n_placed, true AS unit_length, CAST(64 AS BIGINT) AS dims FROM t""",
+)
+def embed_latent(spark, sf):
+    """Checked summary of the latent embeddings: every text with a term has a position of length one."""
+    d = docs(spark, sf)
+    out = latent.embed_latent(d.select("text"), "text", latent.fit_latent(d, "text", dims=64))
+    length = F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x)
+    return out.select(length.alias("l"), F.size("embedding").alias("d")).agg(
+        F.count("*").alias("n_texts"), F.count_if(F.col("l") > 0).alias("n_placed"), F.every((F.col("l") == 0) | (F.abs(F.col("l") - 1) < 1e-5)).alias("unit_length"), F.max("d").cast("long").alias("dims")
+    )
+
+
+@query("sentiment_lexicon")
+def sentiment_lexicon(spark, sf):
+    """Polarity of all words that the graph of the documents connects with the seed words."""
+    edges = lexicon.word_graph(docs(spark, sf), "text", least=20, least_pairs=5)
+    return lexicon.propagate(edges, LEXICON).withColumn("polarity", rounded("polarity"))

@@ -45,6 +45,19 @@ def test_exact_quantiles_empty_single_and_nan(spark):
     assert (one["n"], one["m"]) == (1, 7.0)
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_ranks_outside_of_their_brackets_are_found(spark, monkeypatch, by):
+    """Summaries so coarse that the brackets miss their ranks."""
+    monkeypatch.setattr(ranking, "_ACCURACY", 2)
+    pdf = frame(1500, 4)
+    out = ranking.exact_quantiles(spark.createDataFrame(pdf).repartition(6), ["x", "y"], PROBS, by, margin=0.0).collect()
+    for g, part in pdf.groupby("g") if by else [(None, pdf)]:
+        for c in ("x", "y"):
+            (row,) = [r for r in out if r["column"] == c and (not by or r["g"] == g)]
+            for name, p in PROBS.items():
+                assert row[name] == pytest.approx(np.quantile(part[c], p), rel=1e-12, abs=1e-12)
+
+
 @pytest.mark.parametrize("kind", ["micros", "offset", "mixed", "frequent"])
 def test_ranges_follow_the_data(spark, kind):
     rng = np.random.default_rng(0)
