@@ -85,10 +85,11 @@ def viterbi(scores: np.ndarray, move: np.ndarray) -> np.ndarray:
     return path
 
 
-def _fit(sequences: Sequence[np.ndarray], labels: Sequence[int], ridge: float) -> LineModel:
-    """Maximum conditional likelihood; all sequences advance together, one line position at a time."""
+def _fit(sequences: Sequence[np.ndarray], labels: Sequence[np.ndarray | int], ridge: float) -> LineModel:
+    """Maximum conditional likelihood of line labels; all sequences advance together, one line position at a time."""
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    seqs, y = [sequences[i] for i in order], np.array([labels[i] for i in order])
+    seqs = [sequences[i] for i in order]
+    ys = [np.broadcast_to(np.asarray(labels[i], int), len(sequences[i])) for i in order]
     lengths = np.array([len(s) for s in seqs])
     width = seqs[0].shape[1]
     longest = int(lengths[0])
@@ -96,13 +97,11 @@ def _fit(sequences: Sequence[np.ndarray], labels: Sequence[int], ridge: float) -
     for i, s in enumerate(seqs):
         at[i, : len(s)] = s
     alive = [int((lengths > t).sum()) for t in range(longest)]
-    # every line of a text carries the text's label
-    seen = np.zeros((2, N_FEATURES + 1))
-    for label in (0, 1):
-        seen[label] = np.bincount(at[y == label].ravel(), minlength=N_FEATURES + 1)
+    lines, of_line = np.concatenate(seqs), np.concatenate(ys)
+    seen = np.stack([np.bincount(lines[of_line == label].ravel(), minlength=N_FEATURES + 1) for label in (0, 1)]).astype(float)
     moved = np.zeros((2, 2))
-    for label in (0, 1):
-        moved[label, label] = (lengths[y == label] - 1).sum()
+    for y in ys:
+        np.add.at(moved, (y[:-1], y[1:]), 1)
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         emit = np.hstack([x[: 2 * N_FEATURES].reshape(2, N_FEATURES), np.zeros((2, 1))])
@@ -135,11 +134,57 @@ def _fit(sequences: Sequence[np.ndarray], labels: Sequence[int], ridge: float) -
     return LineModel(x[: 2 * N_FEATURES].reshape(2, N_FEATURES), x[2 * N_FEATURES :].reshape(2, 2))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_lines: int = 500, ridge: float = 1e-4, text: str = "text", key: str = "doc_id", quality: str = "quality") -> LineModel | None:
+def joined(pieces: Sequence[np.ndarray], labels: Sequence[np.ndarray], quality: Sequence[int], run: float, rng: np.random.Generator) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sequences that take turns between a piece of a good and one of a bad text, and the pieces without a partner as they are.
+
+    Runs of the shorter piece have about ``run`` lines, those of the longer one are longer in proportion, so that both end together.
+    """
+    sides = [rng.permutation([i for i, q in enumerate(quality) if q == side]) for side in (0, 1)]
+    out: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+    for pair in zip(*sides):
+        sizes = [len(pieces[i]) for i in pair]
+        at, turn = [0, 0], int(rng.integers(0, 2))
+        rows, marks = [], []
+        while at[0] < sizes[0] or at[1] < sizes[1]:
+            i = pair[turn]
+            n = int(rng.geometric(min(1.0, min(sizes) / (run * sizes[turn])))) if at[1 - turn] < sizes[1 - turn] else sizes[turn]
+            rows.append(pieces[i][at[turn] : at[turn] + n])
+            marks.append(labels[i][at[turn] : at[turn] + n])
+            at[turn] += n
+            turn = 1 - turn
+        out[0].append(np.concatenate(rows))
+        out[1].append(np.concatenate(marks))
+    both = min(map(len, sides))
+    for i in [*sides[0][both:], *sides[1][both:]]:
+        out[0].append(pieces[i])
+        out[1].append(labels[i])
+    return out
+
+
+def fit_latent(pieces: Sequence[np.ndarray], quality: Sequence[int], ridge: float = 1e-4, rounds: int = 2, run: float = 1.5, prior: float = 3.0) -> LineModel:
+    """Fit with line labels that are not given: only the quality of the text of each piece is.
+
+    Lines first carry the label of their text. Every round fits the field on pieces joined in pairs, where labels switch, and
+    then labels the lines of each piece anew by their best path, with ``prior`` in favour of the text's label;
+    so a junk line of a good text, and a sentence of a bad one, change sides before the next fit.
+    """
+    rng = np.random.default_rng(31)
+    labels = [np.full(len(p), q) for p, q in zip(pieces, quality)]
+    for left in range(rounds, 0, -1):
+        model = _fit(*joined(pieces, labels, quality, run, rng), ridge)
+        if left > 1:
+            emit = np.hstack([model.emit, np.zeros((2, 1))])
+            labels = [viterbi(emit[:, p].sum(-1).T + prior * np.eye(2)[q], model.move) for p, q in zip(pieces, quality)]
+    return model
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, per_class: int = 2000, piece: int = 48, pieces: int = 8, ridge: float = 1e-4, text: str = "text", key: str = "doc_id", quality: str = "quality"
+) -> LineModel | None:
     """Fit on a sample of about ``per_class`` labelled texts of either quality (hash of the key; all where fewer).
 
-    The label of a text counts for all its lines. Texts of more than ``max_lines`` lines are not trained on, so the
-    driver gets a bounded number of line rows. Without rows of both classes there is no model (None).
+    Texts are cut into pieces of ``piece`` lines; of a text with more than ``pieces`` of them, as many are taken evenly
+    from its whole length, so the driver gets a bounded number of line rows. Without rows of both classes there is no model (None).
     """
     marked = labels.select(F.col(key).alias("k"), F.col(quality).alias("y")).filter("k IS NOT NULL AND y IN (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
     totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.expr("count(1) AS n")).collect()}
@@ -151,15 +196,19 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_lines:
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(k, int(y), line_features(t or "")[0]) for k, t, y in zip(f["k"], f["text"], f["y"])]
-            rows = [r for r in rows if 0 < len(r[2]) <= max_lines]
+            rows = []
+            for k, t, y in zip(f["k"], f["text"], f["y"]):
+                lines = line_features(t or "")[0]
+                cuts = range(0, len(lines), piece)
+                for i in sorted({cuts[j * len(cuts) // min(pieces, len(cuts))] for j in range(min(pieces, len(cuts)))}):
+                    rows.append((k, i, int(y), lines[i : i + piece].ravel().tolist()))
             if rows:
-                yield pd.DataFrame({"k": [r[0] for r in rows], "y": [r[1] for r in rows], "lines": [r[2].ravel().tolist() for r in rows]})
+                yield pd.DataFrame(rows, columns=["k", "i", "y", "lines"])
 
-    got = small_batches(sample).mapInPandas(extract, "k long, y int, lines array<short>").toPandas().sort_values("k", kind="stable")
+    got = sample.mapInPandas(extract, "k long, i long, y int, lines array<short>").toPandas().sort_values(["k", "i", "lines"], key=lambda c: c if c.name != "lines" else c.map(tuple))
     if got["y"].nunique() < 2:
         return None
-    return _fit([np.asarray(x, np.int16).reshape(-1, len(_STEPS) + 3) for x in got["lines"]], got["y"].tolist(), ridge)
+    return fit_latent([np.asarray(x, np.int16).reshape(-1, len(_STEPS) + 3) for x in got["lines"]], got["y"].tolist(), ridge)
 
 
 def base_counts(text: str) -> tuple[int, int, int, int, int]:

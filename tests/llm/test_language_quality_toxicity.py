@@ -81,6 +81,47 @@ def test_line_quality_keeps_good_and_rejects_junk(spark):
     assert share[1] > 0.97 and share[0] < 0.1
 
 
+GOOD = [
+    "The report says that all of the houses near the river were built in one summer by the same people.", "She walked to the market in the morning and came back with bread and a letter.",
+    "Nobody knew why the old clock had stopped, but everyone had an idea of what to do about it.", "In the end the council agreed to repair the bridge before the winter.",
+    "He had not thought of the garden for years until the smell of rain brought it back to him.", "They sat at the long table and talked about the harvest until it was dark outside.",
+    "A letter came from the north with news that the road would be closed for another month.", "It is said that the lake was once so clear that fish could be counted from the shore.",
+]
+GOOD = [f"{a} {b}" for a, b in zip(GOOD, GOOD[1:] + GOOD[:1])]
+JUNK = ["HOME | ABOUT | CONTACT | LOGIN", "CLICK HERE!!! >>> $$$ 100% FREE!!", "*** SALE *** 50% *** OFF ***", "NEWS | SHOP | CART | HELP", "### TAGS ### $$$ %%%", "BUY NOW!! BUY NOW!!", "A&&& B$$$ C%%% D***", "MENU >>> LINKS >>> MORE >>>"]
+
+
+def test_lines_of_mixed_texts_are_told_apart(spark):
+    """Labels switch inside a text, in blocks and line by line."""
+    model = line_quality.train(table(spark, SF, "documents"), table(spark, SF, "labels"))
+    emit = np.hstack([model.emit, np.zeros((2, 1))])
+
+    def marks(lines):
+        return line_quality.viterbi(emit[:, line_quality.line_features("\n".join(lines))[0]].sum(-1).T, model.move).tolist()
+
+    assert marks(GOOD + JUNK) == [1] * 8 + [0] * 8
+    mixed = marks([x for pair in zip(GOOD, JUNK) for x in pair])
+    assert sum(mixed[::2]) >= 7 and sum(mixed[1::2]) <= 1
+    shares = [line_quality.content_share("\n".join(GOOD[:n] + JUNK[n:]), model) for n in range(9)]
+    assert shares == sorted(shares) and shares[0] < 0.1 and shares[8] > 0.9 and len({round(x, 2) for x in shares}) >= 7
+
+
+def test_line_labels_that_the_texts_do_not_give():
+    """Good texts with one junk line each, and the other way round: the lines change sides before the last fit."""
+    lines = {True: line_quality.line_features("\n".join(GOOD))[0], False: line_quality.line_features("\n".join(JUNK))[0]}
+    rng = np.random.default_rng(3)
+    pieces, quality = [], []
+    for i in range(120):
+        good = bool(i % 2)
+        most = lines[good][rng.permutation(8)[:6]]
+        pieces.append(np.insert(most, int(rng.integers(0, 7)), lines[not good][int(rng.integers(0, 8))], axis=0))
+        quality.append(int(good))
+    model = line_quality.fit_latent(pieces, quality)
+    emit = np.hstack([model.emit, np.zeros((2, 1))])
+    for p, q in zip(pieces, quality):
+        assert (line_quality.viterbi(emit[:, p].sum(-1).T, model.move) != q).sum() == 1
+
+
 def test_line_quality_of_odd_rows(spark):
     labels = table(spark, SF, "labels")
     rows = line_quality.judge_documents(odd(spark), labels).collect()
