@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.llm.common import hash_share, rows_in, rows_not_in, small_batches
-from brightloom.session import measured
+from brightloom.session import measured, stages
 
 _PIECE = 1 << 12
 
@@ -115,25 +115,27 @@ def components(edges: DataFrame) -> DataFrame:
     nothing changes. High-degree nodes are split by pre-aggregation: a step needs the minimum of a node's
     neighbours only.
     """
-    both = lambda e: e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    e = measured(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
-    while True:
-        # large star: neighbours above a node move to the smallest of its neighbourhood
-        sym = both(e)
-        low = sym.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = sym.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = measured(large.filter("a <> b").distinct())
-        # small star: neighbours below a node, and the node itself, move to the smallest of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(low, "a")
-        small = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
-        e = measured(small.filter("a <> b").distinct())
-        now = tuple(e.agg(F.expr("count(1)"), F.expr("sum(cast(xxhash64(a, b) as decimal(38, 0)))")).first())
-        if now == before:
-            break
-        before = now
-    return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionAll(e.select("b", "b").distinct().toDF("node", "comp"))
+    with stages(edges.sparkSession):
+        both = lambda e: e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        e = measured(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        before = None
+        while True:
+            # large star: neighbours above a node move to the smallest of its neighbourhood
+            sym = both(e)
+            low = sym.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+            large = sym.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            large = measured(large.filter("a <> b").distinct())
+            # small star: neighbours below a node, and the node itself, move to the smallest of them
+            low = large.groupBy("a").agg(F.min("b").alias("m"))
+            moved = large.join(low, "a")
+            small = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
+            e = measured(small.filter("a <> b").distinct())
+            now = tuple(e.agg(F.expr("count(1)"), F.expr("sum(cast(xxhash64(a, b) as decimal(38, 0)))")).first())
+            if now == before:
+                break
+            before = now
+        named = e.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionAll(e.select("b", "b").distinct().toDF("node", "comp"))
+        return measured(named, keep=True)
 
 
 def _runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -167,7 +169,7 @@ def _matching(threshold: int):
             ok = (equal.sum(2) >= threshold) & (x["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :])
             if not ok.any():
                 continue
-            # a pair belongs to the first list that both are posted in
+            # a pair belongs to the first list that both are posted in; whole values tell which coordinates agree
             i, j = np.nonzero(ok)
             mx, my = x["mask"].to_numpy()[i], y["mask"].to_numpy()[j]
             bits = (equal[i, j] * (np.int64(1) << np.arange(sx.shape[1], dtype=np.int64))).sum(1) & mx & my
@@ -253,69 +255,70 @@ def duplicate_groups(
     texts have no shingles and are linked with nothing (``component_id`` is their id). Rows that repeat an id and
     text are equal copies with one id; a null id is never the smallest unless a group has no other.
     """
-    c = match_threshold(coordinates, percent / 100, miss)
-    prefix = coordinates - c + 1
-    signed = measured(_sign(docs, key, text, width, coordinates))
-    classes = (
-        signed.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.expr("count(1)").alias("rows"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
-    )
-    # for comparing, 15 bits of a coordinate do
-    classes = measured(classes.withColumn("short", F.transform("sig", lambda v: (v % 32768).cast("short"))))
-
-    # postings, their frequencies, and each class's rarest ones
-    posted = classes.select("cls", F.posexplode("sig").alias("i", "v")).select("cls", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("v")).alias("token"))
-    shared = measured(posted.groupBy("token").agg(F.expr("count(1)").alias("df")).filter("df > 1"))
-    ranked = posted.join(shared, "token").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("p"))
-    own = coordinates - F.size("p")
-    heads = ranked.withColumn("own", own).filter(F.col("own") < prefix).select("cls", "own", F.expr(f"slice(p, 1, {prefix} - own)").alias("p"))
-    mask = F.aggregate("p", F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x["token"], 32).cast("int"))))
-    postings = measured(heads.select("cls", "own", mask.alias("mask"), F.explode("p.token").alias("token")))
-    lists = measured(postings.groupBy("token").agg(F.expr("count(1)").alias("members"), F.min(F.struct("own", "cls")).alias("pivot")).filter("members > 1"))
-
-    # members against the pivots of their lists
-    met = postings.join(lists, "token").select("cls", F.col("pivot.cls").alias("other")).filter("cls <> other")
-    pairs = met.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).groupBy("a", "b").agg(F.expr("count(1)").alias("collisions"))
-    a, b = (classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("short").alias(f"sig_{s}")) for s in "ab")
-    agreeing = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda p, q: p == q), lambda x: x))
-    alike = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    candidates = measured(pairs.join(a, "a").join(b, "b").filter(alike).filter(agreeing >= c).select("a", "b", "collisions"))
-    wanted = postings.join(lists.select("token"), "token", "left_semi").select("cls").distinct()
-    sets = measured(_sets(docs, measured(classes.join(wanted, "cls", "left_semi").select("cls", "rep")), key, text, width))
-    sa, sb = (sets.select(F.col("cls").alias(s), F.col("shingles").alias(f"s_{s}")) for s in "ab")
-    inter = F.size(F.array_intersect("s_a", "s_b"))
-    confirmed = candidates.join(sa, "a").join(sb, "b").withColumn("both", inter)
-    confirmed = confirmed.filter(100 * F.col("both") >= percent * (F.size("s_a") + F.size("s_b") - F.col("both"))).select("a", "b")
-    links = measured(confirmed)
-    comps = measured(components(links))
-
-    # lists that still hold several components: all pairs of different components, block by block
-    placed = postings.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    placed = measured(placed)
-    several = placed.groupBy("token").agg(F.expr("count(1)").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    several = several.filter("members > 2 AND lo <> hi").join(lists.select("token", F.col("pivot.cls").alias("pivot")), "token")
-    at_pivot = several.join(comps.withColumnRenamed("node", "pivot").withColumnRenamed("comp", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
-    open_lists = placed.join(at_pivot.select("token", "members", "main"), "token")
-    outside = (F.col("comp") != F.col("main")).cast("int")
-    counts = open_lists.groupBy("token").agg(F.sum(outside).alias("x_members"))
-    # the pivot itself met everybody
-    row = open_lists.join(counts, "token").join(classes.select("cls", F.col("short").alias("sig")), "cls").withColumns({"nx": F.ceil(F.col("x_members") / block), "ny": F.ceil(F.col("members") / block)})
-    spot = hash_share(37, "cls")
-    row = row.withColumns({"bx": F.floor(spot * F.col("nx")), "by": F.floor(spot * F.col("ny"))})
-    cols = ["token", "cls", "comp", "mask", "sig"]
-    as_y = row.select(*cols, F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("nx") - 1)).alias("xb"), F.col("by").alias("yb"))
-    as_x = row.filter(outside == 1).select(*cols, F.lit(1).alias("side"), F.col("bx").alias("xb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ny") - 1)).alias("yb"))
-    blocks = as_x.unionByName(as_y).repartition("token", "xb", "yb").sortWithinPartitions("token", "xb", "yb")
-    passed = measured(blocks.mapInPandas(_matching(c), "token long, xb long, yb long, cls long, comp long, side long"))
-    full = passed.join(sets, "cls").repartition("token", "xb", "yb").sortWithinPartitions("token", "xb", "yb")
-    more = measured(full.mapInPandas(_confirming(percent), "a long, b long"))
-    if more.head(1):
-        comps = measured(components(links.unionByName(more)))
-
-    # smallest id per component, then per class; only classes with copies or links need a lookup
-    linked = classes.select("cls", "rep", "rows").join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("group", F.coalesce("comp", "cls"))
-    linked = linked.filter((F.col("rows") > 1) | F.col("comp").isNotNull())
-    smallest = linked.groupBy("group").agg(F.min("rep").alias("component_id"))
-    lookup = measured(linked.join(smallest, "group").select("cls", F.col("component_id").alias("found")))
+    with stages(docs.sparkSession):
+        c = match_threshold(coordinates, percent / 100, miss)
+        prefix = coordinates - c + 1
+        signed = measured(_sign(docs, key, text, width, coordinates), keep=True)
+        classes = (
+            signed.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.expr("count(1)").alias("rows"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+        )
+        # for comparing, 15 bits of a coordinate do
+        classes = measured(classes.withColumn("short", F.transform("sig", lambda v: (v % 32768).cast("short"))))
+
+        # postings, their frequencies, and each class's rarest ones
+        posted = classes.select("cls", F.posexplode("sig").alias("i", "v")).select("cls", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("v")).alias("token"))
+        shared = measured(posted.groupBy("token").agg(F.expr("count(1)").alias("df")).filter("df > 1"))
+        ranked = posted.join(shared, "token").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("p"))
+        own = coordinates - F.size("p")
+        heads = ranked.withColumn("own", own).filter(F.col("own") < prefix).select("cls", "own", F.expr(f"slice(p, 1, {prefix} - own)").alias("p"))
+        mask = F.aggregate("p", F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x["token"], 32).cast("int"))))
+        postings = measured(heads.select("cls", "own", mask.alias("mask"), F.explode("p.token").alias("token")))
+        lists = measured(postings.groupBy("token").agg(F.expr("count(1)").alias("members"), F.min(F.struct("own", "cls")).alias("pivot")).filter("members > 1"))
+
+        # members against the pivots of their lists
+        met = postings.join(lists, "token").select("cls", F.col("pivot.cls").alias("other")).filter("cls <> other")
+        pairs = met.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).groupBy("a", "b").agg(F.expr("count(1)").alias("collisions"))
+        a, b = (classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("short").alias(f"sig_{s}")) for s in "ab")
+        agreeing = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda p, q: p == q), lambda x: x))
+        alike = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+        candidates = measured(pairs.join(a, "a").join(b, "b").filter(alike).filter(agreeing >= c).select("a", "b", "collisions"))
+        wanted = postings.join(lists.select("token"), "token", "left_semi").select("cls").distinct()
+        sets = measured(_sets(docs, measured(classes.join(wanted, "cls", "left_semi").select("cls", "rep")), key, text, width))
+        sa, sb = (sets.select(F.col("cls").alias(s), F.col("shingles").alias(f"s_{s}")) for s in "ab")
+        inter = F.size(F.array_intersect("s_a", "s_b"))
+        confirmed = candidates.join(sa, "a").join(sb, "b").withColumn("both", inter)
+        confirmed = confirmed.filter(100 * F.col("both") >= percent * (F.size("s_a") + F.size("s_b") - F.col("both"))).select("a", "b")
+        links = measured(confirmed)
+        comps = components(links)
+
+        # lists that still hold several components: all pairs of different components, block by block
+        placed = postings.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        placed = measured(placed)
+        several = placed.groupBy("token").agg(F.expr("count(1)").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        several = several.filter("members > 2 AND lo <> hi").join(lists.select("token", F.col("pivot.cls").alias("pivot")), "token")
+        at_pivot = several.join(comps.withColumnRenamed("node", "pivot").withColumnRenamed("comp", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
+        open_lists = placed.join(at_pivot.select("token", "members", "main"), "token")
+        outside = (F.col("comp") != F.col("main")).cast("int")
+        counts = open_lists.groupBy("token").agg(F.sum(outside).alias("x_members"))
+        # the pivot itself met everybody
+        row = open_lists.join(counts, "token").join(classes.select("cls", "sig"), "cls").withColumns({"nx": F.ceil(F.col("x_members") / block), "ny": F.ceil(F.col("members") / block)})
+        spot = hash_share(37, "cls")
+        row = row.withColumns({"bx": F.floor(spot * F.col("nx")), "by": F.floor(spot * F.col("ny"))})
+        cols = ["token", "cls", "comp", "mask", "sig"]
+        as_y = row.select(*cols, F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("nx") - 1)).alias("xb"), F.col("by").alias("yb"))
+        as_x = row.filter(outside == 1).select(*cols, F.lit(1).alias("side"), F.col("bx").alias("xb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ny") - 1)).alias("yb"))
+        blocks = as_x.unionByName(as_y).repartition("token", "xb", "yb").sortWithinPartitions("token", "xb", "yb")
+        passed = measured(blocks.mapInPandas(_matching(c), "token long, xb long, yb long, cls long, comp long, side long"))
+        full = passed.join(sets, "cls").repartition("token", "xb", "yb").sortWithinPartitions("token", "xb", "yb")
+        more = measured(full.mapInPandas(_confirming(percent), "a long, b long"))
+        if more.head(1):
+            comps = components(links.unionByName(more))
+
+        # smallest id per component, then per class; only classes with copies or links need a lookup
+        linked = classes.select("cls", "rep", "rows").join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("group", F.coalesce("comp", "cls"))
+        linked = linked.filter((F.col("rows") > 1) | F.col("comp").isNotNull())
+        smallest = linked.groupBy("group").agg(F.min("rep").alias("component_id"))
+        lookup = measured(linked.join(smallest, "group").select("cls", F.col("component_id").alias("found")), keep=True)
     result = signed.select("doc_id", "n_shingles", "cls").join(lookup.withColumn("hit", F.lit(True)), "cls", "left")
     component = F.when(F.col("hit"), F.col("found")).otherwise(F.col("doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
