@@ -90,6 +90,7 @@ _TRIM = decontaminate.PUNCTUATION.replace("'", "''")
       SELECT 'i', item_id, list_filter(list_transform(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: trim(x, '{_TRIM}')), lambda x: x <> '') FROM benchmark
     ), s AS (
       SELECT DISTINCT side, id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w
+      UNION SELECT 'd', id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) FROM w, (SELECT DISTINCT len(w) AS k FROM w WHERE side = 'i' AND len(w) BETWEEN 1 AND 4) WHERE side = 'd' AND len(w) > k
     ), n AS (SELECT id AS item_id, count(*) AS n_item FROM s WHERE side = 'i' GROUP BY id)
     SELECT d.id AS doc_id, i.id AS item_id, CAST(any_value(n.n_item) AS INTEGER) AS n_item, CAST(count(*) AS INTEGER) AS n_found, count(*) / any_value(n.n_item) AS containment
     FROM s d JOIN s i ON d.side = 'd' AND i.side = 'i' AND d.s = i.s JOIN n ON n.item_id = i.id

@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,11 +100,10 @@ def test_components_of_long_chains_and_stars(spark):
 
 
 def containment(doc, item, width=5):
-    norm = lambda t: [w for w in (x.strip(decontaminate.PUNCTUATION) for x in (t or "").lower().split()) if w]
-    sets = []
-    for t in (doc, item):
-        w = norm(t)
-        sets.append({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set()))
+    """Share of the item's shingles in the document; items of fewer words are one shingle of as many words."""
+    d, i = ([w for w in (x.strip(decontaminate.PUNCTUATION) for x in (t or "").lower().split()) if w] for t in (doc, item))
+    width = max(1, min(width, len(i)))
+    sets = [{tuple(w[k : k + width]) for k in range(len(w) - width + 1)} for w in (d, i)]
     return len(sets[0] & sets[1]) / len(sets[1]) if sets[1] else 0
 
 
@@ -129,6 +130,25 @@ def test_contained_items_match_brute_force(spark):
     assert decontaminate.find_contained(frame(spark, docs), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_short_items_are_found_inside_long_documents(spark):
+    items = [(1, "alpha"), (2, "Beta gamma"), (3, "one two, three four"), (4, "one two three four five")]
+    filler = " ".join(f"w{i}" for i in range(300))
+    docs = [(1, f"{filler} ALPHA! {filler}"), (2, f"{filler} beta gamma"), (3, f"gamma beta {filler}"), (4, "one two three four"), (5, f"one two three four {filler}"), (6, "alpha"), (7, f"x one two three four five {filler}")]
+    got = decontaminate.find_contained(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["n_item"], r["n_found"]) for r in got) == [(1, 1, 1, 1), (2, 2, 1, 1), (4, 3, 1, 1), (5, 3, 1, 1), (6, 1, 1, 1), (7, 3, 1, 1), (7, 4, 1, 1)]
+
+
+def test_pairs_meet_in_a_list_although_short_values_collide():
+    """Two members agree on 47 of 48 coordinates; the other one is equal in 15 bits only, and both are posted there."""
+    x = np.arange(48, dtype=np.int32) * 7 + 3
+    y = x.copy()
+    y[0] += 32768
+    mask = (1 << 0) | (1 << 5)
+    rows = [{"token": (5 << 32) + int(x[5]), "xb": 0, "yb": 0, "cls": c, "comp": c, "mask": mask, "sig": v, "side": side} for c, v, side in ((1, x, 1), (2, y, 0))]
+    got = pd.concat(near_dedup._matching(30)(iter([pd.DataFrame(rows)])))
+    assert sorted(got["cls"]) == [1, 2]
+
+
 def test_licences(spark):
     mit = license_scan.NOTICES["MIT-text"]
     rows = [
