@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.llm.common import ascii_lower
-from brightloom.session import measured
+from brightloom.session import measured, stages
 
 
 @dataclass(frozen=True)
@@ -138,40 +138,57 @@ def _literal_branches(children: DataFrame, min_support: int, min_share: float, m
     return kept.join(merged, ["host", "prefix", "bin"]).select("host", "prefix", "seg", "token")
 
 
-def path_templates(urls: DataFrame, min_support: int = 5, min_share: float = 0.05, max_distance: float = 0.15, max_z: float = 1.96, max_depth: int = 12) -> DataFrame:
+_LEVELS = 8  # after so many levels hosts with few rows left are looked for, to end early
+
+
+def path_templates(urls: DataFrame, min_support: int = 5, min_share: float = 0.05, max_distance: float = 0.15, max_z: float = 1.96, max_depth: int | None = None) -> DataFrame:
     """Add ``template`` to rows that have ``host``, ``path`` and ``label`` (1 bad, 0 good, null unlabelled).
 
     A segment value stays literal where it has ``min_support`` rows and either ``min_share`` of the rows of its node or
     labels or continuations that differ significantly from those of the rest of its node, so a node may have any number of
-    literal branches; see ``_literal_branches``. Segments beyond ``max_depth`` are summed up as ``**``. Every level is one aggregation with map-side sums, split over hosts of any
-    share, and one join with the level's literal branches, broadcast by measured size.
+    literal branches; see ``_literal_branches``. Every level is one aggregation with map-side sums, split over hosts of any
+    share, and one join with the level's literal branches, broadcast by measured size. Only rows that go deeper take part in the
+    next level. The tree ends where its paths do: a host with fewer than ``min_support`` rows left can have no more literal
+    segments, so deep paths of few rows cost no levels of their own. With ``max_depth``, segments beyond it are summed up as ``**``.
     """
+    spark = urls.sparkSession
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
     rows = measured(urls.withColumns({"__segs": parts, "__prefix": F.lit("")}))
     depth = rows.agg(F.max(F.size("__segs"))).first()[0] or 0
-    for level in range(min(depth, max_depth)):
-        seg, following = F.get("__segs", F.lit(level)), F.get("__segs", F.lit(level + 1))
-        kind = F.when(following.isNull(), "k_end").when(F.regexp_like(following, F.lit(r"^[0-9]+$")), "k_number").when(F.regexp_like(following, F.lit(r"^\p{L}+$")), "k_word").otherwise("k_mixed")
-        children = (
-            rows.filter(F.size("__segs") > level)
-            .groupBy("host", F.col("__prefix").alias("prefix"), seg.alias("seg"))
-            .agg(
-                F.expr("count(1)").alias("n"),
-                F.count("label").alias("lab"),
-                F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad"),
-                *[F.count_if(kind == k).alias(k) for k in KINDS],
+    finished = []
+    for level in range(depth if max_depth is None else min(depth, max_depth)):
+        finished.append(rows.filter(F.size("__segs") <= level))
+        deeper = rows.filter(F.size("__segs") > level)
+        with stages(spark):
+            seg, following = F.get("__segs", F.lit(level)), F.get("__segs", F.lit(level + 1))
+            kind = F.when(following.isNull(), "k_end").when(F.regexp_like(following, F.lit(r"^[0-9]+$")), "k_number").when(F.regexp_like(following, F.lit(r"^\p{L}+$")), "k_word").otherwise("k_mixed")
+            children = measured(
+                deeper.groupBy("host", F.col("__prefix").alias("prefix"), seg.alias("seg")).agg(
+                    F.expr("count(1)").alias("n"),
+                    F.count("label").alias("lab"),
+                    F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("bad"),
+                    *[F.count_if(kind == k).alias(k) for k in KINDS],
+                )
             )
-        )
-        children = measured(children)
-        literal = measured(_literal_branches(children, min_support, min_share, max_distance, max_z))
-        known = literal.withColumnsRenamed({"host": "__host", "prefix": "__of", "seg": "__seg", "token": "__token"})
-        same = (F.col("host") == F.col("__host")) & (F.col("__prefix") == F.col("__of")) & (seg == F.col("__seg"))
-        token = F.concat(F.lit("/"), F.coalesce("__token", F.lit("*")))
-        rows = measured(
-            rows.join(known, same, "left").withColumn("__prefix", F.when(F.size("__segs") > level, F.concat("__prefix", token)).otherwise(F.col("__prefix"))).drop("__host", "__of", "__seg", "__token")
-        )
-    rest = F.when(F.size("__segs") > max_depth, F.concat("__prefix", F.lit("/**"))).otherwise(F.col("__prefix"))
-    return rows.withColumn("template", rest).drop("__segs", "__prefix")
+            if level >= _LEVELS:
+                few = measured(children.groupBy(F.col("host").alias("__host")).agg(F.sum("n").alias("n")).filter(F.col("n") < min_support).select("__host"))
+                ended = deeper.join(few, F.col("host") == F.col("__host"), "left_semi")
+                left = F.size("__segs") - level
+                if max_depth is not None:
+                    left = F.least(left, F.lit(max_depth - level))
+                finished.append(measured(ended.withColumn("__prefix", F.concat("__prefix", F.repeat(F.lit("/*"), left))), keep=True))
+                deeper = deeper.join(few, F.col("host") == F.col("__host"), "left_anti")
+            literal = measured(_literal_branches(children, min_support, min_share, max_distance, max_z))
+            known = literal.withColumnsRenamed({"host": "__host", "prefix": "__of", "seg": "__seg", "token": "__token"})
+            same = (F.col("host") == F.col("__host")) & (F.col("__prefix") == F.col("__of")) & (seg == F.col("__seg"))
+            token = F.concat(F.lit("/"), F.coalesce("__token", F.lit("*")))
+            rows = measured(deeper.join(known, same, "left").withColumn("__prefix", F.concat("__prefix", token)).drop("__host", "__of", "__seg", "__token"), keep=True)
+        if level >= _LEVELS and not rows.head(1):
+            break
+    for part in finished:
+        rows = rows.unionByName(part)
+    template = F.col("__prefix") if max_depth is None else F.when(F.size("__segs") > max_depth, F.concat("__prefix", F.lit("/**"))).otherwise(F.col("__prefix"))
+    return rows.withColumn("template", template).drop("__segs", "__prefix")
 
 
 def template_purity(rows: DataFrame, weight: float = 10.0) -> DataFrame:
