@@ -79,12 +79,12 @@ def _fit(rows: list[np.ndarray], grade: np.ndarray, size: int, ridge: float) ->
     return x[:size], cuts(x)
 
 
-def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int = 20_000, features: int = 4096, min_texts: int = 4, min_gain: float = 3.0, buckets: int = 1 << 18, ridge: float = 1e-6, text: str = "text", key: str = "doc_id") -> SeverityModel | None:
+def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int = 20_000, features: int | None = None, min_texts: int = 4, min_gain: float = 3.0, buckets: int = 1 << 18, ridge: float = 1e-6, text: str = "text", key: str = "doc_id") -> SeverityModel | None:
     """Fit on a sample of about ``sample`` graded texts (hash of the key; all where fewer).
 
     Of the hashed features that occur in at least ``min_texts`` texts, those are used whose count in texts above the
-    lowest grade is ``min_gain`` standard deviations or more above the expected one, the ``features`` strongest at
-    most; harmless words are no evidence against harm, so long or common texts don't hide it. These bounds limit what the driver fits. Where the labels know only two grades, texts of the upper one
+    lowest grade is ``min_gain`` standard deviations or more above the expected one (with ``features``, that many of the strongest);
+    harmless words are no evidence against harm, so long or common texts don't hide it. The number of ``buckets`` bounds what the driver fits. Where the labels know only two grades, texts of the upper one
     with more features that hardly ever occur below it than their median form a third grade. None where fewer than two grades or no
     such feature are there.
     """
@@ -106,7 +106,8 @@ def train(docs: DataFrame, graded: DataFrame, grade: str = "grade", sample: int
     cell = found.select("g", F.explode("x").alias("x")).groupBy("x").agg(F.expr(f"count_if(g > {lowest})").alias("a"), F.expr("count(1)").alias("df"))
     expected = F.col("df") * ((n - n_low) / n)
     gain = (F.col("a") - expected) / F.sqrt(expected + 1)
-    best = cell.withColumn("gain", gain).filter((F.col("df") >= min_texts) & (F.col("gain") >= min_gain)).orderBy(F.desc("gain"), "x").limit(features)
+    best = cell.withColumn("gain", gain).filter((F.col("df") >= min_texts) & (F.col("gain") >= min_gain))
+    best = best if features is None else best.orderBy(F.desc("gain"), "x").limit(features)
     best = best.select("x", (F.col("a") >= 0.9 * F.col("df")).alias("pure")).toPandas().sort_values("x")
     chosen, pure = best["x"].to_numpy(), best["pure"].to_numpy()
     if not len(chosen):
