@@ -4,7 +4,7 @@ A page becomes text blocks with features: length, stop-word density, link densit
 element or class name that hints at boilerplate, an article element, the containers they stand in). Pass one decides the clear
 blocks: mostly links is boilerplate, enough stop words is main text. A hint counts as boilerplate only if the page has other text:
 names alone never empty a page. Pass two gives the ambiguous blocks, the short ones mostly, the label of their nearest
-decided neighbours, of those in their own container if there are any: main text if either is. At the start or end of a page a neighbour
+decided neighbours: main text if either is, in their own container or on the page. At the start or end of a page a neighbour
 in another container counts only if one of the containers is around the other.
 """
 
@@ -307,9 +307,8 @@ def label_blocks(page: Page, max_links: float = 0.5, short: int = 70, long: int
     result = [d is True for d in decided]
     for i in allowed:
         if decided[i] is None:
-            kin = [decided[j] for j in (kin_before[i], kin_after[i]) if j is not None]
-            if kin:
-                result[i] = any(kin)
+            if any(decided[j] for j in (kin_before[i], kin_after[i]) if j is not None):
+                result[i] = True
             elif len(blocks[i].text) < short or stop_share(blocks[i]) >= bare:
                 result[i] = _between(page, i, before[i], after[i], decided)
     return result if any(result) else [i in allowed and first[i] is None for i in range(len(blocks))]

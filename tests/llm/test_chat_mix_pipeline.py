@@ -151,6 +151,6 @@ def test_registered_query(spark, name):
 
 
 def test_every_number_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
     assert near_dedup.match_threshold(48, 0.85, 1e-5) > 24 and decontaminate.PUNCTUATION

@@ -92,6 +92,14 @@ def test_deep_paths_are_summed_up(spark):
     assert got == {"/a" * 30: "/a/a/a/**", "": "", "///": ""}
 
 
+def test_the_tree_goes_as_deep_as_its_paths(spark):
+    rows = [("h", "/s" * 13 + f"/{'bad' if i % 2 else 'good'}/{i}", i % 2) for i in range(60)] + [("one", "/x" * 70, None), ("two", "/y" * 9, None)] * 2 + [("h", "/s", None)]
+    got = {}
+    for r in url_templates.path_templates(spark.createDataFrame(rows, "host string, path string, label int")).collect():
+        got.setdefault(r["template"], []).append(r["path"])
+    assert {t: len(p) for t, p in got.items()} == {"/s" * 13 + "/bad/*": 30, "/s" * 13 + "/good/*": 30, "/*" * 70: 2, "/*" * 9: 2, "/s": 1}
+
+
 def test_articles_are_extracted_whole(spark):
     rows = table(spark, SF, "pages").collect()
     got = {r["page_id"]: r for r in html_extract.extract_pages(table(spark, SF, "pages")).collect()}
