@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.operators.timeseries import daily, pct_change, resample_month, rolling_mean_std
-from brightloom.session import measured
+from brightloom.session import measured, written
 
 
 def daily_sales(df: DataFrame, ts: str, value: str) -> DataFrame:
@@ -55,7 +55,7 @@ def order_kpis(df: DataFrame, ts: str, value: str, user: str) -> DataFrame:
     base = df.groupBy(F.to_date(F.col(ts)).alias("date"), F.col(user).alias("user")).agg(F.sum(value).alias("sales"), F.count("*").alias("n"))
     per_day = measured(base.groupBy("date").agg(F.sum("sales").alias("sales"), F.count("user").cast("double").alias("active")))
     smooth = rolling_mean_std(per_day, "date", "sales", size=7).select("date", "rolling_mean")
-    growth = pct_change(resample_month(per_day, "date", "sales"), "month_end", "total", "growth").select("month_end", "growth")
+    growth = written(pct_change(resample_month(per_day, "date", "sales"), "month_end", "total", "growth").select("month_end", "growth"))
     per_month = base.filter(F.col("user").isNotNull()).groupBy(F.last_day("date").alias("date"), "user").agg(F.sum("n").alias("n"))
     kept = per_month.groupBy("date").agg((F.avg((F.col("n") >= 2).cast("double")) * 100).alias("rate"))
     # as for growth, months without rows are there: nobody came back in them

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from brightloom.session import measured, small_in_parallel
+from brightloom.session import measured, small_in_parallel, written
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -149,7 +149,7 @@ def framed(
     row's number from 0.
     The table is written once, because its size and its rows are both needed.
     """
-    df = measured(df)
+    df = written(df)
     block = max(block, before, after, 1)
     along = [order, tie] if tie else [order]
     if df.count() <= block:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from brightloom.operators.ranking import framed, order_ranges, running_totals, split_row_number
-from brightloom.session import measured
+from brightloom.session import written
 
 
 def daily(df: DataFrame, ts: str, aggs: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
@@ -18,7 +18,7 @@ def daily(df: DataFrame, ts: str, aggs: Sequence[Column], by: Sequence[str] = ()
 
 def running_total(df: DataFrame, order: str, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Sum of ``value`` up to and with each row; ranges of the order carry the totals before them, so no series is one task."""
-    ranged = order_ranges(measured(df), order)
+    ranged = order_ranges(written(df), order)
     added = F.coalesce(F.col(value), F.lit(0))
     seen = F.when(F.col(value).isNotNull(), 1).otherwise(0)
     out = running_totals(ranged, [F.asc(order)], F.col("__range"), {"__before": added, "__seen": seen}, by)
