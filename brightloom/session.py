@@ -12,8 +12,8 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback_dir: str | None = None
-_outer: list[str] = []  # folders that `measured` has written outside of any `stages` block
-_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=(_outer,))  # per thread, as queries may run side by side
+_stages: list[str] = []  # folders that `measured` has written outside of any `stages` block
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=(_stages,))  # per thread, as queries may run side by side
 
 
 def get_session(app: str = "brightloom", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -118,4 +118,4 @@ def small_in_parallel(df: DataFrame, bytes_per_core: int = 16 << 20) -> DataFram
 
 def release_stages(spark: SparkSession) -> int:
     """Remove what ``measured`` has written in this process outside of ``stages`` blocks; call it when results that read it are used up."""
-    return _remove(spark, _outer)
+    return _remove(spark, _stages)
