@@ -64,7 +64,7 @@ MOST_RANGES = 10_000
 
 
 def range_count(rows: int) -> int:
-    return max(16, min(MOST_RANGES, rows // ROWS_PER_RANGE))
+    return max(16, rows // ROWS_PER_RANGE)
 
 
 def value_ranges(df: DataFrame, c: str, descending: bool = False, tie: str | None = None, name: str = "__range", ranges: int | None = None) -> DataFrame:
@@ -73,28 +73,35 @@ def value_ranges(df: DataFrame, c: str, descending: bool = False, tie: str | Non
     Split points are quantiles of the data, so ranges hold about equally many rows whatever the values look like, and
     their number grows with the rows. A value that is a split point has a range of its own; there the order
     continues by ``tie`` (ascending), so rows of one frequent value are split as well. Nulls come first (last if descending).
+    More than ``MOST_RANGES`` ranges are found in two steps, the second one inside each range of the first.
     """
     n = ranges or range_count(df.count())
+    wide, deep = min(n, MOST_RANGES), -(-n // MOST_RANGES)
 
-    def points(x: str):
-        return F.percentile_approx(x, [i / n for i in range(1, n)], 10 * n)
+    def points(x: str, parts: int) -> Column:
+        return F.percentile_approx(x, [i / parts for i in range(1, parts)], 10 * parts)
 
-    stats = df.agg(F.struct(points(c).alias("first"), (points(tie) if tie else F.lit(None)).alias("second")))
-    out = with_stats(df, stats, "__points")
-    steps = F.array(*[F.lit(1 << b) for b in range((n - 1).bit_length() - 1, -1, -1)])
-
-    def place(x: Column, at: Column) -> Column:
+    def place(x: Column, at: Column, parts: int) -> Column:
         """Twice the number of points below ``x`` (binary search), plus one if ``x`` is a point."""
-        below = F.aggregate(steps, F.lit(0), lambda pos, s: pos + F.when((pos + s < n) & (F.get(at, pos + s - 1) < x), s).otherwise(0))
+        steps = F.array(*[F.lit(1 << b) for b in range((parts - 1).bit_length() - 1, -1, -1)])
+        below = F.aggregate(steps, F.lit(0), lambda pos, s: pos + F.when((pos + s < parts) & (F.get(at, pos + s - 1) < x), s).otherwise(0))
         return below * 2 + F.coalesce((F.get(at, below) == x).cast("int"), F.lit(0))
 
-    out = out.withColumn("__first", F.coalesce(place(F.col(c), F.col("__points.first")), F.lit(-1)))
-    first = -F.col("__first") if descending else F.col("__first")
-    if tie is None:
-        return out.withColumn(name, first).drop("__points", "__first")
-    alone = (F.col("__first") % 2 != 0) & F.col(tie).isNotNull()
-    second = F.when(alone, place(F.col(tie), F.col("__points.second"))).otherwise(F.when(F.col("__first") % 2 != 0, F.lit(-1)).otherwise(F.lit(0)))
-    return out.withColumn(name, F.struct(first.alias("a"), second.alias("b"))).drop("__points", "__first")
+    stats = df.agg(F.struct(points(c, wide).alias("first"), (points(tie, wide) if tie else F.lit(None)).alias("second")))
+    out = with_stats(df, stats, "__points")
+    out = out.withColumn("__first", F.coalesce(place(F.col(c), F.col("__points.first"), wide), F.lit(-1))).withColumn("__deep", F.lit(0))
+    if deep > 1:  # each range has points of its own
+        own = measured(out.filter(F.col(c).isNotNull()).groupBy(F.col("__first").alias("__of")).agg(points(c, deep).alias("__own")))
+        out = out.join(own, F.col("__first") == F.col("__of"), "left").withColumn("__deep", F.coalesce(place(F.col(c), F.col("__own"), deep), F.lit(-1))).drop("__of", "__own")
+    parts = {"a": F.col("__first"), "d": F.col("__deep")} if deep > 1 else {"a": F.col("__first")}
+    if descending:
+        parts = {k: -v for k, v in parts.items()}
+    if tie is not None:
+        point = (F.col("__first") % 2 != 0) | (F.col("__deep") % 2 != 0)
+        second = F.when(point & F.col(tie).isNotNull(), place(F.col(tie), F.col("__points.second"), wide)).otherwise(F.when(point, F.lit(-1)).otherwise(F.lit(0)))
+        parts["b"] = second
+    value = parts["a"] if len(parts) == 1 else F.struct(*[v.alias(k) for k, v in parts.items()])
+    return out.withColumn(name, value).drop("__points", "__first", "__deep")
 
 
 def text_bucket(df: DataFrame, c: str, splits: int | None = None) -> Column:
@@ -103,7 +110,7 @@ def text_bucket(df: DataFrame, c: str, splits: int | None = None) -> Column:
     Split points are ``splits`` of the distinct values, drawn by hash (a top-n); by default their number grows with
     the rows. Fewer values need one bucket.
     """
-    splits = splits or range_count(df.count())
+    splits = splits or min(MOST_RANGES, range_count(df.count()))
     drawn = df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(F.xxhash64(c), c).limit(splits).collect()
     if len(drawn) < splits:
         return F.lit(0)

@@ -76,6 +76,26 @@ def test_ranges_follow_the_data(spark, kind):
         assert out.groupby(["a", "b"]).size().max() < 0.05 * n
 
 
+@pytest.mark.parametrize("kind", ["spread", "frequent"])
+def test_ranges_inside_ranges(spark, monkeypatch, kind):
+    """More ranges than one step finds."""
+    monkeypatch.setattr(ranking, "MOST_RANGES", 8)
+    rng = np.random.default_rng(6)
+    n = 8000
+    x = rng.normal(size=n) if kind == "spread" else np.where(rng.random(n) < 0.4, 7.0, rng.integers(0, 10**6, n))
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "id": rng.permutation(n)})).unionAll(spark.createDataFrame([(None, -1), (None, -2)], "x double, id long"))
+    for descending in (False, True):
+        out = ranking.value_ranges(df, "x", descending, "id", ranges=64).select("x", "id", "__range.*").toPandas()
+        out = out.sort_values(["x", "id"], ascending=[not descending, True], na_position="last" if descending else "first")
+        assert out.sort_values(["a", "d", "b"], kind="stable").index.equals(out.index)
+        groups = out.groupby(["a", "d", "b"]).size()
+        assert groups.max() < (0.06 if kind == "frequent" else 0.04) * n and len(groups) > 40
+    df = ranking.value_ranges(df, "x", tie="id", ranges=64)
+    got = ranking.split_row_number(df, [F.asc("x"), F.asc("id")], F.col("__range")).orderBy("rn").select("x", "id").toPandas()
+    want = df.select("x", "id").toPandas().sort_values(["x", "id"], na_position="first", ignore_index=True)
+    assert got["id"].tolist() == want["id"].tolist()
+
+
 @pytest.mark.parametrize("keys", [(), ("g",)])
 def test_split_row_number(spark, keys):
     pdf = frame(500, 5)
