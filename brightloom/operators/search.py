@@ -246,21 +246,50 @@ def knn_search(
 
 def knn_search_lsh(
     queries: DataFrame, index: DataFrame, query_key: str, key: str, vector: str = "embedding", n: int = 5, width: float = 1.0, tables: int = 8,
-    seed: int = 42, max_distance: float = float("inf"),
+    seed: int = 42, max_distance: float = float("inf"), block: int = 20_000,
 ) -> DataFrame:
     """Approximate ``n`` nearest index rows for any number of queries: same columns as ``knn_search``.
 
     Queries and index rows meet in the buckets of ``tables`` random projections of bucket ``width`` (an equi-join, no side
-    is collected or broadcast by force); distances of the pairs that meet are exact.
+    is collected or broadcast by force); distances of the pairs that meet are exact. A bucket is cut into blocks of about ``block``
+    queries and rows, and a block returns only the ``n`` nearest rows of each of its queries, so pairs that meet are never written.
+    Rows in buckets without queries are not moved. Equal rows count once.
     """
-    to_vector = lambda df, k, name: df.filter(F.col(vector).isNotNull()).select(
-        F.col(k).alias(name), array_to_vector(F.col(vector).cast("array<double>")).alias("v")
-    )
-    q, rows = to_vector(queries, query_key, "qk"), to_vector(index, key, "k")
+
+    def hashed(df: DataFrame, k: str, name: str) -> DataFrame:
+        return df.filter(F.col(vector).isNotNull()).select(F.col(k).alias(name), F.col(vector).alias("a")).distinct().withColumn("v", array_to_vector(F.col("a").cast("array<double>")))
+
+    q, rows = hashed(queries, query_key, "qk"), hashed(index, key, "k")
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=width, numHashTables=tables, seed=seed).fit(rows)
-    met = model.approxSimilarityJoin(q, rows, max_distance, distCol="root").select(
-        F.col("datasetA.qk").alias("qk"), F.col("datasetB.k").alias("k"), (F.col("root") * F.col("root")).alias("distance")
-    )
+    buckets = F.array(*[vector_to_array(F.get("h", F.lit(i)))[0] for i in range(tables)])
+    q, rows = (measured(model.transform(d).select(c, "a", F.xxhash64("a").alias(f"{c}h"), buckets.alias("b"))) for d, c in ((q, "qk"), (rows, "k")))
+
+    def counts(d: DataFrame, name: str) -> DataFrame:
+        return d.select(F.posexplode("b").alias("t", "b")).groupBy("t", "b").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+
+    shared = measured(counts(q, "qbs").join(counts(rows, "rbs"), ["t", "b"]))  # buckets with queries and rows
+    by = ["t", "b", "qb", "rb"]
+
+    def blocks(d: DataFrame, c: str, own: str, other: str) -> DataFrame:
+        met = d.select(c, f"{c}h", "a", F.posexplode("b").alias("t", "b")).join(shared, ["t", "b"])
+        met = met.withColumn(own, F.pmod(F.xxhash64(c, f"{c}h"), F.col(f"{own}s")).cast("int"))
+        return met.select(*by[:2], own, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other), c, f"{c}h", "a")
+
+    k_type, q_type = rows.schema["k"].dataType.simpleString(), q.schema["qk"].dataType.simpleString()
+
+    def search(theirs: pd.DataFrame, mine: pd.DataFrame) -> pd.DataFrame:
+        if not len(theirs) or not len(mine):
+            return pd.DataFrame({"qk": theirs["qk"][:0], "qkh": theirs["qkh"][:0], "k": mine["k"][:0], "kh": mine["kh"][:0], "distance": []})
+        mine = mine.sort_values("k", na_position="first", kind="stable")
+        at, of, d = nearest_in_block(_stacked(theirs["a"]), np.full(len(theirs), np.inf), _stacked(mine["a"]), np.arange(len(mine)), n)
+        theirs, mine = theirs.iloc[at].reset_index(drop=True), mine.iloc[of].reset_index(drop=True)
+        return pd.DataFrame({"qk": theirs["qk"], "qkh": theirs["qkh"], "k": mine["k"], "kh": mine["kh"], "distance": d})
+
+    groups = shared.agg(F.sum(F.col("qbs").cast("long") * F.col("rbs"))).first()[0] or 0
+    tasks = min(10_000, max(q.sparkSession.sparkContext.defaultParallelism, 2 * groups))
+    left, right = (d.repartition(tasks, *by).groupBy(*by) for d in (blocks(q, "qk", "qb", "rb"), blocks(rows, "k", "rb", "qb")))
+    met = left.cogroup(right).applyInPandas(search, f"qk {q_type}, qkh long, k {k_type}, kh long, distance double")
+    met = met.filter(F.sqrt("distance") < max_distance).dropDuplicates(["qk", "qkh", "k", "kh"])
     w = Window.partitionBy("qk").orderBy("distance", "k")
     ranked = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
     return ranked.select(F.col("qk").alias(query_key), "rank", F.col("k").alias("neighbor"), "distance")

@@ -131,6 +131,22 @@ def test_lsh_summary_counts_the_ranks_found(spark):
     assert tuple(lsh_summary(q, exact, exact.filter("qid > 0 OR rank < 5")).first()) == (20, True, False)
 
 
+def test_lsh_in_blocks_finds_the_nearest_of_hot_buckets(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    rows = [(i if i else None, [float(v) for v in x[i]]) for i in range(300)] + [(7, [float(v) for v in x[7]]), (400, None)]
+    index = spark.createDataFrame(rows, "k long, embedding array<float>")
+    queries = index.filter("k % 20 = 0").withColumnRenamed("k", "qk")
+    got = search.knn_search_lsh(queries, index, "qk", "k", n=4, width=100.0, tables=3, block=32).collect()  # every pair meets
+    found = {(r["qk"], r["rank"]): (r["neighbor"], r["distance"]) for r in got}
+    asked = range(20, 300, 20)
+    assert len(got) == len(found) == 4 * len(asked)
+    for i in asked:
+        d = ((x.astype(float) - x[i].astype(float)) ** 2).sum(axis=1)
+        for rank, j in enumerate(np.argsort(d, kind="stable")[:4], 1):
+            assert found[i, rank][0] == (j or None) and abs(found[i, rank][1] - d[j]) < 1e-9
+
+
 def test_reindex_replaces(spark, tmp_path):
     df = spark.createDataFrame([("a", "x" * 1500), ("b", "y")], "id string, t string")
     search.reindex_overwrite(search.chunk_stride(df, "id", "t"), str(tmp_path / "i"))
