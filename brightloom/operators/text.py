@@ -169,12 +169,13 @@ def sparse_tfidf(df: DataFrame, text: str, size: int = 1000, stop_words: Iterabl
 
 
 def text_clusters(df: DataFrame, text: str, k: int = 5, seed: int = 42, size: int = 1000) -> DataFrame:
-    """Add the k-means ``cluster`` of the TF-IDF vector."""
-    vectors = sparse_tfidf(df, text, size).persist()
+    """Add the k-means ``cluster`` of the TF-IDF vector; only the vectors are cached for the fit, not the texts."""
+    vectors = sparse_tfidf(df, text, size)
+    fitted_on = vectors.select("features").persist()
     try:
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
+        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(fitted_on)
     finally:
-        vectors.unpersist()
+        fitted_on.unpersist()
     return model.transform(vectors).drop("features")
 
 

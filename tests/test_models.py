@@ -129,3 +129,24 @@ def test_long_conversation_is_split_not_cut(spark):
     assert sorted((r["part"], r["n_turns"]) for r in out) == [(0, 500), (1, 500), (2, 203)]
     whole = text.conversation_transcripts(spark.createDataFrame(rows, "c int, turn int, role string, text string"), "c", "turn", "role", "text").collect()
     assert [r["n_turns"] for r in whole] == [1203]
+
+
+def test_forest_over_counted_groups(spark):
+    """Rows are counted by bins once; the trees' fits do not see single rows."""
+    df = spark.range(4000).selectExpr("id % 5 AS a", "7 AS constant", "id % 3 AS b", "CAST(id % 5 >= 3 AS int) AS y")
+    data = features._vectors(df, ["a", "constant", "b"], "y").select("features", "label")
+    counted = features._counted_bins(data, 3)
+    assert counted.count() == 15 and counted.agg({"n": "sum"}).first()[0] == 4000
+    found = {r["feature"]: r["importance"] for r in features.rf_importance(df, ["a", "constant", "b"], "y", trees=8).collect()}
+    assert found["a"] > 0.9 and found["constant"] == 0 and abs(sum(found.values()) - 1) < 1e-9
+    ranks = {r["feature"]: r["ranking"] for r in features.recursive_elimination(df, ["a", "constant", "b"], "y", 1, trees=8).collect()}
+    assert ranks["a"] == 1 and sorted(ranks.values()) == [1, 2, 3]
+    assert features._counted_bins(features._vectors(spark.range(500).selectExpr("rand(1) AS a", "rand(2) AS b", "id % 2 AS y"), ["a", "b"], "y"), 2) is None
+
+
+def test_text_clusters_cache_vectors_only(spark, monkeypatch):
+    seen, fit = [], text.KMeans.fit
+    monkeypatch.setattr(text.KMeans, "fit", lambda self, data: (seen.append((data.columns, data.storageLevel.useMemory)), fit(self, data))[1])
+    df = spark.createDataFrame([(i, "apple pear plum" if i % 2 else "engine wheel brake") for i in range(20)], "id int, t string")
+    groups = {(r["id"] % 2, r["cluster"]) for r in text.text_clusters(df, "t", 2).collect()}
+    assert len(groups) == 2 and seen == [(["features"], True)]
