@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -46,18 +47,22 @@ def _cuts(text: str, size: int, overlap: int) -> list[str]:
     return out
 
 
-def chunk_boundary(df: DataFrame, key: str, text: str, size: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Boundary-aware chunks; each repeats the last ``overlap`` characters of the one before."""
+def chunk_boundary(df: DataFrame, key: str, text: str, size: int = CHUNK, overlap: int = OVERLAP, texts: int = 100) -> DataFrame:
+    """Boundary-aware chunks; each repeats the last ``overlap`` characters of the one before.
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else _cuts(t, size, overlap))
+    Only ``texts`` texts of a batch and their chunks are held as Python strings at a time.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (b.slice(i, texts) for b in batches for i in range(0, b.num_rows, texts)):
+            chunks = [_cuts(t, size, overlap) if t is not None else [] for t in part.column(1).to_pylist()]
+            counts = [len(c) for c in chunks]
+            source = part.column(0).take(pa.array(np.repeat(np.arange(len(chunks)), counts)))
+            ids, totals = [i for n in counts for i in range(n)], [n for n in counts for _ in range(n)]
+            yield pa.RecordBatch.from_arrays([source, pa.array(ids, pa.int32()), pa.array(totals, pa.int32()), pa.array([c for own in chunks for c in own], pa.string())], ["source", "chunk_id", "total_chunks", "chunk"])
 
-    d = df.select(F.col(key).alias("source"), cut(F.col(text)).alias("chunks"))
-    d = d.withColumn("total_chunks", F.size("chunks"))
-    return d.select("source", "total_chunks", F.posexplode("chunks").alias("chunk_id", "chunk")).select(
-        "source", "chunk_id", "total_chunks", "chunk"
-    )
+    d = df.select(F.col(key).alias("source"), F.col(text))
+    return d.mapInArrow(cut, f"source {d.schema['source'].dataType.simpleString()}, chunk_id int, total_chunks int, chunk string")
 
 
 def embed_text(df: DataFrame, text: str, features: int = 256) -> DataFrame:

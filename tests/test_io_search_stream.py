@@ -147,6 +147,14 @@ def test_lsh_in_blocks_finds_the_nearest_of_hot_buckets(spark):
             assert found[i, rank][0] == (j or None) and abs(found[i, rank][1] - d[j]) < 1e-9
 
 
+def test_boundary_chunks_leave_the_task_in_small_batches(spark):
+    texts = ["word " * n + "\n\n" + "ü" * n for n in range(0, 500, 50)] + [None, ""]
+    df = spark.createDataFrame([(i if i != 3 else None, t) for i, t in enumerate(texts)], "id long, t string")
+    got = search.chunk_boundary(df, "id", "t", 100, 20, texts=2).collect()
+    want = [(i if i != 3 else None, j, len(c), x) for i, t in enumerate(texts) if t is not None for c in [search._cuts(t, 100, 20)] for j, x in enumerate(c)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_reindex_replaces(spark, tmp_path):
     df = spark.createDataFrame([("a", "x" * 1500), ("b", "y")], "id string, t string")
     search.reindex_overwrite(search.chunk_stride(df, "id", "t"), str(tmp_path / "i"))
