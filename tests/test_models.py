@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from brightloom.operators import anomaly, features, kpi, segments, text, timeseries
+from brightloom.operators import anomaly, features, forests, kpi, modeling, segments, text, timeseries
 
 
 def test_isolation_forest_finds_spikes(spark):
@@ -144,6 +144,66 @@ def test_forest_over_counted_groups(spark):
     assert features._counted_bins(features._vectors(spark.range(500).selectExpr("rand(1) AS a", "rand(2) AS b", "id % 2 AS y"), ["a", "b"], "y"), 2) is None
 
 
+def test_forests_over_groups_grow_together(spark, monkeypatch):
+    """No fit per tree, and splits, draws and votes as of a forest over the rows."""
+    df = spark.range(6000).selectExpr("id % 40 AS a", "id % 7 AS b", "id % 3 AS c", "CASE WHEN id % 40 < 13 THEN 'low' WHEN id % 7 < 3 THEN 'mid' ELSE 'top' END AS y")
+    monkeypatch.setattr(features.RandomForestClassifier, "fit", lambda *_: pytest.fail("a fit of its own"))
+    found = {r["feature"]: r["importance"] for r in features.rf_importance(df, ["a", "b", "c"], "y", trees=30).collect()}
+    assert sum(found.values()) == pytest.approx(1) and found["a"] > found["b"] > 10 * found["c"]
+    groups = spark.createDataFrame([(float(a), float(b), int(a > 2), 50 + a) for a in range(6) for b in range(3)], "b0 double, b1 double, label int, n long")
+    packed = forests.blocks(groups, ["b0", "b1"])
+    grown = forests.grow(packed, 2, 2, 20, 3, 1)
+    draws = grown.counts[:, 1].sum(axis=1)
+    assert len(set(draws)) > 10 and abs(draws.mean() / 945 - 1) < 0.05
+    assert (grown.upto[:, 1][grown.feature[:, 1] == 0] == 2).all()
+    assert forests.accuracy(packed, 2, grown) == 1.0
+    again = forests.grow(packed.repartition(5), 2, 2, 20, 3, 1)
+    assert (grown.counts == again.counts).all()
+
+
+def test_best_split_against_brute_force():
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 9, 300), rng.integers(0, 3, 300)
+    h = np.zeros((1, 1, 34, 3))
+    np.add.at(h[0, 0], (x, y), 1)
+
+    def gini(v):
+        return len(v) - (np.bincount(v, minlength=3) ** 2).sum() / len(v)
+
+    gains = [gini(y) - gini(y[x <= u]) - gini(y[x > u]) for u in range(8)]
+    place, upto, gain, left, right = forests._best_splits(h)
+    assert place[0] == 0 and upto[0] == int(np.argmax(gains)) and gain[0] == pytest.approx(max(gains))
+    assert (left[0] + right[0] == np.bincount(y, minlength=3)).all()
+    assert forests._best_splits(np.where(np.arange(3) == 1, h, 0))[0][0] == -1  # one class only
+
+
+def test_components_are_chosen_over_counted_bins(spark, monkeypatch):
+    """The first component tells half of the classes, the second the rest."""
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(0, 1, 3000), rng.normal(0, 1, 3000)
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "a2": a + rng.normal(0, 0.01, 3000), "b": b, "b2": b + rng.normal(0, 0.3, 3000), "flat": 1.0, "y": (a > 0).astype(int) + 2 * (b > 0)}))
+    monkeypatch.setattr(features.RandomForestClassifier, "fit", lambda *_: pytest.fail("a fit over rows"))
+    k, scores, rows = features.pca_optimize(df, ["a", "a2", "b", "b2", "flat"], "y", ks=[1, 2], trees=20)
+    found = {r["k"]: r["accuracy"] for r in scores.collect()}
+    assert k == 2 and found[2] > 0.85 and 0.35 < found[1] < 0.65
+    assert rows.count() == 3000 and len(rows.first()["components"]) == 2
+
+
+def test_boosted_trees_over_counted_groups(spark):
+    """A fit sees groups with their sizes; the model takes raw features."""
+    df = spark.range(20_000).selectExpr("CAST(id % 1000 AS double) / 7 AS a", "CAST(id % 3 AS double) AS b", "CAST((id % 1000 >= 300) != (id % 11 = 0) AS int) AS y")
+    seen = []
+    fit = modeling.GBTClassifier.fit
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(modeling.GBTClassifier, "fit", lambda self, data: (seen.append(data.count()), fit(self, data))[1])
+        model, trials = modeling.tune_boosted_trees(df, ["a", "b"], "y", folds=3, settings=[{"maxIter": 3, "maxDepth": 2, "minInstancesPerNode": 5}])
+    assert len(seen) == 4 and max(seen) < 5_000
+    assert 0.85 < trials.first()["auc"] < 0.95
+    assert model.featureImportances.toArray()[0] > 0.9
+    out = model.transform(modeling.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df))
+    assert out.filter("prediction = y").count() / 20_000 > 0.88
+
+
 def test_text_clusters_cache_vectors_only(spark, monkeypatch):
     seen, fit = [], text.KMeans.fit
     monkeypatch.setattr(text.KMeans, "fit", lambda self, data: (seen.append((data.columns, data.storageLevel.useMemory)), fit(self, data))[1])
