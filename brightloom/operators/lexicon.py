@@ -2,35 +2,68 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.functions.text import POLARITY, STOP_WORDS, let, sentences, tokens
+from brightloom.functions.text import POLARITY, STOP_WORDS, sentences, tokens
 from brightloom.session import measured, spread, stages
 
 
+def _pair_counts(window: int, most: int = 1_000_000) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sentences as lists of words to ``(a, b, n)``: every word with those up to ``window`` places ahead, the smaller one first.
+
+    Words become numbers in their order, pairs products of numbers, which are counted over about ``most`` words at a time.
+    """
+
+    def counted(lists: list[pa.Array]) -> pa.RecordBatch:
+        w = pa.concat_arrays(lists)
+        sentence = np.repeat(np.arange(len(w)), w.value_lengths().to_numpy(zero_copy_only=False))
+        coded = w.flatten().dictionary_encode()
+        order = pc.sort_indices(coded.dictionary).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        word = rank[coded.indices.to_numpy(zero_copy_only=False)]
+        met = [np.zeros(0, np.int64)]
+        for j in range(1, window + 1):
+            x, y = word[:-j], word[j:]
+            ok = (sentence[:-j] == sentence[j:]) & (x != y)
+            met.append(np.minimum(x, y)[ok] * len(order) + np.maximum(x, y)[ok])
+        pair, n = np.unique(np.concatenate(met), return_counts=True)
+        a, b = np.divmod(pair, max(1, len(order)))
+        words = coded.dictionary.take(pa.array(order))
+        return pa.RecordBatch.from_arrays([words.take(pa.array(a)), words.take(pa.array(b)), pa.array(n, pa.int64())], ["a", "b", "n"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch.column(0))
+            size += len(batch.column(0).flatten())
+            if size >= most:
+                yield counted(held)
+                held, size = [], 0
+        if size:
+            yield counted(held)
+
+    return pairs
+
+
 def word_graph(df: DataFrame, text: str, window: int = 5, least: int = 5, least_pairs: int = 3, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
     """``(a, b, weight)``: words that stand within ``window`` words of each other in a sentence more often than by chance.
 
     The weight is the positive pointwise mutual information of a pair seen at least ``least_pairs`` times, of words with at least
-    ``least`` occurrences; both directions are there. Pairs are formed inside the row and summed up before they are
+    ``least`` occurrences; both directions are there. Pairs are formed and summed up inside the task before they are
     shuffled; words too rare are dropped from the pairs by a join on written counts.
     """
     with stages(df.sparkSession):
         rows = measured(spread(df.select(F.col(text).alias("t"))).select(F.explode(F.transform(sentences("t"), lambda s: tokens(s, stop_words, 2))).alias("w")).filter(F.size("w") > 0))
         words = measured(rows.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least))
 
-        def pairs(w):
-            """Every word with those up to ``window`` places ahead, the smaller one first."""
-            ahead = F.transform(
-                F.sequence(F.lit(0), F.size(w) - 1),
-                lambda i: F.transform(F.slice(w, i + 2, F.lit(window)), lambda x: F.struct(F.least(F.get(w, i), x).alias("a"), F.greatest(F.get(w, i), x).alias("b"))),
-            )
-            return F.filter(F.flatten(ahead), lambda p: p["a"] != p["b"])
-
-        met = rows.select(F.explode(let(F.col("w"), pairs)).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pairs)
+        met = rows.mapInArrow(_pair_counts(window), "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_pairs)
         met = measured(met)
         total = met.agg(F.sum("n").cast("double").alias("n")).first()["n"] or 1.0
         ends = met.select(F.col("a").alias("word"), "n").unionByName(met.select(F.col("b").alias("word"), "n")).groupBy("word").agg(F.sum("n").alias("k"))

@@ -182,10 +182,13 @@ def text_clusters(df: DataFrame, text: str, k: int = 5, seed: int = 42, size: in
 def theme_extraction(
     df: DataFrame, key: str, text: str, themes: int = 5, words: int = 8, examples: int = 3, seed: int = 42, size: int = 1000, steps: int = 10
 ) -> DataFrame:
-    """LDA themes: ``(theme, keywords, n_texts, share, example_keys)``; every step trains on all texts, over ``size`` terms."""
+    """LDA themes: ``(theme, keywords, n_texts, share, example_keys)``; every step trains on all texts, over ``size`` terms.
+
+    Only the counts of the ``size`` terms are cached for the steps, not the tokens.
+    """
     d = df.select(key, tokens(text, STOP_WORDS, 2).alias("toks"))
     counter = CountVectorizer(inputCol="toks", outputCol="features", vocabSize=size).fit(d)
-    counted = counter.transform(d).persist()
+    counted = counter.transform(d).select(key, "features").persist()
     try:
         model = LDA(k=themes, seed=seed, maxIter=steps, subsamplingRate=1.0, featuresCol="features").fit(counted)
         vocab = F.array(*[F.lit(w) for w in counter.vocabulary])
@@ -228,11 +231,12 @@ def category_distribution(df: DataFrame) -> DataFrame:
     return exploded(df, F.col("categories"), "category").groupBy("category").agg(F.count("*").alias("n"))
 
 
-def extractive_summary(df: DataFrame, key: str, text: str, n: int = 3) -> DataFrame:
+def extractive_summary(df: DataFrame, key: str, text: str, n: int = 3, frequent: int = 20_000) -> DataFrame:
     """The ``n`` sentences per text with the highest mean term weight: ``(key, rank, position, sentence, score)``.
 
-    A term weighs its share among all term occurrences. Sentences are tokenised once, and their term counts written; a text's
-    distinct terms, not its sentences' terms, meet the weights, and come back as one list per text. ``key`` is unique.
+    A term weighs its share among all term occurrences. Sentences are tokenised once and written. Most occurrences are of the
+    ``frequent`` terms, whose weights are broadcast, and are summed per sentence where they are; only those of other terms
+    are shuffled to their weights. ``key`` is unique.
     """
     counts = spread(df.select(F.col(text).alias("t"))).select(F.inline(term_counts(tokens("t", STOP_WORDS, 2)))).groupBy("term").agg(F.sum("tf").alias("total"))
     counts = measured(counts)
@@ -240,7 +244,11 @@ def extractive_summary(df: DataFrame, key: str, text: str, n: int = 3) -> DataFr
     rows = spread(df.select(F.col(key).alias("k"), F.col(text).alias("t")))
     parts = measured(rows.select("k", F.posexplode(F.transform(sentences("t"), lambda s: tokens(s, STOP_WORDS, 2))).alias("position", "toks")).filter(F.size("toks") > 0))
     terms = parts.select("k", "position", F.explode("toks").alias("term"))
-    scored = terms.join(weights, "term", "left").groupBy("k", "position").agg((F.sum(F.coalesce("w", F.lit(0.0))) / F.count("*")).alias("score"))
+    top = measured(weights.orderBy(F.desc("w"), "term").limit(frequent))
+    known = terms.join(F.broadcast(top), "term").groupBy("k", "position").agg(F.sum("w").alias("w"), F.count("*").alias("n"))
+    rest = weights.join(F.broadcast(top.select("term")), "term", "left_anti")
+    rare = terms.join(F.broadcast(top.select("term")), "term", "left_anti").join(rest, "term", "left").groupBy("k", "position").agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("w"), F.count("*").alias("n"))
+    scored = known.unionByName(rare).groupBy("k", "position").agg((F.sum("w") / F.sum("n")).alias("score"))
     w = Window.partitionBy("k").orderBy(F.desc(F.round("score", 9)), "position")
     best = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
     chosen = measured(best.groupBy("k").agg(F.collect_list(F.struct("rank", "position", "score")).alias("__best")))  # n at most

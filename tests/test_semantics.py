@@ -1,8 +1,10 @@
 """Latent embeddings and the grown lexicon on planted texts."""
 
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,34 @@ def test_graph_weights(spark):
 def test_lexicon_of_nothing(spark):
     none = spark.createDataFrame([], "t string")
     assert lexicon.grown_lexicon(none, "t", {"good": 1.0}) == {"good": 1.0}
+
+
+@pytest.mark.parametrize("most", [1, 7, 1000])
+def test_pairs_are_summed_inside_the_task(most):
+    """Every pair within the window, over sentences of any length and batches of any size."""
+    texts = [["b", "a", "b", "c"], ["a"], [], ["d", "d", "a", "c", "b", "a"], ["c", "a"]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.list_(pa.string()))], ["w"]) for t in (texts[:2], texts[2:4], [], texts[4:])]
+    wanted = Counter(tuple(sorted((x, y))) for t in texts for i, x in enumerate(t) for y in t[i + 1 : i + 3] if x != y)
+    got = Counter()
+    for out in lexicon._pair_counts(2, most)(iter(batches)):
+        for r in out.to_pylist():
+            got[r["a"], r["b"]] += r["n"]
+    assert got == wanted
+
+
+def test_summary_joins_rare_terms_alone(spark):
+    """Scores do not hang on how many terms are broadcast."""
+    rows = [(i, f"Common words stand here. Rare{chr(97 + i)} words follow common ones! Odd{chr(97 + i)} thing.") for i in range(9)] + [(90, None), (91, "")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    whole = {(r["id"], r["rank"]): (r["position"], r["sentence"], round(r["score"], 9)) for r in text.extractive_summary(df, "id", "t", 2).collect()}
+    for frequent in (1, 3):
+        some = {(r["id"], r["rank"]): (r["position"], r["sentence"], round(r["score"], 9)) for r in text.extractive_summary(df, "id", "t", 2, frequent=frequent).collect()}
+        assert some == whole and len(some) == 18
+
+
+def test_themes_cache_no_tokens(spark, monkeypatch):
+    seen, fit = [], text.LDA.fit
+    monkeypatch.setattr(text.LDA, "fit", lambda self, data: (seen.append((data.columns, data.storageLevel.useMemory)), fit(self, data))[1])
+    df = spark.createDataFrame([(i, "apple pear plum" if i % 2 else "engine wheel brake") for i in range(20)], "id int, t string")
+    assert text.theme_extraction(df, "id", "t", themes=2, steps=2).agg({"n_texts": "sum"}).first()[0] == 20
+    assert seen == [(["id", "features"], True)]
