@@ -69,6 +69,23 @@ def test_kmeans_recovers_blobs(spark):
     assert best["k"] == 3
 
 
+def test_fits_share_their_passes(spark, monkeypatch):
+    """All restarts of all k take at most 20 passes over the rows together, and end where Spark's own fits do."""
+    from pyspark.ml.clustering import KMeans
+
+    passes, one = [], segments._round
+    monkeypatch.setattr(segments, "_round", lambda points, centres, middle: passes.append(len(centres)) or one(points, centres, middle))
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in 1000 + rng.normal(0, 1 + i % 3, 3)]) for i in range(600)]
+    data = segments.vectors_from_array(spark.createDataFrame(rows, "id int, v array<double>"), "v").select("features").persist()
+    got = segments._fits(data, [2, 5], 4, 7, 4)
+    assert len(passes) <= 20 and passes[0] == 8
+    for k, centres in got.items():
+        own = min((KMeans(k=k, seed=7 + i, featuresCol="features").fit(data) for i in range(4)), key=lambda m: m.summary.trainingCost)
+        assert centres == pytest.approx(np.array(own.clusterCenters()), abs=1e-6)
+    data.unpersist()
+
+
 def test_target_encode_shrinks_small_groups(spark):
     df = spark.createDataFrame([("big", 1)] * 200 + [("small", 0)] * 2 + [(None, 1)], "c string, y int")
     out = {r["c"]: r["c_target"] for r in features.target_encode(df, "c", "y").distinct().collect()}
