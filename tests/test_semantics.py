@@ -47,6 +47,27 @@ def test_basis_is_that_of_the_decomposition(spark, topics):
     assert np.linalg.svd(vt[:3] @ model.basis)[1] == pytest.approx(np.ones(3), abs=0.01)
 
 
+@pytest.mark.parametrize("filled", [0.02, 0.9])
+def test_products_of_short_and_long_texts(filled):
+    """Texts of few and of many terms are multiplied in different ways; buckets may come twice in a row, rows may be empty."""
+    rng = np.random.default_rng(3)
+    dense, basis, back = rng.random((40, 128)) * (rng.random((40, 128)) < filled), rng.normal(size=(128, 5)), np.ones((128, 5))
+    dense[7] = 0
+    row, col = np.nonzero(dense)
+    value = dense[row, col]
+    row, col, value = np.repeat(row, 2), np.repeat(col, 2), np.repeat(value / 2, 2)
+    assert (len(row) >= latent._FULL * 40) == (filled > 0.5)
+    assert latent._times(row, col, value, 40, basis, back) == pytest.approx(dense @ basis)
+    assert back == pytest.approx(1 + dense.T @ dense @ basis)
+
+
+def test_terms_are_counted_over_a_batch():
+    got = latent._term_counts(pa.array([[5, -3, 5, 5], [], [5], [-3, -3]], pa.list_(pa.int64())), 4)
+    assert [sorted(zip(*(x.tolist() for x in got)))] == [[(0, 1, 1.0), (0, 1, 3.0), (2, 1, 1.0), (3, 1, 2.0)]]
+    assert [len(x) for x in latent._term_counts(pa.array([[], []], pa.list_(pa.int64())), 4)] == [0, 0, 0]
+    assert list(latent._runs(pa.array([[1] * 3, [], [1] * 9, [1]]), 4, 2)) == [(0, 2), (2, 1), (3, 1)]
+
+
 def test_latent_of_nothing(spark):
     none = spark.createDataFrame([], "t string")
     model = latent.fit_latent(none, "t", dims=4, buckets=64)
