@@ -7,6 +7,8 @@ from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
@@ -118,20 +120,25 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str, k: in
     cells = cells.join(classes, ["feature", "y"])
 
     def near(w: WindowSpec) -> dict[str, Column]:
-        return {"near": F.collect_list(F.struct("v", "c")).over(w.rowsBetween(-k, k))}
+        around = [F.lag(F.struct("v", "c"), -i).over(w) if i else F.struct("v", "c") for i in range(-k, k + 1)]
+        return {"near": F.array(*around)}
+
+    @F.arrow_udf("struct<d: double, u: double>")
+    def reach(near: pa.Array, wanted: pa.Array) -> pa.Array:
+        """Distance and place of the value with which ``wanted`` rows are reached: nearer values first, then smaller ones."""
+        cells = near.flatten()
+        u, c = (cells.field(i) if not cells.null_count else pc.struct_field(cells, i) for i in (0, 1))
+        u, c = (x.to_numpy(zero_copy_only=False).astype(float).reshape(len(near), 2 * k + 1) for x in (u, pc.fill_null(c, 0)))
+        c[:, k] -= 1  # the row itself
+        d = np.where(np.isnan(u), np.inf, np.abs(u - u[:, k : k + 1]))
+        order = np.argsort(d, axis=1, kind="stable")
+        there = np.cumsum(np.take_along_axis(c, order, 1), axis=1) >= wanted.to_numpy(zero_copy_only=False)[:, None]
+        at = np.take_along_axis(order, there.argmax(axis=1)[:, None], 1)
+        return pa.StructArray.from_arrays([pa.array(np.take_along_axis(x, at, 1)[:, 0]) for x in (d, u)], ["d", "u"])
 
     d = framed(cells, "v", near, before=k, after=k, by=["feature", "y"])
     wanted = F.least(F.lit(k).cast("long"), F.col("ny") - 1)
-    by_distance = F.array_sort(
-        F.transform("near", lambda n: F.struct(F.abs(n["v"] - F.col("v")).alias("d"), n["v"].alias("u"), (n["c"] - F.when(n["v"] == F.col("v"), 1).otherwise(0)).alias("c")))
-    )
-    start = F.struct(F.col("wanted").alias("left"), F.lit(0.0).alias("d"), F.col("v").alias("u"))
-
-    def step(s: Column, n: Column) -> Column:
-        more = s["left"] > 0
-        return F.struct((s["left"] - n["c"]).alias("left"), F.when(more, n["d"]).otherwise(s["d"]).alias("d"), F.when(more, n["u"]).otherwise(s["u"]).alias("u"))
-
-    d = d.withColumn("wanted", wanted).withColumn("r", F.aggregate(by_distance, start, step))
+    d = d.withColumn("wanted", wanted).withColumn("r", reach("near", "wanted"))
     same = F.col("r.d") == 0
     low = F.when(F.col("r.u") < F.col("v"), F.col("r.u")).otherwise(F.col("v") - F.col("r.d"))
     high = F.when(F.col("r.u") > F.col("v"), F.col("r.u")).otherwise(F.col("v") + F.col("r.d"))
@@ -142,11 +149,12 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str, k: in
         F.struct(F.col("low").alias("at"), F.when(F.col("same"), 0).otherwise(2).alias("kind"), F.lit(-1).alias("side")),
         F.struct(F.col("high").alias("at"), F.when(F.col("same"), 2).otherwise(0).alias("kind"), F.lit(1).alias("side")),
     )
-    asked = d.select("feature", "y", "v", F.inline(ends))
+    asked = d.select("feature", "y", "v", "c", "ny", "kk", F.inline(ends))  # what the gain needs goes along, so that nothing is joined
     placed = value_ranges(measured(values.unionByName(asked, allowMissingColumns=True)), "at")
     totals = running_totals(placed, [F.asc("at"), F.asc("kind"), F.asc("y"), F.asc("v")], F.col("__range"), {"before": F.coalesce("n", F.lit(0))}, ["feature"])
-    nearer = totals.filter("kind <> 1").groupBy("feature", "y", "v").agg(F.sum(F.coalesce("before", F.lit(0)) * F.col("side")).alias("m"))
-    rows = d.join(nearer, ["feature", "y", "v"])
+    rows = totals.filter("kind <> 1").groupBy("feature", "y", "v").agg(
+        F.sum(F.coalesce("before", F.lit(0)) * F.col("side")).alias("m"), *[F.max(x).alias(x) for x in ("c", "ny", "kk")]
+    )
     gain = F.col("c") * (digamma(F.col("kk")) - digamma(F.col("ny")) - digamma(F.col("m")))
     return rows.groupBy("feature").agg(F.greatest(digamma(F.sum("c")) + F.sum(gain) / F.sum("c"), F.lit(0.0)).alias("mi"))
 

@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -87,6 +88,17 @@ def value_ranges(df: DataFrame, c: str, descending: bool = False, tie: str | Non
         below = F.aggregate(steps, F.lit(0), lambda pos, s: pos + F.when((pos + s < parts) & (F.get(at, pos + s - 1) < x), s).otherwise(0))
         return below * 2 + F.coalesce((F.get(at, below) == x).cast("int"), F.lit(0))
 
+    if deep == 1 and tie is None and df.schema[c].dataType.typeName() == "double":  # placed in whole arrays, with the points found once
+        found = np.array(df.agg(points(c, wide)).first()[0] or [], float)
+
+        @F.arrow_udf("int")
+        def ranged(x: pa.Array) -> pa.Array:
+            v = x.to_numpy(zero_copy_only=False)
+            below = np.searchsorted(found, v)
+            return pa.array(np.where(x.is_null(), 0, below * 2 + (np.r_[found, np.nan][below] == v)), pa.int32())
+
+        return df.withColumn(name, -ranged(c) if descending else ranged(c))
+
     stats = df.agg(F.struct(points(c, wide).alias("first"), (points(tie, wide) if tie else F.lit(None)).alias("second")))
     out = with_stats(df, stats, "__points")
     out = out.withColumn("__first", F.coalesce(place(F.col(c), F.col("__points.first"), wide), F.lit(-1))).withColumn("__deep", F.lit(0))

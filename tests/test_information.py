@@ -54,6 +54,14 @@ def test_equals_brute_force(spark):
     assert got["told"] > 0.4 and got["noise"] < 0.03 and got["flat"] < 1e-9
 
 
+def test_rows_are_not_joined_with_their_counts(spark):
+    """What a row's gain needs travels with the ends of its distance."""
+    df = spark.createDataFrame([(float(i * i % 17), "ab"[i % 2]) for i in range(40)], "x double, y string")
+    got = mutual_information(df, ["x"], "y")
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.first()["mi"] == pytest.approx(brute(np.array([i * i % 17 for i in range(40)], float), np.array(["ab"[i % 2] for i in range(40)])))
+
+
 def test_tiny_and_empty(spark):
     df = spark.createDataFrame([(1.0, "a"), (2.0, "a"), (3.0, "b"), (4.0, "b")], "x double, y string")
     assert mutual_information(df, ["x"], "y").first()["mi"] == pytest.approx(brute(np.array([1.0, 2, 3, 4]), np.array(list("aabb"))))

@@ -127,3 +127,15 @@ def test_quantile_bins_match_pandas(spark):
     pdf = pd.DataFrame({"id": range(1000), "x": rng.integers(0, 12, 1000).astype(float)})
     got = quantile_bins(spark.createDataFrame(pdf), ["x"]).toPandas().sort_values("id")["x_bin"].to_numpy()
     assert (got == pd.qcut(pdf["x"], 10, labels=False, duplicates="drop").to_numpy()).all()
+
+
+def test_double_ranges_are_placed_in_arrays(spark):
+    values = [None, float("nan"), -0.0, 0.0, 1.5, float("inf"), -float("inf")] * 3 + [float(i % 50) for i in range(400)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    placed = ranking.value_ranges(df, "v", ranges=20)
+    assert "ArrowEvalPython" in placed._jdf.queryExecution().optimizedPlan().toString()
+    seen = placed.filter("v IS NOT NULL").distinct().orderBy("v", "__range").collect()
+    assert [r["__range"] for r in seen] == sorted(r["__range"] for r in seen) and len({r["__range"] for r in seen}) > 15
+    assert placed.filter("v IS NULL").select("__range").distinct().collect() == [(0,)]
+    back = ranking.value_ranges(df, "v", descending=True, ranges=20).filter("v IS NOT NULL")
+    assert sorted(-r["__range"] for r in back.collect()) == sorted(r["__range"] for r in placed.filter("v IS NOT NULL").collect())
