@@ -351,7 +351,7 @@ def write_token_files(
         for batch in batches:
             # runs of whole texts of about `record_chars` bytes
             ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy())
-            run = (ends - 1) // record_chars
+            run = np.maximum(ends - 1, 0) // record_chars  # empty texts at the front are in the first run
             starts = np.flatnonzero(np.diff(run, prepend=-1)).tolist()
             for first, last in zip(starts, [*starts[1:], batch.num_rows]):
                 part = batch.slice(first, last - first)
