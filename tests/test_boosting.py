@@ -53,7 +53,8 @@ def test_area_and_draws():
     assert boosting.auc(score, neg, pos) == pytest.approx(sum(w * v for w, v in pairs) / sum(w for w, _ in pairs))
     assert np.isnan(boosting.auc(score, neg, pos * 0))
     rows = np.array([0, 1, 2, 7, 32, 33, 400])
-    drawn = np.array([boosting._sampler(rows, 0.7)(rng) for _ in range(4000)])
+    draw = boosting._sampler(rows, 0.7)
+    drawn = np.array([draw(rng) for _ in range(4000)])
     assert (drawn <= rows).all() and drawn.mean(axis=0) == pytest.approx(0.7 * rows, rel=0.05)
     assert drawn.var(axis=0)[1:] == pytest.approx(0.21 * rows[1:], rel=0.15)
 
